@@ -47,4 +47,4 @@ def crc32_of(column) -> F.Column:
 
 def scan_bytes(df: DataFrame) -> int:
     """Estimated bytes of a relation, as the optimizer knows them from file sizes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
