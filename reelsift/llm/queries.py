@@ -21,6 +21,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import simhash_groups
+
+    return simhash_groups(table(spark, sf_dir, "documents"), words=3, max_bits=2)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -41,6 +47,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_simhash": op1_simhash,
         "op2_packing": op2_packing,
         "op5_token_files": op5_token_files,
         "op4_token_counts": op4_token_counts,
