@@ -45,10 +45,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.nullif(F.col("key"), F.lit(LOWEST)).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
         "op2_packing": op2_packing,
+        "op10_quality": op10_quality,
         "op5_token_files": op5_token_files,
         "op4_token_counts": op4_token_counts,
     }
