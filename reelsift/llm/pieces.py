@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 600_000
 CACHED_CHARS = 48
 #: Characters of a text that are handled at a time; longer texts are cut at safe places.
 STRETCH = 1 << 18
@@ -30,6 +30,7 @@ _UNUSUAL = re.compile(r"[^\S \n]")
 _UNSAFE = re.compile(r"[^\S \t\n\r\f\v]")
 _EXACT = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 _CUT = re.compile(r"\S(?=[ \n])")
+_MARKS = ".,!?;:"
 _RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
@@ -67,6 +68,8 @@ class PieceEncoder:
             self.kind = "whole"
         self.n_ids = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
+        self.misses = 0
+        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -99,16 +102,39 @@ class PieceEncoder:
             return keys
         return [x[1:] if x[:1] == "\0" else x if x[:1].isspace() else " " + x for x in keys]
 
-    def _look_up(self, keys: list[str]) -> list[bytes]:
+    def _root(self, key: str) -> tuple[str, str]:
+        """A key without its closing mark, and the mark: a letter and a mark never share a token, so most keys need no encoding of their own."""
+        mark = ""
+        if self.kind != "whole" and len(key) > 1 and key[-1] in _MARKS and key[-2] < "\u0250" and key[-2].isalpha() and key[0] != "\0":
+            key, mark = key[:-1], key[-1]
+        if self.kind == "drop" and key.isascii():
+            key = key.lower()
+        return key, mark
+
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of keys that aren't in the cache; fills it while it has room, and empties it where it no longer fits what comes."""
+        roots = {k: self._root(k) for k in keys}
         get = self.known.get
-        found = list(map(get, keys))
+        ids = {r: get(r) for r, _ in roots.values()}
+        fresh = [r for r, v in ids.items() if v is None]
+        ids |= zip(fresh, self._encode(self._texts(fresh)), strict=True)
+        found = {k: ids[r] + self.marks[m] if m else ids[r] for k, (r, m) in roots.items()}
+        self.misses += len(fresh)
+        if self.misses > 8 * CACHE_ENTRIES:
+            self.known.clear()
+            self.misses = 0
+        for more in (found, {r: ids[r] for r in fresh}):
+            if len(self.known) + len(more) <= CACHE_ENTRIES:
+                self.known.update((k, v) for k, v in more.items() if len(k) <= CACHED_CHARS)
+        return found
+
+    def _look_up(self, keys: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, keys))
         if None in found:
-            missing = list(dict.fromkeys(k for k, v in zip(keys, found, strict=True) if v is None))
-            fresh = dict(zip(missing, self._encode(self._texts(missing)), strict=True))
-            if len(self.known) + len(fresh) > CACHE_ENTRIES:
-                self.known.clear()
-            self.known.update((k, v) for k, v in fresh.items() if len(k) <= CACHED_CHARS and len(self.known) < CACHE_ENTRIES)
-            found = [fresh[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+            gaps = [i for i, v in enumerate(found) if v is None]
+            fresh = self._learn(list({keys[i] for i in gaps}))
+            for i in gaps:
+                found[i] = fresh[keys[i]]
         return found
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
