@@ -45,6 +45,18 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.nullif(F.col("key"), F.lit(LOWEST)).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .katz import katz_scores
+
+    return katz_scores(table(spark, sf_dir, "documents"), fold=10)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_rules
 
@@ -55,6 +67,8 @@ def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
         "op2_packing": op2_packing,
+        "op6_katz": op6_katz,
+        "op8_toxicity": op8_toxicity,
         "op10_quality": op10_quality,
         "op5_token_files": op5_token_files,
         "op4_token_counts": op4_token_counts,
