@@ -13,8 +13,9 @@ the totals back in the same order:
 ``unigrams``  by ranges of the 64-bit word hash         -> totals and word numbers, frequent words first
 ``bigrams``   by context                                -> pair totals and each context's sums for a(u)
 
-A context with many occurrences is spread over all partitions by its following word; the sums it needs are
-added where they arrive.  So no key's rows meet in one task.  Words are told apart by a
+A context with more than ``hot`` occurrences (at least an eighth of a partition; at most ``HOT_CONTEXTS`` of them) is spread over
+several partitions by its following word; the partitions' sums for it, a few numbers each, are added on
+the driver and broadcast. So no key's rows meet in one task.  Words are told apart by a
 64-bit hash (XXH64): at ten billion words, two share one with a chance of about two to one.
 """
 
@@ -35,6 +36,8 @@ from .common import written
 BLOCK_BYTES = 8 << 20
 #: Keys that a partition of the count tables gets, on average.
 PART_KEYS = 1 << 20
+#: Most contexts that are spread; bounds what the driver adds and broadcasts to some ten MB.
+HOT_CONTEXTS = 100_000
 #: Counts up to this one are discounted.
 LOW = 5
 START, END = 0, 1  # hashes of the two marks
@@ -121,14 +124,17 @@ class Block:
         self.train = unsqueeze(train).astype(bool)
 
     def pairs(self, gid: np.ndarray, count: np.ndarray, parts: int, hot: int) -> tuple[np.ndarray, ...]:
-        """Known pairs in the order (part, context, word): their local numbers, parts, training counts; and each token's place among them (-1: an unknown word in it)."""
-        known = (count[self.before] > 0) & (count[self.word] > 0)
+        """Pairs with a known context, in the order (part, context, word): their local numbers, parts, training counts; and each token's place among them (-1: none).
+
+        Pairs with an unknown word are asked for too: their context's sums are needed."""
+        known = count[self.before] > 0
         key = self.before[known] * len(gid) + self.word[known]
         uniq, inverse = np.unique(key, return_inverse=True)
         u, w = uniq // len(gid), uniq % len(gid)
         n = np.bincount(inverse, weights=self.train[self.doc[known]], minlength=len(uniq)).astype(np.int64)
         with np.errstate(over="ignore"):
-            spread = np.where(count[u] > hot, gid[u] + gid[w] * np.uint64(0x9E3779B97F4A7C15), gid[u])
+            salt = ((gid[w] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % (1 + count[u] // hot).astype(np.uint64)
+            spread = gid[u] + np.where(count[u] > hot, salt, 0).astype(np.uint64)
         part = (spread % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((gid[w], gid[u], part))
         place = np.empty(len(uniq), dtype=np.int64)
@@ -245,8 +251,8 @@ def _ask_pairs(parts: int, hot: int):
                 step = np.diff(first, prepend=np.uint64(0))
                 step[runs] = first[runs]
                 ctx = gid[u[i:j][runs]]
-                rows.append((p, r.block, squeeze(small(np.diff(ctx, prepend=np.uint64(0)))), squeeze(small(np.diff(np.append(runs, j - i)))), squeeze(small(step)), squeeze(small(n[i:j])), squeeze(small(count[w[i:j]]))))
-        return pd.DataFrame(rows, columns=["part", "block", "ctx", "follow", "word", "n", "cw"])
+                rows.append((p, r.block, squeeze(small(np.diff(ctx, prepend=np.uint64(0)))), squeeze(small(np.diff(np.append(runs, j - i)))), squeeze(small(step)), squeeze(small(n[i:j])), squeeze(small(count[w[i:j]])), squeeze((count[u[i:j][runs]] > hot).astype(np.uint8))))
+        return pd.DataFrame(rows, columns=["part", "block", "ctx", "follow", "word", "n", "cw", "hot"])
 
     return ask
 
@@ -256,6 +262,17 @@ def _bounds_of(x: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(np.diff(x)) + 1]).astype(np.int64)
 
 
+def _sums(low: np.ndarray, mass: np.ndarray) -> bytes:
+    """Contexts' count sums and unigram masses as one value."""
+    ints = squeeze(small(low))
+    return len(ints).to_bytes(8, "little") + ints + squeeze(mass)
+
+
+def _unsums(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = 8 + int.from_bytes(b[:8], "little")
+    return unsqueeze(b[8:n]).astype(np.int64).reshape(LOW + 1, -1).T, unsqueeze(b[n:])
+
+
 def _count_pairs(unigrams: Unigrams):
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         us, ws, lens, runs = [], [], [], []
@@ -279,10 +296,17 @@ def _count_pairs(unigrams: Unigrams):
         mass = add(np.where(total > 0, p, 0.0))
         rows, at = [], 0
         part = int(pdf["part"].iloc[0])
+        hot = np.zeros(len(u), dtype=bool)
+        for k, begin, flags in zip(lens, runs, pdf["hot"], strict=True):
+            hot[ui[at : at + k][begin]] |= unsqueeze(flags).astype(bool)
+            at += k
+        if hot.any():
+            rows.append((-2, part, squeeze(u[hot]), _sums(np.stack([x[hot] for x in sums]).reshape(-1), mass[hot]), None))
+        at = 0
         for block, k, begin in zip(pdf["block"], lens, runs, strict=True):
             c = ui[at : at + k][begin]
             low = np.stack([x[c] for x in sums]).reshape(-1)
-            rows.append((block, part, squeeze(small(total[inverse[at : at + k]])), squeeze(small(low)) + b"|MASS|" + squeeze(mass[c]), None))
+            rows.append((block, part, squeeze(small(total[inverse[at : at + k]])), _sums(low, mass[c]), None))
             at += k
         rows.append((-1, part, None, None, [int((total == r).sum()) for r in range(1, LOW + 2)]))
         return pd.DataFrame(rows, columns=["block", "part", "a", "b", "n"])
@@ -290,7 +314,24 @@ def _count_pairs(unigrams: Unigrams):
     return count
 
 
-def _score(parts: int, hot: int, unigrams: Unigrams, v: int, d: np.ndarray, kind: str):
+def _add_hot(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context numbers ascending, their count sums, their unigram masses) over the partitions' partial sums."""
+    if not rows:
+        return np.zeros(0, dtype=np.uint64), np.zeros((0, LOW + 1)), np.zeros(0)
+    rows = sorted(rows, key=lambda r: r["part"])
+    ctx, low, mass = [unsqueeze(bytes(r["a"])) for r in rows], [], []
+    for r in rows:
+        ints, doubles = _unsums(bytes(r["b"]))
+        low.append(ints)
+        mass.append(doubles)
+    uniq, of = np.unique(np.concatenate(ctx), return_inverse=True)
+    sums, masses = np.zeros((len(uniq), LOW + 1)), np.zeros(len(uniq))
+    np.add.at(sums, of, np.concatenate(low))
+    np.add.at(masses, of, np.concatenate(mass))
+    return uniq, sums, masses
+
+
+def _score(parts: int, hot: int, unigrams: Unigrams, v: int, d: np.ndarray, spread):
     total = unigrams.total
 
     def score(_, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -303,10 +344,13 @@ def _score(parts: int, hot: int, unigrams: Unigrams, v: int, d: np.ndarray, kind
             got = {a.part: a for a in answers[answers["table"] == "b"].itertuples()}
             for p, i, j in _bounds(part):
                 seen[i:j] = unsqueeze(got[p].a)
-                ints, _, doubles = got[p].b.partition(b"|MASS|")
                 ctx = u[i:j][_bounds_of(u[i:j])]
-                low[ctx] += unsqueeze(ints).astype(np.int64).reshape(LOW + 1, -1).T
-                mass[ctx] += unsqueeze(doubles)
+                low[ctx], mass[ctx] = _unsums(got[p].b)
+            wide, wide_low, wide_mass = spread.value
+            if len(wide):
+                place = np.minimum(np.searchsorted(wide, gid), len(wide) - 1)
+                mine = wide[place] == gid
+                low[mine], mass[mine] = wide_low[place[mine]], wide_mass[place[mine]]
             weight, scale = backoff(count.astype(float), low[:, :LOW], low[:, LOW], mass, d)
             c = count[block.word]
             p_word, before = unigrams.p(c), block.before
@@ -339,14 +383,16 @@ def katz_scores(docs: DataFrame, *, fold: int = 10, id_col: str = "doc_id", text
     unigrams = Unigrams(total, counts)
 
     parts = max(1, (sizes[0] or 0) // PART_KEYS)
-    hot = max(1000, (sizes[0] or 0) // (8 * parts))
+    hot = max(1, PART_KEYS // 8, (sizes[0] or 0) // HOT_CONTEXTS)
     own = blocks.select("block", "ids", "lens", "train", "tokens")
     told = words.where("block >= 0").select("block", "part", "a", "b", F.lit("u").alias("table"))
-    asked = own.drop("ids").groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_ask_pairs(parts, hot), "part long, block long, ctx binary, follow binary, word binary, n binary, cw binary")
+    asked = own.drop("ids").groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_ask_pairs(parts, hot), "part long, block long, ctx binary, follow binary, word binary, n binary, cw binary, hot binary")
     pairs = written(asked.groupBy("part").applyInPandas(_count_pairs(unigrams), _ANSWER), "katz-bigrams")
     d = discounts(np.array(stats(pairs, LOW + 1)))
+    # at most two rows for each spread context and a few for each part: see HOT_CONTEXTS
+    spread = docs.sparkSession.sparkContext.broadcast(_add_hot(pairs.where("block = -2").select("part", "a", "b").collect()))
 
     told = told.unionByName(pairs.where("block >= 0").select("block", "part", "a", "b", F.lit("b").alias("table")))
     kind = docs.schema[id_col].dataType.simpleString()
-    found = own.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_score(parts, hot, unigrams, v, d, kind), f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    found = own.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_score(parts, hot, unigrams, v, d, spread), f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return found.withColumnRenamed("id", id_col)
