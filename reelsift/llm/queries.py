@@ -51,6 +51,21 @@ def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(table(spark, sf_dir, "documents"), fold=10)
 
 
+def op3_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each part: its text's characters and sha256, its turns, and its trained spans."""
+    from .preference import format_preferences, reply_pairs
+
+    parts = format_preferences(*reply_pairs(table(spark, sf_dir, "conversations")))
+    spans = F.array_join(F.transform("trained_spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return parts.select(F.col("pair").alias("conv_id"), "side", "part", "n_turns", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), spans.alias("trained_spans"))
+
+
+def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import merkle_fingerprints
+
+    return merkle_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity
 
@@ -67,6 +82,8 @@ def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
         "op2_packing": op2_packing,
+        "op3_preference": op3_preference,
+        "op7_merkle": op7_merkle,
         "op6_katz": op6_katz,
         "op8_toxicity": op8_toxicity,
         "op10_quality": op10_quality,
@@ -75,5 +92,44 @@ def queries() -> dict:
     }
 
 
+_OP3_SQL = """
+WITH convs AS (SELECT conv_id AS pair, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+lasts AS (SELECT pair, turn AS last, role, text FROM (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY turn DESC, role DESC, text DESC) AS k FROM convs) WHERE k = 1),
+rejected AS (
+  SELECT c.* FROM convs c JOIN lasts l USING (pair) WHERE c.turn < l.last
+  UNION ALL SELECT l.pair, l.last, o.role, o.text FROM lasts l JOIN lasts o ON o.pair = xor(l.pair, 1)),
+both_sides AS (SELECT DISTINCT 'chosen' AS side, * FROM convs UNION ALL SELECT DISTINCT 'rejected' AS side, * FROM rejected),
+places AS (SELECT pair, turn, min(n) AS sides FROM (SELECT pair, turn, role, text, count(*) AS n FROM both_sides GROUP BY ALL) GROUP BY ALL),
+firsts AS (SELECT pair, min(CASE WHEN sides < 2 THEN turn END) AS first FROM places GROUP BY pair),
+marked AS (SELECT b.*, coalesce(b.turn < f.first, true) AS common FROM both_sides b JOIN firsts f USING (pair)),
+kept AS (
+  SELECT pair, CASE WHEN common THEN 'prompt' ELSE side END AS side, turn, role, turn // 256 AS part, '<|' || role || '|>' || chr(10) AS header, text || '<|end|>' || chr(10) AS rest, NOT common AND role = 'assistant' AS trained
+  FROM marked WHERE NOT common OR side = 'chosen'),
+placed AS (SELECT *, row_number() OVER w AS k, sum(length(header) + length(rest)) OVER w AS upto FROM kept WINDOW w AS (PARTITION BY pair, side, part ORDER BY turn, role, header, rest ROWS UNBOUNDED PRECEDING))
+SELECT pair AS conv_id, side, part, count(*) AS n_turns, CAST(sum(length(header) + length(rest)) AS BIGINT) AS n_chars, sha256(string_agg(header || rest, '' ORDER BY k)) AS text_sha256,
+  coalesce(string_agg(CAST(upto - length(rest) AS VARCHAR) || '-' || CAST(upto AS VARCHAR), ',' ORDER BY k) FILTER (WHERE trained), '') AS trained_spans
+FROM placed GROUP BY pair, side, part
+"""
+
+_OP7_SQL = """
+WITH base AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, -9223372036854775808) AS key, coalesce(text, '') AS t FROM documents),
+ids AS (SELECT DISTINCT key FROM base),
+following AS (SELECT key, coalesce(lead(key) OVER (ORDER BY key), (SELECT min(key) FROM ids)) AS next_key FROM ids),
+least AS (SELECT key AS next_key, min(t) AS next_t FROM base GROUP BY key),
+parts AS (SELECT rid, doc_id, t, next_t, CAST(length(t) AS BIGINT) AS n, CAST(length(t) // 4 AS BIGINT) AS q FROM base JOIN following USING (key) JOIN least USING (next_key)),
+edits AS (SELECT *, substring(t, 1, n - q) || substring(next_t, 1, q) AS e FROM parts),
+texts AS (SELECT rid, 0 AS k, t AS x FROM edits UNION ALL SELECT rid, 1, e FROM edits UNION ALL SELECT rid, 2, next_t FROM edits),
+leaves AS (SELECT rid, k, list_transform(string_split(x, chr(10)), lambda l: list_transform(string_split(regexp_replace(l, '([.!?;:,]) ', '\\1' || chr(1) || ' ', 'g'), chr(1)), lambda y: substring(sha256(y), 1, 16))) AS leaves FROM texts),
+paragraphs AS (SELECT *, list_transform(leaves, lambda l: substring(sha256(array_to_string(l, '')), 1, 16)) AS paragraphs FROM leaves),
+sections AS (SELECT rid, k, flatten(leaves) AS leaves, list_transform(string_split(regexp_replace(array_to_string(paragraphs, ' '), '\\b(0[0-9a-f]{15}) ', '\\1' || chr(10), 'g'), chr(10)), lambda s: substring(sha256(s), 1, 16)) AS sections FROM paragraphs),
+trees AS (SELECT rid, k, leaves, substring(sha256(array_to_string(sections, '')), 1, 16) AS root, sections FROM sections),
+shown AS (SELECT *, root || ':' || array_to_string(list_transform(sections, lambda d: substring(d, 1, 8)), '') || ':' || array_to_string(list_transform(leaves, lambda d: substring(d, 1, 8)), '') AS f FROM trees)
+SELECT d.doc_id, d.n AS n_chars, sha256(d.e) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint,
+  CASE WHEN a.root = b.root THEN 1.0::DOUBLE ELSE len(list_intersect(a.leaves, b.leaves))::DOUBLE / len(list_distinct(list_concat(a.leaves, b.leaves)))::DOUBLE END AS near_edited,
+  CASE WHEN a.root = c.root THEN 1.0::DOUBLE ELSE len(list_intersect(a.leaves, c.leaves))::DOUBLE / len(list_distinct(list_concat(a.leaves, c.leaves)))::DOUBLE END AS near_next
+FROM edits d JOIN shown a ON a.rid = d.rid AND a.k = 0 JOIN shown b ON b.rid = d.rid AND b.k = 1 JOIN shown c ON c.rid = d.rid AND c.k = 2
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_preference": _OP3_SQL, "op7_merkle": _OP7_SQL}
