@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from .common import written
 
@@ -88,7 +89,7 @@ def repeated_lines(text: str) -> int:
 _models: dict[str, WordTokens] = {}
 
 
-def measures(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def measures(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: bool = False) -> DataFrame:
     """(id, lang, base counts, n_tokens and the three measures) of each row; null texts count as empty, with measures null."""
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")
 
@@ -108,10 +109,11 @@ def measures(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: s
                 rows.append((len(words), chars, sum(text.count(c) for c in SYMBOLS), repeated_lines(text), repeated_words(words), len(ids), *((chars / len(ids), float(tokens.is_byte[ids].mean()), float(-(share * np.log2(share)).sum())) if len(ids) else (None,) * 3)))
             columns = list(zip(*rows, strict=True)) or [()] * 9
             kinds = [pa.int64()] * 6 + [pa.float64()] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["id", "lang", *fields, *MEASURES])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *batch.columns[3:]], names=["id", "lang", *fields, *MEASURES, *batch.schema.names[3:]])
 
-    given = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("t"))
-    return given.mapInArrow(measure, f"id {given.schema['id'].dataType.simpleString()}, lang string, {', '.join(f'{x} long' for x in fields)}, {', '.join(f'{x} double' for x in MEASURES)}")
+    given = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("t"), *([F.struct("*").alias("row")] if carry else []))
+    kinds = [StructField(x, LongType()) for x in fields] + [StructField(x, DoubleType()) for x in MEASURES]
+    return given.mapInArrow(measure, StructType([given.schema["id"], StructField("lang", StringType()), *kinds, *([given.schema["row"]] if carry else [])]))
 
 
 def bands(rows: DataFrame, reach: float) -> DataFrame:
@@ -129,17 +131,17 @@ def bands(rows: DataFrame, reach: float) -> DataFrame:
     return found.select(*group, (F.col("mid") - wide(F.col("low_q"))).alias("low"), (F.col("mid") + wide(F.col("high_q"))).alias("high"))
 
 
-def quality_rules(docs: DataFrame, model: str, *, reach: float = 4.0, min_words: int = 50, max_repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def quality_rules(docs: DataFrame, model: str, *, reach: float = 4.0, min_words: int = 50, max_repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: bool = False) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_tokens, measures, base_failed, in_band, kept).
 
-    model: a sentencepiece file with byte fallback.  Base rule: too few words, or too many words in repeated
+    With ``carry``, the whole row comes along as the struct ``row``.  model: a sentencepiece file with byte fallback.  Base rule: too few words, or too many words in repeated
     windows.  A null language is its own class ("und").  A class with fewer than ``LEAST`` documents takes its language's
     band, and a language with fewer has none and rejects nothing.  A text without tokens has null
     measures and fails the base rule.  Repeated rows each give a row and count each; null ids stay null; other columns
     are ignored.  An empty table gives an empty one.
     """
     size = F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
-    rows = written(measures(docs, model, id_col=id_col, text_col=text_col, lang_col=lang_col).withColumn("size", size), "measures")
+    rows = written(measures(docs, model, id_col=id_col, text_col=text_col, lang_col=lang_col, carry=carry).withColumn("size", size), "measures")
     limits = bands(rows, reach)
     pivot = limits.groupBy("lang", "size").agg(*(F.max(F.when(F.col("measure") == m, F.col(side))).alias(f"{m}_{side}") for m in MEASURES for side in ("low", "high")))
     names = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
@@ -153,4 +155,4 @@ def quality_rules(docs: DataFrame, model: str, *, reach: float = 4.0, min_words:
             inside = inside & F.coalesce(F.col(m) >= limit if side == "low" else F.col(m) <= limit, F.lit(True))
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return joined.select(F.col("id").alias(id_col), *base, "n_tokens", *MEASURES, failed.alias("base_failed"), inside.alias("in_band"), (~failed & inside).alias("kept"))
+    return joined.select(*(["row"] if carry else []), F.col("id").alias(id_col), *base, "n_tokens", *MEASURES, failed.alias("base_failed"), inside.alias("in_band"), (~failed & inside).alias("kept"))

@@ -187,3 +187,128 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, max_bits: int = 2, id_col
     classes = firsts.join(known, "print", "left").select("print", F.coalesce("least_id", "first_id").alias("component_id"))
     found = rows.join(classes, "print")
     return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# Near copies by similarity -----------------------------------------------------------------------------------------
+
+#: SimHash words of a wide fingerprint, tables, and the bits of a word that a candidate may differ in.
+LANES, TABLES, CANDIDATE_BITS = 4, 10, 18
+#: Words of the shingles that wide fingerprints are made of: short ones, as an edit touches few of them.
+WIDE_WORDS = 2
+_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+
+
+def wide_print(words: list[bytes]) -> list[int]:
+    """LANES SimHash words over independent mixes of the shingles' hashes."""
+    h = shingle_hashes(words, WIDE_WORDS)
+    out = []
+    with np.errstate(over="ignore"):
+        for k in _MIX[:LANES]:
+            x = h * np.uint64(k)
+            out.append(majority((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)))
+    return out
+
+
+def jaccard(a: bytes, b: bytes, width: int) -> float:
+    """Jaccard similarity of two texts' sets of word shingles; 1 for two texts without words."""
+    x, y = (set(shingle_hashes((t or b"").lower().split(), width).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def forest(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Edges (i, j) of minimum spanning trees over fingerprints that differ in at most ``most`` bits (Prim)."""
+    n = len(prints)
+    out, near, from_, todo = [], np.full(n, 65), np.full(n, -1), np.ones(n, dtype=bool)
+    for _ in range(n):
+        i = int(np.where(todo, near, 66).argmin())
+        todo[i] = False
+        if near[i] <= most:
+            out.append((int(from_[i]), i))
+        d = np.bitwise_count(prints ^ prints[i])
+        closer = todo & (d < near)
+        near[closer], from_[closer] = d[closer], i
+    return out
+
+
+def _candidates(reps: DataFrame) -> DataFrame:
+    """(a, b) candidate links between rows of ``reps`` (id, lane0..): they share an anchor in some table and differ in few bits of lane 0.
+
+    Tables pair 23-bit blocks of the wide fingerprint; a row goes to all anchors within covering radius plus one flip of it. An anchor's rows are
+    compared in groups of at most about CROWD, by spanning trees; where there are more groups than one, a row of each tree goes on to a second comparison."""
+    blocks = [(lane, shift) for lane in range(LANES) for shift in (0, 23)]
+    pairs = [p for gap in (3, 1, 2) for p in ((i, (i + gap) % len(blocks)) for i in range(len(blocks)))][:TABLES]
+
+    def replicate(batches):
+        golay, mask = Golay(), np.uint64((1 << BLOCK) - 1)
+        for batch in batches:
+            ids, lanes = batch.column(0).to_numpy(), [batch.column(1 + k).to_numpy().view(np.uint64) for k in range(LANES)]
+            for at in range(0, len(ids), 2048):
+                part = lambda b: lanes[b[0]][at : at + 2048] >> np.uint64(b[1]) & mask  # noqa: B023, E731
+                for table, (i, j) in enumerate(pairs):
+                    who, anchors = code_anchors(golay, part(blocks[i]) | part(blocks[j]) << np.uint64(BLOCK), 1)
+                    yield pa.RecordBatch.from_arrays([pa.array((anchors | np.uint64(table << 24)).astype(np.int64)), pa.array(ids[at : at + 2048][who]), pa.array(lanes[0][at : at + 2048][who].view(np.int64))], names=["anchor", "id", "print"])
+
+    def compare(batches):
+        for batch in batches:
+            a, b, first = [], [], []
+            for anchor, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                members = sorted((m["id"], m["print"]) for m in members)
+                edges = forest(np.array([p for _, p in members], dtype=np.int64).view(np.uint64), CANDIDATE_BITS)
+                a += [members[i][0] for i, _ in edges]
+                b += [members[j][0] for _, j in edges]
+                heads = set(range(len(members))) - {j for _, j in edges}
+                first += [(anchor, *members[i]) for i in heads]
+            n = len(first)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in first] + [None] * len(a), pa.int64()), pa.array([x[1] for x in first] + a, pa.int64()), pa.array([None] * n + b, pa.int64()), pa.array([x[2] for x in first] + [None] * len(a), pa.int64())], names=["anchor", "a", "b", "print"])
+
+    out = "anchor long, a long, b long, print long"
+    gathered = lambda df, *keys: df.groupBy(*keys).agg(F.collect_list(F.struct("id", "print")).alias("members"))
+    replicas = reps.select("id", *(f"lane{k}" for k in range(LANES))).mapInArrow(replicate, "anchor long, id long, print long")
+    held = replicas.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    shared = replicas.join(held, "anchor")
+    close = gathered(shared.where(F.col("n") <= CROWD), "anchor").mapInArrow(compare, out).where("b is not null").select("a", "b")
+    group = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CROWD)).alias("group")
+    crowded = checkpoint(gathered(shared.where(F.col("n") > CROWD).select("anchor", group, "id", "print"), "anchor", "group").select("anchor", "members").mapInArrow(compare, out))
+    heads = crowded.where("b is null").select("anchor", F.col("a").alias("id"), "print")
+    many = heads.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    again = heads.join(many, "anchor").select("anchor", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (8 * CROWD))).alias("group"), "id", "print")
+    second = gathered(again, "anchor", "group").select("anchor", "members").mapInArrow(compare, out).where("b is not null").select("a", "b")
+    return close.unionByName(crowded.where("b is not null").select("a", "b")).unionByName(second).distinct()
+
+
+def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, id_col: str, text_col: str = "text") -> DataFrame:
+    """(id, first_id) of those rows that are near copies of a row with a lesser id: first_id is the least id of the row's group.
+
+    A group is connected by links of rows whose sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``;
+    texts with the same words are always linked.  Links are looked for among rows that share an anchor of a wide SimHash fingerprint, and each is
+    verified on the whole texts.  ``id_col`` holds different bigints without nulls.  Null and empty texts are alike.
+    """
+
+    def make(batches):
+        import xxhash
+
+        for batch in batches:
+            rows = []
+            for t in batch.column(1).to_pylist():
+                w = (t or b"").lower().split()
+                rows.append((xxhash.xxh3_128_hexdigest(b" ".join(w)), *wide_print(w)))
+            columns = list(zip(*rows, strict=True)) or [()] * (1 + LANES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.string()), *(pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in columns[1:])], names=["id", "same", *(f"lane{k}" for k in range(LANES))])
+
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
+    rows = checkpoint(given.mapInArrow(make, "id long, same string, " + ", ".join(f"lane{k} long" for k in range(LANES))))
+    reps = rows.groupBy("same").agg(F.min("id").alias("id"), *(F.first(f"lane{k}").alias(f"lane{k}") for k in range(LANES)))
+    reps = checkpoint(reps)
+    links = checkpoint(_candidates(reps))
+
+    def verify(batches):
+        for batch in batches:
+            keep = [jaccard(x, y, words) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], names=["a", "b"])
+
+    texts = given.join(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    both = links.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
+    alike = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    roots_ = components(alike)
+    classes = reps.select("same", F.col("id").alias("node")).join(roots_, "node", "left").select("same", F.coalesce("root", "node").alias("first_id"))
+    return rows.select("id", "same").join(classes, "same").where("id <> first_id").select(F.col("id").alias(id_col), "first_id")

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import crc32_of, written
 
@@ -178,13 +179,13 @@ def _built_once(key: str, shared, columns: tuple[int, int]) -> Models:
     return _built[key]
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, max_rows: int = 6000, max_words: int = 120_000, fold: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, max_rows: int = 6000, max_words: int = 120_000, fold: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", carry: bool = False) -> DataFrame:
     """(id, held_out, score, predicted) of each row of ``docs``.
 
     Learns from labelled rows whose crc32 of the id's text isn't ``held`` modulo ``fold``; of each class at most ``max_rows``, and
     of their words the ``max_words`` most frequent ones (toxic counts first).  score: 0 to 1, from the text alone.  Null and empty texts get the
     score of a text without words.  Where a class has no labelled text, every score is the share of toxic labels (0 without labels).
-    Null labels and ids teach nothing; a repeated labelled id counts as toxic if any of its rows is.  Repeated documents each give a row.  Other columns are
+    With ``carry``, the whole row comes along as the struct ``row``.  Null labels and ids teach nothing; a repeated labelled id counts as toxic if any of its rows is.  Repeated documents each give a row.  Other columns are
     ignored.  An empty table gives an empty one.
     """
     spark = docs.sparkSession
@@ -236,7 +237,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, max_
             else:
                 x = np.array([_built_once(f"{run}-all", shared, ((0, 1), (2, 3))).compare(t) for t in texts]).reshape(-1, 5)
                 p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), *batch.columns[2:]], names=["id", "score", *batch.schema.names[2:]])
 
-    scored = given.mapInArrow(score, f"id {given.schema['id'].dataType.simpleString()}, score double")
-    return scored.select(F.col("id").alias(id_col), (crc32_of(F.col("id")) % fold == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    whole = [F.struct("*").alias("row")] if carry else []
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), *whole)
+    out = StructType([texts.schema["id"], StructField("score", DoubleType()), *([texts.schema["row"]] if carry else [])])
+    scored = texts.mapInArrow(score, out)
+    return scored.select(*(["row"] if carry else []), F.col("id").alias(id_col), (crc32_of(F.col("id")) % fold == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
