@@ -1,11 +1,197 @@
-"""Registered queries over the driver tables and their SQL."""
+"""Registered queries over the driver tables, each with its SQL where SQL can express it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import ids, lexicon, matching, text, titles
+from ..operators import apply, audit, purge, queue, rank, renumber, resolve, stats
+from ..schema import ID_FIELDS, TITLE_CACHE, ensure_columns
+from ..sources.releases import as_of, derived_releases
+from . import oracle as o
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def register(name: str, query: Callable[[DataFrame], DataFrame], sql: str | None = None) -> None:
+    """A query over the derived releases."""
+    register_raw(name, lambda spark, sf_dir: query(derived_releases(spark, sf_dir)), sql)
+
+
+def register_raw(name: str, query: Query, sql: str | None = None) -> None:
+    if name in _queries:
+        raise ValueError(f"{name} is registered twice")
+    _queries[name] = query
+    if sql is not None:
+        _sql[name] = sql
+
+
+def read(name: str) -> Query:
+    return lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+
+
+def named() -> Column:
+    return text.effective_title(F.col("title"), F.col("title_text"))
+
+
+counted = ["matched", "deleted", "skipped", "skipped_limit"]
+
+# Text
+register_raw("norm_text", lambda s, d: read("documents")(s, d).select("doc_id", F.md5(text.norm(F.col("text"))).alias("norm_md5")), f"SELECT doc_id, md5({o.norm('text')}) AS norm_md5 FROM documents")
+register("effective_title", lambda r: r.select("id", named().alias("name")), o.over() + f"SELECT id, {o.NAME} AS name FROM releases")
+register("title_key", lambda r: r.select("id", text.title_key(named()).alias("title_key")), o.over() + f"SELECT id, nullif({o.norm(o.NAME)}, '') AS title_key FROM releases")
+register("token_match", lambda r: r.select("id", text.has_token(text.norm(F.col("title")), "xxx").alias("has_token")), o.over() + f"SELECT id, {o.norm('title')} <> '' AND contains(' ' || {o.norm('title')} || ' ', ' xxx ') AS has_token FROM releases")
+register("quality_rank", lambda r: r.select("id", text.quality_rank(F.col("quality")).cast("long").alias("qrank")), o.over() + f"SELECT id, CAST({o.RANK} AS BIGINT) AS qrank FROM (SELECT id, lower(coalesce(quality, '')) AS q FROM releases)")
+register("id_trust", lambda r: r.select("id", ids.trusted(F.col("ids_confidence"), F.col("ids_source")).alias("trusted")), o.over() + f"SELECT id, {o.TRUST} AS trusted FROM releases")
+register("work_key", lambda r: r.select("id", ids.work_key().alias("work")), o.over() + f"SELECT id, {o.WORK} AS work FROM releases")
+register("spanish_flags", lambda r: r.select("id", lexicon.any_spanish(F.col("audio")).alias("audio_es"), lexicon.any_spanish(F.col("subtitles")).alias("subs_es"), lexicon.is_spanish(named()).alias("hint_es")), o.over() + f"SELECT id, {o.any_spanish('audio')} AS audio_es, {o.any_spanish('subtitles')} AS subs_es, {o.spanish(o.NAME)} AS hint_es FROM releases")
+register("type_csv_filter", lambda r: r.where(ids.type_wanted("movie, ")).select("id", "type"), o.over() + "SELECT id, type FROM releases WHERE coalesce(type, '') IN ('movie', '')")
+
+# Queues
+QUEUE_SQL = {"": ("title", "title_text", None), "_auto": (f"coalesce({o.blankless('title')}, {o.blankless('title_text')})", f"CASE WHEN {o.blankless('title')} IS NOT NULL THEN title_text END", "auto"), "_title": ("title", "title_text", "title"), "_title_text": ("title_text", "title", "title_text")}
+for suffix, (main, other, column) in QUEUE_SQL.items():
+    register(f"enrich_queue{suffix}", lambda r, column=column: queue.enrich_queue(r, as_of(), column=column), o.queue(main, other))
+register("enrich_queue_types", lambda r: queue.enrich_queue(r, as_of(), only_types="movie,anime"), o.queue("title", "title_text", "AND coalesce(type, '') IN ('movie', 'anime')"))
+register("missing_ids_queue", lambda r: queue.missing_ids_queue(r, as_of()), o.over() + f"SELECT id, title, title_text, title_text AS title_alt, type, season, episode, absolute_episode FROM releases WHERE {o.RETRY} ORDER BY coalesce(ids_attempts, 0), ids_checked_at ASC NULLS FIRST, id LIMIT 400")
+register("retry_reset_metrics", lambda r: queue.reset_for_retry(r, as_of())[1], o.over() + f"SELECT count(CASE WHEN NOT {o.HAS_ID} THEN 1 END) AS matched, count(CASE WHEN {o.RETRY} THEN 1 END) AS queued, count(CASE WHEN NOT {o.HAS_ID} AND coalesce(ids_attempts, 0) >= 4 THEN 1 END) AS exhausted FROM releases")
+register("retry_reset_rows", lambda r: queue.reset_for_retry(r, as_of())[0].select("id", "ids_checked_at", "updated_at"), o.over() + f"SELECT id, CASE WHEN {o.RETRY} THEN NULL ELSE ids_checked_at END AS ids_checked_at, CASE WHEN {o.RETRY} AND ids_checked_at IS NOT NULL THEN {o.AT} END AS updated_at FROM releases")
+register("detect_title_column", lambda r: queue.title_column(r), o.over() + f"SELECT CASE WHEN bool_and({o.blankless('title')} IS NULL) AND bool_or(false) THEN 'title_text' ELSE 'title' END AS \"column\" FROM (SELECT * FROM releases ORDER BY id LIMIT 5)")
+
+# Purges
+register("purge_junk_candidates", lambda r: r.where(purge.is_junk()).select("id", named().alias("name")), o.over() + f"SELECT id, {o.NAME} AS name FROM releases WHERE {o.JUNK}")
+register("purge_junk_metrics", lambda r: purge.purge_junk(r, limit=100).metrics.select(*counted), o.over() + o.purge_metrics(o.JUNK, 100))
+register("purge_junk_survivors", lambda r: purge.purge_junk(r, purge_empty=True).survivors.select("id"), o.over() + f"SELECT id FROM releases WHERE NOT ({o.JUNK} OR {o.NAME} IS NULL)")
+register("purge_junk_sample", lambda r: purge.sample(r, purge.is_junk()).select(F.to_json("sample").alias("sample_json")), o.over() + f"SELECT '[' || string_agg('{{\"id\":' || id || ',\"title\":\"' || name || '\"}}', ',' ORDER BY id) || ']' AS sample_json FROM (SELECT id, {o.NAME} AS name FROM releases WHERE {o.JUNK} ORDER BY id LIMIT 5)")
+register("purge_blocked_candidates", lambda r: r.where(lexicon.blocked()).select("id"), o.over() + f"SELECT id FROM ({o.blocked_test()})")
+register("purge_blocked_capped", lambda r: purge.purge_blocked(r, limit=500).survivors.select("id"), o.over(f"bad AS ({o.blocked_test()})") + "SELECT id FROM releases WHERE id NOT IN (SELECT id FROM bad ORDER BY id LIMIT 500)")
+register("purge_blocked_metrics", lambda r: purge.purge_blocked(r, limit=500).metrics.select(*counted), o.over(f"bad AS ({o.blocked_test()})") + o.purge_metrics("true", 500, "bad"))
+register("purge_blocked_reason", lambda r: r.select("id", lexicon.block_reason(soft=True).alias("reason")).where("reason <> ''"))
+register("purge_absolute_candidates", lambda r: r.where(purge.is_absolute_only()).select("id"), o.over() + f"SELECT id FROM releases WHERE {o.ABSOLUTE}")
+register("purge_absolute_nullified", lambda r: purge.purge_absolute_only(r, as_of(), action="nullify", limit=50).survivors.select("id", "absolute_episode", "updated_at"), o.over(f"hit AS (SELECT id FROM releases WHERE {o.ABSOLUTE} ORDER BY id LIMIT 50)") + f"SELECT id, CASE WHEN id NOT IN (SELECT id FROM hit) THEN absolute_episode END AS absolute_episode, CASE WHEN id IN (SELECT id FROM hit) THEN {o.AT} END AS updated_at FROM releases")
+register("purge_dead_metrics", lambda r: purge.purge_dead(r, as_of()).metrics.select(*counted), o.over() + o.purge_metrics(o.DEAD))
+register("purge_dead_survivors", lambda r: purge.purge_dead(r, as_of()).survivors.select("id"), o.over() + f"SELECT id FROM releases WHERE NOT {o.DEAD}")
+
+# Ranking
+register("keep_best_keepers", lambda r: rank.keepers(r).select("id", *rank.GROUP, F.col("rn").cast("long").alias("rn")), o.over(o.SCOPED, o.RANKED) + "SELECT id, work, gseason, gep, rn FROM ranked WHERE rn <= 3")
+register("keep_best_deleted", lambda r: rank.keep_best(r).victims, o.over(o.SCOPED, o.RANKED) + "SELECT id FROM ranked WHERE rn > 3")
+register("keep_best_capped", lambda r: rank.keep_best(r, max_deletes=1000).survivors.select("id"), o.over(o.SCOPED, o.RANKED) + f"SELECT id FROM releases WHERE id NOT IN (SELECT id FROM ranked WHERE rn > 3 ORDER BY {o.IN_ORDER} LIMIT 1000)")
+register("keep_best_metrics", lambda r: rank.keep_best(r, max_deletes=1000).metrics, o.over(o.SCOPED, o.RANKED) + "SELECT (SELECT count(*) FROM (SELECT DISTINCT work, gseason, gep FROM scoped)) AS groups, (SELECT count(*) FROM scoped) AS matched, least(1000, (SELECT count(*) FROM ranked WHERE rn > 3)) AS deleted, (SELECT count(*) FROM ranked WHERE rn <= 3) AS kept, (SELECT count(*) FROM releases) - (SELECT count(*) FROM scoped) AS skipped, greatest((SELECT count(*) FROM ranked WHERE rn > 3) - 1000, 0) AS skipped_limit")
+register("dedupe_victims", lambda r: rank.duplicates(rank.spanish_scoped(r)), o.over(o.SCOPED, o.DUPES) + "SELECT id FROM dupes")
+register("keep_best_es_rank", lambda r: rank.keep_best_spanish(r).ranked.select("id", *rank.GROUP, F.col("es_score").cast("long").alias("es_score"), F.col("rn").cast("long").alias("rn"), "n_es"), o.over(o.SCOPED, o.DUPES, o.ES_RANKED) + "SELECT id, work, gseason, gep, CAST(es_score AS BIGINT) AS es_score, rn, n_es FROM placed")
+register("keep_best_es_deleted", lambda r: rank.keep_best_spanish(r).candidates.select("id", "reason"), o.over(o.SCOPED, o.DUPES, o.ES_RANKED) + "SELECT id, 'top' AS reason FROM placed WHERE rn > 3")
+register("keep_best_es_strict", lambda r: rank.keep_best_spanish(r, strict=True).candidates.select("id", "reason"), o.over(o.SCOPED, o.DUPES, o.ES_RANKED) + "SELECT id, CASE WHEN n_es < 2 THEN 'strict' ELSE 'top' END AS reason FROM placed WHERE n_es < 2 OR rn > 3")
+register("keep_best_es_metrics", lambda r: rank.keep_best_spanish(r).metrics, o.es_metrics(False))
+register("keep_best_es_strict_metrics", lambda r: rank.keep_best_spanish(r, strict=True).metrics, o.es_metrics(True))
+register("spanish_gaps", lambda r: rank.spanish_gaps(r, limit=None), o.over(o.SCOPED) + "SELECT min(titulo) AS title, gseason AS season, gep AS episode, count(*) AS total, count(CASE WHEN audio_es THEN 1 END) AS with_audio, count(CASE WHEN subs_es AND NOT audio_es THEN 1 END) AS with_subs FROM scoped GROUP BY work, gseason, gep HAVING count(CASE WHEN audio_es OR subs_es THEN 1 END) < 2")
+register("spanish_gaps_top", lambda r: rank.spanish_gaps(r), o.over(o.SCOPED) + "SELECT title, season, episode, total, with_audio, with_subs FROM (SELECT work, min(titulo) AS title, gseason AS season, gep AS episode, count(*) AS total, count(CASE WHEN audio_es THEN 1 END) AS with_audio, count(CASE WHEN subs_es AND NOT audio_es THEN 1 END) AS with_subs, count(CASE WHEN audio_es OR subs_es THEN 1 END) AS n FROM scoped GROUP BY work, gseason, gep) WHERE n < 2 ORDER BY n, total DESC, work, season NULLS FIRST, episode NULLS FIRST LIMIT 15")
+
+# Statistics
+register("ids_stats", stats.ids_stats, o.over() + f"SELECT count(*) AS total, count(CASE WHEN NOT {o.HAS_ID} THEN 1 END) AS without_ids, count(tmdb_id) AS with_tmdb_id, count({o.IMDB}) AS with_imdb_id, count(anilist_id) AS with_anilist_id, count(kitsu_id) AS with_kitsu_id, count(mal_id) AS with_mal_id FROM releases")
+register("quality_stats_by_type", lambda r: stats.counts_by(r, "type", "kind"), o.over() + "SELECT coalesce(type, '?') AS kind, count(*) AS n FROM releases GROUP BY 1")
+register("quality_stats_by_quality", lambda r: stats.counts_by(r, "quality", "quality"), o.over() + "SELECT coalesce(quality, '?') AS quality, count(*) AS n FROM releases GROUP BY 1")
+register("quality_stats_totals", stats.quality_totals, o.over() + "SELECT count(*) AS total, count(CASE WHEN coalesce(seeders, 0) <= 0 THEN 1 END) AS without_seeders, count(CASE WHEN absolute_episode IS NOT NULL AND episode IS NULL THEN 1 END) AS absolute_only, count(CASE WHEN type IN ('series', 'anime') AND season IS NULL THEN 1 END) AS without_season FROM releases")
+register("spanish_stats", stats.spanish_stats, o.over() + "SELECT *, total - audio_es - subs_only AS none FROM (SELECT count(*) AS total, count(CASE WHEN a THEN 1 END) AS audio_es, count(CASE WHEN b THEN 1 END) AS subs_es, count(CASE WHEN b AND NOT a THEN 1 END) AS subs_only FROM (SELECT " + o.any_spanish("audio") + " AS a, " + o.any_spanish("subtitles") + " AS b FROM releases))")
+register("id_report", lambda r: stats.id_report(r.where("id % 3 <> 0")), o.over() + "SELECT count(*) AS total, min(id) AS min_id, max(id) AS max_id, max(id) - min(id) + 1 - count(*) AS gaps, max(id) = count(*) AND min(id) = 1 AS ready, max(id) + 1 AS next_id, CAST(0 AS BIGINT) AS foreign_keys FROM releases WHERE id % 3 <> 0")
+register("renumber_map", lambda r: renumber.renumber_map(r.where("id % 3 <> 0")), o.over() + "SELECT id, row_number() OVER (ORDER BY id) AS new_id FROM releases WHERE id % 3 <> 0")
+
+
+def _renumber_note(r: DataFrame) -> DataFrame:
+    done = renumber.renumber(r.where("id % 3 <> 0"), dry_run=True, force=True)
+    return r.sparkSession.createDataFrame([(done.status, done.note)], "status string, note string")
+
+
+register("renumber_preview", _renumber_note, o.over() + "SELECT 'preview' AS status, min(id) || '..' || max(id) || ' -> 1..' || count(*) AS note FROM releases WHERE id % 3 <> 0")
+
+
+# Identifiers from a batch
+def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch derived from events, with clean, dirty, blank and unknown values."""
+    e, u = F.col("event_id"), F.col("user_id")
+    text_of = lambda c: c.cast("string")
+    return read("events")(spark, sf_dir).select(
+        e.alias("pos"), text_of(u * 7 % 16000).alias("id"),
+        F.when(e % 5 == 0, text_of(e % 900)).when(e % 5 == 1, " 42 ").when(e % 5 == 2, "12 34").when(e % 5 == 3, "").alias("tmdb_id"),
+        F.when(e % 4 == 0, F.concat(F.lit("TT"), text_of(e % 1000))).when(e % 4 == 1, "ttx").alias("imdb_id"),
+        F.when(e % 3 == 0, "99999999999").when(e % 3 == 1, text_of(e)).alias("anilist_id"), F.when(e % 6 == 0, "0").alias("kitsu_id"), F.when(e % 9 == 0, "mal!").alias("mal_id"),
+        F.when(e % 2 == 0, F.col("event_type")).alias("source"), F.when(e % 3 == 0, text_of(e % 7)).when(e % 3 == 1, "high").alias("confidence"), F.when(e % 4 != 3, F.concat(F.lit("key|"), text_of(u % 50))).alias("cache_key"),
+    )
+
+
+def _applied(spark: SparkSession, sf_dir: str) -> apply.Applied:
+    cache = ensure_columns(spark.range(0).select(F.lit("").alias("cache_key")), TITLE_CACHE)
+    return apply.apply_ids(derived_releases(spark, sf_dir), cache, _batch(spark, sf_dir), as_of())
+
+
+FIRST = ", ".join(f"coalesce({'nullif(trim(r.imdb_id), chr(32))' if f == 'imdb_id' else f'r.{f}'}, (SELECT arg_min(k.{f}, k.pos) FROM known k WHERE k.id = r.id AND k.{f} IS NOT NULL)) AS {f}" for f in ID_FIELDS).replace("nullif(trim(r.imdb_id), chr(32))", "nullif(trim(r.imdb_id), '')")
+register_raw("sanitize_ids", lambda s, d: apply.cleaned(_batch(s, d)).select("pos", *ID_FIELDS, F.col("bad").cast("long").alias("bad"), "confidence"), o.over(o.apply_ctes()) + f"SELECT pos, {', '.join(ID_FIELDS)}, CAST(bad AS BIGINT) AS bad, CAST(confidence AS DOUBLE) AS confidence FROM clean")
+register_raw("apply_ids_rows", lambda s, d: _applied(s, d).rows.where(F.col("updated_at").isNotNull()).select("id", *ID_FIELDS), o.over(o.apply_ctes()) + f"SELECT r.id, {FIRST} FROM releases r WHERE r.id IN (SELECT id FROM known)")
+register_raw("apply_ids_metrics", lambda s, d: _applied(s, d).metrics, o.over(o.apply_ctes()) + "SELECT (SELECT count(*) FROM known) AS updated, (SELECT count(cache_key) FROM known) AS cached, (SELECT count(*) FROM clean) - (SELECT count(*) FROM known) + (SELECT CAST(coalesce(sum(bad), 0) AS BIGINT) FROM known) AS invalid")
+register_raw("apply_ids_cache", lambda s, d: _applied(s, d).cache.select("cache_key", *ID_FIELDS, "found"), o.over(o.apply_ctes()) + "SELECT cache_key, " + ", ".join(f"arg_min({f}, pos) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in ID_FIELDS) + ", bool_or(" + " OR ".join(f"{f} IS NOT NULL" for f in ID_FIELDS) + ") AS found FROM known WHERE cache_key IS NOT NULL GROUP BY cache_key")
+register_raw("title_cache_lookup", lambda s, d: queue.title_cache_lookup(_applied(s, d).cache, s.range(10).select(F.concat(F.lit("key|"), F.col("id").cast("string")).alias("cache_key"))).select("cache_key", "found"), o.over(o.apply_ctes()) + "SELECT cache_key, bool_or(" + " OR ".join(f"{f} IS NOT NULL" for f in ID_FIELDS) + ") AS found FROM known WHERE cache_key IN (SELECT 'key|' || i FROM range(10) t(i)) GROUP BY cache_key")
+register("cache_key", lambda r: r.select("id", ids.cache_key(named(), F.col("season"), F.col("type")).alias("cache_key")), o.over() + f"SELECT id, {o.norm(o.NAME)} || '|' || coalesce(CAST(season AS VARCHAR), '') || '|' || coalesce(type, '') AS cache_key FROM releases")
+register("miss_freshness", lambda r: r.select("id", ids.miss_is_fresh(F.col("created_at"), as_of()).alias("fresh")), o.over() + f"SELECT id, coalesce(created_at + INTERVAL 20 DAY > {o.AT}, false) AS fresh FROM releases")
+register("id_completeness", lambda r: r.select("id", ids.complete(F.col("type")).alias("complete")), o.over() + f"SELECT id, CASE WHEN type IN ('movie', 'series') THEN tmdb_id IS NOT NULL AND {o.IMDB} IS NOT NULL WHEN type = 'anime' THEN anilist_id IS NOT NULL AND kitsu_id IS NOT NULL AND mal_id IS NOT NULL AND {o.IMDB} IS NOT NULL ELSE CAST(tmdb_id IS NOT NULL AS INT) + CAST({o.IMDB} IS NOT NULL AS INT) + CAST(anilist_id IS NOT NULL AS INT) + CAST(kitsu_id IS NOT NULL AS INT) + CAST(mal_id IS NOT NULL AS INT) >= 2 END AS complete FROM releases")
+
+# Names
+_word = lambda c: F.concat(F.translate(text.norm(F.col(c)), " ", "."), F.lit(".S0"), (F.col("id") % 9 + 1).cast("string"), F.lit("E"), (F.col("id") % 50 + 1).cast("string"), F.lit("."), F.coalesce("quality", F.lit("none")), F.lit("."), F.col("codec"), F.lit("-"), F.col("release_group"))
+MADE = "translate(" + o.norm("title") + ", ' ', '.') || '.S0' || (id % 9 + 1) || 'E' || (id % 50 + 1) || '.' || coalesce(quality, 'none') || '.' || codec || '-' || release_group"
+register(
+    "parse_release_numbers",
+    lambda r: r.select("id", titles.parse_release(_word("title")).alias("p")).select("id", "p.season", "p.episode", "p.codec", "p.release_group"),
+    o.over(f"made AS (SELECT id, codec, release_group, {MADE} AS n FROM releases)") + r"SELECT id, CAST(regexp_extract(n, '\b[Ss](\d{1,2})[ ._-]*[Ee](\d{1,3})\b', 1) AS INT) AS season, CAST(regexp_extract(n, '\b[Ss](\d{1,2})[ ._-]*[Ee](\d{1,3})\b', 2) AS INT) AS episode, codec, release_group FROM made",
+)
+register("parse_release", lambda r: r.select("id", titles.parse_release(_word("title")).alias("p")).select("id", "p.*"))
+register("release_signals", lambda r: r.select("id", titles.release_signals(_word("title")).cast("long").alias("signals")))
+register("pick_name", lambda r: r.select("id", titles.pick_name(F.col("title"), F.col("title_text")).alias("p")).select("id", "p.*"))
+register("title_variants", lambda r: r.select("id", F.explode(matching.variants(F.col("title"))).alias("v")).select("id", "v.*"))
+register("aggressive_variants", lambda r: r.select("id", F.explode(matching.aggressive_variants(F.col("title"))).alias("variant")))
+
+
+def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of 40 benchmark items' first five normalized words occur in which documents: the lexicon is a fixed small table."""
+    items = read("benchmark")(spark, sf_dir).where("item_id < 40").select("item_id", F.array_join(F.slice(F.split(text.norm(F.col("text")), " "), 1, 5), " ").alias("phrase"))
+    docs = read("documents")(spark, sf_dir).select("doc_id", text.norm(F.col("text")).alias("n"))
+    return docs.join(F.broadcast(items), text.has_token(F.col("n"), F.col("phrase"))).select("doc_id", "item_id")
+
+
+register_raw("benchmark_phrase_containment", _phrases, f"SELECT d.doc_id, b.item_id FROM (SELECT doc_id, {o.norm('text')} AS n FROM documents) d JOIN (SELECT item_id, array_to_string(list_slice(string_split({o.norm('text')}, ' '), 1, 5), ' ') AS phrase FROM benchmark WHERE item_id < 40) b ON b.phrase <> '' AND contains(' ' || d.n || ' ', ' ' || b.phrase || ' ')")
+
+
+def _similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names against that of the next id."""
+    names = derived_releases(spark, sf_dir).select("id", named().alias("name"))
+    return names.join(names.select((F.col("id") - 1).alias("id"), F.col("name").alias("other")), "id").select("id", F.round(matching.similarity("name", "other"), 6).alias("alike"))
+
+
+register_raw("similarity_pairs", _similar_names)
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = derived_releases(spark, sf_dir).where("id % 3 = 1 and title <> ''").withColumn("p", titles.parse_release(F.col("title")))
+    return r.groupBy(F.when(F.col("id") % 2 == 0, "tmdb").otherwise("imdb").alias("provider"), F.col("p.title").alias("title"), F.col("p.year").alias("year")).agg(*(F.min(f).alias(f) for f in ID_FIELDS))
+
+
+register_raw("resolve_outcome", lambda s, d: resolve.resolve(queue.enrich_queue(derived_releases(s, d), as_of(), column="auto"), _candidates(s, d)).select("id", "source", "confidence", "outcome"))
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    policy = read("nation")(spark, sf_dir).select(F.when(F.col("n_nationkey") % 2 == 0, "table").otherwise("function").alias("kind"), F.col("n_name").alias("object"), F.when(F.col("n_nationkey") % 3 == 0, "anon").otherwise("service").alias("role"), F.when(F.col("n_nationkey") % 2 == 0, "delete").otherwise("execute").alias("privilege"), (F.col("n_nationkey") % 4 == 0).alias("row_security"))
+    return audit.security_audit(policy)
+
+
+register_raw("security_audit", _audit, "SELECT 'CRITICAL' AS level, 'anon may execute ' || n_name AS finding FROM nation WHERE n_nationkey % 2 = 1 AND n_nationkey % 3 = 0 UNION SELECT 'CRITICAL', 'anon may delete ' || n_name FROM nation WHERE n_nationkey % 2 = 0 AND n_nationkey % 3 = 0 UNION SELECT 'WARNING', 'no row security on ' || n_name FROM nation WHERE n_nationkey % 2 = 0 AND n_nationkey % 4 <> 0")
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
