@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .text import norm, py_norm
 
@@ -69,7 +70,7 @@ def similarity_of(a: str | None, b: str | None) -> float:
     return 1.0 if x == y else (token_set_ratio(x, y) + partial_ratio(x, y)) / 200.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """0 to 1; repeated pairs of a batch are compared once."""
     known: dict[tuple, float] = {}

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Accented letters and what each becomes.
 ACCENTED = "áéíóúýüñàèìòùâêîôûäëïöüçÿ"
@@ -22,7 +23,7 @@ def norm(text: Column) -> Column:
     return F.trim(F.regexp_replace(folded, "[^a-z0-9]+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def norm_unicode(text: pd.Series) -> pd.Series:
     """Like :func:`norm`, but folding every combining mark (NFKD) rather than the fixed accents."""
     plain = text.fillna("").map(lambda t: "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c)))
