@@ -72,6 +72,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's ids, and whether decoding them gives its text."""
+    from .sentence_pieces import decode, encode
+
+    docs, model = table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    carried = docs.select(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")).alias("key"), "text")
+    back = decode(encode(carried, model, id_col="key"), model)
+    crc = F.crc32("ids")
+    return back.select("key.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), crc.alias("ids_crc32"), F.col("score"), (F.col("text") == F.col("key.text")).alias("exact"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_rules
 
@@ -86,6 +97,7 @@ def queries() -> dict:
         "op7_merkle": op7_merkle,
         "op6_katz": op6_katz,
         "op8_toxicity": op8_toxicity,
+        "op9_sentence_pieces": op9_sentence_pieces,
         "op10_quality": op10_quality,
         "op5_token_files": op5_token_files,
         "op4_token_counts": op4_token_counts,
