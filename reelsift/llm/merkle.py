@@ -75,19 +75,20 @@ def merkle_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
 
     The edited text has its last quarter (floor of its code points) replaced by as many of the first code points of the next document's text, or all.
     The next document is that with the next greater id (the first one after the last); of repeated ids its least text counts.
-    Null texts count as empty; null ids are before all others and count as one id.  Repeated rows each give a row; other columns are ignored.  An
+    Null texts count as empty; null ids are before all others and count as one id (the least bigint, which so reads as null).  Repeated rows each give a row; other columns are ignored.  An
     empty table gives an empty one.
     """
     kind = docs.schema[id_col].dataType
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
-    base = docs.select(key.alias("key"), F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    order = next_ids(base.select("key"))
+    order = next_ids(docs.select(key.alias("key")))
+    # texts are dealt by key once; the aggregation and the join below both reuse that exchange
+    base = docs.select(key.alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).repartition("key")
     least = base.groupBy("key").agg(F.min("t").alias("next_t"))
     after = least.join(order.select(F.col("next_key").alias("key"), F.col("key").alias("of")), "key").select(F.col("of").alias("key"), "next_t")
     both = base.join(after, "key")
     n = F.char_length("t")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("t"), F.lit(1), n - quarter), F.substring(F.col("next_t"), F.lit(1), quarter))
-    trees = both.select("key", "no_id", n.cast("long").alias("n_chars"), edited.alias("e"), "t", "next_t").select("key", "no_id", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"), tree(F.col("t")).alias("own"), tree(F.col("e")).alias("other"), tree(F.col("next_t")).alias("follower"))
+    trees = both.select("key", n.cast("long").alias("n_chars"), edited.alias("e"), "t", "next_t").select("key", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"), tree(F.col("t")).alias("own"), tree(F.col("e")).alias("other"), tree(F.col("next_t")).alias("follower"))
     own, other, follower = F.col("own"), F.col("other"), F.col("follower")
-    return trees.select(F.when(~F.col("no_id"), F.col("key")).cast(kind).alias(id_col), "n_chars", "edited_sha256", fingerprint_of(own).alias("fingerprint"), fingerprint_of(other).alias("edited_fingerprint"), likeness(own, other).alias("near_edited"), likeness(own, follower).alias("near_next"))
+    return trees.select(F.nullif(F.col("key"), F.lit(LOWEST)).cast(kind).alias(id_col), "n_chars", "edited_sha256", fingerprint_of(own).alias("fingerprint"), fingerprint_of(other).alias("edited_fingerprint"), likeness(own, other).alias("near_edited"), likeness(own, follower).alias("near_next"))
