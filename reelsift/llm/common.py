@@ -40,6 +40,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Vocabularies and models that a Python worker keeps, the last used ones: workers outlive stages, and each has a cache of its own.
+RESIDENTS = 2
+_residents: dict = {}
+
+
+def resident(key, build):
+    """``build()``, kept for the next call with ``key`` in this Python process; what was used least lately goes."""
+    found = _residents.pop(key, None)
+    if found is None:
+        while len(_residents) >= RESIDENTS:
+            del _residents[next(iter(_residents))]
+        found = build()
+    _residents[key] = found
+    return found
+
+
 def crc32_of(column) -> F.Column:
     """crc32 of a value's decimal text; a null counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))

@@ -19,6 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from .common import resident
+
 CACHE_ENTRIES = 600_000
 CACHED_CHARS = 48
 #: Characters of a text that are handled at a time; longer texts are cut at safe places.
@@ -170,11 +172,6 @@ class PieceEncoder:
             at = end
 
 
-_encoders: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each vocabulary and Python worker."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return resident(("pieces", path), lambda: PieceEncoder(path))

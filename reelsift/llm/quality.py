@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from .common import written
+from .common import checkpoint, resident, written
 
 #: Distinct words whose ids a Python worker remembers.
 CACHE_WORDS = 250_000
@@ -28,6 +28,8 @@ MEASURES = ("chars_per_token", "byte_share", "entropy")
 STEP = 0.005
 #: Robust deviations are at least so wide.
 FLOOR = {"chars_per_token": 0.04, "byte_share": 0.01, "entropy": 0.15}
+#: Bands that are broadcast at most; more are joined by shuffle.
+MOST_BANDS = 50_000
 #: Documents of a class that a band needs; else that of the wider class holds.
 LEAST = 100
 
@@ -86,17 +88,12 @@ def repeated_lines(text: str) -> int:
     return total
 
 
-_models: dict[str, WordTokens] = {}
-
-
 def measures(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: bool = False) -> DataFrame:
     """(id, lang, base counts, n_tokens and the three measures) of each row; null texts count as empty, with measures null."""
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")
 
     def measure(batches):
-        if model not in _models:
-            _models[model] = WordTokens(model)
-        tokens = _models[model]
+        tokens = resident(("words", model), lambda: WordTokens(model))
         for batch in batches:
             rows = []
             for text in batch.column(2).to_pylist():
@@ -143,11 +140,13 @@ def quality_rules(docs: DataFrame, model: str, *, reach: float = 4.0, min_words:
     size = F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
     rows = written(measures(docs, model, id_col=id_col, text_col=text_col, lang_col=lang_col, carry=carry).withColumn("size", size), "measures")
     limits = bands(rows, reach)
-    pivot = limits.groupBy("lang", "size").agg(*(F.max(F.when(F.col("measure") == m, F.col(side))).alias(f"{m}_{side}") for m in MEASURES for side in ("low", "high")))
+    pivot = checkpoint(limits.groupBy("lang", "size").agg(*(F.max(F.when(F.col("measure") == m, F.col(side))).alias(f"{m}_{side}") for m in MEASURES for side in ("low", "high"))))
+    # as many rows as languages and length classes: few, unless languages are free text
+    near = F.broadcast if pivot.count() <= MOST_BANDS else lambda df: df
     names = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
     own = pivot.where("size is not null")
     whole = pivot.where("size is null").select("lang", *(F.col(x).alias(f"all_{x}") for x in names))
-    joined = rows.join(own, ["lang", "size"], "left").join(whole, "lang", "left")
+    joined = rows.join(near(own), ["lang", "size"], "left").join(near(whole), "lang", "left")
     inside = F.lit(True)
     for m in MEASURES:
         for side in ("low", "high"):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import resident, written
 
 MARK = "▁"
 GIANT = 1 << 15
@@ -183,13 +183,8 @@ def borders(matrices: list[np.ndarray], first: int, last: int) -> list[int]:
     return out
 
 
-_models: dict[str, Pieces] = {}
-
-
 def pieces_of(path: str) -> Pieces:
-    if path not in _models:
-        _models[path] = Pieces(path)
-    return _models[path]
+    return resident(("sentence pieces", path), lambda: Pieces(path))
 
 
 def _matrix(b: bytes) -> np.ndarray:

@@ -116,7 +116,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
     """
     spark = docs.sparkSession
     given = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    n_ranges = max(1, -(-2 * scan_bytes(docs) // RANGE_BYTES))
+    # a relation of unknown size claims the greatest one
+    known = scan_bytes(docs)
+    n_ranges = max(1, -(-2 * known // RANGE_BYTES)) if known < 1 << 50 else int(spark.conf.get("spark.sql.shuffle.partitions"))
     # dealt and sorted before encoding: the range sample then reads texts, and encodes none twice
     ordered = given.repartitionByRange(n_ranges, "key").sortWithinPartitions("key", "t").select(F.spark_partition_id().alias("range"), "key", "t")
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import crc32_of, written
+from .common import crc32_of, resident, written
 
 #: Letters before the letter that is predicted.
 ORDER = 4
@@ -164,19 +164,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return beta
 
 
-_built: dict[str, Models] = {}
-
-
 def _built_once(key: str, shared, columns: tuple[int, int]) -> Models:
     """The models of a broadcast word table, built once in each Python worker."""
-    if key not in _built:
-        if len(_built) > 3:
-            _built.clear()
+
+    def build():
         words, counts = shared.value
         n = counts[:, list(columns[0])].sum(axis=1), counts[:, list(columns[1])].sum(axis=1)
         rows = [(w, a, b) for w, a, b in zip(words, n[0].tolist(), n[1].tolist(), strict=True) if a or b]
-        _built[key] = Models(rows, (int(n[0].sum()), int(n[1].sum())))
-    return _built[key]
+        return Models(rows, (int(n[0].sum()), int(n[1].sum())))
+
+    return resident(("toxicity", key), build)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, max_rows: int = 6000, max_words: int = 120_000, fold: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", carry: bool = False) -> DataFrame:

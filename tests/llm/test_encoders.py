@@ -102,7 +102,7 @@ def test_sentence_pieces_scan(spark, monkeypatch):
         parts = [(s[i : i + size + model.longest], min(size, len(s) - i)) for i in range(0, len(s), size)]
         matrices = [model.transfer(x, n) for x, n in parts]
         at = sentence_pieces.borders(matrices, 0, 0)
-        cut = [model.encode_marked(x[a : n + b]) for (x, n), a, b in zip(parts, at, at[1:], strict=True)]
+        cut = [model.encode_marked(x[a : n + b]) for (x, n), a, b in zip(parts, at[:-1], at[1:], strict=True)]
         ids, best = model.solve(s)
         assert abs(sum(y for _, y in cut) - best) < 1e-6 and model.decode(b"".join(x for x, _ in cut)) == text == model.decode(ids)
         total = matrices[0]
