@@ -2,11 +2,11 @@
 
 A text's paragraphs are its lines; sections are runs of paragraphs that end where a paragraph's digest
 begins with the digit 0 (about one in 16), so an edit moves no section border but its own.  Leaves are the stretches of a paragraph
-that end at a sentence or clause mark.  A node's digest is that of its children's; the root's is the document's.
+that end at a mark before a space or after eight words.  A node's digest is that of its children's; the root's is the document's.
 
 A fingerprint is text: ``root:sections:leaves``, digests of 16, 8 and 8 hex digits (16 within the tree).  Roots test equality; sections that
 differ locate the branches, and leaves that differ locate the edits.  Likeness is the share of leaves that two trees have in common
-(Jaccard of the different ones).  Only DataFrame functions are used.
+(Dice, of the different ones).  Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint
 
-#: A leaf ends after one of these marks, before a space.
-LEAF_ENDS = "([.!?;:,]) "
+#: A leaf ends after a sign that is no plain letter or digit, before a space, and after eight words.
+LEAF_ENDS = "([^a-zA-Z0-9 ]) "
+LEAF_WORDS = "((?:[^ \u0001]+ ){7}[^ \u0001]+) "
 #: Hex digits of inner digests, and of those in a fingerprint's lists.
 DIGITS, SHOWN = 16, 8
 #: The key of null ids: before all others.
@@ -31,7 +32,7 @@ def _digest(x: Column) -> Column:
 def tree(text: Column) -> Column:
     """struct(root string, sections array<string>, leaves array<string>) of a text; a null text's is that of the empty one."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    leaves = F.transform(lines, lambda line: F.transform(F.split(F.regexp_replace(line, LEAF_ENDS, "$1\u0001 "), "\u0001", -1), _digest))
+    leaves = F.transform(lines, lambda line: F.transform(F.split(F.regexp_replace(F.regexp_replace(line, LEAF_ENDS, "$1\u0001 "), LEAF_WORDS, "$1\u0001 "), "\u0001", -1), _digest))
     paragraphs = F.transform(leaves, lambda inner: _digest(F.array_join(inner, "")))
     # borders after paragraphs whose digest begins with 0; split drops them into sections in one pass
     sections = F.transform(F.split(F.regexp_replace(F.array_join(paragraphs, " "), r"\b(0[0-9a-f]{15}) ", "$1\n"), "\n", -1), _digest)
@@ -45,10 +46,10 @@ def fingerprint_of(nodes: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of different leaves that two trees (structs) have in common; 1 for equal roots."""
+    """Share of their different leaves that two trees (structs) have in common (Dice); 1 for equal roots."""
     common = F.size(F.array_intersect(a["leaves"], b["leaves"]))
-    either = F.size(F.array_union(a["leaves"], b["leaves"]))
-    return F.when(a["root"] == b["root"], 1.0).otherwise(common / either)
+    both = F.size(F.array_distinct(a["leaves"])) + F.size(F.array_distinct(b["leaves"]))
+    return F.when(a["root"] == b["root"], 1.0).otherwise(2 * common / both)
 
 
 def differing_sections(a: Column, b: Column) -> Column:
@@ -64,8 +65,8 @@ def next_ids(ids: DataFrame) -> DataFrame:
     dealt = checkpoint(ids.distinct().repartitionByRange("key").select("key", F.spark_partition_id().alias("p")))
     # one row for each range, so this window sees as many rows as there are tasks
     firsts = dealt.groupBy("p").agg(F.min("key").alias("first"))
-    whole = firsts.agg(F.min("first").alias("least"))
-    after = firsts.withColumn("after", F.lead("first").over(Window.partitionBy(F.lit(0)).orderBy("p"))).crossJoin(F.broadcast(whole))
+    all_ = Window.partitionBy(F.lit(0))
+    after = firsts.withColumn("after", F.lead("first").over(all_.orderBy("p"))).withColumn("least", F.min("first").over(all_))
     inner = dealt.withColumn("follows", F.lead("key").over(Window.partitionBy("p").orderBy("key")))
     return inner.join(F.broadcast(after.select("p", F.coalesce("after", "least").alias("after"))), "p").select("key", F.coalesce("follows", "after").alias("next_key"))
 
