@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ids import any_id, cache_key, complete
+from ..functions.ids import any_id, cache_key, complete, miss_is_fresh
 from ..functions.matching import accepted, confidence, similarity, variants
 from ..functions.text import norm
 from ..functions.titles import parse_release, pick_name
@@ -79,3 +79,31 @@ def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True) -
     every = asked.where("not variant").select("id", "type", "cache_key").join(merged, "id", "left")
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
     return every.select("id", "cache_key", *ID_FIELDS, F.coalesce("source", F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
+
+
+def bridge(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``rows`` with a missing tmdb or imdb identifier filled from exact pairs (tmdb_id, imdb_id); of several, the least."""
+    known = pairs.where("tmdb_id is not null and imdb_id is not null")
+    by_imdb = known.groupBy("imdb_id").agg(F.min("tmdb_id").alias("_tmdb"))
+    by_tmdb = known.groupBy("tmdb_id").agg(F.min("imdb_id").alias("_imdb"))
+    filled = rows.join(by_imdb, "imdb_id", "left").join(by_tmdb, "tmdb_id", "left")
+    given = {"tmdb_id": F.coalesce("tmdb_id", "_tmdb"), "imdb_id": F.coalesce("imdb_id", "_imdb")}
+    return filled.select(*(given.get(c, F.col(c)).alias(c) for c in rows.columns))
+
+
+def parse_mappings(rows: DataFrame, column: str = "payload") -> DataFrame:
+    """(key, site, external_id) of mapping answers given as rows (key, payload)."""
+    kind = "struct<data:array<struct<attributes:struct<externalSite:string,externalId:string>>>>"
+    return rows.select("key", F.explode(F.from_json(column, kind)["data"]).alias("d")).select("key", F.col("d.attributes.externalSite").alias("site"), F.col("d.attributes.externalId").alias("external_id"))
+
+
+def resolve_with_cache(queue: DataFrame, cache: DataFrame, candidates: DataFrame, as_of: Column, *, fill_all: bool = True) -> DataFrame:
+    """:func:`resolve`, but a remembered hit answers without a search, and a miss that is still fresh is not searched again."""
+    named = questions(queue).where("not variant")
+    entries = cache.select("cache_key", "found", F.coalesce("updated_at", "created_at").alias("noted_at"), "source", "confidence", *ID_FIELDS)
+    looked = named.select("id", "type", "cache_key").join(entries, "cache_key")
+    hits, misses = looked.where("found"), looked.where(~F.col("found") & miss_is_fresh(F.col("noted_at"), as_of))
+    answered = hits.unionByName(misses)
+    outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
+    known = answered.select("id", "cache_key", *ID_FIELDS, F.coalesce("source", F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
+    return known.unionByName(resolve(queue.join(answered.select("id"), "id", "left_anti"), candidates, fill_all=fill_all))
