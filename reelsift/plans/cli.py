@@ -16,13 +16,13 @@ from .budget import of_setting
 from .report import Report
 from .settings import load
 
-MODES = ("all", "purge", "enrich", "retry", "best", "renumber", "stats", "doctor")
+MODES = ("all", "purge", "enrich", "retry", "best", "renumber", "stats", "doctor", "selftest")
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="Curate a catalog of releases.")
     p.add_argument("mode", choices=MODES)
-    p.add_argument("--snapshots", required=True, help="folder of release snapshots; the title cache is in its subfolder cache")
+    p.add_argument("--snapshots", help="folder of release snapshots; the title cache is in its subfolder cache")
     p.add_argument("--candidates", help="Parquet of lookup candidates (provider, title, year, identifiers)")
     p.add_argument("--as-of", help="clock of age rules; now by default")
     p.add_argument("--dry-run", action="store_true")
@@ -34,12 +34,20 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """0: done; 1: the doctor found something; 2: the snapshots could not be read or written."""
+    """0: done; 1: the doctor or the self-test found something; 2: the snapshots could not be read or written."""
     a = parser().parse_args(argv)
     change = {"dry_run": a.dry_run or None, "batch_size": a.limit, "enrich_rounds": a.rounds, "retry_rounds": a.rounds, "max_deletes_per_run": a.max_deletes, "renumber_ids": a.renumber or None}
     s = dataclasses.replace(load(), **{k: v for k, v in change.items() if v is not None})
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     as_of = F.lit(a.as_of).cast("timestamp_ntz") if a.as_of else F.lit(spark.sql("select current_timestamp() as t").first()[0]).cast("timestamp_ntz")
+    if a.mode == "selftest":
+        from .selftest import run as selftest
+
+        failed = selftest(spark)
+        print("\n".join(f"failed: {x}" for x in failed) or "all checks hold")
+        return int(bool(failed))
+    if not a.snapshots:
+        parser().error("--snapshots is needed")
     try:
         store, remembered = Snapshots(spark, a.snapshots), Snapshots(spark, f"{a.snapshots}/cache", TITLE_CACHE)
         releases, cache = store.read(), remembered.read()

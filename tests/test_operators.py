@@ -165,6 +165,30 @@ def test_resolve(spark):
     assert got[2]["outcome"] == "no match"
 
 
+def test_bridge_and_mappings(spark):
+    rows = spark.createDataFrame([(1, 5, None), (2, None, "tt9"), (3, None, None)], "id long, tmdb_id int, imdb_id string")
+    pairs = spark.createDataFrame([(5, "tt5"), (9, "tt9"), (10, "tt9"), (None, "tt1")], "tmdb_id int, imdb_id string")
+    assert sorted(tuple(r) for r in resolve.bridge(rows, pairs).collect() if r["id"] < 3) == [(1, 5, "tt5"), (2, 9, "tt9")]
+    found = resolve.parse_mappings(spark.createDataFrame([("k", '{"data":[{"attributes":{"externalSite":"myanimelist/anime","externalId":"7"}}]}')], "key string, payload string"))
+    assert tuple(found.first()) == ("k", "myanimelist/anime", "7")
+
+
+def test_cache_answers_before_a_search(spark):
+    queue_rows = spark.createDataFrame([(1, "Film A", None, None, "movie"), (2, "Film B", None, None, "movie"), (3, "Film C", None, None, "movie")], "id long, title string, title_text string, title_alt string, type string")
+    offered = spark.createDataFrame([("tmdb", f"Film {x}", None, i, None, None, None, None) for i, x in enumerate("ABC", 1)], "provider string, title string, year int, tmdb_id int, imdb_id string, anilist_id int, kitsu_id int, mal_id int")
+    cache = spark.createDataFrame([("film a||movie", True, 77, "2024-05-01 00:00:00"), ("film b||movie", False, None, "2024-05-25 00:00:00"), ("film c||movie", False, None, "2024-01-01 00:00:00")], "cache_key string, found boolean, tmdb_id int, t string").withColumn("updated_at", F.col("t").cast("timestamp_ntz"))
+    got = {r["id"]: (r["tmdb_id"], r["outcome"]) for r in resolve.resolve_with_cache(queue_rows, ensure_columns(cache, TITLE_CACHE), offered, AS_OF()).collect()}
+    assert got == {1: (77, "partial"), 2: (None, "no match"), 3: (3, "partial")}
+
+
+def test_selftest_and_registry(spark):
+    from reelsift.plans import catalog, selftest
+
+    assert selftest.run(spark) == []
+    with pytest.raises(ValueError):
+        catalog.register_raw("norm_text", None)
+
+
 def test_budget():
     b = Budget(3).spend(2)
     assert b.remaining == 1 and not b.exhausted and b.spend(5).exhausted and of_setting(0).remaining is None
