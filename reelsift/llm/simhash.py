@@ -248,7 +248,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
                     who, anchors = code_anchors(golay, part(blocks[i]) | part(blocks[j]) << np.uint64(BLOCK), 1)
                     yield pa.RecordBatch.from_arrays([pa.array((anchors | np.uint64(table << 24)).astype(np.int64)), pa.array(ids[at : at + 2048][who]), pa.array(lanes[0][at : at + 2048][who].view(np.int64))], names=["anchor", "id", "print"])
 
-    def compare(batches):
+    def compare(batches, keep_heads=False):
         for batch in batches:
             a, b, first = [], [], []
             for anchor, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -256,7 +256,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
                 edges = forest(np.array([p for _, p in members], dtype=np.int64).view(np.uint64), CANDIDATE_BITS)
                 a += [members[i][0] for i, _ in edges]
                 b += [members[j][0] for _, j in edges]
-                heads = set(range(len(members))) - {j for _, j in edges}
+                heads = set(range(len(members))) - {j for _, j in edges} if keep_heads else ()
                 first += [(anchor, *members[i]) for i in heads]
             n = len(first)
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in first] + [None] * len(a), pa.int64()), pa.array([x[1] for x in first] + a, pa.int64()), pa.array([None] * n + b, pa.int64()), pa.array([x[2] for x in first] + [None] * len(a), pa.int64())], names=["anchor", "a", "b", "print"])
@@ -268,7 +268,7 @@ def _candidates(reps: DataFrame) -> DataFrame:
     shared = replicas.join(held, "anchor")
     close = gathered(shared.where(F.col("n") <= CROWD), "anchor").mapInArrow(compare, out).where("b is not null").select("a", "b")
     group = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CROWD)).alias("group")
-    crowded = checkpoint(gathered(shared.where(F.col("n") > CROWD).select("anchor", group, "id", "print"), "anchor", "group").select("anchor", "members").mapInArrow(compare, out))
+    crowded = checkpoint(gathered(shared.where(F.col("n") > CROWD).select("anchor", group, "id", "print"), "anchor", "group").select("anchor", "members").mapInArrow(lambda batches: compare(batches, True), out))
     heads = crowded.where("b is null").select("anchor", F.col("a").alias("id"), "print")
     many = heads.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     again = heads.join(many, "anchor").select("anchor", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (8 * CROWD))).alias("group"), "id", "print")
