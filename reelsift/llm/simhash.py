@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, written
 from .components import components
 
 #: Different fingerprints that are compared with each other at an anchor.
@@ -191,124 +191,185 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, max_bits: int = 2, id_col
 
 # Near copies by similarity -----------------------------------------------------------------------------------------
 
-#: SimHash words of a wide fingerprint, tables, and the bits of a word that a candidate may differ in.
-LANES, TABLES, CANDIDATE_BITS = 4, 10, 18
-#: Words of the shingles that wide fingerprints are made of: short ones, as an edit touches few of them.
-WIDE_WORDS = 2
-_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-
-
-def wide_print(words: list[bytes]) -> list[int]:
-    """LANES SimHash words over independent mixes of the shingles' hashes."""
-    h = shingle_hashes(words, WIDE_WORDS)
-    out = []
-    with np.errstate(over="ignore"):
-        for k in _MIX[:LANES]:
-            x = h * np.uint64(k)
-            out.append(majority((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)))
-    return out
-
-
-def jaccard(a: bytes, b: bytes, width: int) -> float:
-    """Jaccard similarity of two texts' sets of word shingles; 1 for two texts without words."""
-    x, y = (set(shingle_hashes((t or b"").lower().split(), width).tolist()) for t in (a, b))
-    return len(x & y) / len(x | y) if x or y else 1.0
-
-
-def forest(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Edges (i, j) of minimum spanning trees over fingerprints that differ in at most ``most`` bits (Prim)."""
-    n = len(prints)
-    out, near, from_, todo = [], np.full(n, 65), np.full(n, -1), np.ones(n, dtype=bool)
-    for _ in range(n):
-        i = int(np.where(todo, near, 66).argmin())
-        todo[i] = False
-        if near[i] <= most:
-            out.append((int(from_[i]), i))
-        d = np.bitwise_count(prints ^ prints[i])
-        closer = todo & (d < near)
-        near[closer], from_[closer] = d[closer], i
-    return out
-
-
-def _candidates(reps: DataFrame) -> DataFrame:
-    """(a, b) candidate links between rows of ``reps`` (id, lane0..): they share an anchor in some table and differ in few bits of lane 0.
-
-    Tables pair 23-bit blocks of the wide fingerprint; a row goes to all anchors within covering radius plus one flip of it. An anchor's rows are
-    compared in groups of at most about CROWD, by spanning trees; where there are more groups than one, a row of each tree goes on to a second comparison."""
-    blocks = [(lane, shift) for lane in range(LANES) for shift in (0, 23)]
-    pairs = [p for gap in (3, 1, 2) for p in ((i, (i + gap) % len(blocks)) for i in range(len(blocks)))][:TABLES]
-
-    def replicate(batches):
-        golay, mask = Golay(), np.uint64((1 << BLOCK) - 1)
-        for batch in batches:
-            ids, lanes = batch.column(0).to_numpy(), [batch.column(1 + k).to_numpy().view(np.uint64) for k in range(LANES)]
-            for at in range(0, len(ids), 2048):
-                part = lambda b: lanes[b[0]][at : at + 2048] >> np.uint64(b[1]) & mask  # noqa: B023, E731
-                for table, (i, j) in enumerate(pairs):
-                    who, anchors = code_anchors(golay, part(blocks[i]) | part(blocks[j]) << np.uint64(BLOCK), 1)
-                    yield pa.RecordBatch.from_arrays([pa.array((anchors | np.uint64(table << 24)).astype(np.int64)), pa.array(ids[at : at + 2048][who]), pa.array(lanes[0][at : at + 2048][who].view(np.int64))], names=["anchor", "id", "print"])
-
-    def compare(batches, keep_heads=False):
-        for batch in batches:
-            a, b, first = [], [], []
-            for anchor, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                members = sorted((m["id"], m["print"]) for m in members)
-                edges = forest(np.array([p for _, p in members], dtype=np.int64).view(np.uint64), CANDIDATE_BITS)
-                a += [members[i][0] for i, _ in edges]
-                b += [members[j][0] for _, j in edges]
-                heads = set(range(len(members))) - {j for _, j in edges} if keep_heads else ()
-                first += [(anchor, *members[i]) for i in heads]
-            n = len(first)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in first] + [None] * len(a), pa.int64()), pa.array([x[1] for x in first] + a, pa.int64()), pa.array([None] * n + b, pa.int64()), pa.array([x[2] for x in first] + [None] * len(a), pa.int64())], names=["anchor", "a", "b", "print"])
-
-    out = "anchor long, a long, b long, print long"
-    gathered = lambda df, *keys: df.groupBy(*keys).agg(F.collect_list(F.struct("id", "print")).alias("members"))
-    replicas = reps.select("id", *(f"lane{k}" for k in range(LANES))).mapInArrow(replicate, "anchor long, id long, print long")
-    held = replicas.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    shared = replicas.join(held, "anchor")
-    close = gathered(shared.where(F.col("n") <= CROWD), "anchor").mapInArrow(compare, out).where("b is not null").select("a", "b")
-    group = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CROWD)).alias("group")
-    crowded = checkpoint(gathered(shared.where(F.col("n") > CROWD).select("anchor", group, "id", "print"), "anchor", "group").select("anchor", "members").mapInArrow(lambda batches: compare(batches, True), out))
-    heads = crowded.where("b is null").select("anchor", F.col("a").alias("id"), "print")
-    many = heads.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    again = heads.join(many, "anchor").select("anchor", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (8 * CROWD))).alias("group"), "id", "print")
-    second = gathered(again, "anchor", "group").select("anchor", "members").mapInArrow(compare, out).where("b is not null").select("a", "b")
-    return close.unionByName(crowded.where("b is not null").select("a", "b")).unionByName(second).distinct()
+#: Documents whose shingles are counted to tell common ones, documents of a common one among them, and common ones known at most.
+#: These only set the order that shingles are taken in; pairs are the same for any order.
+COUNTED, COMMON, MOST_COMMON = 20_000, 4, 200_000
+#: Rounds in which the rows of a crowded shingle are compared with one of them, before those still apart are compared pair by pair.
+STAR_ROUNDS = 2
+#: Shingles of texts that a task of the verification remembers at most.
+MOST_HELD = 2_000_000
+
+
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Jaccard similarity of two sets, given as sorted arrays; 1 for two empty ones."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, weight: np.ndarray, similarity: float) -> np.ndarray:
+    """Those of the different ``shingles`` that two sets alike enough can't both be without: the first ones, rare before common."""
+    n = len(shingles)
+    heavy = np.zeros(n, dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        heavy = np.where(common[at] == shingles, weight[at], 0)
+    return shingles[np.lexsort((shingles, heavy))][: n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0]
+
+
+def _may_be_alike(n, pos, m, qos, similarity):
+    """Whether sets of ``n`` and ``m`` shingles whose first common one is at ``pos`` and ``qos`` can reach the similarity."""
+    return np.minimum(n - pos, m - qos) * (1 + similarity) + 1e-6 >= similarity * (n + m)
+
+
+def _whole_groups(batches):
+    """Columns of sorted batches as arrays, cut only between different values of the first one."""
+    held = []
+    for batch in batches:
+        columns = [c.to_numpy() for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        if cut or (held and held[-1][0][-1] != columns[0][0]):
+            held.append([c[:cut] for c in columns])
+            yield [np.concatenate(c) for c in zip(*held, strict=True)]
+            held = []
+        held.append([c[cut:] for c in columns])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def medoid(prints: np.ndarray) -> int:
+    """The place of the fingerprint nearest to the majority of all: of edited copies, most likely their original."""
+    return int(np.bitwise_count(prints ^ np.uint64(majority(prints))).argmin())
+
+
+def _meetings(similarity: float):
+    """Of (token, id, n, pos) sorted by token: all pairs of each token with at most CROWD rows that may be alike."""
+
+    def meet(batches):
+        for token, ids, n, pos in _whole_groups(batches):
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            sizes = np.diff(np.append(starts, len(token)))
+            for k in np.unique(sizes[(sizes > 1) & (sizes <= CROWD)]).tolist():
+                i, j = np.triu_indices(k, 1)
+                firsts, step = starts[sizes == k], max(1, 200_000 // len(i))
+                for at in range(0, len(firsts), step):
+                    x, y = ((firsts[at : at + step, None] + s[None, :]).ravel() for s in (i, j))
+                    ok = _may_be_alike(n[x], pos[x], n[y], pos[y], similarity)
+                    yield _pairs(ids[x[ok]], ids[y[ok]])
+
+    return meet
+
+
+def _crowd_meetings(similarity: float, last: bool):
+    """Of (token, id, n, pos, print, root) sorted by token: pairs with different roots that may be alike.
+
+    The rows outside a token's largest root are compared with each row of it if ``last``; else all rows with one of them."""
+
+    def meet(batches):
+        for token, ids, n, pos, prints, root in _whole_groups(batches):
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])).tolist()
+            for low, high in zip(starts, [*starts[1:], len(token)], strict=True):
+                _, which, counts = np.unique(root[low:high], return_inverse=True, return_counts=True)
+                if len(counts) == 1:
+                    continue
+                apart = low + np.flatnonzero(which != counts.argmax())
+                if last:
+                    for u in apart.tolist():
+                        s = slice(low, high)
+                        ok = (root[s] != root[u]) & _may_be_alike(n[s], pos[s], n[u], pos[u], similarity)
+                        yield _pairs(ids[s][ok], np.full(int(ok.sum()), ids[u]))
+                else:
+                    among = apart if counts.max() > 1 else np.arange(low, high)
+                    r = among[medoid(prints[among].view(np.uint64))]
+                    ok = (root[low:high] != root[r]) & _may_be_alike(n[low:high], 0, n[r], 0, similarity)
+                    yield _pairs(ids[low:high][ok], np.full(int(ok.sum()), ids[r]))
+
+    return meet
 
 
 def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, id_col: str, text_col: str = "text") -> DataFrame:
     """(id, first_id) of those rows that are near copies of a row with a lesser id: first_id is the least id of the row's group.
 
     A group is connected by links of rows whose sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``;
-    texts with the same words are always linked.  Links are looked for among rows that share an anchor of a wide SimHash fingerprint, and each is
-    verified on the whole texts.  ``id_col`` holds different bigints without nulls.  Null and empty texts are alike.
+    texts with the same words are always linked.  No link is lost: sets alike enough share one of their first shingles in any
+    common order, so all rows that share one are candidates, and each is verified on the whole texts.  A shingle
+    that over CROWD rows share is resolved by steps: its rows are compared with the one whose SimHash is nearest to the majority of theirs, and at last
+    each row that isn't linked to the shingle's largest group with every row of it.
+    ``id_col`` holds different bigints without nulls.  Null and empty texts are alike.
     """
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
+
+    def count(batches):
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingle_hashes((t or b"").lower().split(), words)).view(np.int64))], names=["token"])
+
+    every = max(1, given.count() // COUNTED)
+    counted = given.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("t").mapInArrow(count, "token long").groupBy("token").agg(F.count("*").alias("n"))
+    known = counted.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow()
+    common, weight = known.column(0).to_numpy().view(np.uint64), known.column(1).to_numpy()
+    order = common.argsort()
+    common, weight = common[order], weight[order]
 
     def make(batches):
         import xxhash
 
         for batch in batches:
-            rows = []
-            for t in batch.column(1).to_pylist():
-                w = (t or b"").lower().split()
-                rows.append((xxhash.xxh3_128_hexdigest(b" ".join(w)), *wide_print(w)))
-            columns = list(zip(*rows, strict=True)) or [()] * (1 + LANES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.string()), *(pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in columns[1:])], names=["id", "same", *(f"lane{k}" for k in range(LANES))])
-
-    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    rows = checkpoint(given.mapInArrow(make, "id long, same string, " + ", ".join(f"lane{k} long" for k in range(LANES))))
-    reps = rows.groupBy("same").agg(F.min("id").alias("id"), *(F.first(f"lane{k}").alias(f"lane{k}") for k in range(LANES)))
-    reps = checkpoint(reps)
-    links = checkpoint(_candidates(reps))
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rows = []
+                for t in part.column(1).to_pylist():
+                    w = (t or b"").lower().split()
+                    h = shingle_hashes(w, words)
+                    shingles = np.unique(h)
+                    rows.append((xxhash.xxh3_128_hexdigest(b" ".join(w)), np.uint64(majority(h)).view(np.int64), len(shingles), prefix(shingles, common, weight, similarity).view(np.int64)))
+                same, prints, n, tokens = zip(*rows, strict=True)
+                ends = np.cumsum([0, *map(len, tokens)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.string()), pa.array(prints, pa.int64()), pa.array(n, pa.int64()), lists], names=["id", "same", "print", "n", "tokens"])
+
+    rows = written(given.mapInArrow(make, "id long, same string, print long, n long, tokens array<long>"), "prefixes")
+    reps = checkpoint(rows.groupBy("same").agg(F.min("id").alias("id")))
+    tokens = rows.join(reps.select("id"), "id", "left_semi").select("id", "n", "print", F.posexplode("tokens").alias("pos", "token"))
+    tokens = written(tokens.select("token", "id", "n", F.col("pos").cast("long").alias("pos"), "print"), "shingles")
+    by_token = lambda df: df.repartition("token").sortWithinPartitions("token")
+    crowds = tokens.groupBy("token").agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD).select("token")
+    crowded = written(tokens.join(crowds, "token"), "crowded")
 
     def verify(batches):
+        known, held = {}, 0
+
+        def shingles(t):
+            nonlocal held
+            if (found := known.get(t)) is None:
+                found = np.unique(shingle_hashes((t or b"").lower().split(), words))
+                held += len(found)
+                if held > MOST_HELD:
+                    known.clear()
+                    held = len(found)
+                known[t] = found
+            return found
+
         for batch in batches:
-            keep = [jaccard(x, y, words) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            keep = [jaccard(shingles(x), shingles(y)) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], names=["a", "b"])
 
-    texts = given.join(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
-    both = links.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
-    alike = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    def verified(pairs):
+        links = checkpoint(pairs.distinct())
+        texts = given.join(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+        both = links.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
+        return checkpoint(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
+
+    alike = verified(by_token(tokens.select("token", "id", "n", "pos")).mapInArrow(_meetings(similarity), "a long, b long"))
     roots_ = components(alike)
+    for k in range(STAR_ROUNDS + 1 if not crowded.isEmpty() else 0):
+        placed = crowded.join(roots_.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", "print", F.coalesce("root", "id").alias("root"))
+        alike = alike.unionByName(verified(by_token(placed).mapInArrow(_crowd_meetings(similarity, k == STAR_ROUNDS), "a long, b long")))
+        roots_ = components(alike)
     classes = reps.select("same", F.col("id").alias("node")).join(roots_, "node", "left").select("same", F.coalesce("root", "node").alias("first_id"))
     return rows.select("id", "same").join(classes, "same").where("id <> first_id").select(F.col("id").alias(id_col), "first_id")

@@ -97,6 +97,36 @@ def test_near_copies(spark):
     assert got == {**{100 + i: i for i in range(3)}, **{200 + i: i for i in range(6)}}
 
 
+def test_near_copies_of_one_original(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(5000, " ".join(base))]
+    for i in range(2000):
+        at = rng.randrange(272)  # 264 of 328 shingles in common with the original; mostly 232 of 360 with each other
+        rows.append((i, " ".join(base[:at] + [f"c{i}x{k}" for k in range(28)] + base[at + 28 :])))
+    got = simhash.near_copies(make(spark, rows), id_col="doc_id").collect()
+    assert {r["doc_id"]: r["first_id"] for r in got} == {i: 0 for i in [*range(1, 2000), 5000]}
+
+
+def test_near_copies_against_brute_force(spark):
+    rng = random.Random(7)
+    texts = [[f"w{i}" for i in range(100)]]
+    while len(texts) < 400:
+        w = list(rng.choice(texts))
+        at, k = rng.randrange(len(w)), rng.randrange(1, 10)
+        w[at : at + k] = [f"e{len(texts)}x{j}" for j in range(rng.randrange(10))]
+        texts.append(w)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    first = list(range(len(texts)))
+    for a, x in enumerate(sets):
+        for b in range(a):
+            if len(x & sets[b]) >= 0.8 * len(x | sets[b]) and first[a] != first[b]:
+                old, new = max(first[a], first[b]), min(first[a], first[b])
+                first = [new if f == old else f for f in first]
+    got = simhash.near_copies(make(spark, [(i, " ".join(w)) for i, w in enumerate(texts)]), id_col="doc_id").collect()
+    assert {r["doc_id"]: r["first_id"] for r in got} == {i: f for i, f in enumerate(first) if i != f} and len(set(first)) > 1
+
+
 def test_katz_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(katz, "BLOCK_BYTES", 1500)
     monkeypatch.setattr(katz, "PART_KEYS", 60)
