@@ -108,6 +108,19 @@ def test_near_copies_of_one_original(spark):
     assert {r["doc_id"]: r["first_id"] for r in got} == {i: 0 for i in [*range(1, 2000), 5000]}
 
 
+def test_near_copies_at_the_threshold(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows, expected = [], {}
+    for i in range(150):
+        w = [word() for _ in range(300)]
+        longer, block = w + [word() for _ in range(74 + i % 2)], w[:100] + [word() for _ in range(28 + 2 * (i % 2))] + w[128 + 2 * (i % 2) :]
+        rows += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(longer)), (3 * i + 2, " ".join(block))]
+        expected |= {} if i % 2 else {3 * i + 1: 3 * i, 3 * i + 2: 3 * i}
+    got = simhash.near_copies(make(spark, rows), id_col="doc_id").collect()
+    assert {r["doc_id"]: r["first_id"] for r in got} == expected
+
+
 def test_near_copies_against_brute_force(spark):
     rng = random.Random(7)
     texts = [[f"w{i}" for i in range(100)]]
