@@ -30,7 +30,7 @@ STEP = 0.005
 FLOOR = {"chars_per_token": 0.04, "byte_share": 0.01, "entropy": 0.15}
 #: Bands that are broadcast at most; more are joined by shuffle.
 MOST_BANDS = 50_000
-#: Documents of a class that a band needs; else that of the wider class holds.
+#: Documents of a class that a band needs; else that of the wider class holds. The band of all documents needs none.
 LEAST = 100
 
 
@@ -114,15 +114,18 @@ def measures(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: s
 
 
 def bands(rows: DataFrame, reach: float) -> DataFrame:
-    """(lang, size, measure, low, high): of each language and length class, of each length class (lang null) and of each language (size null)."""
+    """(lang, size, measure, low, high): of each language and length class, of each length class (lang null), of each language (size null), and of all (both null).
+
+    All but the last have ``LEAST`` documents at least."""
     long = rows.where("n_tokens > 0").select("lang", "size", F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.round(F.col(m) / STEP).cast("long").alias("q")) for m in MEASURES))).alias("m")).select("lang", "size", "m.*")
     counted = long.groupBy("lang", "size", "measure", "q").agg(F.count("*").alias("n"))
-    wider = counted.unionByName(counted.withColumn("size", F.lit(None).cast("int"))).groupBy("lang", "size", "measure", "q").agg(F.sum("n").alias("n"))
+    all_sizes = counted.unionByName(counted.withColumn("size", F.lit(None).cast("int")))
+    wider = all_sizes.unionByName(all_sizes.withColumn("lang", F.lit(None).cast("string"))).groupBy("lang", "size", "measure", "q").agg(F.sum("n").alias("n"))
     group = ["lang", "size", "measure"]
     order = Window.partitionBy(*group).orderBy("q").rowsBetween(Window.unboundedPreceding, 0)
     ranked = wider.withColumn("below", F.sum("n").over(order)).withColumn("all", F.sum("n").over(Window.partitionBy(*group)))
     at = lambda p: F.min(F.when(F.col("below") >= F.col("all") * p, F.col("q"))) * STEP
-    found = ranked.groupBy(*group).agg(at(0.25).alias("low_q"), at(0.5).alias("mid"), at(0.75).alias("high_q"), F.max("all").alias("docs")).where(F.col("docs") >= LEAST)
+    found = ranked.groupBy(*group).agg(at(0.25).alias("low_q"), at(0.5).alias("mid"), at(0.75).alias("high_q"), F.max("all").alias("docs")).where((F.col("docs") >= LEAST) | (F.col("lang").isNull() & F.col("size").isNull()))
     floor = F.create_map(*(x for m, v in FLOOR.items() for x in (F.lit(m), F.lit(v))))[F.col("measure")]
     wide = lambda side: F.greatest(F.abs(side - F.col("mid")) / 0.6745, floor) * reach
     return found.select(*group, (F.col("mid") - wide(F.col("low_q"))).alias("low"), (F.col("mid") + wide(F.col("high_q"))).alias("high"))
@@ -133,7 +136,7 @@ def quality_rules(docs: DataFrame, model: str, *, reach: float = 4.0, min_words:
 
     With ``carry``, the whole row comes along as the struct ``row``.  model: a sentencepiece file with byte fallback.  Base rule: too few words, or too many words in repeated
     windows.  A null language is its own class ("und").  A class with fewer than ``LEAST`` documents takes its language's
-    band, and a language with fewer has none and rejects nothing.  A text without tokens has null
+    band, a language with fewer that of all languages' texts of its length class, and where that is small too, that of all documents.  A text without tokens has null
     measures and fails the base rule.  Repeated rows each give a row and count each; null ids stay null; other columns
     are ignored.  An empty table gives an empty one.
     """
@@ -144,13 +147,17 @@ def quality_rules(docs: DataFrame, model: str, *, reach: float = 4.0, min_words:
     # as many rows as languages and length classes: few, unless languages are free text
     near = F.broadcast if pivot.count() <= MOST_BANDS else lambda df: df
     names = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
-    own = pivot.where("size is not null")
-    whole = pivot.where("size is null").select("lang", *(F.col(x).alias(f"all_{x}") for x in names))
-    joined = rows.join(near(own), ["lang", "size"], "left").join(near(whole), "lang", "left")
+    renamed = lambda kind: [F.col(x).alias(f"{kind}_{x}") for x in names]
+    own = pivot.where("size is not null and lang is not null")
+    whole = pivot.where("size is null and lang is not null").select("lang", *renamed("lang"))
+    # a row of each power of two, and one
+    sized = F.broadcast(pivot.where("size is not null and lang is null").select("size", *renamed("size")))
+    every = F.broadcast(pivot.where("size is null and lang is null").select(*renamed("all")))
+    joined = rows.join(near(own), ["lang", "size"], "left").join(near(whole), "lang", "left").join(sized, "size", "left").join(every, F.lit(True), "left")
     inside = F.lit(True)
     for m in MEASURES:
         for side in ("low", "high"):
-            limit = F.coalesce(f"{m}_{side}", f"all_{m}_{side}")
+            limit = F.coalesce(*(f"{kind}{m}_{side}" for kind in ("", "lang_", "size_", "all_")))
             inside = inside & F.coalesce(F.col(m) >= limit if side == "low" else F.col(m) <= limit, F.lit(True))
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

@@ -279,3 +279,13 @@ def test_preference(spark):
     many = make(spark, [(1, i, "assistant" if i % 2 else "user", str(i)) for i in range(600)], kinds)
     parts = preference.format_preferences(many, many.where("turn < 300")).collect()
     assert sorted((r["side"], r["part"]) for r in parts) == [("chosen", 1), ("chosen", 2), ("prompt", 0), ("prompt", 1)]
+
+
+def test_quality_bands_of_rare_languages(spark):
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    rng = random.Random(2)
+    words = "the of and house river morning people water light small great under between paper".split()
+    text = lambda: " ".join(rng.choices(words, k=80))
+    rows = [(i, text(), "en") for i in range(150)] + [(200, text(), "xx"), (201, "\u16a0\u16b1" * 400, "xx"), (202, "\u16a0 " * 5000, "yy")]
+    got = {r["doc_id"]: r["in_band"] for r in quality.quality_rules(make(spark, rows, "doc_id long, text string, lang string"), path).collect()}
+    assert got[200] and not got[201] and not got[202]
