@@ -30,15 +30,28 @@ def main_and_other(column: str) -> tuple[Column, Column]:
     return F.coalesce(not_blank(a), not_blank(b)), F.when(not_blank(a).isNotNull(), b)
 
 
+def wanted(as_of: Column, recheck_days: int, only_types: str | None) -> Column:
+    return missing_any_id() & stale(as_of, recheck_days) & type_wanted(only_types)
+
+
+def _queue_columns(rows: DataFrame, column: str | None) -> DataFrame:
+    main, other = (F.col("title"), F.col("title_text")) if column is None else main_and_other(column)
+    return rows.select("id", main.alias("title"), "title_text", other.alias("title_alt"), *QUEUE[4:])
+
+
 def enrich_queue(df: DataFrame, as_of: Column, *, batch: int | None = BATCH, recheck_days: int = 45, only_types: str | None = None, column: str | None = None) -> DataFrame:
     """Rows that lack an identifier and weren't checked for ``recheck_days``: never checked first, then the longest ago, then by id.
 
     column: None leaves both names as they are; "auto", "title" or "title_text" picks the main one.  A null batch is the default one."""
-    rows = df.where(missing_any_id() & stale(as_of, recheck_days) & type_wanted(only_types))
-    main, other = (F.col("title"), F.col("title_text")) if column is None else main_and_other(column)
+    rows = df.where(wanted(as_of, recheck_days, only_types))
     # order and limit are one top-k; names are made for the rows that are left
     first = rows.orderBy(F.col("ids_checked_at").asc_nulls_first(), "id").limit(BATCH if batch is None else batch)
-    return first.select("id", main.alias("title"), "title_text", other.alias("title_alt"), *QUEUE[4:])
+    return _queue_columns(first, column)
+
+
+def whole_enrich_queue(df: DataFrame, as_of: Column, *, recheck_days: int = 45, only_types: str | None = None, column: str | None = None) -> DataFrame:
+    """All rows that :func:`enrich_queue` takes its batches from, in no order."""
+    return _queue_columns(df.where(wanted(as_of, recheck_days, only_types)), column)
 
 
 def missing_ids_queue(df: DataFrame, as_of: Column, *, batch: int | None = BATCH, min_age_minutes: int = 60, max_attempts: int = 4) -> DataFrame:

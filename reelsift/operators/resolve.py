@@ -52,10 +52,15 @@ def parse_payload(rows: DataFrame, provider: str, column: str = "payload") -> Da
     return found.select("key", F.lit(provider).alias("provider"), "title", "year", *((F.col(f) if f in have else F.lit(None)).try_cast(kinds[f]).alias(f) for f in ID_FIELDS))
 
 
+def _named(queue: DataFrame) -> DataFrame:
+    """A queue's rows with n (its names, the more telling one first), p (that one parsed) and cache_key."""
+    named = queue.withColumn("n", pick_name(F.col("title"), F.col("title_alt"))).withColumn("p", parse_release(F.col("n.main")))
+    return named.withColumn("cache_key", cache_key(F.col("p.title"), F.col("p.year"), F.col("type")))
+
+
 def questions(queue: DataFrame) -> DataFrame:
     """(id, type, cache_key, query, year, lax, variant): every search of a queue's rows, parsed from the more telling of both names."""
-    named = queue.withColumn("n", pick_name(F.col("title"), F.col("title_alt"))).withColumn("p", parse_release(F.col("n.main")))
-    asked = named.select("id", "type", cache_key(F.col("p.title"), F.col("p.year"), F.col("type")).alias("cache_key"), F.col("p.year").alias("year"), F.posexplode(variants(F.col("p.title"))).alias("nth", "v"))
+    asked = _named(queue).select("id", "type", "cache_key", F.col("p.year").alias("year"), F.posexplode(variants(F.col("p.title"))).alias("nth", "v"))
     return asked.select("id", "type", "cache_key", "year", F.col("v.text").alias("query"), F.col("v.lax").alias("lax"), (F.col("nth") > 0).alias("variant"))
 
 
@@ -76,7 +81,8 @@ def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True) -
     best = rows.withColumn("k", F.row_number().over(first)).where("k = 1")
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, PRECEDENCE)), F.col("provider")), F.lit(99))
     merged = best.groupBy("id").agg(*(F.min_by(f, F.when(F.col(f).isNotNull(), rank)).alias(f) for f in ID_FIELDS), F.array_join(F.transform(F.array_sort(F.collect_set(F.struct(rank.alias("r"), "provider"))), lambda x: x["provider"]), "+").alias("source"), F.min("confidence").alias("confidence"))
-    every = asked.where("not variant").select("id", "type", "cache_key").join(merged, "id", "left")
+    # also rows whose name leaves nothing to search for
+    every = _named(queue).select("id", "type", "cache_key").join(merged, "id", "left")
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
     return every.select("id", "cache_key", *ID_FIELDS, F.coalesce("source", F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
 

@@ -174,11 +174,11 @@ register_raw("similarity_pairs", _similar_names)
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = derived_releases(spark, sf_dir).where("id % 3 = 1 and title <> ''").withColumn("p", titles.parse_release(F.col("title")))
+    r = derived_releases(spark, sf_dir).where("title <> ''").withColumn("p", titles.parse_release(F.col("title")))
     return r.groupBy(F.when(F.col("id") % 2 == 0, "tmdb").otherwise("imdb").alias("provider"), F.col("p.title").alias("title"), F.col("p.year").alias("year")).agg(*(F.min(f).alias(f) for f in ID_FIELDS))
 
 
-register_raw("resolve_outcome", lambda s, d: resolve.resolve(queue.enrich_queue(derived_releases(s, d), as_of(), column="auto"), _candidates(s, d)).select("id", "source", "confidence", "outcome"))
+register_raw("resolve_outcome", lambda s, d: resolve.resolve(queue.whole_enrich_queue(derived_releases(s, d), as_of(), column="auto"), _candidates(s, d)).select("id", "source", "confidence", "outcome"))
 
 
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:

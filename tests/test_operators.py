@@ -240,3 +240,14 @@ def test_report(tmp_path):
     r.metrics("a", {"n": 1})
     r.write(str(tmp_path / "a.md"), str(tmp_path / "a.json"), str(tmp_path / "step.md"))
     assert (tmp_path / "step.md").read_text().startswith("# x")
+
+
+def test_resolve_outcome_takes_the_whole_queue(spark):
+    from reelsift.plans import catalog
+    from reelsift.sources.releases import as_of, derived_releases
+
+    folder = "/root/testdata/sf0.001"
+    waiting = derived_releases(spark, folder).where(queue.wanted(as_of(), 45, None))
+    got = catalog.queries()["resolve_outcome"](spark, folder).select("id")
+    assert waiting.count() > queue.BATCH
+    assert got.count() == got.distinct().count() == waiting.count() and got.join(waiting, "id", "left_anti").count() == 0
