@@ -90,29 +90,70 @@ def test_packing_keeps_every_id_once(spark):
     assert 1 - got.length.sum() / (256 * got.sequence_id.nunique()) < 0.05
 
 
-def test_sentence_pieces_scan(spark, monkeypatch):
-    path, rng = P.path("piece_bpe_32k.model"), random.Random(1)
-    model = sentence_pieces.Pieces(path)
-    for _ in range(40):
-        text = "".join(rng.choice(("the ", "ing", "tion ", " ", "x", "é", "\n", "international", "aaaa", "▁", "﷐")) for _ in range(120))
-        if rng.random() < 0.4:
-            text = text.replace(" ", "")
-        s = sentence_pieces.MARK + model.marked(text)
-        size = rng.choice((5, 40, 64))
-        parts = [(s[i : i + size + model.longest], min(size, len(s) - i)) for i in range(0, len(s), size)]
-        matrices = [model.transfer(x, n) for x, n in parts]
-        at = sentence_pieces.borders(matrices, 0, 0)
-        cut = [model.encode_marked(x[a : n + b]) for (x, n), a, b in zip(parts, at[:-1], at[1:], strict=True)]
-        ids, best = model.solve(s)
-        assert abs(sum(y for _, y in cut) - best) < 1e-6 and model.decode(b"".join(x for x, _ in cut)) == text == model.decode(ids)
-        total = matrices[0]
-        for m in matrices[1:]:
-            total = sentence_pieces.combine(total, m)
-        assert abs(total[0, 0] - best) < 1e-6
-
-
-def test_sentence_pieces_round_trip(spark):
-    texts = [*ODD, "long and  wide\n" * 5000, "nospaces" * 6000]
+def scanned(model, s):
+    """Ids of marked text by the scan; the matrices' product must have the same best score as the way found."""
+    chunks = sentence_pieces.chunks_of(s, model.longest)
+    matrices = [model.transfer(x, a, b) for a, b, x in chunks]
+    at = sentence_pieces.borders(matrices, 0, 0)
+    total = matrices[0]
+    for m in matrices[1:]:
+        total = sentence_pieces.combine(total, m)
+    assert total.shape == (1, 1) and abs(total[0, 0] - sum(m[i, j] for m, i, j in zip(matrices, at, at[1:], strict=False))) < 1e-6
+    return b"".join(model.encode_marked(model.between(x, a, b, i, j)) for (a, b, x), i, j in zip(chunks, at, at[1:], strict=False))
+
+
+def strange_texts(n):
+    rng = random.Random(1)
+    parts = ("the ", "ing", "tion ", " ", "x", "é", "\n", "international", "aaaa", "▁", "\ufdd0", "漢字", "💩", "\0", "0x7f", "  ")
+    texts = ["".join(rng.choice(parts) for _ in range(120)) for _ in range(n)]
+    return [t.replace(" ", "") if i % 3 == 0 else t for i, t in enumerate(texts)] + [" " * 150, "▁" * 77, "ab" * 90, "\n" * 90, "字" * 99]
+
+
+def unigram_model(path):
+    """A model file put together by hand, with scores that hardly ever tie."""
+    pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    rng, m = random.Random(4), pb.ModelProto()
+    kinds = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256))]
+    words = ("▁the", "▁", "the", "ing", "tion", "▁▁", "▁in", "inter", "nation", "national", "al", "aa", "aaa", "ab", "ba", "▁x", "漢", "字", *"theingoxralb0f7")
+    for piece, score, kind in [*kinds, *((w, -rng.randrange(1 << 10, 1 << 13) / (1 << 10), 1) for w in words)]:
+        added = m.pieces.add()
+        added.piece, added.score, added.type = piece, score, kind
+    m.trainer_spec.model_type, m.trainer_spec.byte_fallback = 1, True
+    rules = m.normalizer_spec
+    rules.name, rules.add_dummy_prefix, rules.remove_extra_whitespaces, rules.escape_whitespaces = "identity", True, False, True
+    path.write_bytes(m.SerializeToString())
+    return str(path)
+
+
+@pytest.mark.parametrize("kind", ["merges", "unigram"])
+@pytest.mark.parametrize("chunk", [17, 64])
+def test_sentence_pieces_scan_gives_the_librarys_ids(monkeypatch, tmp_path, kind, chunk):
+    monkeypatch.setattr(sentence_pieces, "CHUNK", chunk)
+    model = sentence_pieces.Pieces(P.path("piece_bpe_32k.model") if kind == "merges" else unigram_model(tmp_path / "u.model"))
+    assert model.merges == (kind == "merges")
+    for text in strange_texts(40):
+        want = np.array(model.model.encode(text), dtype="<u4").tobytes()
+        assert model.encode_marked(model.marked(text)) == want
+        got = scanned(model, model.marked(text))
+        if kind == "unigram" and got != want:  # a tie
+            score = lambda ids: sum(model.pieces.get(model.model.id_to_piece(int(i)), (0, 0.0))[1] for i in np.frombuffer(ids, dtype="<u4"))
+            assert abs(score(got) - score(want)) < 1e-3
+        else:
+            assert got == want
+
+
+def test_sentence_pieces_round_trip(spark, monkeypatch):
+    path = P.path("piece_bpe_32k.model")
+    monkeypatch.setattr(sentence_pieces, "GIANT", 1 << 13)
+    texts = [*ODD, "long and  wide\n" * 5000, "nospaces" * 6000, "nospaces" * 6000, "▁ mark", "字" * 20000]
     docs = rows(spark, texts, extra=True)
-    back = sentence_pieces.decode(sentence_pieces.encode(docs, P.path("piece_bpe_32k.model")), P.path("piece_bpe_32k.model"))
-    assert {r["doc_id"]: r["text"] for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
+    got = {r["doc_id"]: r for r in sentence_pieces.decode(sentence_pieces.encode(docs, path), path).collect()}
+    model = sentence_pieces.Pieces(path).model
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert bytes(got[i]["ids"]) == np.array(model.encode(t or ""), dtype="<u4").tobytes() and got[i]["text"] == (t or "").replace("▁", " ")
+    repeated = spark.createDataFrame([(None, "a b"), (7, "x"), (7, "x"), (8, None)], "doc_id long, text string")
+    encoded = sentence_pieces.encode(repeated, path)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in sentence_pieces.decode(encoded, path).collect()) == [("7", "x"), ("7", "x"), ("8", ""), ("None", "a b")]
+    assert sentence_pieces.decode(encoded.limit(0), path).count() == 0
+    assert sentence_pieces.decode(encoded.selectExpr("doc_id", "cast(null as binary) as ids"), path).where("text is null").count() == 4
