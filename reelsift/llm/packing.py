@@ -74,15 +74,25 @@ def difference(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def partition(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The window of each size (all at most ``capacity``); the window count rises until the fullest one fits."""
-    total = int(sizes.sum())
-    k = max(1, -(-total // capacity))
-    while True:
+    """The window of each size (all at most ``capacity``); the window count rises until the fullest one fits.
+
+    It begins at the least count possible, as no two sizes above half a window share one.  Steps double while windows are too full, and the counts between the last
+    that didn't fit and the first that did are halved, so the rounds grow with the logarithm of the count."""
+    k = max(1, -(-int(sizes.sum()) // capacity), int((sizes * 2 > capacity).sum()))
+    window, sums = difference(sizes, k)
+    step = max(1, int(np.maximum(sums - capacity, 0).sum() // capacity))
+    failed = k - 1
+    while sums.max() > capacity:
+        failed, k, step = k, min(k + step, len(sizes)), 2 * step
         window, sums = difference(sizes, k)
-        over = np.maximum(sums - capacity, 0).sum()
-        if not over:
-            return window
-        k += max(1, int(-(-over // capacity)))
+    while k - failed > 1:
+        middle = (failed + k) // 2
+        other, sums = difference(sizes, middle)
+        if sums.max() > capacity:
+            failed = middle
+        else:
+            k, window = middle, other
+    return window
 
 
 def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

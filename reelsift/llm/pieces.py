@@ -69,6 +69,7 @@ class PieceEncoder:
         else:
             self.kind = "whole"
         self.n_ids = self.tokenizer.get_vocab_size()
+        self.added = [x["content"] for x in spec.get("added_tokens", [])]
         self.known: dict[str, bytes] = {}
         self.misses = 0
         self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
@@ -109,7 +110,7 @@ class PieceEncoder:
         mark = ""
         if self.kind != "whole" and len(key) > 1 and key[-1] in _MARKS and key[-2] < "\u0250" and key[-2].isalpha() and key[0] != "\0":
             key, mark = key[:-1], key[-1]
-        if self.kind == "drop" and key.isascii():
+        if self.kind == "drop" and key.isascii() and not any(x in key.lower() for x in self.added):  # added tokens are found before letters are lower-cased
             key = key.lower()
         return key, mark
 

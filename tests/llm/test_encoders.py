@@ -14,7 +14,7 @@ from reelsift.llm.token_counts import token_counts  # noqa: E402
 
 ODD = [
     "", " ", "\n", "  ", "a", " a", "a ", "a  b", "a   b \n c\n\nd ", "\t\ta\tb", "a\x1cb!\x1c c", "<|endoftext|> a <|endoftext|>b  <|endoftext|>", "it's 'll don't  I'm\n'em", "é̈ ̈x ́y", "Σας ΣΑΣ. İstanbul", "你好 世界　好",
-    "\0a \0b", "a\r\nb", "😀 😀😀  x", "naïve x", "\n\na", "a\n\n", "!?\x1c .. \x85 z", None, "<|startoftext|> Hi, you. Don't!", "word " * 20000 + "x" * 3000 + "\n\n tail  " * 3000,
+    "\0a \0b", "a\r\nb", "😀 😀😀  x", "naïve x", "\n\na", "a\n\n", "!?\x1c .. \x85 z", None, "<|startoftext|> Hi, you. Don't!", "<|ENDOFTEXT|> <|STARTOFTEXT|>x <|EndOfText|>. A<|endofText|>B", "word " * 20000 + "x" * 3000 + "\n\n tail  " * 3000,
 ]
 
 
@@ -76,6 +76,37 @@ def test_partition_fits_and_rises():
     assert sorted(sums.tolist()) == [14, 16]  # the differencing result
 
 
+def plain_differencing(sizes, k):
+    """Sums of multiway differencing, by the definition: lists of sums, the two with the largest spread merged largest with least."""
+    parts = [([0] * (k - 1) + [x], i) for i, x in enumerate(sizes)]
+    tick = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (p[0][0] - p[0][-1] if k > 1 else 0, p[1]))
+        (a, _), (b, _) = parts.pop(0), parts.pop(0)
+        parts.append((sorted(x + y for x, y in zip(a, reversed(b), strict=True)), tick))
+        tick += 1
+    return parts[0][0]
+
+
+def test_differencing_by_definition():
+    rng = np.random.default_rng(3)
+    for n, k in [(1, 1), (5, 1), (6, 2), (30, 4), (40, 7), (25, 25), (9, 12)]:
+        sizes = rng.integers(1, 400, n)
+        window, sums = packing.difference(sizes, k)
+        assert sorted(sums.tolist()) == plain_differencing(sizes.tolist(), k)
+        assert sorted(np.bincount(window, weights=sizes, minlength=k).tolist()) == sorted(sums.tolist())
+
+
+def test_rests_above_half_a_window_take_few_rounds(monkeypatch):
+    rounds = []
+    plain = packing.difference
+    monkeypatch.setattr(packing, "difference", lambda sizes, k: rounds.append(k) or plain(sizes, k))
+    assert len(set(packing.partition(np.full(2048, 2049), 4096).tolist())) == 2048 and len(rounds) == 1
+    rounds.clear()
+    window = packing.partition(np.array([1400] * 600 + [2049] * 300), 4096)
+    assert np.bincount(window, weights=[1400] * 600 + [2049] * 300).max() <= 4096 and len(rounds) < 16
+
+
 def test_packing_keeps_every_id_once(spark):
     texts = [*ODD, *["some words here " * 40] * 30]
     got = packing.pack(rows(spark, texts, extra=True), P.path("word_bpe_49k.json"), capacity=256, with_ids=True).toPandas()
