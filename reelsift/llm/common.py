@@ -36,6 +36,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers (some 16 MB) that are broadcast at most; more are joined by shuffle.
+MOST_BROADCAST = 1_000_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """``df``, rows of a few numbers in a checkpointed table, to be broadcast where they are counted to be few."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, written
+from .common import checkpoint, few, written
 from .components import components
 
 #: Different fingerprints that are compared with each other at an anchor.
@@ -194,8 +194,8 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, max_bits: int = 2, id_col
 #: Documents whose shingles are counted to tell common ones, documents of a common one among them, and common ones known at most.
 #: These only set the order that shingles are taken in; pairs are the same for any order.
 COUNTED, COMMON, MOST_COMMON = 20_000, 4, 200_000
-#: Rounds in which the rows of a crowded shingle are compared with one of them, before those still apart are compared pair by pair.
-STAR_ROUNDS = 2
+#: Rows of a crowded shingle that are compared in one block.
+BLOCK_ROWS = 4096
 #: Shingles of texts that a task of the verification remembers at most.
 MOST_HELD = 2_000_000
 
@@ -221,15 +221,16 @@ def _may_be_alike(n, pos, m, qos, similarity):
     return np.minimum(n - pos, m - qos) * (1 + similarity) + 1e-6 >= similarity * (n + m)
 
 
-def _whole_groups(batches):
-    """Columns of sorted batches as arrays, cut only between different values of the first one."""
+def _whole_groups(batches, keys: int = 1):
+    """Columns of sorted batches as arrays, cut only between different values of the first ``keys`` ones."""
     held = []
     for batch in batches:
         columns = [c.to_numpy() for c in batch.columns]
         if not len(columns[0]):
             continue
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))
-        if cut or (held and held[-1][0][-1] != columns[0][0]):
+        new = _starts(columns[:keys])
+        cut = int(new[-1])
+        if cut or (held and any(held[-1][i][-1] != columns[i][0] for i in range(keys))):
             held.append([c[:cut] for c in columns])
             yield [np.concatenate(c) for c in zip(*held, strict=True)]
             held = []
@@ -238,8 +239,18 @@ def _whole_groups(batches):
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
+def _starts(keys: list[np.ndarray]) -> np.ndarray:
+    """Where the runs of equal keys begin."""
+    changed = np.zeros(len(keys[0]), dtype=bool)
+    changed[:1] = True
+    for k in keys:
+        changed[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(changed)
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
 
 def medoid(prints: np.ndarray) -> int:
@@ -247,60 +258,98 @@ def medoid(prints: np.ndarray) -> int:
     return int(np.bitwise_count(prints ^ np.uint64(majority(prints))).argmin())
 
 
+_MEETINGS = "a long, b long, token long, n int, pos int"
+
+
 def _meetings(similarity: float):
-    """Of (token, id, n, pos) sorted by token: all pairs of each token with at most CROWD rows that may be alike."""
+    """Of (token, id, n, pos) sorted by token: pairs (a, b) that may be alike of tokens with at most CROWD rows; the rows of other tokens as they came, as a.
+
+    A token's rows are held until there are more than CROWD of them, and then pass through."""
+
+    def pairs_of(token, ids, n, pos):
+        starts = _starts([token])
+        sizes = np.diff(np.append(starts, len(token)))
+        found = []
+        for k in np.unique(sizes[sizes > 1]).tolist():
+            i, j = np.triu_indices(k, 1)
+            firsts, step = starts[sizes == k], max(1, 200_000 // len(i))
+            for at in range(0, len(firsts), step):
+                x, y = ((firsts[at : at + step, None] + s[None, :]).ravel() for s in (i, j))
+                ok = _may_be_alike(n[x], pos[x], n[y], pos[y], similarity)
+                found.append(_pairs(ids[x[ok]], ids[y[ok]]))
+        for p in found:
+            none = [pa.nulls(p.num_rows, kind) for kind in (pa.int64(), pa.int32(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*p.columns, *none], names=["a", "b", "token", "n", "pos"])
 
     def meet(batches):
-        for token, ids, n, pos in _whole_groups(batches):
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            sizes = np.diff(np.append(starts, len(token)))
-            for k in np.unique(sizes[(sizes > 1) & (sizes <= CROWD)]).tolist():
-                i, j = np.triu_indices(k, 1)
-                firsts, step = starts[sizes == k], max(1, 200_000 // len(i))
-                for at in range(0, len(firsts), step):
-                    x, y = ((firsts[at : at + step, None] + s[None, :]).ravel() for s in (i, j))
-                    ok = _may_be_alike(n[x], pos[x], n[y], pos[y], similarity)
-                    yield _pairs(ids[x[ok]], ids[y[ok]])
+        held, crowd = None, None
+        for batch in batches:
+            now = [c.to_numpy() for c in batch.columns]
+            if not len(now[0]):
+                continue
+            if held is not None:
+                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+            starts = _starts(now[:1])
+            sizes = np.diff(np.append(starts, len(now[0])))
+            crowded = np.repeat((sizes > CROWD) | (now[0][starts] == crowd), sizes)
+            if crowded.any():
+                token, ids, n, pos = (c[crowded] for c in now)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(len(ids), pa.int64()), pa.array(token), pa.array(n), pa.array(pos)], names=["a", "b", "token", "n", "pos"])
+            crowd = now[0][-1] if crowded[-1] else None
+            # the last token may go on in the next batch
+            last = np.arange(len(now[0])) >= starts[-1]
+            yield from pairs_of(*(c[~crowded & ~last] for c in now))
+            held = None if crowded[-1] else [c[last] for c in now]
+        if held is not None:
+            yield from pairs_of(*held)
 
     return meet
 
 
-def _crowd_meetings(similarity: float, last: bool):
-    """Of (token, id, n, pos, print, root) sorted by token: pairs with different roots that may be alike.
-
-    The rows outside a token's largest root are compared with each row of it if ``last``; else all rows with one of them."""
+def _star_meetings(similarity: float):
+    """Of (token, part, id, n, print, root) sorted by token and part: rows outside the part's largest root, or all of them, with the most typical one among them."""
 
     def meet(batches):
-        for token, ids, n, pos, prints, root in _whole_groups(batches):
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])).tolist()
+        for token, part, ids, n, prints, root in _whole_groups(batches, 2):
+            starts = _starts([token, part]).tolist()
             for low, high in zip(starts, [*starts[1:], len(token)], strict=True):
                 _, which, counts = np.unique(root[low:high], return_inverse=True, return_counts=True)
                 if len(counts) == 1:
                     continue
-                apart = low + np.flatnonzero(which != counts.argmax())
-                if last:
-                    for u in apart.tolist():
-                        s = slice(low, high)
-                        ok = (root[s] != root[u]) & _may_be_alike(n[s], pos[s], n[u], pos[u], similarity)
-                        yield _pairs(ids[s][ok], np.full(int(ok.sum()), ids[u]))
-                else:
-                    among = apart if counts.max() > 1 else np.arange(low, high)
-                    r = among[medoid(prints[among].view(np.uint64))]
-                    ok = (root[low:high] != root[r]) & _may_be_alike(n[low:high], 0, n[r], 0, similarity)
-                    yield _pairs(ids[low:high][ok], np.full(int(ok.sum()), ids[r]))
+                among = low + np.flatnonzero(which != counts.argmax()) if counts.max() > 1 else np.arange(low, high)
+                r = among[medoid(prints[among].view(np.uint64))]
+                ok = (root[low:high] != root[r]) & _may_be_alike(n[low:high], 0, n[r], 0, similarity)
+                yield _pairs(ids[low:high][ok], np.full(int(ok.sum()), ids[r]))
+
+    return meet
+
+
+def _block_meetings(similarity: float):
+    """Of (token, part, slice, outside, id, n, pos, root) sorted by the first four: each row outside the token's largest root with each other one, of different roots."""
+
+    def meet(batches):
+        for token, part, piece, outside, ids, n, pos, root in _whole_groups(batches, 3):
+            starts = _starts([token, part, piece]).tolist()
+            for low, high in zip(starts, [*starts[1:], len(token)], strict=True):
+                middle = low + int(np.searchsorted(outside[low:high], 1))
+                s = slice(low, middle)
+                for u in range(middle, high):
+                    ok = (root[s] != root[u]) & _may_be_alike(n[s], pos[s], n[u], pos[u], similarity)
+                    yield _pairs(ids[s][ok], np.full(int(ok.sum()), ids[u]))
 
     return meet
 
 
-def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, id_col: str, text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max_bits: int = 2, id_col: str, text_col: str = "text") -> DataFrame:
     """(id, first_id) of those rows that are near copies of a row with a lesser id: first_id is the least id of the row's group.
 
     A group is connected by links of rows whose sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``;
-    texts with the same words are always linked.  No link is lost: sets alike enough share one of their first shingles in any
-    common order, so all rows that share one are candidates, and each is verified on the whole texts.  A shingle
-    that over CROWD rows share is resolved by steps: its rows are compared with the one whose SimHash is nearest to the majority of theirs, and at last
-    each row that isn't linked to the shingle's largest group with every row of it.
-    ``id_col`` holds different bigints without nulls.  Null and empty texts are alike.
+    texts with the same words are always linked.  Candidates are texts whose SimHash fingerprints meet at an anchor within ``max_bits``
+    bits and, since alike texts may differ in more bits than any covering can afford, all that share one of their first shingles in a common order:
+    sets alike enough do, so no link is lost.  Each candidate is verified on the whole texts.  A shingle that over CROWD rows share is
+    resolved by steps, in blocks of some BLOCK_ROWS: its rows are compared with the one whose SimHash is nearest to the majority of theirs (first for each
+    row's first crowded shingle, then for all), and at last each row that isn't linked to the shingle's largest group with every row of it.
+    ``id_col`` holds different bigints without nulls.  Null, empty and wordless texts are alike.  Other columns are ignored.  An empty table gives an empty one.
     """
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
 
@@ -327,19 +376,28 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, id_
                     w = (t or b"").lower().split()
                     h = shingle_hashes(w, words)
                     shingles = np.unique(h)
-                    rows.append((xxhash.xxh3_128_hexdigest(b" ".join(w)), np.uint64(majority(h)).view(np.int64), len(shingles), prefix(shingles, common, weight, similarity).view(np.int64)))
+                    rows.append((xxhash.xxh3_128_digest(b" ".join(w)), np.uint64(majority(h)).view(np.int64), len(shingles), prefix(shingles, common, weight, similarity).view(np.int64)))
                 same, prints, n, tokens = zip(*rows, strict=True)
                 ends = np.cumsum([0, *map(len, tokens)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.string()), pa.array(prints, pa.int64()), pa.array(n, pa.int64()), lists], names=["id", "same", "print", "n", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.binary()), pa.array(prints, pa.int64()), pa.array(n, pa.int32()), lists], names=["id", "same", "print", "n", "tokens"])
 
-    rows = written(given.mapInArrow(make, "id long, same string, print long, n long, tokens array<long>"), "prefixes")
+    rows = written(given.mapInArrow(make, "id long, same binary, print long, n int, tokens array<long>"), "prefixes")
     reps = checkpoint(rows.groupBy("same").agg(F.min("id").alias("id")))
-    tokens = rows.join(reps.select("id"), "id", "left_semi").select("id", "n", "print", F.posexplode("tokens").alias("pos", "token"))
-    tokens = written(tokens.select("token", "id", "n", F.col("pos").cast("long").alias("pos"), "print"), "shingles")
-    by_token = lambda df: df.repartition("token").sortWithinPartitions("token")
-    crowds = tokens.groupBy("token").agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD).select("token")
-    crowded = written(tokens.join(crowds, "token"), "crowded")
+    first = rows.join(reps.select("id"), "id", "left_semi")
+    tokens = first.select("id", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "id", "n", "pos")
+    met = written(tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_meetings(similarity), _MEETINGS), "meetings")
+    crowds = met.where("b is null").select("token", F.col("a").alias("id"), "n", "pos")
+
+    firsts = checkpoint(first.select("id", "print"))
+    # SimHash: texts of one fingerprint with the first of them, and those first ones where fingerprints meet at an anchor
+    heads = checkpoint(firsts.groupBy("print").agg(F.min("id").alias("head")))
+    same_print = firsts.join(heads, "print").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
+    met_prints = fingerprint_links(heads.select("print"), max_bits)
+    at_anchors = met_prints.join(heads.select(F.col("print").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("print").alias("b"), F.col("head").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = checkpoint(met.where("b is not null").select("a", "b").unionByName(same_print).unionByName(at_anchors).distinct())
+    seen = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowds.select("id")).distinct())
+    texts = written(given.join(few(seen), "id", "left_semi"), "candidates")
 
     def verify(batches):
         known, held = {}, 0
@@ -359,17 +417,33 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, id_
             keep = [jaccard(shingles(x), shingles(y)) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], names=["a", "b"])
 
-    def verified(pairs):
-        links = checkpoint(pairs.distinct())
-        texts = given.join(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    def verified(links):
         both = links.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
         return checkpoint(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
-    alike = verified(by_token(tokens.select("token", "id", "n", "pos")).mapInArrow(_meetings(similarity), "a long, b long"))
+    alike = verified(pairs)
     roots_ = components(alike)
-    for k in range(STAR_ROUNDS + 1 if not crowded.isEmpty() else 0):
-        placed = crowded.join(roots_.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", "print", F.coalesce("root", "id").alias("root"))
-        alike = alike.unionByName(verified(by_token(placed).mapInArrow(_crowd_meetings(similarity, k == STAR_ROUNDS), "a long, b long")))
-        roots_ = components(alike)
+    steps = ("first", "all", "blocks") if not crowds.isEmpty() else ()
+    for step in steps:
+        mine = crowds if step != "first" else crowds.groupBy("id").agg(F.min_by(F.struct("token", "n", "pos"), F.struct("pos", "token")).alias("x")).select("id", "x.*")
+        placed = checkpoint(mine.join(roots_.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", F.coalesce("root", "id").alias("root")))
+        # of shingles whose rows aren't all linked: the largest root, all rows, and those outside it
+        counted = placed.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("big"), F.sum("c").alias("rows"), (F.sum("c") - F.max("c")).alias("others")).where("others > 0")
+        parts = lambda x: F.ceil(F.col(x) / BLOCK_ROWS).cast("long")
+        part = lambda x: F.pmod(F.xxhash64("id"), F.col(x))
+        left = placed.join(few(checkpoint(counted.select("token", "big", parts("rows").alias("parts"), parts("others").alias("slices")))), "token")
+        if step == "blocks":
+            own = left.select("token", part("parts").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("outside"), "id", "n", "pos", "root")
+            others = left.where("root <> big").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), part("slices").alias("slice"), F.lit(1).alias("outside"), "id", "n", "pos", "root")
+            key = ["token", "part", "slice"]
+            links = own.unionByName(others).repartition(*key).sortWithinPartitions(*key, "outside").mapInArrow(_block_meetings(similarity), "a long, b long")
+        else:
+            key = ["token", "part"]
+            stars = left.join(firsts, "id").select("token", part("parts").alias("part"), "id", "n", "print", "root")
+            links = stars.repartition(*key).sortWithinPartitions(*key).mapInArrow(_star_meetings(similarity), "a long, b long")
+        links = checkpoint(links.distinct())
+        if not links.isEmpty():
+            alike = alike.unionByName(verified(links))
+            roots_ = components(alike)
     classes = reps.select("same", F.col("id").alias("node")).join(roots_, "node", "left").select("same", F.coalesce("root", "node").alias("first_id"))
     return rows.select("id", "same").join(classes, "same").where("id <> first_id").select(F.col("id").alias(id_col), "first_id")
