@@ -210,11 +210,43 @@ def test_toxicity_learns_and_holds_out(spark):
     assert (none.score == 0).all()
 
 
-def test_models_are_distributions():
-    m = toxicity.Models([("ab", 20, 2), ("ac", 5, 40), ("b", 9, 0)], (34, 42))
+def test_class_models_by_definition():
+    words = {"ab": (20, 2), "ac": (5, 40), "b": (9, 0), "abab": (1, 1), "zzz": (0, 7)}
+    marked = {"^" + w + "$": n for w, n in words.items()}
+    grams = defaultdict(lambda: [0, 0])
+    for w, n in words.items():
+        for g in toxicity.grams_of(w):
+            for c in (0, 1):
+                grams[g][c] += n[c]
+    totals = tuple(sum(n[c] for n in words.values()) for c in (0, 1))
+    taken = tuple(sum(min(n[c], 3.0) for n in words.values()) for c in (0, 1))
+    m = toxicity.Models({w: n for w, n in words.items() if max(n) > 3}, {g: tuple(n) for g, n in grams.items()}, totals, taken)
+    letters = sorted({x for w in marked for x in w[1:]})
+
+    def before(s):
+        """Different letters before a stretch of a word, among those a gram of five letters can see."""
+        return {w[i - 1] for w in marked for i in range(1, len(w)) if w.startswith(s, i)}
+
+    def shared(ctx, ch):
+        below = shared(ctx[1:], ch) if ctx else 1 / (len(letters) + 1)
+        sums = {x: len(before(ctx + x)) for x in letters}
+        total = sum(sums.values())
+        return (max(sums.get(ch, 0) - 0.75, 0) + 0.75 * sum(v > 0 for v in sums.values()) * below) / total if total else below
+
+    def letter(ctx, ch, c):
+        full = {x: sum(n[c] for w, n in marked.items() for i in range(1, len(w)) if w[max(0, i - 4) : i + 1] == ctx + x) for x in letters}
+        total = sum(full.values())
+        return (max(full.get(ch, 0) - 5, 0) + sum(min(v, 5) for v in full.values()) * shared(ctx[1:], ch)) / total if total else shared(ctx[1:], ch)
+
     for c in (0, 1):
-        letters = ["a", "b", "c", "$", "?"]
-        assert abs(sum(math.exp(m._letter("^" + x)[c]) for x in letters) - 1) < 1e-9
+        assert abs(sum(letter("^a", x, c) for x in [*letters, "?"]) - 1) < 1e-9
+        for w in ("ab", "ac", "b", "abab", "zzz", "abc", "new"):
+            s = "^" + w + "$"
+            spelled = math.prod(letter(s[max(0, i - 4) : i], s[i], c) for i in range(1, len(s)))
+            want = max(words.get(w, (0, 0))[c] - 3, 0) / totals[c] + taken[c] / totals[c] * spelled
+            assert abs(m.logs(w)[c] - math.log(want)) < 1e-9
+    ratio = lambda w: math.exp(min(10.0, m.logs(w)[1] - m.logs(w)[0]))
+    assert abs(m.compare(b"AB, zzz new") - sum(math.log(0.98 + 0.02 * ratio(w)) for w in ("ab", "zzz", "new")) / 3) < 1e-9 and m.compare(None) == 0
 
 
 def test_quality_counts(spark):
