@@ -2,7 +2,7 @@
 
 A text's paragraphs are its lines; sections are runs of paragraphs that end where a paragraph's digest
 begins with the digit 0 (about one in 16), so an edit moves no section border but its own.  Leaves are the stretches of a paragraph
-that end at a mark before a space or after eight words.  A node's digest is that of its children's; the root's is the document's.
+that end with a word with a mark at its end, or after eight words.  A node's digest is that of its children's; the root's is the document's.
 
 A fingerprint is text: ``root:sections:leaves``, digests of 16, 8 and 8 hex digits (16 within the tree).  Roots test equality; sections that
 differ locate the branches, and leaves that differ locate the edits.  Likeness is the share of leaves that two trees have in common
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint
 
-#: A leaf ends after a sign that is no plain letter or digit, before a space, and after eight words.
-LEAF_ENDS = "([^a-zA-Z0-9 ]) "
-LEAF_WORDS = "((?:[^ \u0001]+ ){7}[^ \u0001]+) "
+#: A leaf: up to seven words that end with a plain letter or digit, and one more word of any kind, with the spaces after them.
+LEAF = "(?:[^ ]*[a-zA-Z0-9] ){0,7}(?:[^ ]+ ?| )"
 #: Hex digits of inner digests, and of those in a fingerprint's lists.
 DIGITS, SHOWN = 16, 8
 #: The key of null ids: before all others.
@@ -29,15 +28,27 @@ def _digest(x: Column) -> Column:
     return F.substring(F.sha2(x.cast("binary"), 256), 1, DIGITS)
 
 
-def tree(text: Column) -> Column:
-    """struct(root string, sections array<string>, leaves array<string>) of a text; a null text's is that of the empty one."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    leaves = F.transform(lines, lambda line: F.transform(F.split(F.regexp_replace(F.regexp_replace(line, LEAF_ENDS, "$1\u0001 "), LEAF_WORDS, "$1\u0001 "), "\u0001", -1), _digest))
-    paragraphs = F.transform(leaves, lambda inner: _digest(F.array_join(inner, "")))
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def leaves_of(text: Column) -> Column:
+    """Digests of each line's leaves; a line without text has none."""
+    return F.transform(F.split(text, "\n", -1), lambda line: F.transform(F.regexp_extract_all(line, F.lit(LEAF), F.lit(0)), _digest))
+
+
+def tree_of(lines: Column) -> Column:
+    """struct(root string, sections array<string>, leaves array<string>) over the leaves of a text's lines."""
     # borders after paragraphs whose digest begins with 0; split drops them into sections in one pass
-    sections = F.transform(F.split(F.regexp_replace(F.array_join(paragraphs, " "), r"\b(0[0-9a-f]{15}) ", "$1\n"), "\n", -1), _digest)
-    root = _digest(F.array_join(sections, ""))
-    return F.struct(root.alias("root"), sections.alias("sections"), F.flatten(leaves).alias("leaves"))
+    paragraphs = F.array_join(F.transform(lines, lambda inner: _digest(F.array_join(inner, ""))), " ")
+    sections = F.transform(F.split(F.regexp_replace(paragraphs, r"\b(0[0-9a-f]{15}) ", "$1\n"), "\n", -1), _digest)
+    return _once(sections, lambda found: F.struct(_digest(F.array_join(found, "")).alias("root"), found.alias("sections"), F.flatten(lines).alias("leaves")))
+
+
+def tree(text: Column) -> Column:
+    """The tree of a text; a null text's is that of the empty one."""
+    return _once(leaves_of(F.coalesce(text, F.lit(""))), tree_of)
 
 
 def fingerprint_of(nodes: Column) -> Column:
@@ -49,7 +60,7 @@ def likeness(a: Column, b: Column) -> Column:
     """Share of their different leaves that two trees (structs) have in common (Dice); 1 for equal roots."""
     common = F.size(F.array_intersect(a["leaves"], b["leaves"]))
     both = F.size(F.array_distinct(a["leaves"])) + F.size(F.array_distinct(b["leaves"]))
-    return F.when(a["root"] == b["root"], 1.0).otherwise(2 * common / both)
+    return F.when(a["root"] == b["root"], 1.0).when(both == 0, 0.0).otherwise(2 * common / F.greatest(both, F.lit(1)))
 
 
 def differing_sections(a: Column, b: Column) -> Column:
@@ -89,7 +100,11 @@ def merkle_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     both = base.join(after, "key")
     n = F.char_length("t")
     quarter = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring(F.col("t"), F.lit(1), n - quarter), F.substring(F.col("next_t"), F.lit(1), quarter))
-    trees = both.select("key", n.cast("long").alias("n_chars"), edited.alias("e"), "t", "next_t").select("key", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"), tree(F.col("t")).alias("own"), tree(F.col("e")).alias("other"), tree(F.col("next_t")).alias("follower"))
+    kept, tail = F.substring(F.col("t"), F.lit(1), n - quarter), F.substring(F.col("next_t"), F.lit(1), quarter)
+    parts = both.select("key", n.cast("long").alias("n_chars"), kept.alias("kept"), tail.alias("tail"), leaves_of(F.col("t")).alias("lines"), tree(F.col("next_t")).alias("follower"))
+    # lines before the one that the edit begins in keep their leaves
+    same = F.size(F.split("kept", "\n", -1)) - 1
+    changed = leaves_of(F.concat(F.substring_index("kept", "\n", -1), "tail"))
+    trees = parts.select("key", "n_chars", F.sha2(F.concat("kept", "tail").cast("binary"), 256).alias("edited_sha256"), tree_of(F.col("lines")).alias("own"), _once(F.concat(F.slice("lines", F.lit(1), same), changed), tree_of).alias("other"), "follower")
     own, other, follower = F.col("own"), F.col("other"), F.col("follower")
     return trees.select(F.nullif(F.col("key"), F.lit(LOWEST)).cast(kind).alias(id_col), "n_chars", "edited_sha256", fingerprint_of(own).alias("fingerprint"), fingerprint_of(other).alias("edited_fingerprint"), likeness(own, other).alias("near_edited"), likeness(own, follower).alias("near_next"))

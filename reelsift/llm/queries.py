@@ -130,14 +130,14 @@ least AS (SELECT key AS next_key, min(t) AS next_t FROM base GROUP BY key),
 parts AS (SELECT rid, doc_id, t, next_t, CAST(length(t) AS BIGINT) AS n, CAST(length(t) // 4 AS BIGINT) AS q FROM base JOIN following USING (key) JOIN least USING (next_key)),
 edits AS (SELECT *, substring(t, 1, n - q) || substring(next_t, 1, q) AS e FROM parts),
 texts AS (SELECT rid, 0 AS k, t AS x FROM edits UNION ALL SELECT rid, 1, e FROM edits UNION ALL SELECT rid, 2, next_t FROM edits),
-leaves AS (SELECT rid, k, list_transform(string_split(x, chr(10)), lambda l: list_transform(string_split(regexp_replace(regexp_replace(l, '([^a-zA-Z0-9 ]) ', '\\1' || chr(1) || ' ', 'g'), '((?:[^ \\x01]+ ){7}[^ \\x01]+) ', '\\1' || chr(1) || ' ', 'g'), chr(1)), lambda y: substring(sha256(y), 1, 16))) AS leaves FROM texts),
+leaves AS (SELECT rid, k, list_transform(string_split(x, chr(10)), lambda l: list_transform(regexp_extract_all(l, '(?:[^ ]*[a-zA-Z0-9] ){0,7}(?:[^ ]+ ?| )'), lambda y: substring(sha256(y), 1, 16))) AS leaves FROM texts),
 paragraphs AS (SELECT *, list_transform(leaves, lambda l: substring(sha256(array_to_string(l, '')), 1, 16)) AS paragraphs FROM leaves),
 sections AS (SELECT rid, k, flatten(leaves) AS leaves, list_transform(string_split(regexp_replace(array_to_string(paragraphs, ' '), '\\b(0[0-9a-f]{15}) ', '\\1' || chr(10), 'g'), chr(10)), lambda s: substring(sha256(s), 1, 16)) AS sections FROM paragraphs),
 trees AS (SELECT rid, k, leaves, substring(sha256(array_to_string(sections, '')), 1, 16) AS root, sections FROM sections),
 shown AS (SELECT *, root || ':' || array_to_string(list_transform(sections, lambda d: substring(d, 1, 8)), '') || ':' || array_to_string(list_transform(leaves, lambda d: substring(d, 1, 8)), '') AS f FROM trees)
 SELECT d.doc_id, d.n AS n_chars, sha256(d.e) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint,
-  CASE WHEN a.root = b.root THEN 1.0::DOUBLE ELSE (2 * len(list_intersect(a.leaves, b.leaves)))::DOUBLE / (len(list_distinct(a.leaves)) + len(list_distinct(b.leaves)))::DOUBLE END AS near_edited,
-  CASE WHEN a.root = c.root THEN 1.0::DOUBLE ELSE (2 * len(list_intersect(a.leaves, c.leaves)))::DOUBLE / (len(list_distinct(a.leaves)) + len(list_distinct(c.leaves)))::DOUBLE END AS near_next
+  CASE WHEN a.root = b.root THEN 1.0::DOUBLE ELSE (2 * len(list_intersect(a.leaves, b.leaves)))::DOUBLE / greatest(len(list_distinct(a.leaves)) + len(list_distinct(b.leaves)), 1)::DOUBLE END AS near_edited,
+  CASE WHEN a.root = c.root THEN 1.0::DOUBLE ELSE (2 * len(list_intersect(a.leaves, c.leaves)))::DOUBLE / greatest(len(list_distinct(a.leaves)) + len(list_distinct(c.leaves)), 1)::DOUBLE END AS near_next
 FROM edits d JOIN shown a ON a.rid = d.rid AND a.k = 0 JOIN shown b ON b.rid = d.rid AND b.k = 1 JOIN shown c ON c.rid = d.rid AND c.k = 2
 """
 
