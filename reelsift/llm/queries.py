@@ -53,9 +53,9 @@ def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each part: its text's characters and sha256, its turns, and its trained spans."""
-    from .preference import format_preferences, reply_pairs
+    from .preference import format_marked, reply_pairs
 
-    parts = format_preferences(*reply_pairs(table(spark, sf_dir, "conversations")))
+    parts = format_marked(reply_pairs(table(spark, sf_dir, "conversations")))
     spans = F.array_join(F.transform("trained_spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return parts.select(F.col("pair").alias("conv_id"), "side", "part", "n_turns", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), spans.alias("trained_spans"))
 
