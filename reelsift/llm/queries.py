@@ -34,14 +34,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .token_files import LOWEST, read_documents, scratch_path, write_token_files
+    from .token_files import LOWEST, keys_of, read_documents, scratch_path, write_token_files
 
     docs, path = table(spark, sf_dir, "documents"), scratch_path(spark)
     write_token_files(docs, vocabulary("byte_bpe_50k.json"), path, end_id=2)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("key")
-    copies = docs.groupBy(key).agg(F.count("*").alias("c"))
-    keys = copies.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)).alias("occurrence"))
-    found = read_documents(keys, path)
+    found = read_documents(keys_of(docs), path)
     return found.select(F.nullif(F.col("key"), F.lit(LOWEST)).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 

@@ -6,7 +6,7 @@ executors, and work on any store Spark can reach):
 ``shards``  shard long, n_records, n_tokens long, payload binary: raw little-endian ids, two bytes
             each where the vocabulary allows it and four otherwise.  Shards follow each other
             in ascending document order: by the upper 31 bits (range) and the lower 32 (order).
-``ranges``  range int, first_token long: ids before the range.
+``ranges``  range int, first_token, first_key, before long: ids before the range; its first key, and the rows of that key in ranges before it.
 ``index``   part int, n_keys long, levels/bits/prints/shards/at/n/start binary: a minimal perfect
             hash over the document keys of that part.
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scan_bytes, shared_dir
+from .common import checkpoint, few, scan_bytes, shared_dir, written
 from .pieces import encoder
 
 #: Payload bytes of a shard; a shard ends with the document that reaches them.
@@ -37,6 +37,10 @@ SHARD_BYTES = 4 << 20
 PART_KEYS = 1 << 16
 #: Text bytes that a range of documents should have.
 RANGE_BYTES = 32 << 20
+#: Index parts and shards that are asked for by name at most, so that no other is read; more are met by a join.
+NAMED = 200
+#: Rows that a repeated id is asked for at a time.
+ASKED = 1 << 16
 #: The key of null ids.
 LOWEST = -(1 << 63)
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -111,7 +115,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
     """Write the ids of ``docs`` and the index under ``path``.
 
     Ids are bigint or narrower.  Null ids are filed first, under the smallest bigint; null texts count
-    as empty and give the end id alone.  Rows of one id are filed in the order of their texts.
+    as empty and give the end id alone.  Rows of one id are filed in the order of their texts' hashes, and may spread over ranges.
     Other columns are ignored.  An empty table gives empty tables.
     """
     spark = docs.sparkSession
@@ -120,15 +124,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
     known = scan_bytes(docs)
     n_ranges = max(1, -(-2 * known // RANGE_BYTES)) if known < 1 << 50 else int(spark.conf.get("spark.sql.shuffle.partitions"))
     # dealt and sorted before encoding: the range sample then reads texts, and encodes none twice
-    ordered = given.repartitionByRange(n_ranges, "key").sortWithinPartitions("key", "t").select(F.spark_partition_id().alias("range"), "key", "t")
+    by = ("key", "h", "row")
+    ordered = given.withColumns({"h": F.xxhash64("t"), "row": F.monotonically_increasing_id()}).repartitionByRange(n_ranges, *by).sortWithinPartitions(*by).select(F.spark_partition_id().alias("range"), "key", "t")
 
     def shards(batches):
         enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         width = 2 if max(enc.n_ids, end_id + 1) <= 1 << 16 else 4
         made, size, keys, seen, counts, payload, last, nth = 0, 0, [], [], [], [], None, 0
         row = lambda: pa.RecordBatch.from_pydict(
-            {"shard": [(where << 32) | made], "range": [where], "n_tokens": [sum(counts)], "width": [width], "keys": [np.array(keys, dtype="<i8").tobytes()], "occurrences": [np.array(seen, dtype="<i8").tobytes()], "counts": [np.array(counts, dtype="<i8").tobytes()], "payload": [b"".join(payload)]},
-            schema=pa.schema([("shard", pa.int64()), ("range", pa.int32()), ("n_tokens", pa.int64()), ("width", pa.int32()), ("keys", pa.binary()), ("occurrences", pa.binary()), ("counts", pa.binary()), ("payload", pa.binary())]),
+            {"shard": [(where << 32) | made], "range": [where], "n_tokens": [sum(counts)], "width": [width], "first_key": [keys[0]], "last_key": [keys[-1]], "last_seen": [seen[-1] + 1], "keys": [np.array(keys, dtype="<i8").tobytes()], "occurrences": [np.array(seen, dtype="<i8").tobytes()], "counts": [np.array(counts, dtype="<i8").tobytes()], "payload": [b"".join(payload)]},
+            schema=pa.schema([("shard", pa.int64()), ("range", pa.int32()), ("n_tokens", pa.int64()), ("width", pa.int32()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("last_seen", pa.int64()), ("keys", pa.binary()), ("occurrences", pa.binary()), ("counts", pa.binary()), ("payload", pa.binary())]),
         )
         where = 0
         for batch in batches:
@@ -149,27 +154,30 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
         if keys:
             yield row()
 
-    made = ordered.mapInArrow(shards, "shard long, range int, n_tokens long, width int, keys binary, occurrences binary, counts binary, payload binary")
+    made = ordered.mapInArrow(shards, "shard long, range int, n_tokens long, width int, first_key long, last_key long, last_seen long, keys binary, occurrences binary, counts binary, payload binary")
     made.write.option("compression", "zstd").parquet(f"{path}/shards")
 
     stored = spark.read.parquet(f"{path}/shards")
     # one row per range: bounded by the number of tasks, not by rows
-    sums = stored.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect()
-    firsts, at = [], 0
+    sums = stored.groupBy("range").agg(F.sum("n_tokens").alias("n"), F.min_by("first_key", "shard").alias("low"), F.max_by("last_key", "shard").alias("high"), F.max_by("last_seen", "shard").alias("rows")).collect()
+    firsts, at, last, rows = [], 0, None, 0
     for r in sorted(sums, key=lambda r: r["range"]):
-        firsts.append((r["range"], at))
+        firsts.append((r["range"], at, r["low"], rows if r["low"] == last else 0))
         at += r["n"]
-    spark.createDataFrame(firsts, "range int, first_token long").coalesce(1).write.parquet(f"{path}/ranges")
+        rows = r["rows"] + (rows if r["high"] == last else 0)
+        last = r["high"]
+    spark.createDataFrame(firsts, "range int, first_token long, first_key long, before long").coalesce(1).write.parquet(f"{path}/ranges")
 
     def records(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 keys, seen, counts = (np.frombuffer(r[x], dtype="<i8") for x in ("keys", "occurrences", "counts"))
+                seen = seen + np.where(keys == r["first_key"], r["before"], 0)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(seen), pa.array(np.full(len(keys), r["shard"])), pa.array(np.cumsum(counts) - counts), pa.array(counts), pa.array(np.full(len(keys), r["start"]) + np.cumsum(counts) - counts)], names=["key", "occurrence", "shard", "at", "n", "start"])
 
     # ids before each shard: a running sum in a range of shards
-    heads = stored.select("shard", "range", "n_tokens").withColumn("before", F.sum("n_tokens").over(Window.partitionBy("range").orderBy("shard")) - F.col("n_tokens"))
-    starts = heads.join(spark.read.parquet(f"{path}/ranges"), "range").select("shard", (F.col("first_token") + F.col("before")).alias("start"))
+    heads = stored.select("shard", "range", "n_tokens").withColumn("ids_before", F.sum("n_tokens").over(Window.partitionBy("range").orderBy("shard")) - F.col("n_tokens"))
+    starts = heads.join(spark.read.parquet(f"{path}/ranges"), "range").select("shard", (F.col("first_token") + F.col("ids_before")).alias("start"), "first_key", "before")
     filed = stored.select("shard", "keys", "occurrences", "counts").join(starts, "shard").mapInArrow(records, "key long, occurrence long, shard long, at long, n long, start long")
     n_keys = stored.select(F.sum(F.octet_length("counts") / 8)).first()[0] or 0
     parts = max(1, round(n_keys / PART_KEYS))
@@ -187,6 +195,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
     spark.createDataFrame([(parts,)], "parts int").coalesce(1).write.parquet(f"{path}/about")
 
 
+def _asked_for(table: DataFrame, column: str, asked: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose ``column`` is in ``asked`` (that column, different values, checkpointed); of few values by name, so that the scan reads no others."""
+    named = [r[0] for r in asked.limit(NAMED + 1).collect()]
+    return table.where(F.col(column).isin(named)) if len(named) <= NAMED else table.join(few(asked), column, "left_semi")
+
+
 def look_up(keys: DataFrame, path: str) -> DataFrame:
     """(key, occurrence, shard, at, n, start) of those (key, occurrence) rows of ``keys`` that are in the files.
 
@@ -207,7 +221,7 @@ def look_up(keys: DataFrame, path: str) -> DataFrame:
         return pd.DataFrame({"key": k[known], "occurrence": seen[known]} | {to: np.frombuffer(entry[x], dtype="<i8")[slot] for to, x in (("shard", "shards"), ("at", "at"), ("n", "n"), ("start", "start"))})
 
     asked = keys.select("key", "occurrence").withColumn("part", _part(parts))
-    held = spark.read.parquet(f"{path}/index")
+    held = _asked_for(spark.read.parquet(f"{path}/index"), "part", checkpoint(asked.select("part").distinct()))
     return asked.groupBy("part").cogroup(held.groupBy("part")).applyInPandas(find, "key long, occurrence long, shard long, at long, n long, start long")
 
 
@@ -215,7 +229,7 @@ def read_documents(keys: DataFrame, path: str, *, with_ids: bool = False) -> Dat
     """(key, occurrence, start, n_tokens, ids_crc32[, ids]) of the asked documents, read from their shards by offset.
 
     start: ids of all documents before it; ids_crc32: of its ids as little-endian unsigned 32-bit
-    integers; ids: those bytes.
+    integers; ids: those bytes.  Only shards and index parts with an asked key are read.
     """
     spark = keys.sparkSession
     names = ["key", "occurrence", "start", "n_tokens", "ids_crc32", "ids"]
@@ -227,11 +241,20 @@ def read_documents(keys: DataFrame, path: str, *, with_ids: bool = False) -> Dat
         raw = [np.frombuffer(payload, dtype=f"<u{width}", count=n, offset=at * width).astype("<u4").tobytes() for at, n in zip(asked["at"], asked["n"], strict=True)]
         return pd.DataFrame({"key": asked["key"], "occurrence": asked["occurrence"], "start": asked["start"], "n_tokens": asked["n"], "ids_crc32": [zlib.crc32(x) for x in raw], "ids": raw if with_ids else None})
 
-    held = spark.read.parquet(f"{path}/shards").select("shard", "width", "payload")
-    found = look_up(keys, path).groupBy("shard").cogroup(held.groupBy("shard")).applyInPandas(fetch, "key long, occurrence long, start long, n_tokens long, ids_crc32 long, ids binary")
+    placed = written(look_up(keys, path), "asked")
+    held = _asked_for(spark.read.parquet(f"{path}/shards").select("shard", "width", "payload"), "shard", checkpoint(placed.select("shard").distinct()))
+    found = placed.groupBy("shard").cogroup(held.groupBy("shard")).applyInPandas(fetch, "key long, occurrence long, start long, n_tokens long, ids_crc32 long, ids binary")
     return found if with_ids else found.drop("ids")
 
 
+def keys_of(docs: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """(key, occurrence) of each row of ``docs``; an id of many rows is counted out ASKED at a time, so no array holds them all."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("key")
+    begin = F.sequence(F.lit(0).cast("long"), F.col("c") - 1, F.lit(ASKED).cast("long"))
+    blocks = docs.groupBy(key).agg(F.count("*").alias("c")).select("key", "c", F.explode(begin).alias("a"))
+    return blocks.select("key", F.explode(F.sequence("a", F.least(F.col("a") + ASKED, F.col("c")) - 1)).alias("occurrence"))
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new folder for token files in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"

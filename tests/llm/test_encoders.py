@@ -48,32 +48,40 @@ def test_perfect_hash():
     assert len(token_files.PerfectHash.build(keys[:0], seen[:0]).slots(keys[:3], seen[:3])) == 3
 
 
-def test_token_files_round_trip(spark, tmp_path):
-    texts, path = ODD + ODD[:3], str(tmp_path / "files")
-    docs = rows(spark, texts, extra=True).selectExpr("case when doc_id = 5 then null when doc_id > 25 then 3 else doc_id end as doc_id", "text", "k")
+def test_token_files_round_trip(spark, tmp_path, monkeypatch):
+    # small shards and ranges, so that the repeated ids span several
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 300)
+    monkeypatch.setattr(token_files, "RANGE_BYTES", 3000)
+    texts, path = ODD + ODD[:3] + ["again and again"] * 70 + [f"again {i}" for i in range(40)], str(tmp_path / "files")
+    docs = rows(spark, texts, extra=True).selectExpr("case when doc_id = 5 then null when doc_id > 25 then 3 else doc_id end as doc_id", "text", "k").repartition(3)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
     token_files.write_token_files(docs, P.path("byte_bpe_50k.json"), path)
+    assert spark.read.parquet(f"{path}/ranges").where("before > 0").count() > 0
     enc = PieceEncoder(P.path("byte_bpe_50k.json"))
-    filed = sorted(((token_files.LOWEST if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in docs.collect()))
+    filed = sorted((token_files.LOWEST if r["doc_id"] is None else r["doc_id"], r["h"], r["text"] or "") for r in docs.selectExpr("*", "xxhash64(coalesce(text, '')) as h").collect())
     want, at, seen = {}, 0, {}
-    for key, text in filed:
+    for key, _, text in filed:
         ids = np.array([*enc.tokenizer.encode(text, add_special_tokens=False).ids, 2], dtype="<u4").tobytes()
         seen[key] = seen.get(key, -1) + 1
         want[key, seen[key]] = (at, len(ids) // 4, zlib.crc32(ids))
         at += len(ids) // 4
-    keys = spark.createDataFrame([*want, (12345, 0), (3, 99)], "key long, occurrence long")
-    got = {(r["key"], r["occurrence"]): (r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_files.read_documents(keys, path).collect()}
-    assert got == want
-
-
-def test_partition_fits_and_rises():
-    rng = np.random.default_rng(0)
-    for n in (1, 2, 7, 200):
-        sizes = rng.integers(1, 4096, n)
-        window = packing.partition(sizes, 4096)
-        assert np.bincount(window, weights=sizes).max() <= 4096
-    assert packing.partition(np.full(10, 2049), 4096).max() == 9
-    _, sums = packing.difference(np.array([8, 7, 6, 5, 4]), 2)
-    assert sorted(sums.tolist()) == [14, 16]  # the differencing result
+    monkeypatch.setattr(token_files, "ASKED", 7)
+    assert sorted((r["key"], r["occurrence"]) for r in token_files.keys_of(docs).collect()) == sorted(want)
+    strangers = spark.createDataFrame([(12345, 0), (3, 9999)], "key long, occurrence long")
+    told = lambda keys: {(r["key"], r["occurrence"]): (r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_files.read_documents(keys, path).collect()}
+    assert told(token_files.keys_of(docs).unionByName(strangers)) == want
+    one = spark.createDataFrame([(3, 60)], "key long, occurrence long")
+    assert told(one) == {(3, 60): want[3, 60]} and told(strangers) == {}
+    monkeypatch.setattr(token_files, "NAMED", 0)
+    assert told(one) == {(3, 60): want[3, 60]}
+
+
+def test_token_files_of_nothing(spark, tmp_path):
+    docs, path = rows(spark, ODD).limit(0), str(tmp_path / "none")
+    token_files.write_token_files(docs, P.path("byte_bpe_50k.json"), path)
+    assert token_files.read_documents(token_files.keys_of(docs), path).count() == 0
+    assert token_files.read_documents(spark.createDataFrame([(1, 0)], "key long, occurrence long"), path).count() == 0
 
 
 def plain_differencing(sizes, k):
