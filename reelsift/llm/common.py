@@ -45,6 +45,18 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
+#: Keys with more rows than the greater of this and a 100,000th of all rows are joined by broadcast: there are at most 100,000 of them.
+HOT_ROWS = 1000
+
+
+def joined_by(rows: DataFrame, told: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``told``, which has a row for each of their keys and its count of rows, ``n_rows`` (dropped); no key's rows meet in one task but for a bounded number of them."""
+    limit = max(HOT_ROWS, (told.agg(F.sum("n_rows")).first()[0] or 0) // 100_000)
+    hot, others = told.where(F.col("n_rows") > limit).drop("n_rows"), told.where(F.col("n_rows") <= limit).drop("n_rows")
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(cold.join(others, key))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, few, written
+from .common import checkpoint, few, joined_by, written
 from .components import components
 
 #: Different fingerprints that are compared with each other at an anchor.
@@ -179,13 +179,13 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, max_bits: int = 2, id_col
     are ignored.  An empty table gives an empty one.
     """
     rows = checkpoint(fingerprints(docs, words=words, id_col=id_col, text_col=text_col))
-    firsts = checkpoint(rows.groupBy("print").agg(F.min("id").alias("first_id")))
+    firsts = checkpoint(rows.groupBy("print").agg(F.min("id").alias("first_id"), F.count("*").alias("n_rows")))
     reached = components(fingerprint_links(firsts, max_bits)).withColumnRenamed("node", "print")
     linked = firsts.join(reached, "print")
     least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
     known = linked.join(least, "root").select("print", "least_id")
-    classes = firsts.join(known, "print", "left").select("print", F.coalesce("least_id", "first_id").alias("component_id"))
-    found = rows.join(classes, "print")
+    classes = checkpoint(firsts.join(known, "print", "left").select("print", F.coalesce("least_id", "first_id").alias("component_id"), "n_rows"))
+    found = joined_by(rows, classes, "print")
     return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -383,7 +383,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.binary()), pa.array(prints, pa.int64()), pa.array(n, pa.int32()), lists], names=["id", "same", "print", "n", "tokens"])
 
     rows = written(given.mapInArrow(make, "id long, same binary, print long, n int, tokens array<long>"), "prefixes")
-    reps = checkpoint(rows.groupBy("same").agg(F.min("id").alias("id")))
+    reps = checkpoint(rows.groupBy("same").agg(F.min("id").alias("id"), F.count("*").alias("n_rows")))
     first = rows.join(reps.select("id"), "id", "left_semi")
     tokens = first.select("id", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "id", "n", "pos")
     met = written(tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_meetings(similarity), _MEETINGS), "meetings")
@@ -445,5 +445,5 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
         if not links.isEmpty():
             alike = alike.unionByName(verified(links))
             roots_ = components(alike)
-    classes = reps.select("same", F.col("id").alias("node")).join(roots_, "node", "left").select("same", F.coalesce("root", "node").alias("first_id"))
-    return rows.select("id", "same").join(classes, "same").where("id <> first_id").select(F.col("id").alias(id_col), "first_id")
+    classes = checkpoint(reps.select("same", F.col("id").alias("node"), "n_rows").join(roots_, "node", "left").select("same", F.coalesce("root", "node").alias("first_id"), "n_rows"))
+    return joined_by(rows.select("id", "same"), classes, "same").where("id <> first_id").select(F.col("id").alias(id_col), "first_id")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from reelsift.llm import katz, merkle, preference, quality, simhash, toxicity
+from reelsift.llm import common, katz, merkle, preference, quality, simhash, toxicity
 from reelsift.llm.components import components
 
 NULLS = [(None, "orphan text"), (1, None), (2, ""), (3, "  \n ")]
@@ -140,6 +140,34 @@ def test_near_copies_against_brute_force(spark):
     assert {r["doc_id"]: r["first_id"] for r in got} == {i: f for i, f in enumerate(first) if i != f} and len(set(first)) > 1
 
 
+@pytest.mark.parametrize("crowd, block", [(64, 4096), (4, 3)])
+def test_near_copies_of_odd_rows(spark, monkeypatch, crowd, block):
+    """Null, empty, wordless, repeated and very long texts, other columns, and crowds and blocks of a few rows."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", block)
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    long = [word() for _ in range(60_000)]
+    rows = [(3, None), (1, ""), (2, " \n "), (5, None), (10, " ".join(long)), (11, " ".join(long[:50_000])), (12, " ".join(long[:30_000])), (20, "a b c"), (21, "A b\nc"), (22, "a b d")]
+    first = {2: 1, 3: 1, 5: 1, 11: 10, 21: 20}
+    base = [word() for _ in range(200)]
+    for i in range(30):  # one of each ten is like none but its own copy, yet has the rarest shingles of all
+        w = list(base)
+        if i % 10 == 0:
+            w[40:] = [word() for _ in range(160)]
+            rows.append((200 + i, " ".join([*w, "more"])))
+            first[200 + i] = 100 + i
+        else:
+            w[rng.randrange(200)] = word()
+            first |= {100 + i: 101} if i > 1 else {}
+        rows.append((100 + i, " ".join(w)))
+    docs = make(spark, rows).selectExpr("*", "1 as token", "'x' as same", "2 as id", "3 as t", "4 as n_rows")
+    got = simhash.near_copies(docs, id_col="doc_id").collect()
+    assert {r["doc_id"]: r["first_id"] for r in got} == first
+    assert simhash.near_copies(docs.limit(0), id_col="doc_id").count() == 0
+
+
 def test_katz_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(katz, "BLOCK_BYTES", 1500)
     monkeypatch.setattr(katz, "PART_KEYS", 60)
