@@ -61,20 +61,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Vocabularies and models that a Python worker keeps, the last used ones: workers outlive stages, and each has a cache of its own.
-RESIDENTS = 2
+#: Vocabularies and models that a Python worker keeps: workers outlive stages, so what another operator left goes first.
 _residents: dict = {}
 
 
-def resident(key, build):
-    """``build()``, kept for the next call with ``key`` in this Python process; what was used least lately goes."""
-    found = _residents.pop(key, None)
-    if found is None:
-        while len(_residents) >= RESIDENTS:
-            del _residents[next(iter(_residents))]
-        found = build()
-    _residents[key] = found
-    return found
+def resident(key, build, group=None):
+    """``build()``, kept in this Python process for the next call with ``key``; those of other groups (of other keys, without one) go."""
+    group = key if group is None else group
+    if key not in _residents:
+        for k in [k for k, (g, _) in _residents.items() if g != group]:
+            del _residents[k]
+        _residents[key] = (group, build())
+    return _residents[key][1]
+
+
+def forget() -> None:
+    """Frees what :func:`resident` keeps; for stages that need memory and no model."""
+    _residents.clear()
 
 
 def crc32_of(column) -> F.Column:

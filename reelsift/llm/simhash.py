@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, few, joined_by, written
+from .common import checkpoint, few, forget, joined_by, written
 from .components import components
 
 #: Different fingerprints that are compared with each other at an anchor.
@@ -193,7 +193,7 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, max_bits: int = 2, id_col
 
 #: Documents whose shingles are counted to tell common ones, documents of a common one among them, and common ones known at most.
 #: These only set the order that shingles are taken in; pairs are the same for any order.
-COUNTED, COMMON, MOST_COMMON = 20_000, 4, 200_000
+COUNTED, COMMON, MOST_COMMON = 10_000, 3, 200_000
 #: Rows of a crowded shingle that are compared in one block.
 BLOCK_ROWS = 4096
 #: Shingles of texts that a task of the verification remembers at most.
@@ -354,12 +354,15 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
 
     def count(batches):
+        forget()
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingle_hashes((t or b"").lower().split(), words)).view(np.int64))], names=["token"])
+            for at in range(0, batch.num_rows, 500):
+                found = [np.unique(shingle_hashes((t or b"").lower().split(), words)) for t in batch.column(0).slice(at, 500).to_pylist()]
+                tokens, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], names=["token", "n"])
 
-    every = max(1, given.count() // COUNTED)
-    counted = given.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("t").mapInArrow(count, "token long").groupBy("token").agg(F.count("*").alias("n"))
+    every = -(-given.count() // COUNTED) or 1
+    counted = given.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("t").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     known = counted.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow()
     common, weight = known.column(0).to_numpy().view(np.uint64), known.column(1).to_numpy()
     order = common.argsort()
@@ -368,6 +371,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     def make(batches):
         import xxhash
 
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)

@@ -177,7 +177,8 @@ def _built_once(key: str, shared, name: str) -> Models:
             counts.append({k: (a, b) for k, a, b in zip(keys, *two, strict=True) if a or b})
         return Models(*counts, *sums[name])
 
-    return resident(("toxicity", key, name), build)
+    # the two of the halves stay beside each other
+    return resident(("toxicity", key, name), build, ("toxicity", key, name == "both"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, max_rows: int = 6000, fold: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", carry: bool = False) -> DataFrame:
