@@ -2,7 +2,7 @@
 
 P(w | u) = d(r) r / c(u) where the pair was seen r times in training, else a(u) P(w); P(w) = d(c) c / N for known words,
 and the mass discounting leaves there is that of the one unknown word.  d are Good-Turing discounts (Katz 1987) for counts up to
-``LOW``, from the corpus' counts of counts; a(u) = (1 - sum of seen P(w | u)) / (1 - sum of seen P(w)), so each context's
+``LOW``, from the corpus' smoothed counts of counts; a(u) = (1 - sum of seen P(w | u)) / (1 - sum of seen P(w)), so each context's
 distribution sums to one exactly.
 
 All texts count and are scored; nothing is sampled or cut.  To keep the shuffles small, texts become blocks of a few
@@ -38,8 +38,10 @@ BLOCK_BYTES = 8 << 20
 PART_KEYS = 1 << 20
 #: Most contexts that are spread; bounds what the driver adds and broadcasts to some ten MB.
 HOT_CONTEXTS = 100_000
-#: Counts up to this one are discounted.
-LOW = 5
+#: Counts up to this one are discounted, by a line fitted to the counts of counts up to the other.
+LOW, FIT = 5, 40
+#: The line's slope where there is but one point, and the flattest one that leaves a discount.
+USUAL_SLOPE, FLATTEST = -2.0, -1.05
 START, END = 0, 1  # hashes of the two marks
 
 
@@ -65,16 +67,19 @@ def small(x: np.ndarray) -> np.ndarray:
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
-    """d(0..LOW) from counts of counts n(1..LOW+1): Good-Turing as in Katz; absolute discounting where those aren't usable."""
+    """d(0..LOW) from counts of counts n(1..FIT): Katz's, with Good-Turing's expected counts of counts smoothed as in Gale and Sampson's Simple Good-Turing.
+
+    A count's share is spread over the gap around it, and a line through log shares and log counts gives the expected ones,
+    n(r) ~ r**slope.  So discounts always are between 0 and 1, also where the counts of counts themselves rise or have gaps."""
+    seen = np.flatnonzero(np.asarray(n)) + 1
+    slope = USUAL_SLOPE
+    if len(seen) > 1:
+        before, after = np.concatenate([[0], seen[:-1]]), np.append(seen[1:], 2 * seen[-1] - seen[-2])
+        x, y = np.log(seen), np.log(2 * np.asarray(n, dtype=float)[seen - 1] / (after - before))
+        slope = min(FLATTEST, float(((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum()))
     r = np.arange(1, LOW + 1)
-    n = np.asarray(n, dtype=float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        share = (LOW + 1) * n[LOW] / n[0]
-        d = ((r + 1) * n[1 : LOW + 1] / n[:LOW] / r - share) / (1 - share)
-    if not (np.isfinite(d).all() and (d > 0).all() and (d < 1).all()):
-        fixed = n[0] / (n[0] + 2 * n[1]) if n[0] and n[1] else 0.5
-        d = (r - fixed) / r
-    return np.concatenate([[0.0], d])
+    share = (LOW + 1.0) ** (slope + 1)
+    return np.concatenate([[0.0], (((r + 1) / r) ** (slope + 1) - share) / (1 - share)])
 
 
 def discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -226,7 +231,7 @@ def _count_words(parts: int):
         word = totals[uniq != START]
         ends = np.cumsum([len(x) for x in asked])[:-1]
         rows = [(b, part, squeeze(small(gid[i])), squeeze(small(totals[i])), None) for b, i in zip(pdf["block"], np.split(inverse, ends), strict=True)]
-        rows.append((-1, part, None, None, [int(word.sum()), int((word > 0).sum()), *(int((word == r).sum()) for r in range(1, LOW + 2))]))
+        rows.append((-1, part, None, None, [int(word.sum()), int((word > 0).sum()), *np.bincount(word[word <= FIT], minlength=FIT + 1)[1:].tolist()]))
         return pd.DataFrame(rows, columns=["block", "part", "a", "b", "n"])
 
     return count
@@ -308,7 +313,7 @@ def _count_pairs(unigrams: Unigrams):
             low = np.stack([x[c] for x in sums]).reshape(-1)
             rows.append((block, part, squeeze(small(total[inverse[at : at + k]])), _sums(low, mass[c]), None))
             at += k
-        rows.append((-1, part, None, None, [int((total == r).sum()) for r in range(1, LOW + 2)]))
+        rows.append((-1, part, None, None, np.bincount(total[total <= FIT], minlength=FIT + 1)[1:].tolist()))
         return pd.DataFrame(rows, columns=["block", "part", "a", "b", "n"])
 
     return count
@@ -379,7 +384,7 @@ def katz_scores(docs: DataFrame, *, fold: int = 10, id_col: str = "doc_id", text
     asked = blocks.select("block", "hashes", "counts").mapInArrow(_ask_words(parts), "part long, block long, a binary, b binary")
     words = written(asked.groupBy("part").applyInPandas(_count_words(parts), _ANSWER), "katz-unigrams")
     stats = lambda table, n: [int(x or 0) for x in table.where("block = -1").agg(*(F.sum(F.col("n")[i]) for i in range(n))).first()]
-    total, v, *counts = stats(words, LOW + 3)
+    total, v, *counts = stats(words, FIT + 2)
     unigrams = Unigrams(total, counts)
 
     parts = max(1, (sizes[0] or 0) // PART_KEYS)
@@ -388,7 +393,7 @@ def katz_scores(docs: DataFrame, *, fold: int = 10, id_col: str = "doc_id", text
     told = words.where("block >= 0").select("block", "part", "a", "b", F.lit("u").alias("table"))
     asked = own.drop("ids").groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_ask_pairs(parts, hot), "part long, block long, ctx binary, follow binary, word binary, n binary, cw binary, hot binary")
     pairs = written(asked.groupBy("part").applyInPandas(_count_pairs(unigrams), _ANSWER), "katz-bigrams")
-    d = discounts(np.array(stats(pairs, LOW + 1)))
+    d = discounts(np.array(stats(pairs, FIT)))
     # at most two rows for each spread context and a few for each part: see HOT_CONTEXTS
     spread = docs.sparkSession.sparkContext.broadcast(_add_hot(pairs.where("block = -2").select("part", "a", "b").collect()))
 

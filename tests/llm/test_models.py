@@ -168,6 +168,29 @@ def test_near_copies_of_odd_rows(spark, monkeypatch, crowd, block):
     assert simhash.near_copies(docs.limit(0), id_col="doc_id").count() == 0
 
 
+def simple_good_turing(counts):
+    """Discounts of counts 1 to 5 by the definition, with a line from numpy; index 0 is none."""
+    of = Counter(v for v in counts if v <= 40)
+    rs = sorted(of)
+    gaps = [((rs[i + 1] if i + 1 < len(rs) else 2 * r - rs[i - 1]) - (rs[i - 1] if i else 0)) / 2 for i, r in enumerate(rs)]
+    slope, at = np.polyfit(np.log(rs), np.log([of[r] / g for r, g in zip(rs, gaps, strict=True)]), 1)
+    slope = min(slope, -1.05)
+    expected = lambda r: math.exp(at + slope * math.log(r))
+    k = 6 * expected(6) / expected(1)
+    return [0.0, *(((r + 1) * expected(r + 1) / (r * expected(r)) - k) / (1 - k) for r in range(1, 6))]
+
+
+def test_good_turing_discounts():
+    # counts of counts that fall with the square: r* = r * r / (r + 1), so d(1) = (1/2 - 1/6) / (5/6), ..., d(5) = (5/6 - 1/6) / (5/6)
+    exact = [1e9 / r**2 for r in range(1, 41)]
+    assert np.allclose(katz.discounts(np.array(exact)), [0, 0.4, 0.6, 0.7, 0.76, 0.8], atol=1e-3)
+    rough = [900, 210, 130, 45, 60, 20, 25, 0, 14, 9, 0, 0, 5, *[0] * 27]
+    assert np.allclose(katz.discounts(np.array(rough)), simple_good_turing([r + 1 for r, n in enumerate(rough) for _ in range(n)]))
+    for odd in ([0] * 40, [0, 0, 7, *[0] * 37], [5] * 40, [1, 2, 3, 4, 5, 6, *[9] * 34]):
+        d = katz.discounts(np.array(odd))
+        assert ((d[1:] > 0) & (d[1:] < 1)).all() and (np.diff(d) > 0).all()
+
+
 def test_katz_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(katz, "BLOCK_BYTES", 1500)
     monkeypatch.setattr(katz, "PART_KEYS", 60)
@@ -183,9 +206,9 @@ def test_katz_against_brute_force(spark, monkeypatch):
         if x:
             c.update([*w, end])
             pairs.update(zip([start, *w], [*w, end], strict=True))
-    n = lambda counts: np.array([sum(v == r for v in counts.values()) for r in range(1, 7)])
-    uni, d = katz.Unigrams(sum(c.values()), n(c).tolist()), katz.discounts(n(pairs))
-    p = lambda w: float(uni.p(np.array([c[w]]))[0])
+    d1, d = simple_good_turing(c.values()), simple_good_turing(pairs.values())
+    unknown = sum(r * (1 - d1[r]) for r in c.values() if r <= 5) / sum(c.values())
+    p = lambda w: (d1[c[w]] if c[w] <= 5 else 1) * c[w] / sum(c.values()) if c[w] else unknown
     follow = defaultdict(list)
     for (u, w), r in pairs.items():
         follow[u].append((w, r))
