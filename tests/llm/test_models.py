@@ -208,8 +208,8 @@ def test_katz_against_brute_force(spark, monkeypatch):
             pairs.update(zip([start, *w], [*w, end], strict=True))
     d1, d = simple_good_turing(c.values()), simple_good_turing(pairs.values())
     unknown = sum(r * (1 - d1[r]) for r in c.values() if r <= 5) / sum(c.values())
-    total = sum(c.values()) + (unknown == 0)  # where nothing is discounted, one more token than seen makes room
-    p = lambda w: (d1[c[w]] if c[w] <= 5 else 1) * c[w] / total if c[w] else unknown or 1 / total
+    room = sum(c.values()) + (unknown == 0)  # where nothing is discounted, one more token than seen makes room
+    p = lambda w: (d1[c[w]] if c[w] <= 5 else 1) * c[w] / room if c[w] else unknown or 1 / room
     follow = defaultdict(list)
     for (u, w), r in pairs.items():
         follow[u].append((w, r))
