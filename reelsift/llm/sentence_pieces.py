@@ -34,7 +34,7 @@ MARK = "▁"
 #: Characters of a document that is cut into chunks, of a chunk, and chunks of a block.
 GIANT, CHUNK, BLOCK = 1 << 15, 1 << 13, 64
 #: Words and pairs of pieces that a Python worker remembers at most, and characters of a word that is.
-CACHE_WORDS, CACHE_PAIRS, CACHED_CHARS = 500_000, 500_000, 64
+CACHE_WORDS, CACHE_PAIRS, CACHED_CHARS = 300_000, 100_000, 48
 #: What a character without a piece costs more than the worst piece of a unigram model; a fixed value of the library.
 UNKNOWN = 10.0
 
@@ -89,8 +89,8 @@ class Pieces:
             found = [fresh[w] if v is None else v for w, v in zip(words, found, strict=True)]
         return b"".join(found)
 
-    def decode(self, ids: list[bytes]) -> list[str]:
-        return self.model.decode([np.frombuffer(x, dtype="<u4").tolist() for x in ids], num_threads=1)
+    def decode(self, ids: bytes) -> str:
+        return self.model.decode(np.frombuffer(ids, dtype="<u4").tolist())
 
     # The scan
 
@@ -192,6 +192,16 @@ def borders(matrices: list[np.ndarray], first: int, last: int) -> list[int]:
     return out
 
 
+#: Rows of a batch that are worked on at a time, so that what Python holds of texts beside Arrow stays small.
+SLICE = 500
+
+
+def _slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def pieces_of(path: str) -> Pieces:
     return resident(("sentence pieces", path), lambda: Pieces(path))
 
@@ -223,7 +233,7 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
 
     def whole(batches):
         p = pieces_of(model)
-        for batch in batches:
+        for batch in _slices(batches):
             found = [p.encode_marked(p.marked(t)) if t else b"" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "ids"])
 
@@ -243,7 +253,7 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
 
     def matrices(batches):
         p = pieces_of(model)
-        for batch in batches:
+        for batch in _slices(batches):
             found = [_dump(p.transfer(s, a, b)) for a, b, s in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["row", "chunk", "m"])
 
@@ -275,7 +285,7 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
 
     def trace(batches):
         p = pieces_of(model)
-        for batch in batches:
+        for batch in _slices(batches):
             found = [p.encode_marked(p.between(s, a, b, first, last)) for a, b, s, first, last in zip(*(batch.column(k).to_pylist() for k in range(2, 7)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["row", "chunk", "ids"])
 
@@ -295,10 +305,9 @@ def decode(encoded: DataFrame, model: str, *, ids_col: str = "ids") -> DataFrame
 
     def back(batches):
         p = pieces_of(model)
-        for batch in batches:
+        for batch in _slices(batches):
             found = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            texts = iter(p.decode([x for x in found if x is not None]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None if x is None else next(texts) for x in found], pa.string())], names=[*batch.schema.names, "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None if x is None else p.decode(x) for x in found], pa.string())], names=[*batch.schema.names, "text"])
 
     rows = encoded.drop("text")
     return rows.mapInArrow(back, StructType([*rows.schema.fields, StructField("text", StringType())]))
