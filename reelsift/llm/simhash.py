@@ -422,11 +422,12 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], names=["a", "b"])
 
     def verified(links):
-        both = links.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
+        needed = few(checkpoint(links.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
+        own = texts.join(needed, "id", "left_semi")
+        both = links.join(own.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
         return checkpoint(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
-    alike = verified(pairs)
-    roots_ = components(alike)
+    roots_ = components(verified(pairs))
     steps = ("first", "all", "blocks") if not crowds.isEmpty() else ()
     for step in steps:
         mine = crowds if step != "first" else crowds.groupBy("id").agg(F.min_by(F.struct("token", "n", "pos"), F.struct("pos", "token")).alias("x")).select("id", "x.*")
@@ -447,7 +448,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
             links = stars.repartition(*key).sortWithinPartitions(*key).mapInArrow(_star_meetings(similarity), "a long, b long")
         links = checkpoint(links.distinct())
         if not links.isEmpty():
-            alike = alike.unionByName(verified(links))
-            roots_ = components(alike)
+            # what is linked already stands in its stars
+            roots_ = components(verified(links).unionByName(roots_.select(F.col("root").alias("a"), F.col("node").alias("b"))))
     classes = checkpoint(reps.select("same", F.col("id").alias("node"), "n_rows").join(roots_, "node", "left").select("same", F.coalesce("root", "node").alias("first_id"), "n_rows"))
     return joined_by(rows.select("id", "same"), classes, "same").where("id <> first_id").select(F.col("id").alias(id_col), "first_id")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from reelsift.llm import common, katz, merkle, preference, quality, simhash, toxicity
+from reelsift.llm import common, components as components_, katz, merkle, preference, quality, simhash, toxicity
 from reelsift.llm.components import components
 
 NULLS = [(None, "orphan text"), (1, None), (2, ""), (3, "  \n ")]
@@ -20,7 +20,9 @@ def make(spark, rows, kinds="doc_id long, text string"):
     return spark.createDataFrame(rows, kinds)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(components_, "FEW_LINKS", few)
     links = make(spark, [(1, 2), (2, 3), (9, 8), (8, 7), (5, 5), (2, 1), (None, 4)] + [(100 + i, 101 + i) for i in range(40)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(links).collect()}
     assert {k: v for k, v in got.items() if k < 100} == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7} and {v for k, v in got.items() if k >= 100} == {100}
