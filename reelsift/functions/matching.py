@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .text import norm, py_norm
+from .text import norm, once, py_norm
 
 #: Thresholds and weights of matches.
 ACCEPT, ACCEPT_LAX, VARIANT_WEIGHT = 0.82, 0.90, 0.8
@@ -106,13 +106,18 @@ def _leading(text: Column, n: int) -> Column:
 
 def _unseen(items: Column) -> Column:
     """Structs (text, lax) in order, without nulls, blanks and repeats of a normalized text."""
-    fits = F.filter(items, lambda x: F.coalesce(norm(x["text"]) != "", F.lit(False)))
-    return F.aggregate(fits, F.array().cast("array<struct<text:string,lax:boolean>>"), lambda acc, x: F.when(F.exists(acc, lambda y: norm(y["text"]) == norm(x["text"])), acc).otherwise(F.array_append(acc, x)))
+    keyed = F.transform(items, lambda x: F.struct(x["text"].alias("text"), x["lax"].alias("lax"), norm(x["text"]).alias("n")))
+    fits = F.filter(keyed, lambda x: x["n"] != "")
+    kept = F.aggregate(fits, F.array().cast("array<struct<text:string,lax:boolean,n:string>>"), lambda acc, x: F.when(F.exists(acc, lambda y: y["n"] == x["n"]), acc).otherwise(F.array_append(acc, x)))
+    return F.transform(kept, lambda x: F.struct(x["text"].alias("text"), x["lax"].alias("lax")))
 
 
 def variants(title: Column) -> Column:
     """array<struct(text, lax)>: the title, before its colon, without its article, and (lax) its first four, three and two words."""
-    t = F.regexp_replace(F.trim(F.coalesce(title, F.lit(""))), r"\s+", " ")
+    return once(F.regexp_replace(F.trim(F.coalesce(title, F.lit(""))), r"\s+", " "), _variants)
+
+
+def _variants(t: Column) -> Column:
     low = F.lower(t)
     bare = None
     for a in ARTICLES:
@@ -124,10 +129,14 @@ def variants(title: Column) -> Column:
 
 def aggressive_variants(title: Column) -> Column:
     """array<string>: without its season tail, with arabic numerals, without its year, and its first five to two words."""
-    t = F.regexp_replace(F.trim(F.coalesce(title, F.lit(""))), r"\s+", " ")
+    return once(F.regexp_replace(F.trim(F.coalesce(title, F.lit(""))), r"\s+", " "), _aggressive_variants)
+
+
+def _aggressive_variants(t: Column) -> Column:
     arabic = t
     for k, v in ROMAN.items():
         arabic = F.regexp_replace(arabic, rf"\b{k}\b", v)
     item = lambda x: F.struct(x.alias("text"), F.lit(True).alias("lax"))
     found = _unseen(F.array(item(t), *(item(_tidy(x)) for x in (F.regexp_replace(t, SEASON_TAIL, ""), arabic, F.regexp_replace(t, r"\b(19\d{2}|20\d{2})\b", ""), *(_leading(t, n) for n in (5, 4, 3, 2))))))
-    return F.transform(F.filter(found, lambda x: norm(x["text"]) != norm(t)), lambda x: x["text"])
+    # the title itself comes first, unless it is blank
+    return F.transform(F.when(norm(t) == "", found).otherwise(F.slice(found, 2, 100)), lambda x: x["text"])

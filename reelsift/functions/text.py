@@ -17,6 +17,11 @@ PLAIN = "aeiouyunaeiouaeiouaeioucy"
 QUALITY_RANKS = ((("2160", "4k", "uhd"), 60), (("1440",), 50), (("1080",), 40), (("720",), 30), (("480",), 20), (("360", "240"), 10))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def norm(text: Column) -> Column:
     """Lower case, accents folded, everything but letters and digits to single spaces; "" for null."""
     folded = F.translate(F.lower(F.coalesce(text, F.lit(""))), ACCENTED, PLAIN)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once
+
 #: Patterns of release names.
 QUALITY = r"(?i)\b(2160p|1440p|1080p|720p|480p|360p|240p|4k|uhd)\b"
 CODEC = r"(?i)\b(x264|x265|h\.?264|h\.?265|hevc|xvid|av1|vp9|aac|ac3|dts)\b"
@@ -30,10 +32,6 @@ def _first(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
-def _number(text: Column, pattern: str, group: int = 1) -> Column:
-    return _first(text, pattern, group).try_cast("int")
-
-
 def _squeeze(text: Column) -> Column:
     return F.regexp_replace(text, r"\s+", " ")
 
@@ -43,31 +41,40 @@ def parse_release(name: Column) -> Column:
 
     Numbers: SxxEyy, else NxM up to season 60, else season and episode words, where an episode without a season is an absolute one up to 300,
     else a number between a dash and a bracket.  The title is what is left once everything known is taken out, or the whole name if nothing is."""
-    original = F.trim(F.coalesce(name, F.lit("")))
-    work = F.trim(F.regexp_replace(original, EXTENSION, ""))
-    has = lambda p: work.rlike(p)
-    both = has(SEASON_EPISODE)
-    cross = ~both & has(CROSS) & (_number(work, CROSS) <= MOST_SEASON)
-    words = ~both & ~F.coalesce(cross, F.lit(False))
-    word_season = F.coalesce(_number(work, SEASON_WORD, 1), _number(work, SEASON_WORD, 2))
-    word_number, dash = _number(work, EPISODE_WORD), _number(work, DASH_NUMBER)
+    plain = F.trim(F.coalesce(name, F.lit("")))
+    # each pattern is looked for once; a mark that isn't there is null
+    found = lambda w: {
+        "s1": _first(w, SEASON_EPISODE), "s2": _first(w, SEASON_EPISODE, 2), "c1": _first(w, CROSS), "c2": _first(w, CROSS, 2), "w1": _first(w, SEASON_WORD), "w2": _first(w, SEASON_WORD, 2),
+        "e": _first(w, EPISODE_WORD), "d": _first(w, DASH_NUMBER), "y": _first(w, YEAR), "q": _first(w, QUALITY), "k": _first(w, CODEC), "h": _first(w, HDR), "g1": _first(w, GROUP_FIRST), "g2": _first(w, GROUP_LAST),
+    }
+    marks = lambda w: F.struct(w.alias("work"), *(x.alias(k) for k, x in found(w).items()))
+    return once(plain, lambda original: once(once(F.trim(F.regexp_replace(original, EXTENSION, "")), marks), lambda m: _told(original, m)))
+
+
+def _told(original: Column, m: Column) -> Column:
+    """The struct of :func:`parse_release` from the trimmed name and the marks found in it."""
+    number = lambda k: m[k].try_cast("int")
+    both = m["s1"].isNotNull()
+    cross = ~both & F.coalesce(number("c1") <= MOST_SEASON, F.lit(False))
+    words = ~both & ~cross
+    word_season, word_number, dash = F.coalesce(number("w1"), number("w2")), number("e"), number("d")
     lone = word_season.isNull() & (word_number <= MOST_ABSOLUTE)
-    season = F.when(both, _number(work, SEASON_EPISODE)).when(cross, _number(work, CROSS)).when(words, word_season)
-    episode = F.when(both, _number(work, SEASON_EPISODE, 2)).when(cross, _number(work, CROSS, 2)).when(words & word_number.isNotNull() & ~lone, word_number)
+    season = F.when(both, number("s1")).when(cross, number("c1")).when(words, word_season)
+    episode = F.when(both, number("s2")).when(cross, number("c2")).when(words & word_number.isNotNull() & ~lone, word_number)
     absolute = F.when(words & word_number.isNotNull() & lone, word_number).when(words & word_number.isNull() & word_season.isNull() & (dash <= MOST_ABSOLUTE), dash)
-    year = _number(work, YEAR)
-    group = F.when(has(GROUP_FIRST), F.nullif(F.trim(_first(work, GROUP_FIRST)), F.lit(""))).otherwise(_first(work, GROUP_LAST))
+    group = F.when(m["g1"].isNotNull(), F.nullif(F.trim(m["g1"]), F.lit(""))).otherwise(m["g2"])
 
-    title = work
+    title = m["work"]
     for p in (QUALITY, CODEC, AUDIO_CODEC, HDR, SEASON_EPISODE, CROSS, SEASON_WORD, EPISODE_WORD, DASH_NUMBER, SOURCE, AUDIO_TAG):
         title = F.regexp_replace(title, p, " ")
-    title = F.when(year.isNotNull(), F.regexp_replace(title, F.concat(F.lit(r"\b"), year.cast("string"), F.lit(r"\b")), F.lit(" "))).otherwise(title)
+    # without a year the pattern is one that nothing matches
+    title = F.regexp_replace(title, F.coalesce(F.concat(F.lit(r"\b"), m["y"], F.lit(r"\b")), F.lit(r"[^\s\S]")), F.lit(" "))
     for p, to in ((GROUP_FIRST, " "), (GROUP_LAST, " "), (BRACKETS, " "), (r"[._]+", " "), (r"\s*-\s*", " "), (r"\s+", " "), (r"^[ -]+|[ -]+$", "")):
         title = F.regexp_replace(title, p, to)
     title = F.coalesce(F.nullif(title, F.lit("")), F.nullif(F.trim(_squeeze(original)), F.lit("")), original)
     return F.struct(
-        title.alias("title"), year.alias("year"), season.alias("season"), episode.alias("episode"), absolute.alias("absolute"),
-        F.lower(_first(work, QUALITY)).alias("quality"), F.lower(_first(work, CODEC)).alias("codec"), F.lower(_first(work, HDR)).alias("hdr"), group.alias("release_group"),
+        title.alias("title"), number("y").alias("year"), season.alias("season"), episode.alias("episode"), absolute.alias("absolute"),
+        F.lower(m["q"]).alias("quality"), F.lower(m["k"]).alias("codec"), F.lower(m["h"]).alias("hdr"), group.alias("release_group"),
     )
 
 
@@ -84,6 +91,10 @@ def looks_like_release(name: Column) -> Column:
 
 def pick_name(title: Column, other: Column) -> Column:
     """struct(main, other) of two names, blanks as null: swapped only where the second has strictly more marks."""
-    a, b = F.nullif(F.trim(title), F.lit("")), F.nullif(F.trim(other), F.lit(""))
-    swap = F.coalesce(a.isNotNull() & b.isNotNull() & (release_signals(b) > release_signals(a)), F.lit(False))
-    return F.struct(F.when(swap, b).otherwise(a).alias("main"), F.when(swap, a).otherwise(b).alias("other"))
+    names = F.struct(F.nullif(F.trim(title), F.lit("")).alias("a"), F.nullif(F.trim(other), F.lit("")).alias("b"))
+
+    def picked(x: Column) -> Column:
+        swap = F.coalesce(x["a"].isNotNull() & x["b"].isNotNull() & (release_signals(x["b"]) > release_signals(x["a"])), F.lit(False))
+        return once(swap, lambda s: F.struct(F.when(s, x["b"]).otherwise(x["a"]).alias("main"), F.when(s, x["a"]).otherwise(x["b"]).alias("other")))
+
+    return once(names, picked)

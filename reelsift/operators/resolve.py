@@ -1,4 +1,4 @@
-"""Resolving identifiers from offline candidate tables: blocked joins, similarity, provider precedence."""
+"""Resolving identifiers from offline candidate tables: joins by rare words, similarity, and rounds of searches whose first finds stay."""
 
 from __future__ import annotations
 
@@ -6,13 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import any_id, cache_key, complete, miss_is_fresh
-from ..functions.matching import accepted, confidence, similarity, variants
+from ..functions.matching import ACCEPT, ACCEPT_LAX, VARIANT_WEIGHT, accepted, aggressive_variants, confidence, similarity, variants
 from ..functions.text import norm
 from ..functions.titles import parse_release, pick_name
 from ..schema import ID_FIELDS
 
-#: Which provider's identifier wins, best first.
-PRECEDENCE = ("tmdb", "omdb", "imdb", "anilist", "kitsu", "jikan", "tvmaze")
+#: The providers in the order that they are asked in (what an earlier one finds stays), the types that each is asked for
+#: (null: rows of no known type), and those that are asked for aggressive variants.
+PROVIDERS = {
+    "anilist": ("anime", None), "kitsu": ("anime", None), "jikan": ("anime", None), "imdb": ("movie", "series", "anime", None),
+    "tvmaze": ("series", None), "tmdb": ("movie", "series", None), "omdb": ("movie", "series", "anime", None),
+}
+LIGHT = ("imdb", "anilist", "kitsu")
+#: Name and confidence of an identifier found by an exact pair.
+BRIDGE, BRIDGE_CONFIDENCE = "tmdb:find", 0.95
+#: Words of a name that it is met by, rare ones first.
+RARE_WORDS = 2
 
 #: JSON answers of the providers, as far as they are read.
 PAYLOADS = {
@@ -39,11 +48,13 @@ def parse_payload(rows: DataFrame, provider: str, column: str = "payload") -> Da
     else:
         items = {"tmdb": "x.results", "imdb": "x.d", "anilist": "x.data.Page.media", "jikan": "x.data", "kitsu": "x.data", "tvmaze": "x"}[provider]
         one = one.select("key", F.explode(items).alias("i"))
+        # a row for each different name, so that the one nearest to a search counts
+        names = lambda *of: one.select("*", F.explode(F.array_distinct(F.array_compact(F.array(*of)))).alias("title"))
         found = {
             "tmdb": lambda: one.select("key", F.coalesce("i.title", "i.name").alias("title"), _year(F.coalesce("i.release_date", "i.first_air_date")).alias("year"), F.col("i.id").alias("tmdb_id")),
-            "imdb": lambda: one.select("key", F.col("i.l").alias("title"), F.col("i.y").alias("year"), F.col("i.id").alias("imdb_id")),
-            "anilist": lambda: one.select("key", F.coalesce("i.title.romaji", "i.title.english").alias("title"), F.col("i.seasonYear").alias("year"), F.col("i.id").alias("anilist_id"), F.col("i.idMal").alias("mal_id")),
-            "jikan": lambda: one.select("key", F.coalesce("i.title", "i.title_english").alias("title"), F.col("i.year").alias("year"), F.col("i.mal_id").alias("mal_id")),
+            "imdb": lambda: one.select("key", F.col("i.l").alias("title"), F.col("i.y").alias("year"), F.when(F.col("i.id").rlike("^tt[0-9]+$"), F.col("i.id")).alias("imdb_id")).where("imdb_id is not null"),
+            "anilist": lambda: names("i.title.romaji", "i.title.english").select("key", "title", F.col("i.seasonYear").alias("year"), F.col("i.id").alias("anilist_id"), F.col("i.idMal").alias("mal_id")),
+            "jikan": lambda: names("i.title", "i.title_english").select("key", "title", F.col("i.year").alias("year"), F.col("i.mal_id").alias("mal_id")),
             "kitsu": lambda: one.select("key", F.col("i.attributes.canonicalTitle").alias("title"), _year(F.col("i.attributes.startDate")).alias("year"), F.col("i.id").try_cast("bigint").alias("kitsu_id")),
             "tvmaze": lambda: one.select("key", F.col("i.show.name").alias("title"), _year(F.col("i.show.premiered")).alias("year"), F.col("i.show.externals.imdb").alias("imdb_id")),
         }[provider]()
@@ -58,33 +69,99 @@ def _named(queue: DataFrame) -> DataFrame:
     return named.withColumn("cache_key", cache_key(F.col("p.title"), F.col("p.year"), F.col("type")))
 
 
+def _asked(named: DataFrame, items: Column, stage: int, variant: bool, light: bool = False) -> DataFrame:
+    """(id, type, stage, nth, query, year, lax, variant, light): searches of a round, from structs (text, lax) in order."""
+    return named.select("id", "type", F.lit(stage).alias("stage"), F.col("p.year").alias("year"), F.posexplode(items).alias("nth", "v")).select("id", "type", "stage", "nth", F.col("v.text").alias("query"), "year", F.col("v.lax").alias("lax"), F.lit(variant).alias("variant"), F.lit(light).alias("light")).where(norm(F.col("query")) != "")
+
+
 def questions(queue: DataFrame) -> DataFrame:
-    """(id, type, cache_key, query, year, lax, variant): every search of a queue's rows, parsed from the more telling of both names."""
-    asked = _named(queue).select("id", "type", "cache_key", F.col("p.year").alias("year"), F.posexplode(variants(F.col("p.title"))).alias("nth", "v"))
-    return asked.select("id", "type", "cache_key", "year", F.col("v.text").alias("query"), F.col("v.lax").alias("lax"), (F.col("nth") > 0).alias("variant"))
+    """The first round: each row's name, parsed from the more telling of both."""
+    return _asked(_named(queue), F.array(F.struct(F.col("p.title").alias("text"), F.lit(False).alias("lax"))), 0, False)
+
+
+def _later_questions(named: DataFrame, aggressive: bool, variant_weight: float) -> DataFrame:
+    """The other rounds: the name's variants, then the other name, then the aggressive variants.
+
+    A variant's confidence is at most ``variant_weight``; where that can't be accepted, they aren't asked."""
+    plain, lax = variant_weight >= ACCEPT, variant_weight >= ACCEPT_LAX
+    tried = F.filter(variants(F.col("p.title")), lambda x: F.when(x["lax"], lax).otherwise(plain))
+    first = _asked(named, tried, 1, True).where("nth > 0 or lax") if plain else _asked(named.limit(0), tried, 1, True)
+    if not aggressive:
+        return first
+    other = F.array(F.struct(F.col("n.other").alias("text"), F.lit(False).alias("lax")))
+    found = first.unionByName(_asked(named.where("n.other is not null and n.other <> p.title"), other, 2, False))
+    if lax:
+        found = found.unionByName(_asked(named, F.transform(aggressive_variants(F.col("p.title")), lambda x: F.struct(x.alias("text"), F.lit(True).alias("lax"))), 3, True, True))
+    return found
+
+
+def _meetings(searches: DataFrame, names: DataFrame) -> DataFrame:
+    """(query, title) of different names that share one of either's RARE_WORDS rarest words; which are rare is counted among ``names``."""
+    words = lambda df, c: df.select(c, F.explode(F.array_distinct(F.split(norm(F.col(c)), " "))).alias("w")).where("w <> ''")
+    asked, held = words(searches.select("query").distinct(), "query"), words(names.select("title").distinct(), "title")
+    counts = held.groupBy("w").agg(F.count("*").alias("n"))
+    rare = lambda df, c: df.join(counts, "w").withColumn("k", F.row_number().over(Window.partitionBy(c).orderBy("n", "w"))).where(F.col("k") <= RARE_WORDS).select(c, "w")
+    return rare(asked, "query").join(held, "w").select("query", "title").unionByName(asked.join(rare(held, "title"), "w").select("query", "title")).distinct()
+
+
+def _search(asked: DataFrame, candidates: DataFrame, variant_weight: float) -> DataFrame:
+    """(id, at, provider, confidence, identifiers): each search's best candidate of each provider that is asked for the row's type, if accepted."""
+    order = F.create_map(*(F.lit(x) for p in enumerate(PROVIDERS) for x in reversed(p)))
+    alike = _meetings(asked, candidates).withColumn("alike", similarity(F.col("query"), F.col("title")))
+    # nothing below can be accepted, whatever the years
+    near = alike.where(F.col("alike") >= ACCEPT - 0.05)
+    met = asked.join(near, "query").join(candidates.select("provider", "title", F.col("year").alias("c_year"), *ID_FIELDS), "title")
+    kind = F.coalesce(F.when(F.lower("type").isin("movie", "series", "anime"), F.lower("type")), F.lit(""))
+    may = F.create_map(*(x for p, kinds in PROVIDERS.items() for x in (F.lit(p), F.array(*(F.lit(k or "") for k in kinds)))))
+    met = met.where(F.array_contains(may[F.col("provider")], kind) & (~F.col("light") | F.col("provider").isin(*LIGHT)))
+    sure = F.round(confidence(F.col("alike"), F.col("year"), F.col("c_year"), F.lit(False)) * F.when(F.col("variant"), variant_weight).otherwise(1.0), 4)
+    first = Window.partitionBy("id", "stage", "nth", "provider").orderBy(F.desc("confidence"), "title", *ID_FIELDS)
+    best = met.withColumn("confidence", sure).where(accepted(F.col("confidence"), F.col("lax"))).withColumn("k", F.row_number().over(first)).where("k = 1")
+    return best.select("id", F.struct("stage", "nth", order[F.col("provider")].alias("of")).alias("at"), "provider", "confidence", *ID_FIELDS)
+
+
+def _merge(finds: DataFrame) -> DataFrame:
+    """(id, identifiers, sources, confidence) of finds, folded in their order: an identifier stays with its first finder, and a find without a new one adds nothing."""
+    kinds = {f: "string" if f == "imdb_id" else "int" for f in ID_FIELDS}
+    start = F.struct(*(F.lit(None).cast(kinds[f]).alias(f) for f in ID_FIELDS), F.array().cast("array<string>").alias("sources"), F.lit(1.0).alias("confidence"))
+
+    def add(acc: Column, x: Column) -> Column:
+        new = F.lit(False)
+        for f in ID_FIELDS:
+            new = new | (acc[f].isNull() & x[f].isNotNull())
+        known = F.array_contains(acc["sources"], x["provider"])
+        return F.struct(
+            *(F.coalesce(acc[f], x[f]).alias(f) for f in ID_FIELDS),
+            F.when(new & ~known, F.array_append(acc["sources"], x["provider"])).otherwise(acc["sources"]).alias("sources"),
+            F.when(new, F.least(acc["confidence"], x["confidence"])).otherwise(acc["confidence"]).alias("confidence"),
+        )
 
+    # a find for each search and provider: a few dozen a row
+    rows = finds.select("id", F.struct("at", "provider", F.col("confidence").cast("double").alias("confidence"), *(F.col(f).cast(kinds[f]).alias(f) for f in ID_FIELDS)).alias("x"))
+    return rows.groupBy("id").agg(F.aggregate(F.array_sort(F.collect_list("x")), start, add).alias("m")).select("id", "m.*").where(F.size("sources") > 0)
 
-def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True) -> DataFrame:
+
+def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True, aggressive: bool = True, variant_weight: float = VARIANT_WEIGHT) -> DataFrame:
     """(id, cache_key, identifiers, source, confidence, outcome) of each row of a queue.
 
-    candidates: (provider, title, year, identifiers).  A search meets the candidates that share its first normalized word, each different search
-    once; of each provider the candidate with the best confidence counts, if accepted, and identifiers merge by provider precedence.
-    outcome: "resolved" with all that the type should have, else "partial", else "no match"."""
-    asked = questions(queue)
-    block = lambda c: F.substring_index(norm(F.col(c)), " ", 1)
-    searches = asked.select("query", "year", "lax", "variant").distinct().withColumn("b", block("query")).where("b <> ''")
-    offered = candidates.select("provider", F.col("title").alias("c_title"), F.col("year").alias("c_year"), *ID_FIELDS).withColumn("b", block("c_title"))
-    met = searches.join(offered, "b").withColumn("confidence", confidence(similarity(F.col("query"), F.col("c_title")), F.col("year"), F.col("c_year"), F.col("variant")))
-    good = met.where(accepted(F.col("confidence"), F.col("lax")))
-    rows = asked.join(good.select(F.col("query").alias("q"), F.col("year").alias("y"), F.col("lax").alias("l"), F.col("variant").alias("w"), "provider", "c_title", "confidence", *ID_FIELDS), (F.col("query") == F.col("q")) & F.col("year").eqNullSafe(F.col("y")) & (F.col("lax") == F.col("l")) & (F.col("variant") == F.col("w")))
-    first = Window.partitionBy("id", "provider").orderBy(F.desc("confidence"), "variant", "c_title", *ID_FIELDS)
-    best = rows.withColumn("k", F.row_number().over(first)).where("k = 1")
-    rank = F.coalesce(F.array_position(F.array(*map(F.lit, PRECEDENCE)), F.col("provider")), F.lit(99))
-    merged = best.groupBy("id").agg(*(F.min_by(f, F.when(F.col(f).isNotNull(), rank)).alias(f) for f in ID_FIELDS), F.array_join(F.transform(F.array_sort(F.collect_set(F.struct(rank.alias("r"), "provider"))), lambda x: x["provider"]), "+").alias("source"), F.min("confidence").alias("confidence"))
-    # also rows whose name leaves nothing to search for
-    every = _named(queue).select("id", "type", "cache_key").join(merged, "id", "left")
+    candidates: (provider, title, year, identifiers).  Rounds: the name; for rows that are not complete then, its variants and, if ``aggressive``, the other name,
+    further variants, and a tmdb identifier by exact pair with imdb's (pairs are candidates that have both).  A search meets the candidates that share a rare
+    word with it; of each provider asked the one with the best confidence counts, if accepted, and what was found first stays.
+    source: providers that added an identifier, in the order of finding; confidence: their least.  outcome: "resolved" with all that the type should have, else "partial", else "no match"."""
+    named = _named(queue)
+    early = _search(questions(queue), candidates, variant_weight)
+    done = _merge(early).join(named.select("id", "type"), "id").where(complete(F.col("type"), fill_all)).select("id")
+    open_ = named.join(done, "id", "left_anti")
+    merged = _merge(early.unionByName(_search(_later_questions(open_, aggressive, variant_weight), candidates, variant_weight)))
+    every = named.select("id", "type", "cache_key").join(merged, "id", "left")
+    if aggressive:
+        pairs = candidates.where("tmdb_id is not null and imdb_id is not null").groupBy("imdb_id").agg(F.min("tmdb_id").alias("_tmdb"))
+        every = every.join(pairs, "imdb_id", "left")
+        met = F.col("tmdb_id").isNull() & F.col("_tmdb").isNotNull() & ~complete(F.col("type"), fill_all)
+        # both read the identifier as it was before
+        every = every.withColumns({"sources": F.when(met, F.array_append("sources", F.lit(BRIDGE))).otherwise(F.col("sources")), "confidence": F.when(met, F.least("confidence", F.lit(BRIDGE_CONFIDENCE))).otherwise(F.col("confidence")), "tmdb_id": F.when(met, F.col("_tmdb")).otherwise(F.col("tmdb_id"))})
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
-    return every.select("id", "cache_key", *ID_FIELDS, F.coalesce("source", F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
+    return every.select("id", "cache_key", *ID_FIELDS, F.coalesce(F.array_join("sources", "+"), F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
 
 
 def bridge(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -103,13 +180,31 @@ def parse_mappings(rows: DataFrame, column: str = "payload") -> DataFrame:
     return rows.select("key", F.explode(F.from_json(column, kind)["data"]).alias("d")).select("key", F.col("d.attributes.externalSite").alias("site"), F.col("d.attributes.externalId").alias("external_id"))
 
 
-def resolve_with_cache(queue: DataFrame, cache: DataFrame, candidates: DataFrame, as_of: Column, *, fill_all: bool = True) -> DataFrame:
-    """:func:`resolve`, but a remembered hit answers without a search, and a miss that is still fresh is not searched again."""
-    named = questions(queue).where("not variant")
-    entries = cache.select("cache_key", "found", F.coalesce("updated_at", "created_at").alias("noted_at"), "source", "confidence", *ID_FIELDS)
-    looked = named.select("id", "type", "cache_key").join(entries, "cache_key")
-    hits, misses = looked.where("found"), looked.where(~F.col("found") & miss_is_fresh(F.col("noted_at"), as_of))
-    answered = hits.unionByName(misses)
+def cache_keys(named: DataFrame) -> DataFrame:
+    """(id, nth, cache_key): the keys of a row's parsed name, whole name and other name, without repeats."""
+    key = lambda c: cache_key(F.col(c), F.col("p.year"), F.col("type"))
+    keys = F.array_distinct(F.array_compact(F.array(*(F.when(norm(F.col(c)) != "", key(c)) for c in ("p.title", "n.main", "n.other")))))
+    return named.select("id", F.posexplode(keys).alias("nth", "cache_key"))
+
+
+def resolve_with_cache(queue: DataFrame, cache: DataFrame, candidates: DataFrame, as_of: Column, *, fill_all: bool = True, aggressive: bool = True) -> DataFrame:
+    """:func:`resolve`, but remembered answers come first: hits under any of a row's keys are merged in the keys' order; a row that they make
+    complete, or that has no hit and whose first key is a miss that is still fresh, is not searched."""
+    named = _named(queue)
+    entries = cache.select("cache_key", "found", F.coalesce("updated_at", "created_at").alias("noted_at"), F.col("source").alias("c_source"), F.col("confidence").alias("c_confidence"), *(F.col(f).alias(f"c_{f}") for f in ID_FIELDS))
+    looked = cache_keys(named).join(entries, "cache_key")
+    hits = looked.where("found").select("id", F.struct(F.col("nth").alias("stage"), F.lit(0).alias("nth"), F.lit(0).alias("of")).alias("at"), F.coalesce("c_source", F.lit("cache")).alias("provider"), F.coalesce("c_confidence", F.lit(0.5)).alias("confidence"), *(F.col(f"c_{f}").alias(f) for f in ID_FIELDS))
+    held = named.select("id", "type", "cache_key").join(_merge(hits), "id")
+    missed = looked.where((F.col("nth") == 0) & ~F.col("found") & miss_is_fresh(F.col("noted_at"), as_of)).select("id").join(held.select("id"), "id", "left_anti")
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
-    known = answered.select("id", "cache_key", *ID_FIELDS, F.coalesce("source", F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
-    return known.unionByName(resolve(queue.join(answered.select("id"), "id", "left_anti"), candidates, fill_all=fill_all))
+    told = lambda df: df.select("id", "cache_key", *ID_FIELDS, "source", "confidence", outcome.alias("outcome"))
+    known = held.where(complete(F.col("type"), fill_all)).withColumn("source", F.array_join("sources", "+"))
+    none = named.select("id", "type", "cache_key").join(missed, "id", "left_semi").select("*", *(F.lit(None).cast("string" if f == "imdb_id" else "int").alias(f) for f in ID_FIELDS), F.lit("none").alias("source"), F.lit(0.0).alias("confidence"))
+    searched = resolve(queue.join(known.select("id").unionByName(missed), "id", "left_anti"), candidates, fill_all=fill_all, aggressive=aggressive)
+    partly = held.select("id", "type", "sources", F.col("confidence").alias("h_confidence"), *(F.col(f).alias(f"h_{f}") for f in ID_FIELDS))
+    both = searched.drop("outcome").join(partly, "id", "left")
+    more = F.filter(F.split("source", r"\+"), lambda x: (x != "none") & ~F.array_contains(F.coalesce("sources", F.array().cast("array<string>")), x))
+    joined = F.concat(F.coalesce("sources", F.array().cast("array<string>")), more)
+    filled = both.withColumns({f: F.coalesce(f"h_{f}", f) for f in ID_FIELDS} | {"source": F.when(F.size(joined) > 0, F.array_join(joined, "+")).otherwise("none"), "confidence": F.when(F.col("source") == "none", F.coalesce("h_confidence", F.lit(0.0))).otherwise(F.least("confidence", F.coalesce("h_confidence", "confidence")))})
+    types = named.select("id", "type")
+    return told(known).unionByName(told(none)).unionByName(told(filled.drop("type").join(types, "id")))

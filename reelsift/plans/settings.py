@@ -16,6 +16,7 @@ class Settings:
     enrich_rounds: int = 25
     recheck_days: int = 45
     fill_all_ids: bool = True
+    aggressive_fallback: bool = True
     only_types: str = ""
     max_deletes_per_run: int = 0
     renumber_ids: bool = False

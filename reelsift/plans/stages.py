@@ -60,7 +60,7 @@ def run_enrich(state: State, s: Settings, as_of: Column, report: Report, candida
     total: dict[str, int] = {}
     for _ in range(1 if s.dry_run else s.retry_rounds if retry else s.enrich_rounds):
         batch = queue.missing_ids_queue(df, as_of, batch=s.batch_size, min_age_minutes=s.retry_min_age_minutes, max_attempts=s.retry_max_attempts) if retry else queue.enrich_queue(df, as_of, batch=s.batch_size, recheck_days=s.recheck_days, only_types=s.only_types, column=s.title_column)
-        found = resolve.resolve_with_cache(batch, cache, candidates, as_of, fill_all=s.fill_all_ids).persist()
+        found = resolve.resolve_with_cache(batch, cache, candidates, as_of, fill_all=s.fill_all_ids, aggressive=s.aggressive_fallback).persist()
         counts = {r["outcome"]: r["count"] for r in found.groupBy("outcome").count().collect()}
         if not counts:
             break

@@ -161,10 +161,54 @@ def test_resolve(spark):
     queue_rows = spark.createDataFrame([(1, "The.Matrix.1999.1080p.x264-GRP", None, None, "movie"), (2, "Nothing like it", None, None, "movie")], "id long, title string, title_text string, title_alt string, type string")
     offered = spark.createDataFrame([("tmdb", "The Matrix", 1999, 603, None, None, None, None), ("imdb", "The Matrix", 1999, None, "tt0133093", None, None, None), ("tmdb", "The Other", 1999, 1, None, None, None, None)], "provider string, title string, year int, tmdb_id int, imdb_id string, anilist_id int, kitsu_id int, mal_id int")
     got = {r["id"]: r.asDict() for r in resolve.resolve(queue_rows, offered).collect()}
-    assert (got[1]["tmdb_id"], got[1]["imdb_id"], got[1]["source"], got[1]["outcome"]) == (603, "tt0133093", "tmdb+imdb", "resolved")
+    assert (got[1]["tmdb_id"], got[1]["imdb_id"], got[1]["source"], got[1]["outcome"]) == (603, "tt0133093", "imdb+tmdb", "resolved")
     assert got[2]["outcome"] == "no match"
 
 
+CANDIDATE = "provider string, title string, year int, tmdb_id int, imdb_id string, anilist_id int, kitsu_id int, mal_id int"
+QUEUED = "id long, title string, title_text string, title_alt string, type string"
+
+
+def test_resolver_rounds(spark):
+    queue_rows = spark.createDataFrame([
+        (1, "Matrix", None, None, "movie"),  # a candidate with another first word
+        (2, "Zzz qqq", None, "Right name", "movie"),  # the other name, then the exact pair
+        (3, "Bebop", None, None, "movie"),  # a provider that isn't asked for the type
+        (4, "Bebop", None, None, None),  # a type that isn't known: all are asked, the first find stays
+        (5, "", None, None, "movie"), (6, None, None, None, "anime"),
+    ], QUEUED)
+    offered = spark.createDataFrame([
+        ("tmdb", "The Matrix", None, 603, None, None, None, None), ("imdb", "Right name", None, None, "tt1", None, None, None), ("tmdb", "Yet another film", None, 77, "tt1", None, None, None),
+        ("anilist", "Bebop", None, None, None, 5, None, 6), ("kitsu", "Bebop", None, None, None, None, 9, 8), ("nobody", "Bebop", None, 4, None, None, None, None),
+    ], CANDIDATE)
+    got = {r["id"]: r.asDict() for r in resolve.resolve(queue_rows, offered).collect()}
+    assert len(got) == 6 and got[1]["tmdb_id"] == 603
+    assert (got[2]["imdb_id"], got[2]["tmdb_id"], got[2]["source"], got[2]["confidence"], got[2]["outcome"]) == ("tt1", 77, "imdb+tmdb:find", 0.95, "resolved")
+    assert [got[i]["outcome"] for i in (3, 5, 6)] == ["no match"] * 3
+    assert (got[4]["anilist_id"], got[4]["kitsu_id"], got[4]["mal_id"], got[4]["tmdb_id"], got[4]["source"]) == (5, 9, 6, None, "anilist+kitsu")
+    mild = {r["id"]: r["outcome"] for r in resolve.resolve(queue_rows, offered, aggressive=False).collect()}
+    assert mild[2] == "no match" and mild[1] == "partial"
+    # variants count at most four fifths, below what is accepted, unless their weight says otherwise
+    roman = spark.createDataFrame([(1, "Saw II", None, None, "movie")], QUEUED), spark.createDataFrame([("imdb", "Saw 2", None, None, "tt7", None, None, None)], CANDIDATE)
+    assert resolve.resolve(*roman).first()["outcome"] == "no match" and resolve.resolve(*roman, variant_weight=1.0).first()["imdb_id"] == "tt7"
+
+
+def test_names_of_a_payload(spark):
+    two = spark.createDataFrame([("k", '{"data":{"Page":{"media":[{"id":154587,"idMal":52991,"seasonYear":2023,"title":{"romaji":"Sousou no Frieren","english":"Frieren"}}]}}}')], "key string, payload string")
+    assert sorted(r["title"] for r in resolve.parse_payload(two, "anilist").collect()) == ["Frieren", "Sousou no Frieren"]
+    person = spark.createDataFrame([("k", '{"d":[{"id":"tt0133093","l":"The Matrix","y":1999},{"id":"nm00000","l":"Nope"}]}')], "key string, payload string")
+    assert [r["imdb_id"] for r in resolve.parse_payload(person, "imdb").collect()] == ["tt0133093"]
+
+
+def test_cache_keys_of_all_names(spark):
+    rows = spark.createDataFrame([(1, "Film.A.1999.1080p.x264-GRP", None, "Other", "movie"), (2, "Quartz.1999.1080p.x264-GRP", None, None, "movie")], QUEUED)
+    cache = spark.createDataFrame([("other|1999|movie", True, 77, None, "tmdb", 0.9), ("quartz|1999|movie", True, 8, None, "tmdb", 0.9)], "cache_key string, found boolean, tmdb_id int, imdb_id string, source string, confidence double")
+    offered = spark.createDataFrame([("imdb", "Film A", 1999, None, "tt5", None, None, None)], CANDIDATE)
+    got = {r["id"]: r.asDict() for r in resolve.resolve_with_cache(rows, ensure_columns(cache, TITLE_CACHE), offered, AS_OF()).collect()}
+    assert (got[1]["tmdb_id"], got[1]["imdb_id"], got[1]["source"], got[1]["outcome"]) == (77, "tt5", "tmdb+imdb", "resolved")
+    assert (got[2]["tmdb_id"], got[2]["outcome"]) == (8, "partial")
+
+
 def test_bridge_and_mappings(spark):
     rows = spark.createDataFrame([(1, 5, None), (2, None, "tt9"), (3, None, None)], "id long, tmdb_id int, imdb_id string")
     pairs = spark.createDataFrame([(5, "tt5"), (9, "tt9"), (10, "tt9"), (None, "tt1")], "tmdb_id int, imdb_id string")
