@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import effective_title, has_any_token, norm, py_norm
+from .text import effective_title, has_any_token, norm, once, py_norm
 
 #: Names that are no releases.
 JUNK_NAMES = ("readme", "sample", "trailer", "test", "placeholder", "rarbg", "ettv", "eztv", "yts", "yify")
@@ -30,9 +30,6 @@ SPANISH_TOKENS = (
     "latinoamericano", "vose", "doblaje", "doblado", "doblada", "doblados", "subtitulado", "subtitulada", "subtitulados", "subtitulos",
 )
 
-#: Above so many tokens, a broadcast lexicon table is joined instead of one alternation.
-MOST_LITERALS = 500
-
 
 def _joined(*parts: str) -> Column:
     out = []
@@ -46,17 +43,6 @@ def is_raw(token: str) -> bool:
     return re.search(r"[^a-zA-Z0-9 ]", token) is not None
 
 
-def blocked_by(token: str) -> Column:
-    """Whether one token blocks a release (without the allowed phrases)."""
-    if is_raw(token):
-        return F.lower(_joined("title", "release_group", "source_tracker")).contains(token.lower())
-    n = py_norm(token)
-    if not n:
-        return F.lit(False)
-    glued = F.replace(norm(_joined("release_group", "source_tracker")), F.lit(" "), F.lit(""))
-    return has_any_token(norm(_joined("title", "title_text", "release_group", "source_tracker")), [n]) | glued.contains(n.replace(" ", ""))
-
-
 def allowed(extra: tuple[str, ...] = ()) -> Column:
     """Whether the effective title has an allowed phrase anywhere."""
     phrases = [p for p in dict.fromkeys(map(py_norm, (*ALLOWED, *extra))) if p]
@@ -79,18 +65,34 @@ def blocked(tokens: tuple[str, ...] | None = None, soft: tuple[str, ...] = (), a
     return found & ~allowed(allow)
 
 
-def block_reason(soft: bool = False, extra_blocked: tuple[str, ...] = (), extra_allow: tuple[str, ...] = ()) -> Column:
-    """Why: "allow:phrase", "blocked:token", "soft:token", or "": the first that matches, in list order."""
-    title = norm(effective_title(F.col("title"), F.col("title_text")))
-    out = F.when(F.lit(False), "")
-    for p in (*ALLOWED, *extra_allow):
-        if n := py_norm(p):
-            out = out.when(title.contains(n), f"allow:{p}")
-    for t in (*CORE_TOKENS, *extra_blocked):
-        out = out.when(blocked_by(t), f"blocked:{t}")
-    for t in SOFT_TOKENS if soft else ():
-        out = out.when(blocked_by(t), f"soft:{t}")
-    return out.otherwise("")
+#: Fixed value: what a reason says of a token that was found in a glued group or tracker name.
+GLUED_MARK = " (grupo/tracker)"
+
+
+def block_reason(soft: bool = False, extra_blocked: tuple[str, ...] = (), extra_allow: tuple[str, ...] = (), title: str | None = "title") -> Column:
+    """Why: "allow:phrase", "blocked:token", "soft:token", or "": the first that matches, in list order.
+
+    Looks at the name in the column ``title`` (None: the effective title), the release group and the tracker; a token that stands only in the glued names of the latter two is marked so.
+    Each text is normalized once."""
+    name = effective_title(F.col("title"), F.col("title_text")) if title is None else F.col(title)
+    both = _joined("release_group", "source_tracker")
+    raw = F.concat_ws(" ", F.coalesce(name, F.lit("")), both)
+    texts = F.struct(norm(name).alias("name"), F.lower(raw).alias("raw"), norm(raw).alias("every"), F.replace(norm(both), F.lit(" "), F.lit("")).alias("glued"))
+
+    def told(x: Column) -> Column:
+        out = F.when(F.lit(False), "")
+        for p in (*ALLOWED, *extra_allow):
+            if n := py_norm(p):
+                out = out.when(x["name"].contains(n), f"allow:{p}")
+        for t in (*CORE_TOKENS, *extra_blocked, *(SOFT_TOKENS if soft else ())):
+            kind, n = "soft" if t in SOFT_TOKENS else "blocked", py_norm(t)
+            if is_raw(t):
+                out = out.when(x["raw"].contains(t.lower()), f"{kind}:{t}")
+            elif n:
+                out = out.when(has_any_token(x["every"], [n]), f"{kind}:{t}").when(x["glued"].contains(n.replace(" ", "")), f"{kind}:{t}{GLUED_MARK}")
+        return out.otherwise("")
+
+    return once(texts, told)
 
 
 def is_spanish(text: Column, extra: str | None = None) -> Column:

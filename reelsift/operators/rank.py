@@ -78,11 +78,15 @@ def spanish_scoped(df: DataFrame, *, only_types: str | None = None, subs_fallbac
     return rows.withColumn("es_score", score)
 
 
-def duplicates(rows: DataFrame, tolerance: float | None = None) -> DataFrame:
-    """(id) of rows that repeat an earlier one: same group, quality, codec, range, size bucket and release group."""
+def _copies(tolerance: float | None = None) -> Column:
+    """A row's number among those of the same group, quality, codec, range, size bucket and release group, by id."""
     low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
-    window = Window.partitionBy(*GROUP, low("quality"), low("codec"), low("hdr"), size_bucket(F.col("size_bytes"), tolerance), low("release_group")).orderBy("id")
-    return rows.withColumn("copy", F.row_number().over(window)).where("copy > 1").select("id")
+    return F.row_number().over(Window.partitionBy(*GROUP, low("quality"), low("codec"), low("hdr"), size_bucket(F.col("size_bytes"), tolerance), low("release_group")).orderBy("id"))
+
+
+def duplicates(rows: DataFrame, tolerance: float | None = None) -> DataFrame:
+    """(id) of rows that repeat an earlier one."""
+    return rows.withColumn("copy", _copies(tolerance)).where("copy > 1").select("id")
 
 
 @dataclass(frozen=True)
@@ -99,35 +103,43 @@ def keep_best_spanish(df: DataFrame, *, limit: int = 3, min_spanish: int = 2, mi
 
     The cap on deletes is spent on duplicates first, lowest ids first; only duplicates that it reaches leave the ranking."""
     limit, least = max(limit, 1), max(min_spanish, 0)
+    capped = max_deletes if max_deletes and max_deletes > 0 else None
     rows = spanish_scoped(df, only_types=only_types, subs_fallback=subs_fallback, title_hint=title_hint, tokens=tokens)
-    dupes = duplicates(rows, size_tolerance) if dedupe else rows.select("id").limit(0)
-    gone = dupes.orderBy("id").limit(max_deletes) if max_deletes and max_deletes > 0 else dupes
-    left = rows.join(gone, "id", "left_anti")
+    rows = rows.withColumn("dup", _copies(size_tolerance) > 1 if dedupe else F.lit(False))
+    dupes = rows.where("dup").select("id")
+    gone = dupes.orderBy("id").limit(capped) if capped else dupes
+    if capped:
+        rows = rows.join(gone.withColumn("gone", F.lit(True)), "id", "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
+    else:
+        rows = rows.withColumn("gone", F.col("dup"))
     group = Window.partitionBy(*GROUP)
-    order = group.orderBy(F.col("es_score").desc(), *best_first(min_seeders))
-    placed = left.withColumn("rn", F.row_number().over(order)).withColumn("n_es", F.count(F.when(F.col("es_score") >= 1, 1)).over(group))
+    # duplicates that go are ranked last, so they take nobody's place
+    order = group.orderBy("gone", F.col("es_score").desc(), *best_first(min_seeders))
+    left = ~F.col("gone")
+    every = rows.withColumn("rn", F.row_number().over(order)).withColumn("n_es", F.count(F.when(left & (F.col("es_score") >= 1), 1)).over(group))
     low = F.lit(strict) & (F.col("n_es") < least)
-    placed = placed.withColumn("reason", F.when(low, "strict").when(F.col("rn") > limit, "top"))
+    every = every.withColumn("reason", F.when(F.col("gone"), None).when(low, "strict").when(F.col("rn") > limit, "top"))
+    placed = every.where(left).drop("gone", "dup")
     over = placed.where("reason is not null")
-    cap = None
-    if max_deletes and max_deletes > 0:
-        cap = max_deletes - gone.count()
-        over = over.orderBy((F.col("reason") == "strict").asc(), *in_delete_order()).limit(max(cap, 0))
-    kept = placed.where(~low & (F.col("rn") <= limit))
-    by = ("work", "gep") if compat_season_bug else GROUP
-    per = kept.groupBy(*GROUP).agg(F.count_if("audio_es").alias("a"), F.count_if(F.col("es_score") >= 1).alias("e"))
+    if capped:
+        over = over.orderBy((F.col("reason") == "strict").asc(), *in_delete_order()).limit(max(capped - gone.count(), 0))
+    kept = left & F.col("reason").isNull()
+    told = every.withColumns({"kept": kept, "a": F.count(F.when(kept & F.col("audio_es"), 1)).over(group), "e": F.count(F.when(kept & (F.col("es_score") >= 1), 1)).over(group)})
+    head = F.col("rn") == 1
     if compat_season_bug:  # counts over all seasons of a work
-        per = per.withColumn("e", F.sum("e").over(Window.partitionBy(*by)))
-    groups = rows.select(*GROUP).distinct().agg(F.count("*").alias("groups"))
-    ok = per.agg(F.count_if(F.col("a") >= least).alias("groups_ok_audio"), F.count_if(F.col("e") >= least).alias("groups_ok_spanish"))
-    held = kept.agg(F.count("*").alias("kept"), F.count_if(F.lit(subs_fallback) & ~F.col("audio_es") & F.col("subs_es")).alias("kept_with_subs"))
-    sizes = rows.agg(F.count("*").alias("matched")).crossJoin(dupes.agg(F.count("*").alias("duplicates"))).crossJoin(over.agg(F.count("*").alias("over")))
+        told = told.withColumn("e", F.sum(F.when(head, F.col("e"))).over(Window.partitionBy("work", "gep")))
+    # a group without a kept row isn't counted as one with enough
+    has_kept = F.count(F.when(kept, 1)).over(group) > 0
+    counts = told.withColumn("has", has_kept).agg(
+        F.count_if(head).alias("groups"), F.count("*").alias("matched"), F.count_if("dup").alias("duplicates"), F.count_if("kept").alias("kept"), F.count_if(F.col("reason").isNotNull()).alias("cand"),
+        F.count_if(head & F.col("has") & (F.col("a") >= least)).alias("groups_ok_audio"), F.count_if(head & F.col("has") & (F.col("e") >= least)).alias("groups_ok_spanish"),
+        F.count_if(F.lit(subs_fallback) & F.col("kept") & ~F.col("audio_es") & F.col("subs_es")).alias("kept_with_subs"),
+    )
     wanted = df.where(type_wanted(only_types)).agg(F.count("*").alias("wanted"))
-    all_over = placed.where("reason is not null").agg(F.count("*").alias("cand"))
-    capped_dupes = F.least(F.col("duplicates"), F.lit(max_deletes).cast("long")) if max_deletes and max_deletes > 0 else F.col("duplicates")
-    done = capped_dupes + F.col("over")
-    # every side has one row
-    metrics = groups.crossJoin(sizes).crossJoin(ok).crossJoin(held).crossJoin(wanted).crossJoin(all_over).select(
+    first = F.least(F.col("duplicates"), F.lit(capped).cast("long")) if capped else F.col("duplicates")
+    done = first + (F.least(F.col("cand"), F.lit(capped).cast("long") - first) if capped else F.col("cand"))
+    # both sides have one row
+    metrics = counts.crossJoin(wanted).select(
         "groups", "matched", (F.lit(0).cast("long") if dry_run else done).alias("deleted"), "kept", "groups_ok_audio", "groups_ok_spanish", (F.col("groups") - F.col("groups_ok_spanish")).alias("groups_low_spanish"),
         "kept_with_subs", "duplicates", (F.col("wanted") - F.col("matched")).alias("skipped"), (F.col("duplicates") + F.col("cand") - done).alias("skipped_limit"),
     )

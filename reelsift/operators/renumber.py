@@ -8,6 +8,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ROWS = 200_000
+#: Rows of a range of ids, and ranges at most.
+RANGE_ROWS, MOST_RANGES = 100_000, 1000
+
+
+def _with_range(ids: DataFrame, borders: list[float]) -> DataFrame:
+    """``ids`` with r: the range between ascending borders that an id lies in, by binary search."""
+    from pyspark.ml.feature import Bucketizer
+
+    if not borders:
+        return ids.withColumn("r", F.lit(0.0))
+    edges = [float("-inf"), *borders, float("inf")]
+    return Bucketizer(splits=edges, inputCol="_id", outputCol="r").transform(ids.withColumn("_id", F.col("id").cast("double"))).drop("_id")
 
 
 @dataclass(frozen=True)
@@ -21,12 +33,13 @@ class Renumbered:
 def renumber_map(df: DataFrame, start: int = 1) -> DataFrame:
     """(id, new_id): ids from ``start`` up in the old order.
 
-    Ids are dealt by value range: a row's number is its place in its range plus the rows of the ranges below, of which there are few."""
-    low, high, total = df.agg(F.min("id"), F.max("id"), F.count("*")).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // max(1, (total or 0) // 100_000)))
-    ids = df.select("id", F.floor((F.col("id") - F.lit(low or 0)) / width).alias("r"))
+    Ids are dealt by ranges of about equal counts, whose borders are sampled quantiles; a row's number is its place in its range plus the rows of the
+    ranges below, of which there are ``MOST_RANGES`` at most.  So one far id makes no range larger, and no task sorts the table."""
+    ranges = max(1, min(MOST_RANGES, df.count() // RANGE_ROWS))
+    # only which rows share a range depends on the sample
+    borders = sorted({float(x) for x in df.approxQuantile("id", [k / ranges for k in range(1, ranges)], 1 / (4 * ranges))}) if ranges > 1 else []
+    ids = _with_range(df.select("id"), borders)
     sizes = ids.groupBy("r").agg(F.count("*").alias("n"))
-    # one row for each range of about 100,000 ids
     below = sizes.withColumn("below", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inner = ids.withColumn("k", F.row_number().over(Window.partitionBy("r").orderBy("id")))
     return inner.join(F.broadcast(below.select("r", "below")), "r").select("id", (F.col("below") + F.col("k") + (start - 1)).cast("long").alias("new_id"))

@@ -41,6 +41,11 @@ def named() -> Column:
     return text.effective_title(F.col("title"), F.col("title_text"))
 
 
+def _swapped(r: DataFrame) -> DataFrame:
+    """Releases without an inner name, with the names in the wrong columns."""
+    return r.where(F.col("title_text").isNull()).select("id", F.col("title_text").alias("title"), F.concat("title", F.lit(" x264")).alias("title_text"))
+
+
 counted = ["matched", "deleted", "skipped", "skipped_limit"]
 
 # Text
@@ -62,7 +67,9 @@ register("enrich_queue_types", lambda r: queue.enrich_queue(r, as_of(), only_typ
 register("missing_ids_queue", lambda r: queue.missing_ids_queue(r, as_of()), o.over() + f"SELECT id, title, title_text, title_text AS title_alt, type, season, episode, absolute_episode FROM releases WHERE {o.RETRY} ORDER BY coalesce(ids_attempts, 0), ids_checked_at ASC NULLS FIRST, id LIMIT 400")
 register("retry_reset_metrics", lambda r: queue.reset_for_retry(r, as_of())[1], o.over() + f"SELECT count(CASE WHEN NOT {o.HAS_ID} THEN 1 END) AS matched, count(CASE WHEN {o.RETRY} THEN 1 END) AS queued, count(CASE WHEN NOT {o.HAS_ID} AND coalesce(ids_attempts, 0) >= 4 THEN 1 END) AS exhausted FROM releases")
 register("retry_reset_rows", lambda r: queue.reset_for_retry(r, as_of())[0].select("id", "ids_checked_at", "updated_at"), o.over() + f"SELECT id, CASE WHEN {o.RETRY} THEN NULL ELSE ids_checked_at END AS ids_checked_at, CASE WHEN {o.RETRY} AND ids_checked_at IS NOT NULL THEN {o.AT} END AS updated_at FROM releases")
-register("detect_title_column", lambda r: queue.title_column(r), o.over() + f"SELECT CASE WHEN bool_and({o.blankless('title')} IS NULL) AND bool_or(false) THEN 'title_text' ELSE 'title' END AS \"column\" FROM (SELECT * FROM releases ORDER BY id LIMIT 5)")
+DETECT = f"SELECT CASE WHEN bool_and({o.blankless('title')} IS NULL) AND bool_or({o.signals('title_text')} >= 2) THEN 'title_text' ELSE 'title' END AS \"column\" FROM (SELECT * FROM @ ORDER BY id LIMIT 5)"
+register("detect_title_column", lambda r: queue.title_column(r), o.over() + DETECT.replace("@", "releases"))
+register("detect_title_column_swapped", lambda r: queue.title_column(_swapped(r)), o.over("swapped AS (SELECT id, title_text AS title, title || ' x264' AS title_text FROM releases WHERE title_text IS NULL)") + DETECT.replace("@", "swapped"))
 
 # Purges
 register("purge_junk_candidates", lambda r: r.where(purge.is_junk()).select("id", named().alias("name")), o.over() + f"SELECT id, {o.NAME} AS name FROM releases WHERE {o.JUNK}")
@@ -72,7 +79,7 @@ register("purge_junk_sample", lambda r: purge.sample(r, purge.is_junk()).select(
 register("purge_blocked_candidates", lambda r: r.where(lexicon.blocked()).select("id"), o.over() + f"SELECT id FROM ({o.blocked_test()})")
 register("purge_blocked_capped", lambda r: purge.purge_blocked(r, limit=500).survivors.select("id"), o.over(f"bad AS ({o.blocked_test()})") + "SELECT id FROM releases WHERE id NOT IN (SELECT id FROM bad ORDER BY id LIMIT 500)")
 register("purge_blocked_metrics", lambda r: purge.purge_blocked(r, limit=500).metrics.select(*counted), o.over(f"bad AS ({o.blocked_test()})") + o.purge_metrics("true", 500, "bad"))
-register("purge_blocked_reason", lambda r: r.select("id", lexicon.block_reason(soft=True).alias("reason")).where("reason <> ''"))
+register("purge_blocked_reason", lambda r: r.select("id", lexicon.block_reason(soft=True).alias("reason")).where("reason <> ''"), o.over() + f"SELECT id, reason FROM ({o.block_reasons()}) WHERE reason IS NOT NULL")
 register("purge_absolute_candidates", lambda r: r.where(purge.is_absolute_only()).select("id"), o.over() + f"SELECT id FROM releases WHERE {o.ABSOLUTE}")
 register("purge_absolute_nullified", lambda r: purge.purge_absolute_only(r, as_of(), action="nullify", limit=50).survivors.select("id", "absolute_episode", "updated_at"), o.over(f"hit AS (SELECT id FROM releases WHERE {o.ABSOLUTE} ORDER BY id LIMIT 50)") + f"SELECT id, CASE WHEN id NOT IN (SELECT id FROM hit) THEN absolute_episode END AS absolute_episode, CASE WHEN id IN (SELECT id FROM hit) THEN {o.AT} END AS updated_at FROM releases")
 register("purge_dead_metrics", lambda r: purge.purge_dead(r, as_of()).metrics.select(*counted), o.over() + o.purge_metrics(o.DEAD))
@@ -87,6 +94,8 @@ register("dedupe_victims", lambda r: rank.duplicates(rank.spanish_scoped(r)), o.
 register("keep_best_es_rank", lambda r: rank.keep_best_spanish(r).ranked.select("id", *rank.GROUP, F.col("es_score").cast("long").alias("es_score"), F.col("rn").cast("long").alias("rn"), "n_es"), o.over(o.SCOPED, o.DUPES, o.ES_RANKED) + "SELECT id, work, gseason, gep, CAST(es_score AS BIGINT) AS es_score, rn, n_es FROM placed")
 register("keep_best_es_deleted", lambda r: rank.keep_best_spanish(r).candidates.select("id", "reason"), o.over(o.SCOPED, o.DUPES, o.ES_RANKED) + "SELECT id, 'top' AS reason FROM placed WHERE rn > 3")
 register("keep_best_es_strict", lambda r: rank.keep_best_spanish(r, strict=True).candidates.select("id", "reason"), o.over(o.SCOPED, o.DUPES, o.ES_RANKED) + "SELECT id, CASE WHEN n_es < 2 THEN 'strict' ELSE 'top' END AS reason FROM placed WHERE n_es < 2 OR rn > 3")
+register("keep_best_es_capped", lambda r: rank.keep_best_spanish(r, max_deletes=700).survivors.select("id"), o.over(o.SCOPED, o.DUPES, *o.capped_es(700)) + "SELECT id FROM releases WHERE id NOT IN (SELECT id FROM gone) AND id NOT IN (SELECT id FROM over_ids)")
+register("keep_best_es_capped_metrics", lambda r: rank.keep_best_spanish(r, max_deletes=700).metrics.select("groups", "matched", "deleted", "duplicates", "skipped_limit"), o.over(o.SCOPED, o.DUPES, *o.capped_es(700)) + "SELECT (SELECT count(*) FROM (SELECT DISTINCT work, gseason, gep FROM scoped)) AS groups, (SELECT count(*) FROM scoped) AS matched, d AS deleted, (SELECT count(*) FROM dupes) AS duplicates, (SELECT count(*) FROM dupes) + (SELECT count(*) FROM placed WHERE rn > 3) - d AS skipped_limit FROM (SELECT (SELECT count(*) FROM gone) + (SELECT count(*) FROM over_ids) AS d)")
 register("keep_best_es_metrics", lambda r: rank.keep_best_spanish(r).metrics, o.es_metrics(False))
 register("keep_best_es_strict_metrics", lambda r: rank.keep_best_spanish(r, strict=True).metrics, o.es_metrics(True))
 register("spanish_gaps", lambda r: rank.spanish_gaps(r, limit=None), o.over(o.SCOPED) + "SELECT min(titulo) AS title, gseason AS season, gep AS episode, count(*) AS total, count(CASE WHEN audio_es THEN 1 END) AS with_audio, count(CASE WHEN subs_es AND NOT audio_es THEN 1 END) AS with_subs FROM scoped GROUP BY work, gseason, gep HAVING count(CASE WHEN audio_es OR subs_es THEN 1 END) < 2")
@@ -97,17 +106,23 @@ register("ids_stats", stats.ids_stats, o.over() + f"SELECT count(*) AS total, co
 register("quality_stats_by_type", lambda r: stats.counts_by(r, "type", "kind"), o.over() + "SELECT coalesce(type, '?') AS kind, count(*) AS n FROM releases GROUP BY 1")
 register("quality_stats_by_quality", lambda r: stats.counts_by(r, "quality", "quality"), o.over() + "SELECT coalesce(quality, '?') AS quality, count(*) AS n FROM releases GROUP BY 1")
 register("quality_stats_totals", stats.quality_totals, o.over() + "SELECT count(*) AS total, count(CASE WHEN coalesce(seeders, 0) <= 0 THEN 1 END) AS without_seeders, count(CASE WHEN absolute_episode IS NOT NULL AND episode IS NULL THEN 1 END) AS absolute_only, count(CASE WHEN type IN ('series', 'anime') AND season IS NULL THEN 1 END) AS without_season FROM releases")
+_told = lambda m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias(m)
+register("quality_stats_maps", lambda r: stats.quality_stats(r).select("total", _told("by_type"), _told("by_quality")), o.over() + "SELECT (SELECT count(*) FROM releases) AS total, (SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM (SELECT coalesce(type, '?') AS k, count(*) AS n FROM releases GROUP BY 1)) AS by_type, (SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM (SELECT coalesce(quality, '?') AS k, count(*) AS n FROM releases GROUP BY 1)) AS by_quality")
 register("spanish_stats", stats.spanish_stats, o.over() + "SELECT *, total - audio_es - subs_only AS none FROM (SELECT count(*) AS total, count(CASE WHEN a THEN 1 END) AS audio_es, count(CASE WHEN b THEN 1 END) AS subs_es, count(CASE WHEN b AND NOT a THEN 1 END) AS subs_only FROM (SELECT " + o.any_spanish("audio") + " AS a, " + o.any_spanish("subtitles") + " AS b FROM releases))")
-register("id_report", lambda r: stats.id_report(r.where("id % 3 <> 0")), o.over() + "SELECT count(*) AS total, min(id) AS min_id, max(id) AS max_id, max(id) - min(id) + 1 - count(*) AS gaps, max(id) = count(*) AND min(id) = 1 AS ready, max(id) + 1 AS next_id, CAST(0 AS BIGINT) AS foreign_keys FROM releases WHERE id % 3 <> 0")
-register("renumber_map", lambda r: renumber.renumber_map(r.where("id % 3 <> 0")), o.over() + "SELECT id, row_number() OVER (ORDER BY id) AS new_id FROM releases WHERE id % 3 <> 0")
+#: All releases under ids with gaps.
+_gapped = lambda r: r.withColumn("id", F.expr("id + id div 2 + 3"))
+GAPPED = "gapped AS (SELECT id + id // 2 + 3 AS id FROM releases)"
+register("id_report", lambda r: stats.id_report(_gapped(r)), o.over(GAPPED) + "SELECT count(*) AS total, min(id) AS min_id, max(id) AS max_id, max(id) - min(id) + 1 - count(*) AS gaps, max(id) = count(*) AND min(id) = 1 AS ready, max(id) + 1 AS next_id, CAST(0 AS BIGINT) AS foreign_keys FROM gapped")
+register("renumber_map", lambda r: renumber.renumber_map(_gapped(r)), o.over(GAPPED) + "SELECT id, row_number() OVER (ORDER BY id) AS new_id FROM gapped")
+register("renumber_rows", lambda r: renumber.renumber(_gapped(r), force=True).rows.select("id", "title", "size_bytes"), o.over() + "SELECT row_number() OVER (ORDER BY id) AS id, title, size_bytes FROM releases")
 
 
 def _renumber_note(r: DataFrame) -> DataFrame:
-    done = renumber.renumber(r.where("id % 3 <> 0"), dry_run=True, force=True)
+    done = renumber.renumber(_gapped(r), dry_run=True, force=True)
     return r.sparkSession.createDataFrame([(done.status, done.note)], "status string, note string")
 
 
-register("renumber_preview", _renumber_note, o.over() + "SELECT 'preview' AS status, min(id) || '..' || max(id) || ' -> 1..' || count(*) AS note FROM releases WHERE id % 3 <> 0")
+register("renumber_preview", _renumber_note, o.over(GAPPED) + "SELECT 'preview' AS status, min(id) || '..' || max(id) || ' -> 1..' || count(*) AS note FROM gapped")
 
 
 # Identifiers from a batch
@@ -125,16 +140,30 @@ def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _applied(spark: SparkSession, sf_dir: str) -> apply.Applied:
-    cache = ensure_columns(spark.range(0).select(F.lit("").alias("cache_key")), TITLE_CACHE)
-    return apply.apply_ids(derived_releases(spark, sf_dir), cache, _batch(spark, sf_dir), as_of())
+    i = F.col("id")
+    hit = i % 3 == 0
+    cache = spark.range(30, 70).select(F.concat(F.lit("key|"), i.cast("string")).alias("cache_key"), F.when(hit, i + 1).cast("int").alias("tmdb_id"), hit.alias("found"), F.when(hit, "old").otherwise("none").alias("source"), F.when(hit, 0.3).otherwise(0.0).alias("confidence"))
+    return apply.apply_ids(derived_releases(spark, sf_dir), ensure_columns(cache, TITLE_CACHE), _batch(spark, sf_dir), as_of())
 
 
-FIRST = ", ".join(f"coalesce({'nullif(trim(r.imdb_id), chr(32))' if f == 'imdb_id' else f'r.{f}'}, (SELECT arg_min(k.{f}, k.pos) FROM known k WHERE k.id = r.id AND k.{f} IS NOT NULL)) AS {f}" for f in ID_FIELDS).replace("nullif(trim(r.imdb_id), chr(32))", "nullif(trim(r.imdb_id), '')")
 register_raw("sanitize_ids", lambda s, d: apply.cleaned(_batch(s, d)).select("pos", *ID_FIELDS, F.col("bad").cast("long").alias("bad"), "confidence"), o.over(o.apply_ctes()) + f"SELECT pos, {', '.join(ID_FIELDS)}, CAST(bad AS BIGINT) AS bad, CAST(confidence AS DOUBLE) AS confidence FROM clean")
-register_raw("apply_ids_rows", lambda s, d: _applied(s, d).rows.where(F.col("updated_at").isNotNull()).select("id", *ID_FIELDS), o.over(o.apply_ctes()) + f"SELECT r.id, {FIRST} FROM releases r WHERE r.id IN (SELECT id FROM known)")
+register_raw("apply_ids_rows", lambda s, d: _applied(s, d).rows.where(F.col("updated_at").isNotNull()).select("id", *ID_FIELDS, "ids_source", "ids_confidence", "ids_attempts", "ids_checked_at"), o.over(o.apply_ctes()) + o.apply_rows())
 register_raw("apply_ids_metrics", lambda s, d: _applied(s, d).metrics, o.over(o.apply_ctes()) + "SELECT (SELECT count(*) FROM known) AS updated, (SELECT count(cache_key) FROM known) AS cached, (SELECT count(*) FROM clean) - (SELECT count(*) FROM known) + (SELECT CAST(coalesce(sum(bad), 0) AS BIGINT) FROM known) AS invalid")
-register_raw("apply_ids_cache", lambda s, d: _applied(s, d).cache.select("cache_key", *ID_FIELDS, "found"), o.over(o.apply_ctes()) + "SELECT cache_key, " + ", ".join(f"arg_min({f}, pos) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in ID_FIELDS) + ", bool_or(" + " OR ".join(f"{f} IS NOT NULL" for f in ID_FIELDS) + ") AS found FROM known WHERE cache_key IS NOT NULL GROUP BY cache_key")
-register_raw("title_cache_lookup", lambda s, d: queue.title_cache_lookup(_applied(s, d).cache, s.range(10).select(F.concat(F.lit("key|"), F.col("id").cast("string")).alias("cache_key"))).select("cache_key", "found"), o.over(o.apply_ctes()) + "SELECT cache_key, bool_or(" + " OR ".join(f"{f} IS NOT NULL" for f in ID_FIELDS) + ") AS found FROM known WHERE cache_key IN (SELECT 'key|' || i FROM range(10) t(i)) GROUP BY cache_key")
+NOTED = o.over(o.apply_ctes(), o.noted_cache())
+register_raw("apply_ids_cache", lambda s, d: _applied(s, d).cache.select("cache_key", *ID_FIELDS, "found", "source", "confidence"), NOTED + f"SELECT cache_key, {', '.join(ID_FIELDS)}, found, source, confidence FROM noted")
+register_raw("title_cache_lookup", lambda s, d: queue.title_cache_lookup(_applied(s, d).cache, s.range(20, 60).select(F.concat(F.lit("key|"), F.col("id").cast("string")).alias("cache_key"))).select("cache_key", "found", "source"), NOTED + "SELECT cache_key, found, source FROM noted WHERE cache_key IN (SELECT 'key|' || i FROM range(20, 60) t(i))")
+
+
+def _json_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived batch as JSON arrays of a hundred items, read back."""
+    rows = _batch(spark, sf_dir)
+    items = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(*rows.columns))), lambda x: F.struct(*(x[c].alias(c) for c in rows.columns if c != "pos"))))
+    packed = rows.groupBy(F.floor(F.col("pos") / 100).alias("part")).agg(F.min("pos").alias("first"), items.alias("payload"))
+    read_back = packed.select("first", F.posexplode(F.from_json("payload", apply.PAYLOAD)).alias("k", "x")).select((F.col("first") + F.col("k")).alias("pos"), "x.*")
+    return apply.cleaned(read_back).select("pos", "id", *ID_FIELDS, "source", "confidence", "cache_key")
+
+
+register_raw("json_batch", _json_batch, o.over(o.apply_ctes()) + f"SELECT pos, id, {', '.join(ID_FIELDS)}, source, CAST(confidence AS DOUBLE) AS confidence, cache_key FROM clean")
 register("cache_key", lambda r: r.select("id", ids.cache_key(named(), F.col("season"), F.col("type")).alias("cache_key")), o.over() + f"SELECT id, {o.norm(o.NAME)} || '|' || coalesce(CAST(season AS VARCHAR), '') || '|' || coalesce(type, '') AS cache_key FROM releases")
 register("miss_freshness", lambda r: r.select("id", ids.miss_is_fresh(F.col("created_at"), as_of()).alias("fresh")), o.over() + f"SELECT id, coalesce(created_at + INTERVAL 20 DAY > {o.AT}, false) AS fresh FROM releases")
 register("id_completeness", lambda r: r.select("id", ids.complete(F.col("type")).alias("complete")), o.over() + f"SELECT id, CASE WHEN type IN ('movie', 'series') THEN tmdb_id IS NOT NULL AND {o.IMDB} IS NOT NULL WHEN type = 'anime' THEN anilist_id IS NOT NULL AND kitsu_id IS NOT NULL AND mal_id IS NOT NULL AND {o.IMDB} IS NOT NULL ELSE CAST(tmdb_id IS NOT NULL AS INT) + CAST({o.IMDB} IS NOT NULL AS INT) + CAST(anilist_id IS NOT NULL AS INT) + CAST(kitsu_id IS NOT NULL AS INT) + CAST(mal_id IS NOT NULL AS INT) >= 2 END AS complete FROM releases")
@@ -147,21 +176,37 @@ register(
     lambda r: r.select("id", titles.parse_release(_word("title")).alias("p")).select("id", "p.season", "p.episode", "p.codec", "p.release_group"),
     o.over(f"made AS (SELECT id, codec, release_group, {MADE} AS n FROM releases)") + r"SELECT id, CAST(regexp_extract(n, '\b[Ss](\d{1,2})[ ._-]*[Ee](\d{1,3})\b', 1) AS INT) AS season, CAST(regexp_extract(n, '\b[Ss](\d{1,2})[ ._-]*[Ee](\d{1,3})\b', 2) AS INT) AS episode, codec, release_group FROM made",
 )
-register("parse_release", lambda r: r.select("id", titles.parse_release(_word("title")).alias("p")).select("id", "p.*"))
-register("release_signals", lambda r: r.select("id", titles.release_signals(_word("title")).cast("long").alias("signals")))
-register("pick_name", lambda r: r.select("id", titles.pick_name(F.col("title"), F.col("title_text")).alias("p")).select("id", "p.*"))
-register("title_variants", lambda r: r.select("id", F.explode(matching.variants(F.col("title"))).alias("v")).select("id", "v.*"))
-register("aggressive_variants", lambda r: r.select("id", F.explode(matching.aggressive_variants(F.col("title"))).alias("variant")))
+#: Names of all the forms that are told apart: SxxEyy, NxM, words, a dash and a bracket, a year, leading groups, extensions, and none of these.
+_forms = lambda: F.when(F.col("id") % 7 == 0, F.concat(F.lit("[Grp] "), F.col("title"), F.lit(" - "), (F.col("id") % 400).cast("string"), F.lit(" (1080p).mkv"))).when(F.col("id") % 7 == 1, F.concat(F.col("title"), F.lit("."), (F.col("id") % 70).cast("string"), F.lit("x0"), (F.col("id") % 9).cast("string"), F.lit(".WEB-DL.x265"))).when(F.col("id") % 7 == 2, F.concat(F.col("title"), F.lit(" Season "), (F.col("id") % 9 + 1).cast("string"), F.lit(" Episode "), (F.col("id") % 30).cast("string"), F.lit(" hdr10"))).when(F.col("id") % 7 == 3, F.concat(F.col("title"), F.lit(" Capitulo "), (F.col("id") % 500).cast("string"))).when(F.col("id") % 7 == 4, F.concat(F.col("title"), F.lit(" ("), (F.col("id") % 60 + 1960).cast("string"), F.lit(") BluRay Latino"))).when(F.col("id") % 7 == 5, _word("title")).otherwise(F.col("title"))
+FORMS = f"CASE id % 7 WHEN 0 THEN '[Grp] ' || title || ' - ' || (id % 400) || ' (1080p).mkv' WHEN 1 THEN title || '.' || (id % 70) || 'x0' || (id % 9) || '.WEB-DL.x265' WHEN 2 THEN title || ' Season ' || (id % 9 + 1) || ' Episode ' || (id % 30) || ' hdr10' WHEN 3 THEN title || ' Capitulo ' || (id % 500) WHEN 4 THEN title || ' (' || (id % 60 + 1960) || ') BluRay Latino' WHEN 5 THEN {MADE} ELSE title END"
+register("parse_release", lambda r: r.select("id", titles.parse_release(_forms()).alias("p")).select("id", "p.*"), o.over(o.parsed(FORMS)) + "SELECT * FROM parsed")
+register("release_signals", lambda r: r.select("id", titles.release_signals(_forms()).cast("long").alias("signals")), o.over() + f"SELECT id, {o.signals(FORMS)} AS signals FROM releases")
+_PICKED = f"SELECT id, CASE WHEN s THEN b ELSE a END AS main, CASE WHEN s THEN a ELSE b END AS other FROM (SELECT *, coalesce(a IS NOT NULL AND b IS NOT NULL AND {o.signals('b')} > {o.signals('a')}, false) AS s FROM (SELECT id, {o.blankless('title_text')} AS a, {o.blankless('title')} AS b FROM releases))"
+register("pick_name", lambda r: r.select("id", titles.pick_name(F.col("title_text"), F.col("title")).alias("p")).select("id", "p.*"), o.over() + _PICKED)
+register("title_variants", lambda r: r.select("id", F.explode(matching.variants(F.col("title"))).alias("v")).select("id", "v.*"), o.over(o.variant_names()) + "SELECT id, text, lax FROM tried")
+register("aggressive_variants", lambda r: r.select("id", F.explode(matching.aggressive_variants(F.col("title"))).alias("variant")), o.over(o.aggressive_names()) + f"SELECT id, text AS variant FROM tried WHERE n <> {o.norm('t')}")
+
+
+#: Words of a phrase.
+PHRASE = 8
 
 
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which of 40 benchmark items' first five normalized words occur in which documents: the lexicon is a fixed small table."""
-    items = read("benchmark")(spark, sf_dir).where("item_id < 40").select("item_id", F.array_join(F.slice(F.split(text.norm(F.col("text")), " "), 1, 5), " ").alias("phrase"))
-    docs = read("documents")(spark, sf_dir).select("doc_id", text.norm(F.col("text")).alias("n"))
-    return docs.join(F.broadcast(items), text.has_token(F.col("n"), F.col("phrase"))).select("doc_id", "item_id")
+    """How many phrases of PHRASE normalized words of each benchmark item occur in which documents.
+
+    All phrases of all items are looked for by an equi-join; the items' phrases are broadcast where they are counted to be few, so that documents' phrases are met where they are made."""
+    words = lambda df: df.withColumn("w", F.split(text.norm(F.col("text")), " "))
+    of = lambda df, key: words(df).where(F.size("w") >= PHRASE).select(key, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - (PHRASE - 1)), lambda i: F.array_join(F.slice("w", i, PHRASE), " ")))).alias("phrase"))
+    items = of(read("benchmark")(spark, sf_dir), "item_id")
+    items = F.broadcast(items) if items.count() <= 100_000 else items
+    return of(read("documents")(spark, sf_dir), "doc_id").join(items, "phrase").groupBy("doc_id", "item_id").agg(F.count("*").alias("phrases"))
+
+
+def _phrase_sql(table: str, key: str) -> str:
+    return f"SELECT DISTINCT {key}, array_to_string(w[i:i+{PHRASE - 1}], ' ') AS phrase FROM (SELECT {key}, w, unnest(range(1, len(w) - {PHRASE - 2})) AS i FROM (SELECT {key}, string_split({o.norm('text')}, ' ') AS w FROM {table}) WHERE len(w) >= {PHRASE})"
 
 
-register_raw("benchmark_phrase_containment", _phrases, f"SELECT d.doc_id, b.item_id FROM (SELECT doc_id, {o.norm('text')} AS n FROM documents) d JOIN (SELECT item_id, array_to_string(list_slice(string_split({o.norm('text')}, ' '), 1, 5), ' ') AS phrase FROM benchmark WHERE item_id < 40) b ON b.phrase <> '' AND contains(' ' || d.n || ' ', ' ' || b.phrase || ' ')")
+register_raw("benchmark_phrase_containment", _phrases, f"SELECT doc_id, item_id, count(*) AS phrases FROM ({_phrase_sql('documents', 'doc_id')}) JOIN ({_phrase_sql('benchmark', 'item_id')}) USING (phrase) GROUP BY ALL")
 
 
 def _similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from ..functions.lexicon import ALLOWED, CORE_TOKENS, JUNK_NAMES, SPANISH_TOKENS, is_raw
+from ..functions import matching, titles
+from ..functions.lexicon import ALLOWED, CORE_TOKENS, GLUED_MARK, JUNK_NAMES, SOFT_TOKENS, SPANISH_TOKENS, is_raw
 from ..functions.text import ACCENTED, PLAIN, py_norm
+from ..operators.apply import NO_SOURCE
+from ..schema import ID_FIELDS
 from ..sources.releases import AS_OF
 
 RELEASES = """
@@ -109,6 +112,12 @@ ES_METRICS = """SELECT (SELECT count(*) FROM (SELECT DISTINCT work, gseason, gep
   (SELECT count(*) FROM releases) - (SELECT count(*) FROM scoped) AS skipped, CAST(0 AS BIGINT) AS skipped_limit"""
 
 
+def capped_es(cap: int) -> tuple[str, ...]:
+    """CTEs ``gone`` (the duplicates that a cap reaches), ``placed`` and ``over_ids`` (what else it reaches)."""
+    placed = ES_RANKED.replace("(SELECT id FROM dupes)", "(SELECT id FROM gone)")
+    return f"gone AS (SELECT id FROM dupes ORDER BY id LIMIT {cap})", placed, f"over_ids AS (SELECT id FROM (SELECT id, row_number() OVER (ORDER BY {IN_ORDER}) AS k FROM placed WHERE rn > 3) WHERE k <= {cap} - (SELECT count(*) FROM gone))"
+
+
 def es_metrics(strict: bool) -> str:
     low = "n_es < 2" if strict else "false"
     kept = f"kept AS (SELECT * FROM placed WHERE NOT ({low}) AND rn <= 3)"
@@ -116,6 +125,111 @@ def es_metrics(strict: bool) -> str:
     return over(SCOPED, DUPES, ES_RANKED, kept, per) + ES_METRICS.format(over=f"{low} OR rn > 3")
 
 
+def replaced(x: str, pattern: str, to: str) -> str:
+    return f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+
+
+def found(x: str, pattern: str, group: int = 1) -> str:
+    return f"nullif(regexp_extract({x}, '{pattern}', {group}), '')"
+
+
+def parsed(name: str) -> str:
+    """CTEs ending in ``parsed``: what a release name says, as the columns of parse_release."""
+    t = titles
+    marks = {"s1": (t.SEASON_EPISODE, 1), "s2": (t.SEASON_EPISODE, 2), "c1": (t.CROSS, 1), "c2": (t.CROSS, 2), "w1": (t.SEASON_WORD, 1), "w2": (t.SEASON_WORD, 2), "e": (t.EPISODE_WORD, 1), "d": (t.DASH_NUMBER, 1), "y": (t.YEAR, 1), "q": (t.QUALITY, 1), "k": (t.CODEC, 1), "h": (t.HDR, 1), "g1": (t.GROUP_FIRST, 1), "g2": (t.GROUP_LAST, 1)}
+    title = "w"
+    for p in (t.QUALITY, t.CODEC, t.AUDIO_CODEC, t.HDR, t.SEASON_EPISODE, t.CROSS, t.SEASON_WORD, t.EPISODE_WORD, t.DASH_NUMBER, t.SOURCE, t.AUDIO_TAG):
+        title = replaced(title, p, " ")
+    rest = "CASE WHEN y IS NULL THEN x ELSE regexp_replace(x, '\\b' || y || '\\b', ' ', 'g') END"
+    for p, to in ((t.GROUP_FIRST, " "), (t.GROUP_LAST, " "), (t.BRACKETS, " "), (r"[._]+", " "), (r"\s*-\s*", " "), (r"\s+", " "), (r"^[ -]+|[ -]+$", "")):
+        rest = replaced(rest, p, to)
+    numbers = ", ".join(f"TRY_CAST({k} AS INT) AS {k}" for k in ("s1", "s2", "c1", "c2", "e", "d"))
+    return f"""named AS (SELECT id, trim(coalesce({name}, '')) AS n FROM releases),
+worked AS (SELECT id, n, trim({replaced("n", t.EXTENSION, "")}) AS w FROM named),
+marked AS (SELECT id, n, w, {title} AS x, {", ".join(f"{found('w', p, g)} AS {k}" for k, (p, g) in marks.items())} FROM worked),
+numbered AS (SELECT * REPLACE ({numbers}), coalesce(TRY_CAST(w1 AS INT), TRY_CAST(w2 AS INT)) AS ws FROM marked),
+kinds AS (SELECT *, s1 IS NOT NULL AS b, s1 IS NULL AND coalesce(c1 <= {t.MOST_SEASON}, false) AS c, ws IS NULL AND e <= {t.MOST_ABSOLUTE} AS lone FROM numbered),
+parsed AS (SELECT id, coalesce(nullif({rest}, ''), nullif(trim({replaced("n", chr(92) + "s+", " ")}), ''), n) AS title, TRY_CAST(y AS INT) AS year,
+  CASE WHEN b THEN s1 WHEN c THEN c1 ELSE ws END AS season, CASE WHEN b THEN s2 WHEN c THEN c2 WHEN e IS NOT NULL AND NOT lone THEN e END AS episode,
+  CASE WHEN NOT b AND NOT c THEN CASE WHEN e IS NOT NULL AND lone THEN e WHEN e IS NULL AND ws IS NULL AND d <= {t.MOST_ABSOLUTE} THEN d END END AS absolute,
+  lower(q) AS quality, lower(k) AS codec, lower(h) AS hdr, CASE WHEN g1 IS NOT NULL THEN nullif(trim(g1), '') ELSE g2 END AS release_group FROM kinds)"""
+
+
+def signals(x: str) -> str:
+    t, s = titles, f"coalesce({x}, '')"
+    tests = [f"regexp_matches({s}, '{p}')" for p in (t.QUALITY, t.CODEC, t.HDR, "|".join((t.SEASON_EPISODE, t.CROSS, t.EPISODE_WORD, t.DASH_NUMBER)), t.YEAR, t.SOURCE, r"[\[(]")]
+    tests += [f"length({s}) - length(replace({s}, '.', '')) >= 4", f"regexp_matches({replaced(s, t.EXTENSION, '')}, '{t.GROUP_LAST}')"]
+    return "(" + " + ".join(f"CAST({x} AS BIGINT)" for x in tests) + ")"
+
+
+def _tidy(x: str) -> str:
+    return replaced(replaced(x, "^[ :-]+|[ :-]+$", ""), r"\s+", " ")
+
+
+def _leading(n: int) -> str:
+    return f"CASE WHEN len(string_split(t, ' ')) > {n} THEN array_to_string(list_slice(string_split(t, ' '), 1, {n}), ' ') END"
+
+
+def _distinct_names(items: list[tuple[str, str]]) -> str:
+    """CTE ``tried``: (id, t, text, lax) of items (text, lax) over ``title``, in order, without blanks and repeats."""
+    rows = " UNION ALL ".join(f"SELECT id, t, {k} AS k, {x} AS text, {lax} AS lax FROM tidy" for k, (x, lax) in enumerate(items))
+    return f"""tidy AS (SELECT id, {replaced("trim(coalesce(title, ''))", chr(92) + "s+", " ")} AS t FROM releases),
+tried AS (SELECT id, t, text, lax, n FROM (SELECT *, {norm("text")} AS n FROM ({rows}) WHERE text IS NOT NULL) WHERE n <> '' QUALIFY row_number() OVER (PARTITION BY id, n ORDER BY k) = 1)"""
+
+
+def variant_names() -> str:
+    bare = "CASE " + " ".join(f"WHEN starts_with(lower(t), '{a}') THEN substring(t, {len(a) + 1})" for a in matching.ARTICLES) + " END"
+    return _distinct_names([("t", "false"), (_tidy("CASE WHEN contains(t, ':') THEN split_part(t, ':', 1) END"), "false"), (_tidy(bare), "false"), *((_tidy(_leading(n)), "true") for n in (4, 3, 2))])
+
+
+def aggressive_names() -> str:
+    arabic = "t"
+    for k, v in matching.ROMAN.items():
+        arabic = replaced(arabic, rf"\b{k}\b", v)
+    return _distinct_names([("t", "true"), *((_tidy(x), "true") for x in (replaced("t", matching.SEASON_TAIL, ""), arabic, replaced("t", r"\b(19\d{2}|20\d{2})\b", ""), *(_leading(n) for n in (5, 4, 3, 2))))])
+
+
+def block_reasons() -> str:
+    """(id, reason) by the name, the release group and the tracker, with soft tokens."""
+    both = "coalesce(release_group, '') || ' ' || coalesce(source_tracker, '')"
+    raw = f"coalesce(title, '') || ' ' || {both}"
+    when = [f"WHEN contains(name, '{py_norm(p)}') THEN 'allow:{p}'" for p in ALLOWED]
+    for t in (*CORE_TOKENS, *SOFT_TOKENS):
+        kind, n = "soft" if t in SOFT_TOKENS else "blocked", py_norm(t)
+        if is_raw(t):
+            when.append(f"WHEN contains(raw, '{t.lower()}') THEN '{kind}:{t}'")
+        else:
+            when += [f"WHEN contains(' ' || every || ' ', ' {n} ') THEN '{kind}:{t}'", f"WHEN contains(glued, '{n.replace(' ', '')}') THEN '{kind}:{t}{GLUED_MARK}'"]
+    return f"SELECT id, CASE {' '.join(when)} END AS reason FROM (SELECT id, {norm('title')} AS name, lower({raw}) AS raw, {norm(raw)} AS every, replace({norm(both)}, ' ', '') AS glued FROM releases)"
+
+
+def apply_rows() -> str:
+    """What a batch makes of the releases that it names: the last item that filled a place gives source and confidence."""
+    own = {f: (IMDB if f == "imdb_id" else f) for f in ID_FIELDS}
+    firsts = ", ".join(f"min(pos) FILTER (WHERE {f} IS NOT NULL) AS p_{f}, arg_min({f}, pos) FILTER (WHERE {f} IS NOT NULL) AS v_{f}" for f in ID_FIELDS)
+    wrote = ", ".join(f"CASE WHEN {x} IS NULL THEN p_{f} END" for f, x in own.items())
+    return f"""SELECT m.id, {", ".join(f"m.{f}" for f in ID_FIELDS)}, CASE WHEN w IS NULL THEN m.ids_source ELSE coalesce(k.source, '{NO_SOURCE}') END AS ids_source, CASE WHEN w IS NULL THEN m.ids_confidence ELSE k.confidence END AS ids_confidence,
+  CAST(CASE WHEN {" OR ".join(f"m.{f} IS NOT NULL" for f in ID_FIELDS)} THEN 0 ELSE coalesce(m.ids_attempts, 0) + m.items END AS INT) AS ids_attempts, {AT} AS ids_checked_at
+FROM (SELECT r.id, ids_source, ids_confidence, ids_attempts, items, {", ".join(f"coalesce({x}, v_{f}) AS {f}" for f, x in own.items())}, greatest({wrote}) AS w
+  FROM releases r JOIN (SELECT id, count(*) AS items, {firsts} FROM known GROUP BY id) g USING (id)) m LEFT JOIN known k ON k.id = m.id AND k.pos = m.w"""
+
+
+def noted_cache() -> str:
+    """CTE ``noted``: the cache after the batch; a hit over nothing or over a miss takes its own source and confidence."""
+    hit = "(" + " OR ".join(f"{f} IS NOT NULL" for f in ID_FIELDS) + ")"
+    firsts = ", ".join(f"arg_min({f}, pos) FILTER (WHERE {f} IS NOT NULL) AS v_{f}" for f in ID_FIELDS)
+    return f"""remembered AS ({REMEMBERED}),
+entries AS (SELECT cache_key, bool_or{hit} AS hit, min(pos) FILTER (WHERE {hit}) AS h, {firsts} FROM known WHERE cache_key IS NOT NULL GROUP BY cache_key),
+noted AS (SELECT coalesce(c.cache_key, e.cache_key) AS cache_key, {", ".join(f"coalesce(c.{f}, e.v_{f}) AS {f}" for f in ID_FIELDS)}, coalesce(c.found, false) OR coalesce(e.hit, false) AS found,
+  CASE WHEN c.found OR e.cache_key IS NULL THEN c.source WHEN e.hit THEN coalesce(k.source, '{NO_SOURCE}') ELSE coalesce(c.source, 'none') END AS source,
+  CASE WHEN c.found OR e.cache_key IS NULL THEN c.confidence WHEN e.hit THEN k.confidence ELSE coalesce(c.confidence, 0) END AS confidence
+FROM remembered c FULL JOIN entries e ON c.cache_key = e.cache_key LEFT JOIN known k ON k.pos = e.h)"""
+
+
+#: A cache to apply a batch to: hits and misses, and keys that the batch doesn't name.
+REMEMBERED = "SELECT 'key|' || i AS cache_key, CAST(CASE WHEN i % 3 = 0 THEN i + 1 END AS INT) AS tmdb_id, CAST(NULL AS VARCHAR) AS imdb_id, CAST(NULL AS INT) AS anilist_id, CAST(NULL AS INT) AS kitsu_id, CAST(NULL AS INT) AS mal_id, i % 3 = 0 AS found, CASE WHEN i % 3 = 0 THEN 'old' ELSE 'none' END AS source, CAST(CASE WHEN i % 3 = 0 THEN 0.3 ELSE 0 END AS DOUBLE) AS confidence FROM range(30, 70) t(i)"
+
+
 def apply_ctes() -> str:
     """The derived batch, cleaned."""
     number = lambda f: f"CASE WHEN regexp_full_match(trim({f}), '[0-9]+') AND try_cast(trim({f}) AS HUGEINT) BETWEEN 1 AND 2147483647 THEN try_cast(trim({f}) AS INT) END"
