@@ -10,6 +10,7 @@ from ..functions.matching import ACCEPT, ACCEPT_LAX, VARIANT_WEIGHT, accepted, a
 from ..functions.text import norm
 from ..functions.titles import parse_release, pick_name
 from ..schema import ID_FIELDS
+from ..sources.scratch import settled
 
 #: The providers in the order that they are asked in (what an earlier one finds stays), the types that each is asked for
 #: (null: rows of no known type), and those that are asked for aggressive variants.
@@ -74,9 +75,9 @@ def _asked(named: DataFrame, items: Column, stage: int, variant: bool, light: bo
     return named.select("id", "type", F.lit(stage).alias("stage"), F.col("p.year").alias("year"), F.posexplode(items).alias("nth", "v")).select("id", "type", "stage", "nth", F.col("v.text").alias("query"), "year", F.col("v.lax").alias("lax"), F.lit(variant).alias("variant"), F.lit(light).alias("light")).where(norm(F.col("query")) != "")
 
 
-def questions(queue: DataFrame) -> DataFrame:
+def _questions(named: DataFrame) -> DataFrame:
     """The first round: each row's name, parsed from the more telling of both."""
-    return _asked(_named(queue), F.array(F.struct(F.col("p.title").alias("text"), F.lit(False).alias("lax"))), 0, False)
+    return _asked(named, F.array(F.struct(F.col("p.title").alias("text"), F.lit(False).alias("lax"))), 0, False)
 
 
 def _later_questions(named: DataFrame, aggressive: bool, variant_weight: float) -> DataFrame:
@@ -148,8 +149,11 @@ def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True, a
     further variants, and a tmdb identifier by exact pair with imdb's (pairs are candidates that have both).  A search meets the candidates that share a rare
     word with it; of each provider asked the one with the best confidence counts, if accepted, and what was found first stays.
     source: providers that added an identifier, in the order of finding; confidence: their least.  outcome: "resolved" with all that the type should have, else "partial", else "no match"."""
-    named = _named(queue)
-    early = _search(questions(queue), candidates, variant_weight)
+    return _resolve(settled(_named(queue)), candidates, fill_all, aggressive, variant_weight)
+
+
+def _resolve(named: DataFrame, candidates: DataFrame, fill_all: bool, aggressive: bool, variant_weight: float) -> DataFrame:
+    early = settled(_search(_questions(named), candidates, variant_weight))
     done = _merge(early).join(named.select("id", "type"), "id").where(complete(F.col("type"), fill_all)).select("id")
     open_ = named.join(done, "id", "left_anti")
     merged = _merge(early.unionByName(_search(_later_questions(open_, aggressive, variant_weight), candidates, variant_weight)))
@@ -190,17 +194,17 @@ def cache_keys(named: DataFrame) -> DataFrame:
 def resolve_with_cache(queue: DataFrame, cache: DataFrame, candidates: DataFrame, as_of: Column, *, fill_all: bool = True, aggressive: bool = True) -> DataFrame:
     """:func:`resolve`, but remembered answers come first: hits under any of a row's keys are merged in the keys' order; a row that they make
     complete, or that has no hit and whose first key is a miss that is still fresh, is not searched."""
-    named = _named(queue)
+    named = settled(_named(queue))
     entries = cache.select("cache_key", "found", F.coalesce("updated_at", "created_at").alias("noted_at"), F.col("source").alias("c_source"), F.col("confidence").alias("c_confidence"), *(F.col(f).alias(f"c_{f}") for f in ID_FIELDS))
     looked = cache_keys(named).join(entries, "cache_key")
     hits = looked.where("found").select("id", F.struct(F.col("nth").alias("stage"), F.lit(0).alias("nth"), F.lit(0).alias("of")).alias("at"), F.coalesce("c_source", F.lit("cache")).alias("provider"), F.coalesce("c_confidence", F.lit(0.5)).alias("confidence"), *(F.col(f"c_{f}").alias(f) for f in ID_FIELDS))
-    held = named.select("id", "type", "cache_key").join(_merge(hits), "id")
+    held = settled(named.select("id", "type", "cache_key").join(_merge(hits), "id"))
     missed = looked.where((F.col("nth") == 0) & ~F.col("found") & miss_is_fresh(F.col("noted_at"), as_of)).select("id").join(held.select("id"), "id", "left_anti")
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
     told = lambda df: df.select("id", "cache_key", *ID_FIELDS, "source", "confidence", outcome.alias("outcome"))
     known = held.where(complete(F.col("type"), fill_all)).withColumn("source", F.array_join("sources", "+"))
     none = named.select("id", "type", "cache_key").join(missed, "id", "left_semi").select("*", *(F.lit(None).cast("string" if f == "imdb_id" else "int").alias(f) for f in ID_FIELDS), F.lit("none").alias("source"), F.lit(0.0).alias("confidence"))
-    searched = resolve(queue.join(known.select("id").unionByName(missed), "id", "left_anti"), candidates, fill_all=fill_all, aggressive=aggressive)
+    searched = _resolve(named.join(known.select("id").unionByName(missed), "id", "left_anti"), candidates, fill_all, aggressive, VARIANT_WEIGHT)
     partly = held.select("id", "type", "sources", F.col("confidence").alias("h_confidence"), *(F.col(f).alias(f"h_{f}") for f in ID_FIELDS))
     both = searched.drop("outcome").join(partly, "id", "left")
     more = F.filter(F.split("source", r"\+"), lambda x: (x != "none") & ~F.array_contains(F.coalesce("sources", F.array().cast("array<string>")), x))

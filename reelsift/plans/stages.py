@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import CORE_TOKENS, SOFT_TOKENS
 from ..operators import apply, purge, queue, rank, renumber, resolve, stats
+from ..sources.scratch import settled
 from .budget import Budget, of_setting
 from .report import Report
 from .settings import Settings, words
@@ -21,11 +22,6 @@ class State:
     budget: Budget
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A stage's rows, held for the next one's counts."""
-    return df.persist()
-
-
 def run_purge(state: State, s: Settings, as_of: Column, report: Report) -> State:
     """Junk, blocked, absolute-only, dead: each may delete what the budget has left."""
     tokens = (*CORE_TOKENS, *words(s.blocked_tokens_extra))
@@ -46,7 +42,7 @@ def run_purge(state: State, s: Settings, as_of: Column, report: Report) -> State
         row = done.metrics.first().asDict()
         report.metrics(f"purge {name}", row)
         budget = budget.spend(row["deleted"])
-        df = _kept(done.survivors)
+        df = settled(done.survivors)
     return State(df, state.cache, budget)
 
 
@@ -60,7 +56,7 @@ def run_enrich(state: State, s: Settings, as_of: Column, report: Report, candida
     total: dict[str, int] = {}
     for _ in range(1 if s.dry_run else s.retry_rounds if retry else s.enrich_rounds):
         batch = queue.missing_ids_queue(df, as_of, batch=s.batch_size, min_age_minutes=s.retry_min_age_minutes, max_attempts=s.retry_max_attempts) if retry else queue.enrich_queue(df, as_of, batch=s.batch_size, recheck_days=s.recheck_days, only_types=s.only_types, column=s.title_column)
-        found = resolve.resolve_with_cache(batch, cache, candidates, as_of, fill_all=s.fill_all_ids, aggressive=s.aggressive_fallback).persist()
+        found = settled(resolve.resolve_with_cache(batch, cache, candidates, as_of, fill_all=s.fill_all_ids, aggressive=s.aggressive_fallback))
         counts = {r["outcome"]: r["count"] for r in found.groupBy("outcome").count().collect()}
         if not counts:
             break
@@ -70,7 +66,7 @@ def run_enrich(state: State, s: Settings, as_of: Column, report: Report, candida
             break
         as_batch = found.select(F.monotonically_increasing_id().alias("pos"), *(F.col(c).cast("string").alias(c) for c in ("id", "tmdb_id", "imdb_id", "anilist_id", "kitsu_id", "mal_id", "source", "confidence", "cache_key")))
         done = apply.apply_ids(df, cache, as_batch, as_of)
-        df, cache = _kept(done.rows), _kept(done.cache)
+        df, cache = settled(done.rows), settled(done.cache)
     report.metrics(name, total or {"queue": "empty"})
     return State(df, cache, state.budget)
 
@@ -81,12 +77,12 @@ def run_best(state: State, s: Settings, report: Report) -> State:
         done = rank.keep_best(df, limit=s.keep_best_limit, min_seeders=s.keep_best_min_seeders, only_types=s.keep_best_only_types, max_deletes=budget.remaining, dry_run=s.dry_run)
         row = done.metrics.first().asDict()
         report.metrics("keep best", row)
-        budget, df = budget.spend(row["deleted"]), _kept(done.survivors)
+        budget, df = budget.spend(row["deleted"]), settled(done.survivors)
     if s.keep_best_es and not budget.exhausted:
         done = rank.keep_best_spanish(df, limit=s.keep_best_es_limit, min_spanish=s.keep_best_es_min_spanish, min_seeders=s.keep_best_min_seeders, only_types=s.keep_best_only_types, dedupe=s.keep_best_es_dedupe, strict=s.keep_best_es_strict, title_hint=s.keep_best_es_use_title_hint, subs_fallback=s.keep_best_es_allow_subs_fallback, tokens=s.spanish_tokens_extra, max_deletes=budget.remaining, dry_run=s.dry_run)
         row = done.metrics.first().asDict()
         report.metrics("keep best of the language", row)
-        budget, df = budget.spend(row["deleted"]), _kept(done.survivors)
+        budget, df = budget.spend(row["deleted"]), settled(done.survivors)
     gaps = rank.spanish_gaps(df, limit=s.spanish_report_limit, tokens=s.spanish_tokens_extra)
     report.heading("language gaps")
     report.table(gaps.columns, [list(r) for r in gaps.collect()])

@@ -1,4 +1,4 @@
-"""Versioned snapshots: each version is a Parquet folder; a small file names the current one."""
+"""Versioned snapshots: each version is a Parquet folder; the newest of the numbered pointer files names the current one."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from ..schema import RELEASES, ensure_columns
 
 
 class Snapshots:
-    """Snapshots below ``root``, on any file system Spark can reach.  A version is published by renaming its pointer into place, so readers
-    see the old or the new one; a dry run publishes nothing."""
+    """Snapshots below ``root``, on any file system Spark can reach.  A version is published by renaming its pointer into place beside the earlier ones, so readers
+    see the old or the new one at any time; a dry run publishes nothing."""
 
     def __init__(self, spark: SparkSession, root: str, schema=RELEASES):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
@@ -20,10 +20,13 @@ class Snapshots:
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _state(self) -> dict:
-        at = self._path(f"{self.root}/CURRENT")
-        if not self._fs.exists(at):
+        """What the newest pointer says; pointers are numbered and never replaced, so one is always whole."""
+        at = self._path(f"{self.root}/pointers")
+        names = [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
+        newest = max((int(n) for n in names if n.isdigit()), default=0)
+        if not newest:
             return {"version": 0, "next_id": 1}
-        return json.loads(self.spark.read.text(f"{self.root}/CURRENT").first()[0])
+        return json.loads(self.spark.read.text(f"{self.root}/pointers/{newest}").first()[0])
 
     def version(self) -> int:
         return self._state()["version"]
@@ -42,13 +45,11 @@ class Snapshots:
         state = self._state()
         version = state["version"] + 1
         ensure_columns(df, self.schema).write.parquet(f"{self.root}/v{version}")
-        new = self._path(f"{self.root}/.CURRENT.{version}")
+        new, at = self._path(f"{self.root}/pointers/.{version}"), self._path(f"{self.root}/pointers/{version}")
         out = self._fs.create(new, True)
         out.write(bytearray(json.dumps({"version": version, "next_id": next_id or state["next_id"]}).encode()))
         out.close()
-        at = self._path(f"{self.root}/CURRENT")
-        if self._fs.exists(at):
-            self._fs.delete(at, False)
+        # no reader is ever without a pointer: the one before stays
         if not self._fs.rename(new, at):
             raise OSError(f"{self.root}: version {version} is written but could not be made current")
         return version

@@ -14,7 +14,7 @@ def spark():
 
     s = (
         SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "3").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "2g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "3g").config("spark.sql.ui.retainedExecutions", "5").config("spark.sql.maxPlanStringLength", "20000").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
