@@ -7,25 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder (local tests).
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+from ..sources.scratch import settled, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, else a local one."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-    if not named:
-        named = LOCAL_CHECKPOINTS
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-    return named
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; it outlives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+checkpoint = settled
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
