@@ -25,7 +25,7 @@ CACHE_ENTRIES = 600_000
 CACHED_CHARS = 48
 #: Characters of a text that are handled at a time; longer texts are cut at safe places.
 STRETCH = 1 << 18
-#: UTF-8 bytes (roughly: characters) of texts that are encoded together.
+#: UTF-8 bytes of texts that are encoded together.
 BATCH = 1 << 20
 
 _UNUSUAL = re.compile(r"[^\S \n]")
@@ -146,7 +146,7 @@ class PieceEncoder:
         size = 0
         for text in texts:
             batch.append(text or "")
-            size += len(batch[-1])
+            size += len(batch[-1]) if batch[-1].isascii() else len(batch[-1].encode())
             if size >= BATCH:
                 yield from self._batch(batch)
                 batch, size = [], 0

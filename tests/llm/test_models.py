@@ -376,3 +376,29 @@ def test_quality_bands_of_rare_languages(spark):
     rows = [(i, text(), "en") for i in range(150)] + [(200, text(), "xx"), (201, "\u16a0\u16b1" * 400, "xx"), (202, "\u16a0 " * 5000, "yy")]
     got = {r["doc_id"]: r["in_band"] for r in quality.quality_rules(make(spark, rows, "doc_id long, text string, lang string"), path).collect()}
     assert got[200] and not got[201] and not got[202]
+
+
+def test_preference_of_odd_rows(spark):
+    convs = make(spark, [(1, 0, "user", "a"), (1, 1, "assistant", None), (1, 1, "assistant", None), (0, 0, None, "b" * 300_000), (None, 0, "user", "x"), (2, None, "user", "x")], "conv_id long, turn long, role string, text string").selectExpr("*", "1 as pair", "2 as part", "'z' as side", "3 as sides")
+    got = {(r["pair"], r["side"]): r for r in preference.format_marked(preference.reply_pairs(convs)).collect()}
+    assert set(got) == {(0, "chosen"), (0, "rejected"), (1, "prompt"), (1, "chosen"), (1, "rejected")}
+    assert got[1, "chosen"]["text"] == "<|assistant|>\n<|end|>\n" and got[1, "rejected"]["text"] == "<|user|>\n" + "b" * 300_000 + "<|end|>\n"
+    assert preference.format_marked(preference.reply_pairs(convs.limit(0))).count() == 0
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdeimnorst") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+    long = " ".join(rng.choices(words, k=150_000)).replace(words[0], words[0] + ".\n")
+    rows = [(1, long), (2, long + " end"), (3, long), (4, "short text of a few words"), (5, "x" * 300_000)]
+    docs = make(spark, rows).selectExpr("*", "'en' as lang")
+    n = {i: len(t.split()) for i, t in rows}
+    prints = {r["doc_id"]: r for r in simhash.simhash_groups(docs).collect()}
+    assert all(prints[i]["fingerprint"] == f"{brute_print(t):016x}" for i, t in rows) and prints[3]["component_id"] == 1
+    assert {r["doc_id"]: r["n_tokens"] - 1 for r in katz.katz_scores(docs).collect()} == n
+    trees = {r["doc_id"]: r for r in merkle.merkle_fingerprints(docs).collect()}
+    assert trees[1]["fingerprint"] == trees[3]["fingerprint"] and trees[1]["n_chars"] == len(long) and 0.7 < trees[1]["near_edited"] < 1 and trees[1]["near_next"] > 0.99
+    scores = toxicity.toxicity(docs, make(spark, [(1, 0), (4, 1)], "doc_id long, toxic int")).collect()
+    assert len(scores) == 5 and all(0 <= r["score"] <= 1 for r in scores)
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    assert {r["doc_id"]: r["n_words"] for r in quality.quality_rules(docs, path).collect()} == n
