@@ -196,6 +196,8 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, max_bits: int = 2, id_col
 COUNTED, COMMON, MOST_COMMON = 10_000, 3, 200_000
 #: Rows of a crowded shingle that are compared in one block.
 BLOCK_ROWS = 4096
+#: Rounds in which rows outside a crowded shingle's largest group are compared with so many of the other groups' nearest rows, before all of them.
+NEAREST_ROUNDS, NEAREST = 4, 32
 #: Shingles of texts that a task of the verification remembers at most.
 MOST_HELD = 2_000_000
 
@@ -324,9 +326,9 @@ def _star_meetings(similarity: float):
     return meet
 
 
-def _block_meetings(similarity: float, nearest: bool):
+def _block_meetings(similarity: float, nearest: int | None):
     """Of (token, part, slice, outside, id, n, pos, print, root) sorted by the first four: each row outside the token's largest root with each other one that may be alike, of different roots;
-    if ``nearest``, with the one of each root whose SimHash is nearest."""
+    with the NEAREST ones by SimHash, after ``nearest`` times as many, unless that is None."""
 
     def meet(batches):
         for token, part, piece, outside, ids, n, pos, prints, root in _whole_groups(batches, 3):
@@ -337,9 +339,8 @@ def _block_meetings(similarity: float, nearest: bool):
                 s = slice(low, middle)
                 for u in range(middle, high):
                     ok = low + np.flatnonzero((root[s] != root[u]) & _may_be_alike(n[s], pos[s], n[u], pos[u], similarity))
-                    if nearest and len(ok):
-                        ok = ok[np.lexsort((np.bitwise_count(prints[ok] ^ prints[u]), root[ok]))]
-                        ok = ok[_starts([root[ok]])]
+                    if nearest is not None:
+                        ok = ok[np.argsort(np.bitwise_count(prints[ok] ^ prints[u]), kind="stable")[nearest * NEAREST : (nearest + 1) * NEAREST]]
                     yield _pairs(ids[ok], np.full(len(ok), ids[u]))
 
     return meet
@@ -353,7 +354,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     bits and, since alike texts may differ in more bits than any covering can afford, all that share one of their first shingles in a common order:
     sets alike enough do, so no link is lost.  Each candidate is verified on the whole texts.  A shingle that over CROWD rows share is
     resolved by steps, in blocks of some BLOCK_ROWS: its rows are compared with the one whose SimHash is nearest to the majority of theirs (first for each
-    row's first crowded shingle, then for all), then each row that isn't linked to the shingle's largest group with the nearest one of each other group, and at last with every row of them.
+    row's first crowded shingle, then for all), then each row that isn't linked to the shingle's largest group with the nearest ones of other groups, in rounds, and at last with every row of them.
     ``id_col`` holds different bigints without nulls.  Null, empty and wordless texts are alike.  Other columns are ignored.  An empty table gives an empty one.
     """
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
@@ -433,7 +434,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
         return checkpoint(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
     roots_ = components(verified(pairs))
-    steps = ("first", "all", "nearest", "blocks") if not crowds.isEmpty() else ()
+    steps = ("first", "all", *range(NEAREST_ROUNDS), "blocks") if not crowds.isEmpty() else ()
     for step in steps:
         mine = crowds if step != "first" else crowds.groupBy("id").agg(F.min_by(F.struct("token", "n", "pos"), F.struct("pos", "token")).alias("x")).select("id", "x.*")
         placed = checkpoint(mine.join(roots_.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", F.coalesce("root", "id").alias("root")))
@@ -442,11 +443,11 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
         parts = lambda x: F.ceil(F.col(x) / BLOCK_ROWS).cast("long")
         part = lambda x: F.pmod(F.xxhash64("id"), F.col(x))
         left = placed.join(few(checkpoint(counted.select("token", "big", parts("rows").alias("parts"), parts("others").alias("slices")))), "token").join(firsts, "id")
-        if step in ("nearest", "blocks"):
+        if step not in ("first", "all"):
             own = left.select("token", part("parts").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("outside"), "id", "n", "pos", "print", "root")
             others = left.where("root <> big").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), part("slices").alias("slice"), F.lit(1).alias("outside"), "id", "n", "pos", "print", "root")
             key = ["token", "part", "slice"]
-            links = own.unionByName(others).repartition(*key).sortWithinPartitions(*key, "outside").mapInArrow(_block_meetings(similarity, step == "nearest"), "a long, b long")
+            links = own.unionByName(others).repartition(*key).sortWithinPartitions(*key, "outside").mapInArrow(_block_meetings(similarity, None if step == "blocks" else step), "a long, b long")
         else:
             key = ["token", "part"]
             stars = left.select("token", part("parts").alias("part"), "id", "n", "print", "root")
