@@ -85,6 +85,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .languages import languages
+
+    return languages(table(spark, sf_dir, "documents"), folds=4, held=2)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"), number=40, rounds=5, scale=256, size=64)
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
@@ -97,6 +115,9 @@ def queries() -> dict:
         "op10_quality": op10_quality,
         "op5_token_files": op5_token_files,
         "op4_token_counts": op4_token_counts,
+        "op11_languages": op11_languages,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_centroids": op13_centroids,
     }
 
 
@@ -139,5 +160,51 @@ FROM edits d JOIN shown a ON a.rid = d.rid AND a.k = 0 JOIN shown b ON b.rid = d
 """
 
 
+
+def _whole(scale: int) -> str:
+    """The vector as whole numbers."""
+    return f"list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"
+#: The squared distance of two lists of whole numbers below 2^53.
+_SQUARED = "CAST(list_inner_product(v::DOUBLE[], v::DOUBLE[]) - 2 * list_inner_product(v::DOUBLE[], w::DOUBLE[]) + list_inner_product(w::DOUBLE[], w::DOUBLE[]) AS BIGINT)"
+
+
+def _rounds(rounds: int) -> str:
+    """Tables m1 to m<rounds> of the parts (r, p, v) and entries e0 to e<rounds> of (p, c, w): assignments before each round, entries after it; the last assignment is m<rounds>."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"m{i} AS MATERIALIZED (SELECT r, p, v, c, d FROM (SELECT r, p, v, c, {_SQUARED} AS d FROM parts JOIN e{i} USING (p)) QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, c) = 1)")
+        if i < rounds:
+            steps.append(f"s{i} AS (SELECT p, c, k, CAST(floor(sum(x)::DOUBLE / count(*)) AS BIGINT) AS x FROM (SELECT p, c, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM m{i}) GROUP BY ALL)")
+            steps.append(f"u{i} AS (SELECT p, c, list(x ORDER BY k) AS w FROM s{i} GROUP BY ALL)")
+            steps.append(f"e{i + 1} AS MATERIALIZED (SELECT e.p, e.c, coalesce(u.w, e.w) AS w FROM e{i} e LEFT JOIN u{i} u ON u.p = e.p AND u.c = e.c)")
+    return ",\n".join(steps)
+
+
+_OP12_SQL = f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, {_whole(1024)} AS a FROM embeddings WHERE {_FINITE} AND len(embedding) > 0),
+parts AS MATERIALIZED (SELECT r, p, a[p * len(a) // 4 + 1 : (p + 1) * len(a) // 4] AS v FROM kept, range(4) AS t(p)),
+e0 AS MATERIALIZED (SELECT p, r - 1 AS c, v AS w FROM parts WHERE r <= 256),
+{_rounds(4)},
+sums AS (SELECT r, string_agg(printf('%02x', c), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM m4 GROUP BY r),
+rows AS (SELECT vec_id, label, code, error FROM kept JOIN sums USING (r))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY p, c)) FROM e4) AS codebooks_sha256
+FROM rows
+"""
+
+_OP13_SQL = f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), embedding) AS r, vec_id, {_whole(256)} AS v FROM embeddings WHERE {_FINITE} AND len(embedding) = 64),
+parts AS MATERIALIZED (SELECT r, 0 AS p, v FROM kept),
+e0 AS MATERIALIZED (SELECT p, r - 1 AS c, v AS w FROM parts WHERE r <= 40),
+{_rounds(5)}
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM m5 m JOIN kept USING (r) JOIN e5 e ON e.c = m.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_preference": _OP3_SQL, "op7_merkle": _OP7_SQL}
+    return {"op3_preference": _OP3_SQL, "op7_merkle": _OP7_SQL, "op12_vector_codes": _OP12_SQL, "op13_centroids": _OP13_SQL}
