@@ -15,10 +15,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
-
 from .common import resident
 
 CACHE_ENTRIES = 600_000
@@ -69,13 +69,18 @@ class PieceEncoder:
         else:
             self.kind = "whole"
         self.n_ids = self.tokenizer.get_vocab_size()
-        self.added = [x["content"] for x in spec.get("added_tokens", [])]
+        # added tokens are found before letters are lower-cased
+        self.added = re.compile("|".join(re.escape(x["content"]) for x in spec.get("added_tokens", [])) or r"[^\s\S]", re.IGNORECASE)
         self.known: dict[str, bytes] = {}
         self.misses = 0
         self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [array("I", x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for x in found:
+                x.byteswap()
+        return [x.tobytes() for x in found]
 
     def _stretches(self, text: str) -> Iterator[str]:
         """A text in parts of about STRETCH characters, each but the first beginning with white space that follows another character."""
@@ -106,11 +111,13 @@ class PieceEncoder:
         return [x[1:] if x[:1] == "\0" else x if x[:1].isspace() else " " + x for x in keys]
 
     def _root(self, key: str) -> tuple[str, str]:
-        """A key without its closing mark, and the mark: a letter and a mark never share a token, so most keys need no encoding of their own."""
+        """A key without its closing mark, and the mark: a letter and a mark never share a token, so most keys need no encoding of their own.
+
+        A letter whose lower case ends in a combining mark (U+0130) is none here: that one and the mark do share a token."""
         mark = ""
-        if self.kind != "whole" and len(key) > 1 and key[-1] in _MARKS and key[-2] < "\u0250" and key[-2].isalpha() and key[0] != "\0":
+        if self.kind != "whole" and len(key) > 1 and key[-1] in _MARKS and key[-2] < "\u0250" and key[-2].isalpha() and key[-2] != "\u0130" and key[0] != "\0":
             key, mark = key[:-1], key[-1]
-        if self.kind == "drop" and key.isascii() and not any(x in key.lower() for x in self.added):  # added tokens are found before letters are lower-cased
+        if self.kind == "drop" and key.isascii() and (key.islower() or not self.added.search(key)):
             key = key.lower()
         return key, mark
 

@@ -14,6 +14,7 @@ from reelsift.llm.token_counts import token_counts  # noqa: E402
 
 ODD = [
     "", " ", "\n", "  ", "a", " a", "a ", "a  b", "a   b \n c\n\nd ", "\t\ta\tb", "a\x1cb!\x1c c", "<|endoftext|> a <|endoftext|>b  <|endoftext|>", "it's 'll don't  I'm\n'em", "é̈ ̈x ́y", "Σας ΣΑΣ. İstanbul", "你好 世界　好",
+    "BELEDİYESİ, ANKARA İ. VALİ. DENİZLİ! DİKKATİ: Iİ? ıi.", " ".join(chr(i) + m for i in range(0x41, 0x250) if chr(i).isalpha() for m in ".,!?;:"), " ".join("x" + chr(i) + m for i in range(0x41, 0x250) if chr(i).isalpha() for m in ".,!?;:"),
     "\0a \0b", "a\r\nb", "😀 😀😀  x", "naïve x", "\n\na", "a\n\n", "!?\x1c .. \x85 z", None, "<|startoftext|> Hi, you. Don't!", "<|ENDOFTEXT|> <|STARTOFTEXT|>x <|EndOfText|>. A<|endofText|>B", "word " * 20000 + "x" * 3000 + "\n\n tail  " * 3000,
 ]
 
