@@ -35,7 +35,7 @@ from .pieces import encoder
 SHARD_BYTES = 4 << 20
 #: Keys of one part of the index, on average.
 PART_KEYS = 1 << 16
-#: Text bytes that a range of documents should have.
+#: Bytes of ids that a range of documents should have, as long as they compress to half.
 RANGE_BYTES = 32 << 20
 #: Index parts and shards that are asked for by name at most, so that no other is read; more are met by a join.
 NAMED = 200
@@ -119,33 +119,37 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
     Other columns are ignored.  An empty table gives empty tables.
     """
     spark = docs.sparkSession
-    given = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    # a relation of unknown size claims the greatest one
-    known = scan_bytes(docs)
-    n_ranges = max(1, -(-2 * known // RANGE_BYTES)) if known < 1 << 50 else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # dealt and sorted before encoding: the range sample then reads texts, and encodes none twice
-    by = ("key", "h", "row")
-    ordered = given.withColumns({"h": F.xxhash64("t"), "row": F.monotonically_increasing_id()}).repartitionByRange(n_ranges, *by).sortWithinPartitions(*by).select(F.spark_partition_id().alias("range"), "key", "t")
+    given = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).select("key", F.xxhash64("t").alias("h"), "t")
 
-    def shards(batches):
+    def encode(batches):
         enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         width = 2 if max(enc.n_ids, end_id + 1) <= 1 << 16 else 4
+        for batch in batches:
+            ids = [np.frombuffer(x + end, dtype="<u4").astype(f"<u{width}").tobytes() for x in enc.encode(batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["key", "h", "width", "ids"])
+
+    # encoded where texts are read, and written: what is dealt by ranges (sampled, then shuffled and sorted) are short ids, not texts
+    encoded = written(given.mapInArrow(encode, "key long, h long, width int, ids binary"), "encoded")
+    n_ranges = max(1, -(-2 * scan_bytes(encoded) // RANGE_BYTES))
+    by = ("key", "h", "ids")
+    # rows of one id and text are spread by a number of their own
+    ordered = encoded.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n_ranges, "key", "h", "row").sortWithinPartitions(*by).select(F.spark_partition_id().alias("range"), "key", "width", "ids")
+
+    def shards(batches):
         made, size, keys, seen, counts, payload, last, nth = 0, 0, [], [], [], [], None, 0
         row = lambda: pa.RecordBatch.from_pydict(
             {"shard": [(where << 32) | made], "range": [where], "n_tokens": [sum(counts)], "width": [width], "first_key": [keys[0]], "last_key": [keys[-1]], "last_seen": [seen[-1] + 1], "keys": [np.array(keys, dtype="<i8").tobytes()], "occurrences": [np.array(seen, dtype="<i8").tobytes()], "counts": [np.array(counts, dtype="<i8").tobytes()], "payload": [b"".join(payload)]},
             schema=pa.schema([("shard", pa.int64()), ("range", pa.int32()), ("n_tokens", pa.int64()), ("width", pa.int32()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("last_seen", pa.int64()), ("keys", pa.binary()), ("occurrences", pa.binary()), ("counts", pa.binary()), ("payload", pa.binary())]),
         )
-        where = 0
+        where = width = 0
         for batch in batches:
-            where = batch.column(0)[0].as_py() if len(batch) else where
-            for key, ids in zip(batch.column(1).to_pylist(), enc.encode(batch.column(2).to_pylist()), strict=True):
+            where, width = (batch.column(0)[0].as_py(), batch.column(2)[0].as_py()) if len(batch) else (where, width)
+            for key, raw in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 nth = nth + 1 if key == last else 0
                 last = key
-                ids += end
-                raw = np.frombuffer(ids, dtype="<u4").astype(f"<u{width}").tobytes()
                 keys.append(key)
                 seen.append(nth)
-                counts.append(len(ids) // 4)
+                counts.append(len(raw) // width)
                 payload.append(raw)
                 size += len(raw)
                 if size >= SHARD_BYTES:
