@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from . import lanes
 from .text import norm, once, py_norm
 
 #: Thresholds and weights of matches.
@@ -56,8 +57,7 @@ def partial_ratio(a: str, b: str) -> float:
     n = len(short)
     if not n:
         return 100.0 if not long else 0.0
-    windows = {long[max(0, i) : i + n] for i in range(1 - n, len(long))}
-    best = max(ratio(short, w) for w in windows if w)
+    best = max(ratio(short, long[max(0, i) : i + n]) for i in range(1 - n, len(long)))
     if len(long) == n:
         best = max(best, *(ratio(long, short[max(0, i) : i + n]) for i in range(1 - n, n)))
     return best
@@ -72,15 +72,13 @@ def similarity_of(a: str | None, b: str | None) -> float:
 
 @F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """0 to 1; repeated pairs of a batch are compared once."""
-    known: dict[tuple, float] = {}
-    out = []
-    for pair in zip(a, b, strict=True):
-        pair = tuple(x if isinstance(x, str) else None for x in pair)
-        if pair not in known:
-            known[pair] = similarity_of(*pair)
-        out.append(known[pair])
-    return pd.Series(out, dtype="float64")
+    """0 to 1; different pairs of a batch are compared together, repeated ones once."""
+    texts = [x if isinstance(x, str) else "" for x in a], [x if isinstance(x, str) else "" for x in b]
+    normal = {t: py_norm(t) for t in {*texts[0], *texts[1]}}
+    pairs = [(normal[x], normal[y]) for x, y in zip(*texts, strict=True)]
+    distinct = list(dict.fromkeys(pairs))
+    known = dict(zip(distinct, lanes.similarities([x for x, _ in distinct], [y for _, y in distinct]).tolist(), strict=True))
+    return pd.Series([known[p] for p in pairs], dtype="float64")
 
 
 def confidence(alike: Column, asked_year: Column, year: Column, variant: Column) -> Column:

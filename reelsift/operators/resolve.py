@@ -1,16 +1,17 @@
-"""Resolving identifiers from offline candidate tables: joins by rare words, similarity, and rounds of searches whose first finds stay."""
+"""Resolving identifiers from offline candidate tables: all names that are alike enough, and rounds of searches whose first finds stay."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import any_id, cache_key, complete, miss_is_fresh
-from ..functions.matching import ACCEPT, ACCEPT_LAX, VARIANT_WEIGHT, accepted, aggressive_variants, confidence, similarity, variants
+from ..functions.matching import ACCEPT, ACCEPT_LAX, VARIANT_WEIGHT, accepted, aggressive_variants, confidence, variants
 from ..functions.text import norm
 from ..functions.titles import parse_release, pick_name
 from ..schema import ID_FIELDS
 from ..sources.scratch import settled
+from .fuzzy import alike_names
 
 #: The providers in the order that they are asked in (what an earlier one finds stays), the types that each is asked for
 #: (null: rows of no known type), and those that are asked for aggressive variants.
@@ -21,8 +22,6 @@ PROVIDERS = {
 LIGHT = ("imdb", "anilist", "kitsu")
 #: Name and confidence of an identifier found by an exact pair.
 BRIDGE, BRIDGE_CONFIDENCE = "tmdb:find", 0.95
-#: Words of a name that it is met by, rare ones first.
-RARE_WORDS = 2
 
 #: JSON answers of the providers, as far as they are read.
 PAYLOADS = {
@@ -96,29 +95,27 @@ def _later_questions(named: DataFrame, aggressive: bool, variant_weight: float)
     return found
 
 
-def _meetings(searches: DataFrame, names: DataFrame) -> DataFrame:
-    """(query, title) of different names that share one of either's RARE_WORDS rarest words; which are rare is counted among ``names``."""
-    words = lambda df, c: df.select(c, F.explode(F.array_distinct(F.split(norm(F.col(c)), " "))).alias("w")).where("w <> ''")
-    asked, held = words(searches.select("query").distinct(), "query"), words(names.select("title").distinct(), "title")
-    counts = held.groupBy("w").agg(F.count("*").alias("n"))
-    rare = lambda df, c: df.join(counts, "w").withColumn("k", F.row_number().over(Window.partitionBy(c).orderBy("n", "w"))).where(F.col("k") <= RARE_WORDS).select(c, "w")
-    return rare(asked, "query").join(held, "w").select("query", "title").unionByName(asked.join(rare(held, "title"), "w").select("query", "title")).distinct()
-
-
 def _search(asked: DataFrame, candidates: DataFrame, variant_weight: float) -> DataFrame:
-    """(id, at, provider, confidence, identifiers): each search's best candidate of each provider that is asked for the row's type, if accepted."""
+    """(id, at, provider, confidence, identifiers): each search's best candidate of each provider that is asked for the row's type, if accepted.
+
+    Different searches are answered once, however many rows ask them, and the best answer is kept by partial aggregation, so a name that
+    many rows or candidates have gathers in no task."""
     order = F.create_map(*(F.lit(x) for p in enumerate(PROVIDERS) for x in reversed(p)))
-    alike = _meetings(asked, candidates).withColumn("alike", similarity(F.col("query"), F.col("title")))
-    # nothing below can be accepted, whatever the years
-    near = alike.where(F.col("alike") >= ACCEPT - 0.05)
-    met = asked.join(near, "query").join(candidates.select("provider", "title", F.col("year").alias("c_year"), *ID_FIELDS), "title")
     kind = F.coalesce(F.when(F.lower("type").isin("movie", "series", "anime"), F.lower("type")), F.lit(""))
+    # without a year, and with 0, nothing is added or taken off
+    asked = asked.select("*", norm(F.col("query")).alias("q"), kind.alias("kind"), F.coalesce("year", F.lit(0)).alias("y"))
+    key = ["q", "y", "kind", "lax", "variant", "light"]
+    # nothing below can be accepted, whatever the years
+    near = alike_names(asked, candidates, ACCEPT - 0.05).select(F.col("search").alias("q"), F.col("name").alias("t"), "alike")
+    offered = candidates.select("provider", "title", norm(F.col("title")).alias("t"), F.col("year").alias("c_year"), *ID_FIELDS)
+    met = asked.select(*key).distinct().join(near, "q").join(offered, "t")
     may = F.create_map(*(x for p, kinds in PROVIDERS.items() for x in (F.lit(p), F.array(*(F.lit(k or "") for k in kinds)))))
-    met = met.where(F.array_contains(may[F.col("provider")], kind) & (~F.col("light") | F.col("provider").isin(*LIGHT)))
-    sure = F.round(confidence(F.col("alike"), F.col("year"), F.col("c_year"), F.lit(False)) * F.when(F.col("variant"), variant_weight).otherwise(1.0), 4)
-    first = Window.partitionBy("id", "stage", "nth", "provider").orderBy(F.desc("confidence"), "title", *ID_FIELDS)
-    best = met.withColumn("confidence", sure).where(accepted(F.col("confidence"), F.col("lax"))).withColumn("k", F.row_number().over(first)).where("k = 1")
-    return best.select("id", F.struct("stage", "nth", order[F.col("provider")].alias("of")).alias("at"), "provider", "confidence", *ID_FIELDS)
+    met = met.where(F.array_contains(may[F.col("provider")], F.col("kind")) & (~F.col("light") | F.col("provider").isin(*LIGHT)))
+    sure = F.round(confidence(F.col("alike"), F.col("y"), F.col("c_year"), F.lit(False)) * F.when(F.col("variant"), variant_weight).otherwise(1.0), 4)
+    fit = met.withColumn("confidence", sure).where(accepted(F.col("confidence"), F.col("lax")))
+    best = fit.groupBy(*key, "provider").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "title", *ID_FIELDS)).alias("b"))
+    told = asked.select("id", "stage", "nth", *key).join(best, key)
+    return told.select("id", F.struct("stage", "nth", order[F.col("provider")].alias("of")).alias("at"), "provider", (-F.col("b.c")).alias("confidence"), *(f"b.{f}" for f in ID_FIELDS))
 
 
 def _merge(finds: DataFrame) -> DataFrame:
@@ -146,8 +143,8 @@ def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True, a
     """(id, cache_key, identifiers, source, confidence, outcome) of each row of a queue.
 
     candidates: (provider, title, year, identifiers).  Rounds: the name; for rows that are not complete then, its variants and, if ``aggressive``, the other name,
-    further variants, and a tmdb identifier by exact pair with imdb's (pairs are candidates that have both).  A search meets the candidates that share a rare
-    word with it; of each provider asked the one with the best confidence counts, if accepted, and what was found first stays.
+    further variants, and a tmdb identifier by exact pair with imdb's (pairs are candidates that have both).  A search meets every candidate that is
+    alike enough; of each provider asked the one with the best confidence counts, if accepted, and what was found first stays.
     source: providers that added an identifier, in the order of finding; confidence: their least.  outcome: "resolved" with all that the type should have, else "partial", else "no match"."""
     return _resolve(settled(_named(queue)), candidates, fill_all, aggressive, variant_weight)
 
