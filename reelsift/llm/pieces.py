@@ -18,6 +18,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import resident
 
@@ -190,6 +192,27 @@ class PieceEncoder:
         if batch:
             yield from self._batch(batch)
 
+    def _body(self, text: str) -> str | None:
+        """The cache keys of a text with single spaces between them; None for one that needs :meth:`_pieces`, or has no key."""
+        if self.kind == "drop":
+            return text.replace("\n", " ")
+        if self.kind == "byte" and text and plain(text):
+            return text[1:].replace("\n", " \n") if text[0] == " " else ("\0" + text if text[0] != "\n" else text).replace("\n", " \n").removeprefix(" ")
+        return None
+
+    def _together(self, bodies: list[str]) -> list[bytes]:
+        """Ids of texts given as keys with single spaces between them: each different key of all of them is looked up once."""
+        keys = pc.split_pattern(pa.array([" ".join(bodies)], pa.large_string()), " ").values.dictionary_encode()
+        found = self._look_up(keys.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        ids, starts = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(sizes) - sizes
+        which = keys.indices.to_numpy()
+        each = sizes[which]
+        upto = np.cumsum(each)
+        whole = ids[np.repeat(starts[which] - (upto - each), each) + np.arange(upto[-1])].tobytes()
+        ends = (4 * upto[np.cumsum([x.count(" ") + 1 for x in bodies]) - 1]).tolist()
+        return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def _batch(self, texts: list[str]) -> Iterator[bytes]:
         if any(len(t) > STRETCH for t in texts):
             for text in texts:
@@ -198,16 +221,10 @@ class PieceEncoder:
                     continue
                 yield b"".join(x for part in self._stretches(text) for x in self._look_up(self._pieces(part)))
             return
-        keys: list[str] = []
-        ends = []
-        for text in texts:
-            keys += self._pieces(text)
-            ends.append(len(keys))
-        found = self._look_up(keys)
-        at = 0
-        for end in ends:
-            yield b"".join(found[at:end])
-            at = end
+        bodies = list(map(self._body, texts))
+        done = iter(self._together([x for x in bodies if x is not None])) if any(x is not None for x in bodies) else iter(())
+        for text, body in zip(texts, bodies, strict=True):
+            yield next(done) if body is not None else b"".join(self._look_up(self._pieces(text)))
 
 
 def encoder(path: str) -> PieceEncoder:
