@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..functions.text import norm
 from ..functions.titles import parse_release, pick_name
 from ..schema import ID_FIELDS
 from ..sources.scratch import settled
+from . import identity
 from .fuzzy import alike_names
 
 #: The providers in the order that they are asked in (what an earlier one finds stays), the types that each is asked for
@@ -63,6 +66,15 @@ def parse_payload(rows: DataFrame, provider: str, column: str = "payload") -> Da
     return found.select("key", F.lit(provider).alias("provider"), "title", "year", *((F.col(f) if f in have else F.lit(None)).try_cast(kinds[f]).alias(f) for f in ID_FIELDS))
 
 
+def candidates_of(answers: Callable[[str], DataFrame]) -> DataFrame:
+    """(key, provider, title, year, identifiers): the candidates of stored answers; ``answers`` gives a provider's rows (key, payload), so each is a scan of its own that leaves out the others' folders."""
+    found = None
+    for provider in PROVIDERS:
+        more = parse_payload(answers(provider).select("key", "payload"), provider)
+        found = more if found is None else found.unionByName(more)
+    return found
+
+
 def _named(queue: DataFrame) -> DataFrame:
     """A queue's rows with n (its names, the more telling one first), p (that one parsed) and cache_key."""
     named = queue.withColumn("n", pick_name(F.col("title"), F.col("title_alt"))).withColumn("p", parse_release(F.col("n.main")))
@@ -139,42 +151,36 @@ def _merge(finds: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(F.aggregate(F.array_sort(F.collect_list("x")), start, add).alias("m")).select("id", "m.*").where(F.size("sources") > 0)
 
 
-def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True, aggressive: bool = True, variant_weight: float = VARIANT_WEIGHT) -> DataFrame:
+def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True, aggressive: bool = True, variant_weight: float = VARIANT_WEIGHT, known: DataFrame | None = None) -> DataFrame:
     """(id, cache_key, identifiers, source, confidence, outcome) of each row of a queue.
 
     candidates: (provider, title, year, identifiers).  Rounds: the name; for rows that are not complete then, its variants and, if ``aggressive``, the other name,
-    further variants, and a tmdb identifier by exact pair with imdb's (pairs are candidates that have both).  A search meets every candidate that is
+    further variants.  At last identifiers that such a row still lacks come from the works of those that it has: ``known``, from :func:`identity.closure`, by default over the
+    candidates' own identifiers (a tmdb one only if ``aggressive``, noted as found by exact pair); works with a conflict give nothing.  A search meets every candidate that is
     alike enough; of each provider asked the one with the best confidence counts, if accepted, and what was found first stays.
     source: providers that added an identifier, in the order of finding; confidence: their least.  outcome: "resolved" with all that the type should have, else "partial", else "no match"."""
-    return _resolve(settled(_named(queue)), candidates, fill_all, aggressive, variant_weight)
+    return _resolve(settled(_named(queue)), candidates, fill_all, aggressive, variant_weight, known)
 
 
-def _resolve(named: DataFrame, candidates: DataFrame, fill_all: bool, aggressive: bool, variant_weight: float) -> DataFrame:
+def _resolve(named: DataFrame, candidates: DataFrame, fill_all: bool, aggressive: bool, variant_weight: float, known: DataFrame | None) -> DataFrame:
+    known = identity.closure(identity.edges_of(candidates)) if known is None else known
     early = settled(_search(_questions(named), candidates, variant_weight))
     done = _merge(early).join(named.select("id", "type"), "id").where(complete(F.col("type"), fill_all)).select("id")
     open_ = named.join(done, "id", "left_anti")
     merged = _merge(early.unionByName(_search(_later_questions(open_, aggressive, variant_weight), candidates, variant_weight)))
-    every = named.select("id", "type", "cache_key").join(merged, "id", "left")
-    if aggressive:
-        pairs = candidates.where("tmdb_id is not null and imdb_id is not null").groupBy("imdb_id").agg(F.min("tmdb_id").alias("_tmdb"))
-        every = every.join(pairs, "imdb_id", "left")
-        met = F.col("tmdb_id").isNull() & F.col("_tmdb").isNotNull() & ~complete(F.col("type"), fill_all)
-        # both read the identifier as it was before
-        every = every.withColumns({"sources": F.when(met, F.array_append("sources", F.lit(BRIDGE))).otherwise(F.col("sources")), "confidence": F.when(met, F.least("confidence", F.lit(BRIDGE_CONFIDENCE))).otherwise(F.col("confidence")), "tmdb_id": F.when(met, F.col("_tmdb")).otherwise(F.col("tmdb_id"))})
+    before = F.struct(*ID_FIELDS, complete(F.col("type"), fill_all).alias("done"))
+    every = identity.fill(named.select("id", "type", "cache_key").join(merged, "id", "left").withColumn("before", before), known)
+    # what a complete row lacks stays open; so does a tmdb identifier where no further search is wanted
+    kept = {f: F.when(F.col("before.done"), F.col(f"before.{f}")).otherwise(F.col(f)) for f in ID_FIELDS}
+    met = F.lit(aggressive) & F.col("before.tmdb_id").isNull() & F.col("tmdb_id").isNotNull() & ~F.col("before.done")
+    if not aggressive:
+        kept["tmdb_id"] = F.col("before.tmdb_id")
+    # all read the row as it was before
+    every = every.withColumns(kept | {"sources": F.when(met, F.array_append("sources", F.lit(BRIDGE))).otherwise(F.col("sources")), "confidence": F.when(met, F.least("confidence", F.lit(BRIDGE_CONFIDENCE))).otherwise(F.col("confidence"))})
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
     return every.select("id", "cache_key", *ID_FIELDS, F.coalesce(F.array_join("sources", "+"), F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
 
 
-def bridge(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``rows`` with a missing tmdb or imdb identifier filled from exact pairs (tmdb_id, imdb_id); of several, the least."""
-    known = pairs.where("tmdb_id is not null and imdb_id is not null")
-    by_imdb = known.groupBy("imdb_id").agg(F.min("tmdb_id").alias("_tmdb"))
-    by_tmdb = known.groupBy("tmdb_id").agg(F.min("imdb_id").alias("_imdb"))
-    filled = rows.join(by_imdb, "imdb_id", "left").join(by_tmdb, "tmdb_id", "left")
-    given = {"tmdb_id": F.coalesce("tmdb_id", "_tmdb"), "imdb_id": F.coalesce("imdb_id", "_imdb")}
-    return filled.select(*(given.get(c, F.col(c)).alias(c) for c in rows.columns))
-
-
 def parse_mappings(rows: DataFrame, column: str = "payload") -> DataFrame:
     """(key, site, external_id) of mapping answers given as rows (key, payload)."""
     kind = "struct<data:array<struct<attributes:struct<externalSite:string,externalId:string>>>>"
@@ -188,7 +194,7 @@ def cache_keys(named: DataFrame) -> DataFrame:
     return named.select("id", F.posexplode(keys).alias("nth", "cache_key"))
 
 
-def resolve_with_cache(queue: DataFrame, cache: DataFrame, candidates: DataFrame, as_of: Column, *, fill_all: bool = True, aggressive: bool = True) -> DataFrame:
+def resolve_with_cache(queue: DataFrame, cache: DataFrame, candidates: DataFrame, as_of: Column, *, fill_all: bool = True, aggressive: bool = True, known: DataFrame | None = None) -> DataFrame:
     """:func:`resolve`, but remembered answers come first: hits under any of a row's keys are merged in the keys' order; a row that they make
     complete, or that has no hit and whose first key is a miss that is still fresh, is not searched."""
     named = settled(_named(queue))
@@ -199,13 +205,13 @@ def resolve_with_cache(queue: DataFrame, cache: DataFrame, candidates: DataFrame
     missed = looked.where((F.col("nth") == 0) & ~F.col("found") & miss_is_fresh(F.col("noted_at"), as_of)).select("id").join(held.select("id"), "id", "left_anti")
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
     told = lambda df: df.select("id", "cache_key", *ID_FIELDS, "source", "confidence", outcome.alias("outcome"))
-    known = held.where(complete(F.col("type"), fill_all)).withColumn("source", F.array_join("sources", "+"))
+    full = held.where(complete(F.col("type"), fill_all)).withColumn("source", F.array_join("sources", "+"))
     none = named.select("id", "type", "cache_key").join(missed, "id", "left_semi").select("*", *(F.lit(None).cast("string" if f == "imdb_id" else "int").alias(f) for f in ID_FIELDS), F.lit("none").alias("source"), F.lit(0.0).alias("confidence"))
-    searched = _resolve(named.join(known.select("id").unionByName(missed), "id", "left_anti"), candidates, fill_all, aggressive, VARIANT_WEIGHT)
+    searched = _resolve(named.join(full.select("id").unionByName(missed), "id", "left_anti"), candidates, fill_all, aggressive, VARIANT_WEIGHT, known)
     partly = held.select("id", "type", "sources", F.col("confidence").alias("h_confidence"), *(F.col(f).alias(f"h_{f}") for f in ID_FIELDS))
     both = searched.drop("outcome").join(partly, "id", "left")
     more = F.filter(F.split("source", r"\+"), lambda x: (x != "none") & ~F.array_contains(F.coalesce("sources", F.array().cast("array<string>")), x))
     joined = F.concat(F.coalesce("sources", F.array().cast("array<string>")), more)
     filled = both.withColumns({f: F.coalesce(f"h_{f}", f) for f in ID_FIELDS} | {"source": F.when(F.size(joined) > 0, F.array_join(joined, "+")).otherwise("none"), "confidence": F.when(F.col("source") == "none", F.coalesce("h_confidence", F.lit(0.0))).otherwise(F.least("confidence", F.coalesce("h_confidence", "confidence")))})
     types = named.select("id", "type")
-    return told(known).unionByName(told(none)).unionByName(told(filled.drop("type").join(types, "id")))
+    return told(full).unionByName(told(none)).unionByName(told(filled.drop("type").join(types, "id")))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, lexicon, matching, text, titles
-from ..operators import apply, audit, purge, queue, rank, renumber, resolve, stats
+from ..operators import apply, audit, fuzzy, identity, lexicon_join, purge, queue, rank, renumber, resolve, stats
 from ..schema import ID_FIELDS, TITLE_CACHE, ensure_columns
+from ..sources import answers
 from ..sources.releases import as_of, derived_releases
+from ..sources.scratch import settled, shared_dir
 from . import oracle as o
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,6 +228,90 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register_raw("resolve_outcome", lambda s, d: resolve.resolve(queue.whole_enrich_queue(derived_releases(s, d), as_of(), column="auto"), _candidates(s, d)).select("id", "source", "confidence", "outcome"))
 
+def _alike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of different names of releases that are alike enough to be a match, whatever the years."""
+    names = derived_releases(spark, sf_dir).select(titles.parse_release(F.col("title"))["title"].alias("title"))
+    found = fuzzy.alike_names(names.withColumnRenamed("title", "query"), names, matching.ACCEPT - 0.05)
+    return found.where("search < name").select("search", "name", F.round("alike", 6).alias("alike"))
+
+
+register_raw("fuzzy_candidates", _alike)
+
+
+# Works: identifiers that customers' keys stand for, side by side in rows and in mapping answers; some lead from one work to the next, which is a conflict
+def _sighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("c_custkey").cast("int")
+    return read("customer")(spark, sf_dir).select(
+        F.col("c_custkey").alias("id"), F.when(c % 2 == 0, c).alias("tmdb_id"), F.when(c % 3 < 2, F.concat(F.lit("tt"), (c + 1000000).cast("string"))).alias("imdb_id"),
+        F.when(c % 11 < 6, F.when(c % 40 == 0, c + 1).otherwise(c)).alias("anilist_id"), F.when(c % 5 < 3, c).alias("kitsu_id"), F.when(c % 7 < 5, c).alias("mal_id"),
+    )
+
+
+def _works(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    item = lambda site, id: F.struct(F.struct(F.lit(site).alias("externalSite"), id.cast("string").alias("externalId")).alias("attributes"))
+    key = F.col("c_custkey")
+    answers = read("customer")(spark, sf_dir).where(key % 4 == 0).select(key.cast("string").alias("key"), F.to_json(F.struct(F.array(item("myanimelist/anime", key), item("anilist", key), item("thetvdb", key)).alias("data"))).alias("payload"))
+    return identity.edges_of(_sighted(spark, sf_dir)), identity.edges_of(identity.mapping_ids(answers))
+
+
+def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, more = _works(spark, sf_dir)
+    return identity.classes(first.unionByName(more))
+
+
+register_raw("identity_classes", _members, o.WORKS + "SELECT node, root FROM classes")
+register_raw("identity_conflicts", lambda s, d: identity.conflicts(_members(s, d)), o.WORKS + "SELECT root, site, n, low, high FROM sites WHERE n > 1")
+register_raw(
+    "identity_fill",
+    lambda s, d: identity.fill(_sighted(s, d).select("id", "tmdb_id", F.when(F.col("tmdb_id").isNull(), F.col("imdb_id")).alias("imdb_id"), *(F.lit(None).cast("int").alias(f) for f in ("anilist_id", "kitsu_id", "mal_id"))), identity.closure(*_works(s, d))),
+    o.WORKS + o.FILLED,
+)
+
+
+def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon that grows with the documents: beginnings of their texts of one to three words, raw pieces of them, and allowed beginnings."""
+    w = F.split(text.norm(F.col("text")), " ")
+    k = F.col("doc_id")
+    token = F.when(k % 4 < 3, F.array_join(F.slice(w, F.lit(1), (k % 4 + 1).cast("int")), " ")).otherwise(F.substring("text", 2, 6))
+    docs = read("documents")(spark, sf_dir)
+    allow = docs.where(k % 9 == 0).select(k.alias("ord"), F.lit("allow").alias("kind"), F.array_join(F.slice(w, 1, 2), " ").alias("token"))
+    return lexicon_join.lexicon_of(docs.select(k.alias("ord"), F.lit("blocked").alias("kind"), token.alias("token")).unionByName(allow))
+
+
+register_raw("purge_blocked_by_table", lambda s, d: lexicon_join.blocked_by(derived_releases(s, d), _lexicon(s, d)), o.over(o.LEXICON) + o.BLOCKED_BY)
+
+# Answers as the providers store them: written for each release's provider, read back through the source, shredded into candidates
+_TURN = F.element_at(F.array(*(F.lit(p) for p in resolve.PROVIDERS)), (F.col("id") % len(resolve.PROVIDERS) + 1).cast("int"))
+
+
+def _payload() -> Column:
+    n, year, title = F.col("id").cast("int"), (F.col("id") % 70 + 1950).cast("int"), F.col("title")
+    day, tt = F.concat(year.cast("string"), F.lit("-02-03")), F.concat(F.lit("tt"), (n + 1000000).cast("string"))
+    one = lambda **fields: F.struct(*(v.alias(k) for k, v in fields.items()))
+    shapes = {
+        "anilist": lambda: one(data=one(Page=one(media=F.array(one(id=n, idMal=n + 1, seasonYear=year, title=one(romaji=title, english=F.col("title_text"))))))),
+        "kitsu": lambda: one(data=F.array(one(id=n.cast("string"), attributes=one(canonicalTitle=title, startDate=day)))),
+        "jikan": lambda: one(data=F.array(one(mal_id=n, title=title, title_english=title, year=year))),
+        "imdb": lambda: one(d=F.array(one(id=tt, l=title, y=year), one(id=F.lit("nm0000001"), l=title, y=year))),
+        "tvmaze": lambda: F.array(one(show=one(name=title, premiered=day, externals=one(imdb=tt)))),
+        "tmdb": lambda: one(results=F.array(one(id=n, name=title, first_air_date=day))),
+        "omdb": lambda: one(Title=title, Year=F.concat(year.cast("string"), F.lit("\u20132020")), imdbID=tt, Response=F.when(n % 2 == 0, "True").otherwise("False")),
+    }
+    out = F.when(F.lit(False), "")
+    for p, shape in shapes.items():
+        out = out.when(_TURN == p, F.to_json(shape()))
+    return out
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
+    path = f"{shared_dir(spark).rstrip('/')}/answers-{uuid.uuid4().hex}"
+    answers.write_answers(derived_releases(spark, sf_dir).select(_TURN.alias("provider"), F.col("id").cast("string").alias("key"), _payload().alias("payload")), path)
+    return lambda provider: answers.read_answers(spark, path, provider=provider)
+
+
+register_raw("lookup_candidates", lambda s, d: resolve.candidates_of(_answers(s, d)).select("key", "provider", "title", "year", *ID_FIELDS), o.over() + o.CANDIDATES)
+register_raw("resolve_from_answers", lambda s, d: resolve.resolve(queue.whole_enrich_queue(derived_releases(s, d), as_of(), column="auto"), settled(resolve.candidates_of(_answers(s, d)).drop("key"))).select("id", "source", "confidence", "outcome"))
+
 
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy = read("nation")(spark, sf_dir).select(F.when(F.col("n_nationkey") % 2 == 0, "table").otherwise("function").alias("kind"), F.col("n_name").alias("object"), F.when(F.col("n_nationkey") % 3 == 0, "anon").otherwise("service").alias("role"), F.when(F.col("n_nationkey") % 2 == 0, "delete").otherwise("execute").alias("privilege"), (F.col("n_nationkey") % 4 == 0).alias("row_security"))

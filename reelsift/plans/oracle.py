@@ -6,6 +6,7 @@ from ..functions import matching, titles
 from ..functions.lexicon import ALLOWED, CORE_TOKENS, GLUED_MARK, JUNK_NAMES, SOFT_TOKENS, SPANISH_TOKENS, is_raw
 from ..functions.text import ACCENTED, PLAIN, py_norm
 from ..operators.apply import NO_SOURCE
+from ..operators.resolve import PROVIDERS
 from ..schema import ID_FIELDS
 from ..sources.releases import AS_OF
 
@@ -242,3 +243,53 @@ clean AS (SELECT pos, CAST(rid AS BIGINT) AS id, {number('tmdb_id')} AS tmdb_id,
   CAST(nullif(trim(tmdb_id), '') IS NOT NULL AND {number('tmdb_id')} IS NULL AS INT) + CAST(nullif(trim(imdb_id), '') IS NOT NULL AND NOT regexp_full_match(lower(trim(imdb_id)), 'tt[0-9]{{1,10}}') AS INT)
   + CAST(nullif(trim(anilist_id), '') IS NOT NULL AND {number('anilist_id')} IS NULL AS INT) + CAST(nullif(trim(kitsu_id), '') IS NOT NULL AND {number('kitsu_id')} IS NULL AS INT) + CAST(nullif(trim(mal_id), '') IS NOT NULL AND {number('mal_id')} IS NULL AS INT) AS bad FROM batch),
 known AS (SELECT c.* FROM clean c WHERE id IN (SELECT id FROM releases))"""
+
+
+#: Works as connected identifiers: sources, edges, classes, and how many identifiers of a site each has.
+WORKS = """
+WITH RECURSIVE sighted AS (
+  SELECT c_custkey AS id, CASE WHEN c % 2 = 0 THEN c END AS tmdb_id, CASE WHEN c % 3 < 2 THEN 'tt' || (c + 1000000) END AS imdb_id, CASE WHEN c % 11 < 6 THEN CASE WHEN c % 40 = 0 THEN c + 1 ELSE c END END AS anilist_id,
+    CASE WHEN c % 5 < 3 THEN c END AS kitsu_id, CASE WHEN c % 7 < 5 THEN c END AS mal_id
+  FROM (SELECT c_custkey, CAST(c_custkey AS INT) AS c FROM customer)),
+mapped AS (SELECT NULL AS tmdb_id, NULL AS imdb_id, c AS anilist_id, c AS kitsu_id, c AS mal_id FROM (SELECT CAST(c_custkey AS INT) AS c FROM customer) WHERE c % 4 = 0),
+lists AS (SELECT list_filter(['tmdb:' || tmdb_id, 'imdb:' || imdb_id, 'anilist:' || anilist_id, 'kitsu:' || kitsu_id, 'mal:' || mal_id], lambda x: x IS NOT NULL) AS n
+  FROM (SELECT tmdb_id, imdb_id, anilist_id, kitsu_id, mal_id FROM sighted UNION ALL SELECT * FROM mapped)),
+links AS (SELECT n[1] AS a, unnest(n[2:]) AS b FROM lists WHERE len(n) > 1),
+both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, far) AS (SELECT a, a FROM both UNION SELECT r.node, e.b FROM reach r JOIN both e ON e.a = r.far),
+classes AS (SELECT node, min(far) AS root FROM reach GROUP BY node),
+sites AS (SELECT root, site, count(*) AS n, min(value) AS low, max(value) AS high FROM (SELECT root, split_part(node, ':', 1) AS site, substring(node, instr(node, ':') + 1) AS value FROM classes) GROUP BY ALL)
+"""
+FILLED = """,
+works AS (SELECT root, max(CASE WHEN site = 'tmdb' THEN low END) AS tmdb, max(CASE WHEN site = 'imdb' THEN low END) AS imdb, max(CASE WHEN site = 'anilist' THEN low END) AS anilist, max(CASE WHEN site = 'kitsu' THEN low END) AS kitsu,
+  max(CASE WHEN site = 'mal' THEN low END) AS mal FROM sites GROUP BY root HAVING max(n) = 1),
+asked AS (SELECT id, tmdb_id, CASE WHEN tmdb_id IS NULL THEN imdb_id END AS imdb_id FROM sighted)
+SELECT id, coalesce(tmdb_id, CAST(tmdb AS INT)) AS tmdb_id, coalesce(imdb_id, imdb) AS imdb_id, CAST(anilist AS INT) AS anilist_id, CAST(kitsu AS INT) AS kitsu_id, CAST(mal AS INT) AS mal_id
+FROM asked LEFT JOIN classes ON node = coalesce('tmdb:' || tmdb_id, 'imdb:' || imdb_id) LEFT JOIN works USING (root)
+"""
+
+LEXICON = f"""
+listed AS (SELECT kind, token, min(ord) AS ord FROM (
+  SELECT doc_id AS ord, 'blocked' AS kind, CASE WHEN doc_id % 4 < 3 THEN array_to_string(w[1:doc_id % 4 + 1], ' ') ELSE substring(text, 2, 6) END AS token FROM (SELECT *, string_split({norm('text')}, ' ') AS w FROM documents)
+  UNION ALL SELECT doc_id, 'allow', array_to_string((string_split({norm('text')}, ' '))[1:2], ' ') FROM documents WHERE doc_id % 9 = 0) WHERE trim(token) <> '' GROUP BY ALL),
+tokens AS (SELECT *, {norm('token')} AS n, kind <> 'allow' AND regexp_matches(token, '[^a-zA-Z0-9 ]') AS raw FROM listed),
+names AS (SELECT id, lower(coalesce(title, '') || ' ' || coalesce(release_group, '') || ' ' || coalesce(source_tracker, '')) AS plain,
+  ' ' || {norm("coalesce(title, '') || ' ' || coalesce(title_text, '') || ' ' || coalesce(release_group, '') || ' ' || coalesce(source_tracker, '')")} || ' ' AS every,
+  replace({norm("coalesce(release_group, '') || ' ' || coalesce(source_tracker, '')")}, ' ', '') AS glued, {norm(NAME)} AS name FROM releases)"""
+#: Which token blocks a release, and how it was found; allowed phrases win.
+BLOCKED_BY = """,
+hits AS (
+  SELECT id, ord, 0 AS h, kind, token FROM names JOIN tokens ON raw AND contains(plain, lower(token))
+  UNION ALL SELECT id, ord, 1, kind, token FROM names JOIN tokens ON NOT raw AND kind <> 'allow' AND n <> '' AND contains(every, ' ' || n || ' ')
+  UNION ALL SELECT id, ord, 2, kind, token FROM names JOIN tokens ON NOT raw AND kind <> 'allow' AND n <> '' AND contains(glued, replace(n, ' ', '')))
+SELECT id, kind, token, CASE h WHEN 0 THEN 'raw' WHEN 1 THEN 'phrase' ELSE 'glued' END AS how FROM hits
+WHERE id NOT IN (SELECT id FROM names JOIN tokens ON kind = 'allow' AND n <> '' AND contains(name, n)) QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord, h, kind, token) = 1
+"""
+
+#: Candidates that the derived answers hold.
+CANDIDATES = f"""
+SELECT key, provider, t AS title, year, CASE WHEN provider = 'tmdb' THEN n END AS tmdb_id, CASE WHEN provider IN ('imdb', 'tvmaze', 'omdb') THEN 'tt' || (n + 1000000) END AS imdb_id,
+  CASE WHEN provider = 'anilist' THEN n END AS anilist_id, CASE WHEN provider = 'kitsu' THEN n END AS kitsu_id, CASE provider WHEN 'anilist' THEN n + 1 WHEN 'jikan' THEN n END AS mal_id
+FROM (SELECT CAST(id AS VARCHAR) AS key, CAST(id AS INT) AS n, CAST(id % 70 + 1950 AS INT) AS year, provider, unnest(CASE WHEN provider = 'anilist' THEN list_distinct([title, title_text]) ELSE [title] END) AS t
+  FROM (SELECT *, ({list(PROVIDERS)})[id % {len(PROVIDERS)} + 1] AS provider FROM releases)) WHERE provider <> 'omdb' OR n % 2 = 0
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import CORE_TOKENS, SOFT_TOKENS
-from ..operators import apply, purge, queue, rank, renumber, resolve, stats
+from ..operators import apply, identity, purge, queue, rank, renumber, resolve, stats
 from ..sources.scratch import settled
 from .budget import Budget, of_setting
 from .report import Report
@@ -54,9 +54,10 @@ def run_enrich(state: State, s: Settings, as_of: Column, report: Report, candida
         df, counts = queue.reset_for_retry(df, as_of, max_attempts=s.retry_max_attempts, min_age_minutes=s.retry_min_age_minutes, dry_run=s.dry_run)
         report.metrics("retry queue", counts.first().asDict())
     total: dict[str, int] = {}
+    known = identity.closure(identity.edges_of(candidates))
     for _ in range(1 if s.dry_run else s.retry_rounds if retry else s.enrich_rounds):
         batch = queue.missing_ids_queue(df, as_of, batch=s.batch_size, min_age_minutes=s.retry_min_age_minutes, max_attempts=s.retry_max_attempts) if retry else queue.enrich_queue(df, as_of, batch=s.batch_size, recheck_days=s.recheck_days, only_types=s.only_types, column=s.title_column)
-        found = settled(resolve.resolve_with_cache(batch, cache, candidates, as_of, fill_all=s.fill_all_ids, aggressive=s.aggressive_fallback))
+        found = settled(resolve.resolve_with_cache(batch, cache, candidates, as_of, fill_all=s.fill_all_ids, aggressive=s.aggressive_fallback, known=known))
         counts = {r["outcome"]: r["count"] for r in found.groupBy("outcome").count().collect()}
         if not counts:
             break

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,22 +35,49 @@ class Snapshots:
     def next_id(self) -> int:
         return self._state()["next_id"]
 
+    def batch_of(self, stream: str) -> int:
+        """The last batch of ``stream`` that was published, -1 for none."""
+        return self._state().get("batches", {}).get(stream, -1)
+
+    def _folder(self, version: int) -> str:
+        at = json.loads(self.spark.read.text(f"{self.root}/pointers/{version}").first()[0])
+        return f"{self.root}/{at.get('folder', f'v{version}')}"
+
     def read(self, version: int | None = None) -> DataFrame:
         version = self.version() if version is None else version
         if not version:
             return ensure_columns(self.spark.createDataFrame([], "id long"), self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v{version}")
+        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+
+    def read_beside(self, name: str, schema) -> DataFrame:
+        """The table ``name`` that was published beside the current version, empty where there was none."""
+        folder = self._state().get("beside", {}).get(name)
+        if folder is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+
+    def publish(self, df: DataFrame, next_id: int | None = None, *, beside: dict[str, DataFrame] | None = None, batch: tuple[str, int] | None = None) -> int:
+        """Write ``df``, and the tables ``beside`` it, as the next version and make them current together; ``batch``: the stream and batch that they hold.
 
-    def publish(self, df: DataFrame, next_id: int | None = None) -> int:
-        """Write ``df`` as the next version and make it current."""
+        Tables that aren't given stay as they are.  An attempt that dies before its pointer leaves folders of its own, which nothing names."""
         state = self._state()
         version = state["version"] + 1
-        ensure_columns(df, self.schema).write.parquet(f"{self.root}/v{version}")
-        new, at = self._path(f"{self.root}/pointers/.{version}"), self._path(f"{self.root}/pointers/{version}")
+        folder = f"v{version}" if batch is None and not self._fs.exists(self._path(f"{self.root}/v{version}")) else f"v{version}-{uuid.uuid4().hex}"
+        ensure_columns(df, self.schema).write.parquet(f"{self.root}/{folder}")
+        written = {}
+        for name, table in (beside or {}).items():
+            written[name] = f"{folder}-{name}"
+            table.write.parquet(f"{self.root}/{written[name]}")
+        batches = state.get("batches", {}) | ({batch[0]: batch[1]} if batch else {})
+        self._point({"version": version, "next_id": next_id or state["next_id"], "folder": folder, "beside": state.get("beside", {}) | written, "batches": batches})
+        return version
+
+    def _point(self, state: dict) -> None:
+        version = state["version"]
+        new, at = self._path(f"{self.root}/pointers/.{version}-{uuid.uuid4().hex}"), self._path(f"{self.root}/pointers/{version}")
         out = self._fs.create(new, True)
-        out.write(bytearray(json.dumps({"version": version, "next_id": next_id or state["next_id"]}).encode()))
+        out.write(bytearray(json.dumps(state).encode()))
         out.close()
         # no reader is ever without a pointer: the one before stays
-        if not self._fs.rename(new, at):
+        if self._fs.exists(at) or not self._fs.rename(new, at):
             raise OSError(f"{self.root}: version {version} is written but could not be made current")
-        return version
