@@ -255,8 +255,8 @@ mapped AS (SELECT NULL AS tmdb_id, NULL AS imdb_id, c AS anilist_id, c AS kitsu_
 lists AS (SELECT list_filter(['tmdb:' || tmdb_id, 'imdb:' || imdb_id, 'anilist:' || anilist_id, 'kitsu:' || kitsu_id, 'mal:' || mal_id], lambda x: x IS NOT NULL) AS n
   FROM (SELECT tmdb_id, imdb_id, anilist_id, kitsu_id, mal_id FROM sighted UNION ALL SELECT * FROM mapped)),
 links AS (SELECT n[1] AS a, unnest(n[2:]) AS b FROM lists WHERE len(n) > 1),
-both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
-reach(node, far) AS (SELECT a, a FROM both UNION SELECT r.node, e.b FROM reach r JOIN both e ON e.a = r.far),
+sides AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, far) AS (SELECT a, a FROM sides UNION SELECT r.node, e.b FROM reach r JOIN sides e ON e.a = r.far),
 classes AS (SELECT node, min(far) AS root FROM reach GROUP BY node),
 sites AS (SELECT root, site, count(*) AS n, min(value) AS low, max(value) AS high FROM (SELECT root, split_part(node, ':', 1) AS site, substring(node, instr(node, ':') + 1) AS value FROM classes) GROUP BY ALL)
 """
