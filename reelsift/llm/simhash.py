@@ -191,9 +191,9 @@ def simhash_groups(docs: DataFrame, *, words: int = 3, max_bits: int = 2, id_col
 
 # Near copies by similarity -----------------------------------------------------------------------------------------
 
-#: Documents whose shingles are counted to tell common ones, documents of a common one among them, and common ones known at most.
+#: Documents whose shingles are counted to tell common ones, at least, and one of how many, at most; documents of a common one among them, and common ones known at most.
 #: These only set the order that shingles are taken in; pairs are the same for any order.
-COUNTED, COMMON, MOST_COMMON = 10_000, 3, 200_000
+COUNTED, EVERY, COMMON, MOST_COMMON = 10_000, 100, 3, 200_000
 #: Rows of a crowded shingle that are compared in one block.
 BLOCK_ROWS = 4096
 #: Rounds in which rows outside a crowded shingle's largest group are compared with so many of the other groups' nearest rows, before all of them.
@@ -223,6 +223,13 @@ def _may_be_alike(n, pos, m, qos, similarity):
     return np.minimum(n - pos, m - qos) * (1 + similarity) + 1e-6 >= similarity * (n + m)
 
 
+def _greatest_partner(n, pos, similarity):
+    """How many shingles another set may have at most, if its first one in common with a set of ``n`` is that set's at ``pos`` and both are alike enough.
+
+    Two sets can be alike by :func:`_may_be_alike` where neither is greater than the other's greatest partner."""
+    return (n - pos * (1 + similarity) + 2e-6) / similarity
+
+
 def _whole_groups(batches, keys: int = 1):
     """Columns of sorted batches as arrays, cut only between different values of the first ``keys`` ones."""
     held = []
@@ -336,9 +343,15 @@ def _block_meetings(similarity: float, nearest: int | None):
             prints = prints.view(np.uint64)
             for low, high in zip(starts, [*starts[1:], len(token)], strict=True):
                 middle = low + int(np.searchsorted(outside[low:high], 1))
-                s = slice(low, middle)
-                for u in range(middle, high):
-                    ok = low + np.flatnonzero((root[s] != root[u]) & _may_be_alike(n[s], pos[s], n[u], pos[u], similarity))
+                # by size: the sizes that can be alike are one stretch, often an empty one
+                own = low + np.argsort(n[low:middle], kind="stable")
+                sizes, most = n[own], _greatest_partner(n[own], pos[own], similarity)
+                mine = _greatest_partner(n[middle:high], pos[middle:high], similarity)
+                begin = np.searchsorted(sizes, similarity * n[middle:high] - 1e-6)
+                end = np.searchsorted(sizes, mine, side="right")
+                for u in (middle + np.flatnonzero(begin < end)).tolist():
+                    b, e = begin[u - middle], end[u - middle]
+                    ok = own[b:e][(most[b:e] >= n[u]) & (root[own[b:e]] != root[u])]
                     if nearest is not None:
                         ok = ok[np.argsort(np.bitwise_count(prints[ok] ^ prints[u]), kind="stable")[nearest * NEAREST : (nearest + 1) * NEAREST]]
                     yield _pairs(ids[ok], np.full(len(ok), ids[u]))
@@ -367,7 +380,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
                 tokens, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], names=["token", "n"])
 
-    every = -(-given.count() // COUNTED) or 1
+    every = min(-(-given.count() // COUNTED), EVERY) or 1
     counted = given.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("t").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     known = counted.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow()
     common, weight = known.column(0).to_numpy().view(np.uint64), known.column(1).to_numpy()
@@ -398,6 +411,9 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     tokens = first.select("id", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "id", "n", "pos")
     met = written(tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_meetings(similarity), _MEETINGS), "meetings")
     crowds = met.where("b is null").select("token", F.col("a").alias("id"), "n", "pos")
+    # a row whose greatest partner is less than every row of the shingle meets none there
+    fewest = few(checkpoint(crowds.groupBy("token").agg(F.min("n").alias("fewest"))))
+    crowds = checkpoint(crowds.join(fewest, "token").where(_greatest_partner(F.col("n"), F.col("pos"), similarity) >= F.col("fewest")).drop("fewest"))
 
     firsts = checkpoint(first.select("id", "print"))
     # SimHash: texts of one fingerprint with the first of them, and those first ones where fingerprints meet at an anchor

@@ -142,6 +142,20 @@ def test_near_copies_against_brute_force(spark):
     assert {r["doc_id"]: r["first_id"] for r in got} == {i: f for i, f in enumerate(first) if i != f} and len(set(first)) > 1
 
 
+def test_blocks_meet_all_that_may_be_alike():
+    rng = np.random.default_rng(4)
+    n = rng.integers(1, 60, 300).astype(np.int32)
+    pos = (n * rng.random(300) ** 3 * 0.3).astype(np.int32)
+    root, outside, ids = rng.integers(0, 40, 300), np.sort(rng.integers(0, 2, 300)), np.arange(300)
+    zero = np.zeros(300, dtype=np.int64)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (zero, zero, zero, outside, ids, n, pos, zero, root)], names=list("abcdefghi"))
+    got = {(a, b) for p in simhash._block_meetings(0.8, None)([batch]) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)}
+    want = {(u, v) for u in range(300) for v in range(u + 1, 300) if outside[u] != outside[v] and root[u] != root[v] and simhash._may_be_alike(n[u], pos[u], n[v], pos[v], 0.8)}
+    assert got == want and len(want) > 300
+
+
 @pytest.mark.parametrize("crowd, block", [(64, 4096), (4, 3)])
 def test_near_copies_of_odd_rows(spark, monkeypatch, crowd, block):
     """Null, empty, wordless, repeated and very long texts, other columns, and crowds and blocks of a few rows."""
