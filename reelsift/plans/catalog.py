@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, lexicon, matching, text, titles
-from ..operators import apply, audit, fuzzy, identity, lexicon_join, purge, queue, rank, renumber, resolve, stats
+from ..operators import apply, audit, fuzzy, identity, lexicon_join, policy, purge, queue, rank, renumber, resolve, stats
 from ..schema import ID_FIELDS, TITLE_CACHE, ensure_columns
 from ..sources import answers
 from ..sources.releases import as_of, derived_releases
@@ -321,6 +321,28 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 register_raw("security_audit", _audit, "SELECT 'CRITICAL' AS level, 'anon may execute ' || n_name AS finding FROM nation WHERE n_nationkey % 2 = 1 AND n_nationkey % 3 = 0 UNION SELECT 'CRITICAL', 'anon may delete ' || n_name FROM nation WHERE n_nationkey % 2 = 0 AND n_nationkey % 3 = 0 UNION SELECT 'WARNING', 'no row security on ' || n_name FROM nation WHERE n_nationkey % 2 = 0 AND n_nationkey % 4 <> 0")
 
 
+#: Rules over the releases: guests see seeded movies and all of one tracker, with hashed names and no identifiers of one site; members see what isn't blocked by its name.
+_RULES = [
+    ("a", "releases", "guest", "select", "type = 'movie' and seeders > 10", None, None), ("b", "releases", "guest", "select", "source_tracker = 'pub'", None, None),
+    ("c", "releases", "guest", "select", None, "title", "substring(sha2(title, 256), 1, 8)"), ("c", "releases", "public", "select", None, "imdb_id", None),
+    ("d", "releases", "member", "all", "title not like '%XXX%'", None, None), ("e", "others", "guest", "all", None, None, None),
+]
+
+
+def _seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each role sees of the releases."""
+    rules = policy.rules_of(spark.createDataFrame(_RULES, policy.RULES), "releases")
+    seen = [policy.visible(derived_releases(spark, sf_dir), rules, role).select(F.lit(role).alias("role"), "id", "title", "imdb_id", "tmdb_id") for role in ("guest", "member", "nobody", "service_role")]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2]).unionByName(seen[3])
+
+
+register_raw(
+    "row_policies",
+    _seen,
+    o.over() + "SELECT 'guest' AS role, id, substring(sha256(title), 1, 8) AS title, CAST(NULL AS VARCHAR) AS imdb_id, tmdb_id FROM releases WHERE type = 'movie' AND seeders > 10 OR source_tracker = 'pub' UNION ALL SELECT 'member', id, title, NULL, tmdb_id FROM releases WHERE title NOT LIKE '%XXX%' UNION ALL SELECT 'service_role', id, title, imdb_id, tmdb_id FROM releases",
+)
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

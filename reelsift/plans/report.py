@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Mapping
 
+log = logging.getLogger(__name__)
+
 
 class Report:
     def __init__(self, title: str):
@@ -26,6 +29,8 @@ class Report:
         self.heading(stage)
         self.table(["metric", "value"], [[k, v] for k, v in values.items()])
         self.data[stage] = dict(values)
+        log.info("%s: %s", stage, ", ".join(f"{k} {v}" for k, v in values.items() if k != "sample"))
+        log.debug("%s: %s", stage, json.dumps(self.data[stage], ensure_ascii=False, default=str))
 
     def markdown(self) -> str:
         return "\n".join(self.lines) + "\n"

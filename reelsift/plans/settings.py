@@ -53,6 +53,7 @@ class Settings:
     allow_tokens_extra: str = ""
     summary_file: str = "summary.md"
     summary_json: str = "summary.json"
+    log_level: str = "INFO"
 
 
 def load(env=None) -> Settings:

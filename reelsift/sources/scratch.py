@@ -9,9 +9,9 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.  Where it is unset, a session on one machine gets a local one, and a cluster an error."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, or else the checkpoint folder that its context was given.  Without either, a session on one machine gets a local one, and a cluster an error."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir names no folder that the driver and the executors share")

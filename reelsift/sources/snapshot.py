@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import policy
 from ..schema import RELEASES, ensure_columns
 
 
@@ -49,6 +50,15 @@ class Snapshots:
             return ensure_columns(self.spark.createDataFrame([], "id long"), self.schema)
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
 
+    def read_as(self, role: str, policies: DataFrame, name: str = "releases", version: int | None = None) -> DataFrame:
+        """What ``role`` sees of a version, by the rules (:mod:`operators.policy`) for the table ``name``."""
+        return policy.visible(self.read(version), policy.rules_of(policies, name), role)
+
+    def publish_as(self, role: str, df: DataFrame, policies: DataFrame, name: str = "releases", **how) -> int:
+        """:meth:`publish`, if the rules let ``role`` make each kind of change between the current version and ``df``; else PermissionError."""
+        policy.checked_change(self.read(), ensure_columns(df, self.schema), policy.rules_of(policies, name), role)
+        return self.publish(df, **how)
+
     def read_beside(self, name: str, schema) -> DataFrame:
         """The table ``name`` that was published beside the current version, empty where there was none."""
         folder = self._state().get("beside", {}).get(name)
