@@ -15,9 +15,10 @@ GROUP = ("work", "gseason", "gep")
 
 
 def scoped(df: DataFrame, only_types: str | None = None) -> DataFrame:
-    """Rows that have a work key and aren't packs, with what ranking needs; a null pack flag is out too."""
+    """Rows that have a work key and aren't packs, with what ranking needs; a null pack flag is out too.  A column ``work`` is taken for the key."""
+    key = F.col("work") if "work" in df.columns else work_key().alias("work")
     named = df.where(type_wanted(only_types)).select(
-        "id", work_key().alias("work"), group_season().alias("gseason"), group_episode().alias("gep"), F.coalesce("seeders", F.lit(0)).alias("seeders"),
+        "id", key, group_season().alias("gseason"), group_episode().alias("gep"), F.coalesce("seeders", F.lit(0)).alias("seeders"),
         quality_rank(F.col("quality")).alias("qrank"), "size_bytes", effective_title(F.col("title"), F.col("title_text")).alias("titulo"), is_pack().alias("pack"),
         "quality", "codec", "hdr", "release_group", "audio", "subtitles",
     )
