@@ -29,7 +29,8 @@ MOST_SEASON, MOST_ABSOLUTE = 60, 300
 
 
 def _first(text: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    """What ``group`` of a pattern's first match holds, "" without one."""
+    return F.regexp_extract(text, pattern, group)
 
 
 def _squeeze(text: Column) -> Column:
@@ -42,7 +43,7 @@ def parse_release(name: Column) -> Column:
     Numbers: SxxEyy, else NxM up to season 60, else season and episode words, where an episode without a season is an absolute one up to 300,
     else a number between a dash and a bracket.  The title is what is left once everything known is taken out, or the whole name if nothing is."""
     plain = F.trim(F.coalesce(name, F.lit("")))
-    # each pattern is looked for once; a mark that isn't there is null
+    # each pattern is looked for once; a mark that isn't there is "" (a null test inside a lambda would evaluate what it tests twice)
     found = lambda w: {
         "s1": _first(w, SEASON_EPISODE), "s2": _first(w, SEASON_EPISODE, 2), "c1": _first(w, CROSS), "c2": _first(w, CROSS, 2), "w1": _first(w, SEASON_WORD), "w2": _first(w, SEASON_WORD, 2),
         "e": _first(w, EPISODE_WORD), "d": _first(w, DASH_NUMBER), "y": _first(w, YEAR), "q": _first(w, QUALITY), "k": _first(w, CODEC), "h": _first(w, HDR), "g1": _first(w, GROUP_FIRST), "g2": _first(w, GROUP_LAST),
@@ -53,8 +54,10 @@ def parse_release(name: Column) -> Column:
 
 def _told(original: Column, m: Column) -> Column:
     """The struct of :func:`parse_release` from the trimmed name and the marks found in it."""
-    number = lambda k: m[k].try_cast("int")
-    both = m["s1"].isNotNull()
+    mark = lambda k: F.when(m[k] != "", m[k])
+    # a cast of "" would throw, and catch, an exception
+    number = lambda k: mark(k).try_cast("int")
+    both = m["s1"] != ""
     cross = ~both & F.coalesce(number("c1") <= MOST_SEASON, F.lit(False))
     words = ~both & ~cross
     word_season, word_number, dash = F.coalesce(number("w1"), number("w2")), number("e"), number("d")
@@ -62,19 +65,19 @@ def _told(original: Column, m: Column) -> Column:
     season = F.when(both, number("s1")).when(cross, number("c1")).when(words, word_season)
     episode = F.when(both, number("s2")).when(cross, number("c2")).when(words & word_number.isNotNull() & ~lone, word_number)
     absolute = F.when(words & word_number.isNotNull() & lone, word_number).when(words & word_number.isNull() & word_season.isNull() & (dash <= MOST_ABSOLUTE), dash)
-    group = F.when(m["g1"].isNotNull(), F.nullif(F.trim(m["g1"]), F.lit(""))).otherwise(m["g2"])
+    group = F.when(m["g1"] != "", F.nullif(F.trim(m["g1"]), F.lit(""))).otherwise(mark("g2"))
 
     title = m["work"]
     for p in (QUALITY, CODEC, AUDIO_CODEC, HDR, SEASON_EPISODE, CROSS, SEASON_WORD, EPISODE_WORD, DASH_NUMBER, SOURCE, AUDIO_TAG):
         title = F.regexp_replace(title, p, " ")
     # without a year the pattern is one that nothing matches
-    title = F.regexp_replace(title, F.coalesce(F.concat(F.lit(r"\b"), m["y"], F.lit(r"\b")), F.lit(r"[^\s\S]")), F.lit(" "))
+    title = F.regexp_replace(title, F.coalesce(F.concat(F.lit(r"\b"), mark("y"), F.lit(r"\b")), F.lit(r"[^\s\S]")), F.lit(" "))
     for p, to in ((GROUP_FIRST, " "), (GROUP_LAST, " "), (BRACKETS, " "), (r"[._]+", " "), (r"\s*-\s*", " "), (r"\s+", " "), (r"^[ -]+|[ -]+$", "")):
         title = F.regexp_replace(title, p, to)
-    title = F.coalesce(F.nullif(title, F.lit("")), F.nullif(F.trim(_squeeze(original)), F.lit("")), original)
+    title = once(title, lambda left: F.when(left != "", left).otherwise(F.coalesce(F.nullif(F.trim(_squeeze(original)), F.lit("")), original)))
     return F.struct(
         title.alias("title"), number("y").alias("year"), season.alias("season"), episode.alias("episode"), absolute.alias("absolute"),
-        F.lower(m["q"]).alias("quality"), F.lower(m["k"]).alias("codec"), F.lower(m["h"]).alias("hdr"), group.alias("release_group"),
+        F.lower(mark("q")).alias("quality"), F.lower(mark("k")).alias("codec"), F.lower(mark("h")).alias("hdr"), group.alias("release_group"),
     )
 
 

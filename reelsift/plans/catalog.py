@@ -281,7 +281,8 @@ def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 register_raw("purge_blocked_by_table", lambda s, d: lexicon_join.blocked_by(derived_releases(s, d), _lexicon(s, d)), o.over(o.LEXICON) + o.BLOCKED_BY)
 
 # Answers as the providers store them: written for each release's provider, read back through the source, shredded into candidates
-_TURN = F.element_at(F.array(*(F.lit(p) for p in resolve.PROVIDERS)), (F.col("id") % len(resolve.PROVIDERS) + 1).cast("int"))
+def _turn() -> Column:
+    return F.element_at(F.array(*(F.lit(p) for p in resolve.PROVIDERS)), (F.col("id") % len(resolve.PROVIDERS) + 1).cast("int"))
 
 
 def _payload() -> Column:
@@ -299,13 +300,13 @@ def _payload() -> Column:
     }
     out = F.when(F.lit(False), "")
     for p, shape in shapes.items():
-        out = out.when(_TURN == p, F.to_json(shape()))
+        out = out.when(_turn() == p, F.to_json(shape()))
     return out
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
     path = f"{shared_dir(spark).rstrip('/')}/answers-{uuid.uuid4().hex}"
-    answers.write_answers(derived_releases(spark, sf_dir).select(_TURN.alias("provider"), F.col("id").cast("string").alias("key"), _payload().alias("payload")), path)
+    answers.write_answers(derived_releases(spark, sf_dir).select(_turn().alias("provider"), F.col("id").cast("string").alias("key"), _payload().alias("payload")), path)
     return lambda provider: answers.read_answers(spark, path, provider=provider)
 
 
