@@ -416,3 +416,22 @@ def test_very_long_texts(spark):
     assert len(scores) == 5 and all(0 <= r["score"] <= 1 for r in scores)
     path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
     assert {r["doc_id"]: r["n_words"] for r in quality.quality_rules(docs, path).collect()} == n
+
+
+def test_bands_are_numpys_quartiles(spark):
+    rng = np.random.default_rng(7)
+    rows = [(k % 2 and "xx" or "yy", 5 + k % 3, 10, *(float(x) for x in rng.gamma(2.0, 1.0, 3))) for k in range(900)] + [("zz", 5, 10, 1.0, 0.0, 2.0)] * 20 + [("yy", 5, 0, 9.0, 9.0, 9.0)]
+    frame = make(spark, rows, "lang string, size int, n_tokens long, chars_per_token double, byte_share double, entropy double")
+    got = {(r["lang"], r["size"], r["measure"]): (r["low"], r["high"]) for r in quality.bands(frame, 4.0).collect()}
+    want = {}
+    for lang in ("xx", "yy", "zz", None):
+        for size in (5, 6, 7, None):
+            mine = [r for r in rows if r[2] and lang in (r[0], None) and size in (r[1], None)]
+            if len(mine) < quality.LEAST and (lang or size):
+                continue
+            for i, m in enumerate(quality.MEASURES):
+                low, mid, high = np.quantile(np.round([r[3 + i] / quality.STEP for r in mine]) * quality.STEP, [0.25, 0.5, 0.75], method="inverted_cdf")
+                wide = lambda side, m=m, mid=mid: 4.0 * max(abs(side - mid) / 0.6745, quality.FLOOR[m])
+                want[lang, size, m] = mid - wide(low), mid + wide(high)
+    assert got.keys() == want.keys() and len(want) == 3 * 12
+    assert all(np.allclose(got[k], want[k], atol=1e-9) for k in want)
