@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, few, scan_bytes, shared_dir, written
+from .common import checkpoint, few, forget, scan_bytes, shared_dir, written
 from .pieces import encoder
 
 #: Payload bytes of a shard; a shard ends with the document that reaches them.
@@ -136,6 +136,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
     ordered = encoded.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n_ranges, "key", "h", "row").sortWithinPartitions(*by).select(F.spark_partition_id().alias("range"), "key", "width", "ids")
 
     def shards(batches):
+        # ids are made by now: what the encoder remembers goes before the sorted rows come
+        forget()
         made, size, keys, seen, counts, payload, last, nth = 0, 0, [], [], [], [], None, 0
         row = lambda: pa.RecordBatch.from_pydict(
             {"shard": [(where << 32) | made], "range": [where], "n_tokens": [sum(counts)], "width": [width], "first_key": [keys[0]], "last_key": [keys[-1]], "last_seen": [seen[-1] + 1], "keys": [np.array(keys, dtype="<i8").tobytes()], "occurrences": [np.array(seen, dtype="<i8").tobytes()], "counts": [np.array(counts, dtype="<i8").tobytes()], "payload": [b"".join(payload)]},
