@@ -24,9 +24,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 MOST_BROADCAST = 1_000_000
 
 
+def are_few(df: DataFrame) -> bool:
+    """Whether rows of a few numbers in a checkpointed table may be broadcast."""
+    return df.count() <= MOST_BROADCAST
+
+
 def few(df: DataFrame) -> DataFrame:
     """``df``, rows of a few numbers in a checkpointed table, to be broadcast where they are counted to be few."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+    return F.broadcast(df) if are_few(df) else df
 
 
 #: Keys with more rows than the greater of this and a 100,000th of all rows are joined by broadcast: there are at most 100,000 of them.

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, few, forget, joined_by, written
+from .common import are_few, checkpoint, few, forget, joined_by, written
 from .components import components
 
 #: Different fingerprints that are compared with each other at an anchor.
@@ -200,6 +200,8 @@ BLOCK_ROWS = 4096
 NEAREST_ROUNDS, NEAREST = 4, 32
 #: Shingles of texts that a task of the verification remembers at most.
 MOST_HELD = 2_000_000
+#: Bits of a text's sketch, a power of two; more of them tell longer texts apart.
+SKETCH = 1024
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -208,6 +210,17 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """SKETCH bits, each the parity of how many of the different ``shingles`` fall on it: two sets have at least as many shingles apart as their sketches have bits."""
+    return np.packbits(np.bincount((shingles & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1).tobytes()
+
+
+def may_reach(x: list[bytes], y: list[bytes], n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` shingles with sketches ``x`` and ``y`` can reach the similarity; True for all that do."""
+    one, two = (np.frombuffer(b"".join(z), dtype=np.uint64).reshape(-1, SKETCH // 64) for z in (x, y))
+    return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64) <= (n.astype(np.int64) + m) * (1 - similarity) / (1 + similarity) + 1e-6
+
+
 def prefix(shingles: np.ndarray, common: np.ndarray, weight: np.ndarray, similarity: float) -> np.ndarray:
     """Those of the different ``shingles`` that two sets alike enough can't both be without: the first ones, rare before common."""
     n = len(shingles)
@@ -399,13 +412,13 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
                     w = (t or b"").lower().split()
                     h = shingle_hashes(w, words)
                     shingles = np.unique(h)
-                    rows.append((xxhash.xxh3_128_digest(b" ".join(w)), np.uint64(majority(h)).view(np.int64), len(shingles), prefix(shingles, common, weight, similarity).view(np.int64)))
-                same, prints, n, tokens = zip(*rows, strict=True)
+                    rows.append((xxhash.xxh3_128_digest(b" ".join(w)), np.uint64(majority(h)).view(np.int64), len(shingles), sketch(shingles), prefix(shingles, common, weight, similarity).view(np.int64)))
+                same, prints, n, sketches, tokens = zip(*rows, strict=True)
                 ends = np.cumsum([0, *map(len, tokens)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.binary()), pa.array(prints, pa.int64()), pa.array(n, pa.int32()), lists], names=["id", "same", "print", "n", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.binary()), pa.array(prints, pa.int64()), pa.array(n, pa.int32()), pa.array(sketches, pa.binary()), lists], names=["id", "same", "print", "n", "sketch", "tokens"])
 
-    rows = written(given.mapInArrow(make, "id long, same binary, print long, n int, tokens array<long>"), "prefixes")
+    rows = written(given.mapInArrow(make, "id long, same binary, print long, n int, sketch binary, tokens array<long>"), "prefixes")
     reps = checkpoint(rows.groupBy("same").agg(F.min("id").alias("id"), F.count("*").alias("n_rows")))
     first = rows.join(reps.select("id"), "id", "left_semi")
     tokens = first.select("id", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "id", "n", "pos")
@@ -415,13 +428,26 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     fewest = few(checkpoint(crowds.groupBy("token").agg(F.min("n").alias("fewest"))))
     crowds = checkpoint(crowds.join(fewest, "token").where(_greatest_partner(F.col("n"), F.col("pos"), similarity) >= F.col("fewest")).drop("fewest"))
 
-    firsts = checkpoint(first.select("id", "print"))
+    firsts = checkpoint(first.select("id", "n", "print", "sketch"))
     # SimHash: texts of one fingerprint with the first of them, and those first ones where fingerprints meet at an anchor
     heads = checkpoint(firsts.groupBy("print").agg(F.min("id").alias("head")))
     same_print = firsts.join(heads, "print").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
     met_prints = fingerprint_links(heads.select("print"), max_bits)
     at_anchors = met_prints.join(heads.select(F.col("print").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("print").alias("b"), F.col("head").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = checkpoint(met.where("b is not null").select("a", "b").unionByName(same_print).unionByName(at_anchors).distinct())
+
+    def prune(batches):
+        for batch in batches:
+            x, y, n, m = (batch.column(i) for i in (2, 3, 4, 5))
+            keep = pa.array(may_reach(x.to_pylist(), y.to_pylist(), n.to_numpy(), m.to_numpy(), similarity))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+    def pruned(links):
+        """Those of the links whose sketches may be alike: only their texts are shuffled."""
+        end = lambda id_, x, n: firsts.select(F.col("id").alias(id_), F.col("sketch").alias(x), F.col("n").alias(n))
+        both = links.join(end("a", "x", "n"), "a").join(end("b", "y", "m"), "b")
+        return checkpoint(both.select("a", "b", "x", "y", "n", "m").mapInArrow(prune, "a long, b long"))
+
+    pairs = pruned(met.where("b is not null").select("a", "b").unionByName(same_print).unionByName(at_anchors).distinct())
     seen = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowds.select("id")).distinct())
     texts = written(given.join(few(seen), "id", "left_semi"), "candidates")
 
@@ -444,8 +470,9 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], names=["a", "b"])
 
     def verified(links):
-        needed = few(checkpoint(links.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
-        own = texts.join(needed, "id", "left_semi")
+        # where they are many, the joins below leave out the others
+        needed = checkpoint(links.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        own = texts.join(F.broadcast(needed), "id", "left_semi") if are_few(needed) else texts
         both = links.join(own.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
         return checkpoint(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
@@ -458,7 +485,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
         counted = placed.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("big"), F.sum("c").alias("rows"), (F.sum("c") - F.max("c")).alias("others")).where("others > 0")
         parts = lambda x: F.ceil(F.col(x) / BLOCK_ROWS).cast("long")
         part = lambda x: F.pmod(F.xxhash64("id"), F.col(x))
-        left = placed.join(few(checkpoint(counted.select("token", "big", parts("rows").alias("parts"), parts("others").alias("slices")))), "token").join(firsts, "id")
+        left = placed.join(few(checkpoint(counted.select("token", "big", parts("rows").alias("parts"), parts("others").alias("slices")))), "token").join(firsts.select("id", "print"), "id")
         if step not in ("first", "all"):
             own = left.select("token", part("parts").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("outside"), "id", "n", "pos", "print", "root")
             others = left.where("root <> big").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), part("slices").alias("slice"), F.lit(1).alias("outside"), "id", "n", "pos", "print", "root")
@@ -468,7 +495,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
             key = ["token", "part"]
             stars = left.select("token", part("parts").alias("part"), "id", "n", "print", "root")
             links = stars.repartition(*key).sortWithinPartitions(*key).mapInArrow(_star_meetings(similarity), "a long, b long")
-        links = checkpoint(links.distinct())
+        links = pruned(links.distinct())
         if not links.isEmpty():
             # what is linked already stands in its stars
             roots_ = components(verified(links).unionByName(roots_.select(F.col("root").alias("a"), F.col("node").alias("b"))))

@@ -142,6 +142,38 @@ def test_near_copies_against_brute_force(spark):
     assert {r["doc_id"]: r["first_id"] for r in got} == {i: f for i, f in enumerate(first) if i != f} and len(set(first)) > 1
 
 
+def test_sketches_leave_out_no_alike_pair():
+    rng = np.random.default_rng(9)
+    x = [np.unique(rng.integers(0, 1 << 63, int(n)).astype(np.uint64)) for n in [0, 1, 2, 9, *rng.integers(10, 5000, 300)]]
+    y = [np.unique(np.concatenate([v[int(len(v) * r) :], rng.integers(0, 1 << 63, int(len(v) * q)).astype(np.uint64)])) for v, r, q in zip(x, rng.random(len(x)) * 0.3, rng.random(len(x)) * 0.2, strict=True)]
+    n, m = (np.array([len(v) for v in z], dtype=np.int32) for z in (x, y))
+    may = simhash.may_reach([simhash.sketch(v) for v in x], [simhash.sketch(v) for v in y], n, m, 0.8)
+    alike = np.array([simhash.jaccard(v, w) >= 0.8 for v, w in zip(x, y, strict=True)])
+    assert may[alike].all() and 50 < alike.sum() < len(x)
+    assert not simhash.may_reach([simhash.sketch(x[9])], [simhash.sketch(x[8])], n[9:10], n[8:9], 0.8).any()
+
+
+def test_texts_of_pairs_that_cannot_be_alike_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for i in range(60):
+        same = [word() for _ in range(9)]
+        rows += [(5 * i + k, " ".join(same + [word() for _ in range(5)])) for k in range(5)]
+    texts, plain = [], simhash.written
+
+    def noted(df, label):
+        found = plain(df, label)
+        texts.extend(r["id"] for r in found.select("id").collect()) if label == "candidates" else None
+        return found
+
+    monkeypatch.setattr(simhash, "written", noted)
+    monkeypatch.setattr(common, "MOST_BROADCAST", 0)
+    got = simhash.near_copies(make(spark, [*rows, (1000, rows[7][1] + " " + word())]), id_col="doc_id").collect()
+    assert [(r["doc_id"], r["first_id"]) for r in got] == [(1000, 7)]
+    assert sorted(texts) == [7, 1000]
+
+
 def test_blocks_meet_all_that_may_be_alike():
     rng = np.random.default_rng(4)
     n = rng.integers(1, 60, 300).astype(np.int32)
