@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import any_id, cache_key, complete, miss_is_fresh
-from ..functions.matching import ACCEPT, ACCEPT_LAX, VARIANT_WEIGHT, accepted, aggressive_variants, confidence, variants
+from ..functions.matching import ACCEPT, ACCEPT_LAX, OTHER_YEAR, SAME_YEAR, VARIANT_WEIGHT, accepted, aggressive_variants, confidence, variants
 from ..functions.text import norm
 from ..functions.titles import parse_release, pick_name
 from ..schema import ID_FIELDS
 from ..sources.scratch import settled
 from . import identity
-from .fuzzy import alike_names
+from .fuzzy import best_names
 
 #: The providers in the order that they are asked in (what an earlier one finds stays), the types that each is asked for
 #: (null: rows of no known type), and those that are asked for aggressive variants.
@@ -76,8 +76,10 @@ def candidates_of(answers: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def _named(queue: DataFrame) -> DataFrame:
-    """A queue's rows with n (its names, the more telling one first), p (that one parsed) and cache_key."""
-    named = queue.withColumn("n", pick_name(F.col("title"), F.col("title_alt"))).withColumn("p", parse_release(F.col("n.main")))
+    """A queue's rows with n (its names, the more telling one first), p (that one parsed) and cache_key; equal names are parsed once."""
+    picked = settled(queue.withColumn("n", pick_name(F.col("title"), F.col("title_alt"))))
+    parsed = picked.select(F.col("n.main").alias("_main")).distinct().withColumn("p", parse_release(F.col("_main")))
+    named = picked.join(parsed, F.col("n.main").eqNullSafe(F.col("_main"))).drop("_main")
     return named.withColumn("cache_key", cache_key(F.col("p.title"), F.col("p.year"), F.col("type")))
 
 
@@ -107,7 +109,15 @@ def _later_questions(named: DataFrame, aggressive: bool, variant_weight: float)
     return found
 
 
-def _search(asked: DataFrame, candidates: DataFrame, variant_weight: float) -> DataFrame:
+def _offers(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(provider, t, c_year, title, identifiers) of the candidates, the first of those of one normalized name t, provider and year; and (x, kinds) of the names, with a bit for each provider."""
+    first = candidates.groupBy("provider", norm(F.col("title")).alias("t"), F.col("year").alias("c_year")).agg(F.min(F.struct("title", *ID_FIELDS)).alias("o"))
+    offered = settled(first.where(F.col("provider").isin(*PROVIDERS) & (F.col("t") != "")).select("provider", "t", "c_year", "o.*"))
+    bits = sum((F.when(F.col("provider") == p, 1 << k).otherwise(0) for k, p in enumerate(PROVIDERS)), F.lit(0))
+    return offered, settled(offered.groupBy(F.col("t").alias("x")).agg(F.bit_or(bits).alias("kinds")))
+
+
+def _search(asked: DataFrame, offers: tuple[DataFrame, DataFrame], variant_weight: float) -> DataFrame:
     """(id, at, provider, confidence, identifiers): each search's best candidate of each provider that is asked for the row's type, if accepted.
 
     Different searches are answered once, however many rows ask them, and the best answer is kept by partial aggregation, so a name that
@@ -117,12 +127,17 @@ def _search(asked: DataFrame, candidates: DataFrame, variant_weight: float) -> D
     # without a year, and with 0, nothing is added or taken off
     asked = asked.select("*", norm(F.col("query")).alias("q"), kind.alias("kind"), F.coalesce("year", F.lit(0)).alias("y"))
     key = ["q", "y", "kind", "lax", "variant", "light"]
-    # nothing below can be accepted, whatever the years
-    near = alike_names(asked, candidates, ACCEPT - 0.05).select(F.col("search").alias("q"), F.col("name").alias("t"), "alike")
-    offered = candidates.select("provider", "title", norm(F.col("title")).alias("t"), F.col("year").alias("c_year"), *ID_FIELDS)
-    met = asked.select(*key).distinct().join(near, "q").join(offered, "t")
+    offered, names = offers
     may = F.create_map(*(x for p, kinds in PROVIDERS.items() for x in (F.lit(p), F.array(*(F.lit(k or "") for k in kinds)))))
-    met = met.where(F.array_contains(may[F.col("provider")], F.col("kind")) & (~F.col("light") | F.col("provider").isin(*LIGHT)))
+    # with a year, a better name may lose by its year and a worse one gain; digits beyond the fourth are rounded away
+    dated = F.max(F.col("y") != 0)
+    wanted = lambda provider: F.array_contains(may[provider], F.col("kind")) & (~F.col("light") | provider.isin(*LIGHT))
+    bits = sum((F.when(wanted(F.lit(p)), 1 << k).otherwise(0) for k, p in enumerate(PROVIDERS)), F.lit(0))
+    searches = asked.groupBy(F.col("q").alias("x")).agg(F.bit_or(bits).alias("kinds"), F.when(dated, ACCEPT - SAME_YEAR - 0.001).otherwise(ACCEPT - 0.001).alias("least"), F.when(dated, SAME_YEAR - OTHER_YEAR + 0.0003).otherwise(0.0003).alias("slack"))
+    searches = settled(searches.where("kinds <> 0").join(names.select("x", F.col("kinds").alias("known")), "x", "left").select("x", "kinds", F.coalesce("known", F.lit(0)).alias("known"), "least", "slack"))
+    near = best_names(searches, names).select(F.col("search").alias("q"), F.col("name").alias("t"), "alike")
+    met = asked.select(*key).distinct().join(near, "q").join(offered, "t")
+    met = met.where(wanted(F.col("provider")))
     sure = F.round(confidence(F.col("alike"), F.col("y"), F.col("c_year"), F.lit(False)) * F.when(F.col("variant"), variant_weight).otherwise(1.0), 4)
     fit = met.withColumn("confidence", sure).where(accepted(F.col("confidence"), F.col("lax")))
     best = fit.groupBy(*key, "provider").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "title", *ID_FIELDS)).alias("b"))
@@ -159,15 +174,22 @@ def resolve(queue: DataFrame, candidates: DataFrame, *, fill_all: bool = True, a
     candidates' own identifiers (a tmdb one only if ``aggressive``, noted as found by exact pair); works with a conflict give nothing.  A search meets every candidate that is
     alike enough; of each provider asked the one with the best confidence counts, if accepted, and what was found first stays.
     source: providers that added an identifier, in the order of finding; confidence: their least.  outcome: "resolved" with all that the type should have, else "partial", else "no match"."""
-    return _resolve(settled(_named(queue)), candidates, fill_all, aggressive, variant_weight, known)
+    # what a row gets depends on its names and type alone
+    asks = settled(queue.select("title", "title_alt", "type").distinct().withColumn("id", F.monotonically_increasing_id()))
+    told = _resolve(settled(_named(asks)), candidates, fill_all, aggressive, variant_weight, known)
+    told = told.join(asks.select("id", *(F.col(c).alias(f"_{c}") for c in ("title", "title_alt", "type"))), "id").drop("id")
+    same = F.col("title").eqNullSafe(F.col("_title")) & F.col("title_alt").eqNullSafe(F.col("_title_alt")) & F.col("type").eqNullSafe(F.col("_type"))
+    return queue.select("id", "title", "title_alt", "type").join(told, same).select("id", "cache_key", *ID_FIELDS, "source", "confidence", "outcome")
 
 
 def _resolve(named: DataFrame, candidates: DataFrame, fill_all: bool, aggressive: bool, variant_weight: float, known: DataFrame | None) -> DataFrame:
+    candidates = settled(candidates)
     known = identity.closure(identity.edges_of(candidates)) if known is None else known
-    early = settled(_search(_questions(named), candidates, variant_weight))
+    offers = _offers(candidates)
+    early = settled(_search(_questions(named), offers, variant_weight))
     done = _merge(early).join(named.select("id", "type"), "id").where(complete(F.col("type"), fill_all)).select("id")
     open_ = named.join(done, "id", "left_anti")
-    merged = _merge(early.unionByName(_search(_later_questions(open_, aggressive, variant_weight), candidates, variant_weight)))
+    merged = _merge(early.unionByName(_search(_later_questions(open_, aggressive, variant_weight), offers, variant_weight)))
     before = F.struct(*ID_FIELDS, complete(F.col("type"), fill_all).alias("done"))
     every = identity.fill(named.select("id", "type", "cache_key").join(merged, "id", "left").withColumn("before", before), known)
     # what a complete row lacks stays open; so does a tmdb identifier where no further search is wanted

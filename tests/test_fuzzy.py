@@ -75,3 +75,25 @@ def test_a_common_name_is_answered_once(spark, monkeypatch):
     offered = spark.range(1, 200).selectExpr("'tmdb' as provider", "'Love' as title", "cast(null as int) as year", "cast(id as int) as tmdb_id", "cast(null as string) as imdb_id", "cast(null as int) as anilist_id", "cast(null as int) as kitsu_id", "cast(null as int) as mal_id")
     got = resolve.resolve(queue, offered).collect()
     assert len(got) == 300 and {r["tmdb_id"] for r in got} == {1}
+
+
+@pytest.mark.parametrize("slack", [0.0003, 0.1403])
+def test_best_names_against_brute_force(spark, monkeypatch, slack):
+    for name, value in (("SHIPPED", 3000), ("PACKED", 1000), ("SEARCHES", 64), ("NAMES", 50), ("ROUNDS", ((0, 1), (1, 3), (3, 1 << 62)))):
+        monkeypatch.setattr(fuzzy, name, value)
+    held = {x: 1 + i % 3 for i, x in enumerate(dict.fromkeys(names(7, 150) + [f"nombre interno {k * 37 % 1000}" for k in range(300)] + ["nombre interno", "interno"]))}
+    asked = {x: 1 + i % 3 for i, x in enumerate(dict.fromkeys(names(8, 20) + names(7, 150)[::8] + [f"nombre interno {k}" for k in range(0, 1000, 9)] + ["nombre interno"]))}
+    searches = spark.createDataFrame([(x, k, held.get(x, 0), 0.8, slack) for x, k in asked.items()], "x string, kinds int, known int, least double, slack double")
+    found = fuzzy.best_names(searches, spark.createDataFrame(list(held.items()), "x string, kinds int")).collect()
+    got = {(r["search"], r["name"]): r["alike"] for r in found}
+    assert len(got) == len(found)
+    pairs = 0
+    for x, k in asked.items():
+        s = dict(zip(held, lanes.similarities([x] * len(held), list(held)).tolist(), strict=True))
+        pairs += sum(v >= 0.8 for v in s.values())
+        assert all(s[y] == v for (q, y), v in got.items() if q == x)
+        for bit in (1, 2):
+            mine = {y: v for y, v in s.items() if v >= 0.8 and k & held[y] & bit}
+            assert all((x, y) in got for y, v in mine.items() if v >= max(mine.values()) - slack)
+    # a family of alike names doesn't come back whole
+    assert len(found) < pairs / (8 if slack < 0.1 else 1)
