@@ -222,8 +222,10 @@ register_raw("similarity_pairs", _similar_names)
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = derived_releases(spark, sf_dir).where("title <> ''").withColumn("p", titles.parse_release(F.col("title")))
-    return r.groupBy(F.when(F.col("id") % 2 == 0, "tmdb").otherwise("imdb").alias("provider"), F.col("p.title").alias("title"), F.col("p.year").alias("year")).agg(*(F.min(f).alias(f) for f in ID_FIELDS))
+    least = [F.min(f).alias(f) for f in ID_FIELDS]
+    # equal titles are parsed once
+    r = derived_releases(spark, sf_dir).where("title <> ''").groupBy(F.when(F.col("id") % 2 == 0, "tmdb").otherwise("imdb").alias("provider"), F.col("title").alias("whole")).agg(*least)
+    return r.withColumn("p", titles.parse_release(F.col("whole"))).groupBy("provider", F.col("p.title").alias("title"), F.col("p.year").alias("year")).agg(*least)
 
 
 register_raw("resolve_outcome", lambda s, d: resolve.resolve(queue.whole_enrich_queue(derived_releases(s, d), as_of(), column="auto"), _candidates(s, d)).select("id", "source", "confidence", "outcome"))
