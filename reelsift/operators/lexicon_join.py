@@ -3,7 +3,7 @@
 :mod:`functions.lexicon` compiles a list of literals into a few scans, right for a hundred tokens; here
 the same rules are joins.  Phrases are met by equality: a release's words that begin some phrase are found first, then its n-grams of just the lengths that go with
 such a word are joined with the phrases.  Tokens that are looked for as substrings (raw ones, glued names, allowed phrases) go into
-Aho-Corasick automata, built once in a worker, which read each text once whatever their number.
+Aho-Corasick automata, built once in a worker, while they are few; more are met by equality like phrases, character by character.  Equal texts are searched once.
 """
 
 from __future__ import annotations
@@ -13,13 +13,15 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.lexicon import _joined
 from ..functions.text import effective_title, norm
+from ..sources.scratch import settled
 
-#: Characters of tokens in one automaton (some 100 MB at most); more tokens are met by further passes.
+#: Characters of tokens in an automaton at most (some 100 MB); more tokens are joined.
 AUTOMATON = 1 << 20
+#: Characters that begin a token that is looked for as a substring; longer ones are told apart by their whole text.
+PREFIX = 4
 #: Rows of a few words that are broadcast at most, where they are counted; more are joined by shuffle.
 MOST_BROADCAST = 200_000
 #: How a token was found, in the order in which one goes before another.
@@ -42,33 +44,17 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
-def _phrases(releases: DataFrame, lexicon: DataFrame, id_col: str) -> DataFrame:
-    """(id, ord, how, kind, token) of each phrase that stands in a release's names at word boundaries."""
+def _phrases(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(text, ord, how, kind, token) of each phrase that stands in a text at word boundaries."""
     wanted = lexicon.where("not raw and kind <> 'allow'").select("ord", "kind", "token", F.col("n").alias("phrase"), F.split("n", " ").alias("w"))
     longest = wanted.agg(F.max(F.size("w"))).first()[0] or 1
     starts = wanted.groupBy(F.col("w")[0].alias("first")).agg(F.collect_set(F.size("w")).alias("sizes"))
-    words = releases.select(F.col(id_col).alias("id"), F.split(norm(_joined("title", "title_text", "release_group", "source_tracker")), " ").alias("w"))
+    words = texts.where("place = 'every'").select("text", F.split("text", " ").alias("w"))
     # a place's word, and the words from there on, as many as the longest phrase has
-    places = words.select("id", F.explode(F.array_distinct(F.transform("w", lambda x, i: F.struct(x.alias("first"), F.slice("w", i + 1, longest).alias("rest"))))).alias("p")).select("id", "p.*")
-    begun = places.join(_few(starts), "first").select("id", "rest", F.explode("sizes").alias("size")).where(F.size("rest") >= F.col("size"))
-    grams = begun.select("id", F.array_join(F.slice("rest", F.lit(1), F.col("size")), " ").alias("phrase"))
-    return grams.join(_few(wanted.drop("w")), "phrase").select("id", "ord", F.lit(PHRASE).alias("how"), "kind", "token")
-
-
-def _chunks(lexicon: DataFrame):
-    """Lists of (column, text to find, ord, kind, token, how) with about AUTOMATON characters; the driver holds one at a time."""
-    raw = lexicon.where("raw").select(F.lit("raw").alias("place"), F.lower("token").alias("find"), "ord", "kind", "token", F.lit(RAW).alias("how"))
-    glued = lexicon.where("not raw and kind <> 'allow'").select(F.lit("glued"), F.replace("n", F.lit(" "), F.lit("")), "ord", "kind", "token", F.lit(GLUED))
-    allow = lexicon.where("kind = 'allow'").select(F.lit("name"), "n", "ord", "kind", "token", F.lit(RAW))
-    part, size = [], 0
-    for row in raw.union(glued).union(allow).toLocalIterator():
-        part.append(tuple(row))
-        size += len(row["find"])
-        if size >= AUTOMATON:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+    places = words.select("text", F.explode(F.array_distinct(F.transform("w", lambda x, i: F.struct(x.alias("first"), F.slice("w", i + 1, longest).alias("rest"))))).alias("p")).select("text", "p.*")
+    begun = places.join(_few(starts), "first").select("text", "rest", F.explode("sizes").alias("size")).where(F.size("rest") >= F.col("size"))
+    grams = begun.select("text", F.array_join(F.slice("rest", F.lit(1), F.col("size")), " ").alias("phrase"))
+    return grams.join(_few(wanted.drop("w")), "phrase").select("text", "ord", F.lit(PHRASE).alias("how"), "kind", "token")
 
 
 def automata(tokens, key) -> dict:
@@ -90,34 +76,44 @@ def automata(tokens, key) -> dict:
     return _automata[key]
 
 
-def _substrings(releases: DataFrame, lexicon: DataFrame, id_col: str) -> DataFrame | None:
-    """(id, ord, how, kind, token) of each token that a release's texts have as a substring; None without such tokens."""
-    texts = releases.select(
-        F.col(id_col).alias("id"), F.lower(_joined("title", "release_group", "source_tracker")).alias("raw"),
-        F.replace(norm(_joined("release_group", "source_tracker")), F.lit(" "), F.lit("")).alias("glued"), norm(effective_title(F.col("title"), F.col("title_text"))).alias("name"),
-    )
-    schema = StructType([texts.schema["id"], StructField("ord", LongType()), StructField("how", IntegerType()), StructField("kind", StringType()), StructField("token", StringType())])
-    found = None
-    for chunk in _chunks(lexicon):
-        sent, key = releases.sparkSession.sparkContext.broadcast(chunk), uuid.uuid4().hex
-
-        def scan(batches, sent=sent, key=key):
-            built = automata(sent.value, key)
-            for batch in batches:
-                rows: list = []
-                at: list[int] = []
-                for place, automaton in built.items():
-                    for i, text in enumerate(batch.column(place).to_pylist()):
-                        if text:
-                            hits = {entry[0]: entry for _, entries in automaton.iter(text) for entry in entries}
-                            rows += hits.values()
-                            at += [i] * len(hits)
-                order, kind, token, how = zip(*rows, strict=True) if rows else ((),) * 4
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at, pa.int32())), pa.array(order, pa.int64()), pa.array(how, pa.int32()), pa.array(kind, pa.string()), pa.array(token, pa.string())], names=["id", "ord", "how", "kind", "token"])
-
-        more = texts.mapInArrow(scan, schema)
-        found = more if found is None else found.unionByName(more)
-    return found
+def _scanned(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """:func:`_substrings` of few tokens, by one pass of automata over the texts."""
+    entries = [(r["place"], r["find"], r["ord"], r["how"], r["kind"], r["token"]) for r in wanted.toLocalIterator()]
+    sent, key = texts.sparkSession.sparkContext.broadcast(entries), uuid.uuid4().hex
+
+    def scan(batches):
+        built = automata(sent.value, key)
+        for batch in batches:
+            rows = []
+            for place, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if place in built and text:
+                    hits = {tuple(entry) for _, entries in built[place].iter(text) for entry in entries}
+                    rows += [(place, text, *x) for x in hits]
+            columns = zip(*rows, strict=True) if rows else ((),) * 6
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["place", "text", "ord", "how", "kind", "token"])
+
+    return texts.select("place", "text").mapInArrow(scan, "place string, text string, ord long, how int, kind string, token string")
+
+
+def _substrings(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(place, text, ord, how, kind, token) of each token that a text of its place has as a substring.
+
+    A token begins with its first PREFIX characters, or is shorter: the pieces of a text that begin some token are found first, then the pieces of just the lengths that go with such a beginning."""
+    raw = lexicon.where("raw").select(F.lit("raw").alias("place"), F.lower("token").alias("find"), "ord", "kind", "token", F.lit(RAW).alias("how"))
+    glued = lexicon.where("not raw and kind <> 'allow'").select(F.lit("glued"), F.replace("n", F.lit(" "), F.lit("")), "ord", "kind", "token", F.lit(GLUED))
+    allow = lexicon.where("kind = 'allow'").select(F.lit("name"), "n", "ord", "kind", "token", F.lit(RAW))
+    # of tokens that look for the same, the first counts
+    wanted = raw.union(glued).union(allow).where("find <> ''").groupBy("place", "find").agg(F.min(F.struct("ord", "how", "kind", "token")).alias("e"))
+    wanted = settled(wanted.select("place", "find", "e.*"))
+    if (wanted.agg(F.sum(F.length("find"))).first()[0] or 0) <= AUTOMATON:
+        return _scanned(texts, wanted)
+    starts = _few(settled(wanted.groupBy("place", F.substring("find", 1, PREFIX).alias("first")).agg(F.collect_set(F.length("find")).alias("sizes"))))
+    at = texts.where("place <> 'every' and text <> ''").select("place", "text", F.explode(F.sequence(F.lit(1), F.length("text"))).alias("i"))
+    beginnings = at.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(PREFIX), F.length("text") - F.col("i") + 1))).alias("k")).select("place", "text", "i", F.substring("text", F.col("i"), F.col("k")).alias("first"))
+    begun = beginnings.join(starts, ["place", "first"]).select("place", "text", "i", F.explode("sizes").alias("size")).where(F.col("i") + F.col("size") - 1 <= F.length("text"))
+    pieces = begun.select("place", "text", F.substring("text", F.col("i"), F.col("size")).alias("find")).distinct()
+    return pieces.join(_few(wanted), ["place", "find"]).drop("find")
 
 
 def blocked_by(releases: DataFrame, lexicon: DataFrame, *, id_col: str = "id") -> DataFrame:
@@ -127,10 +123,16 @@ def blocked_by(releases: DataFrame, lexicon: DataFrame, *, id_col: str = "id") -
     substrings of the glued group and tracker; a release whose effective title has an allowed phrase anywhere isn't blocked.  how: "raw", "phrase" or "glued".  Ids are the table's
     key: unique, not null.  An empty table or lexicon blocks nothing.
     """
-    hits = _phrases(releases, lexicon, id_col)
-    if (more := _substrings(releases, lexicon, id_col)) is not None:
-        allowed = more.where("kind = 'allow'").select("id").distinct()
-        hits = hits.unionByName(more.where("kind <> 'allow'")).join(allowed, "id", "left_anti")
-    first = hits.groupBy("id").agg(F.min(F.struct("ord", "how", "kind", "token")).alias("f"))
+    made = {
+        "raw": F.lower(_joined("title", "release_group", "source_tracker")), "every": norm(_joined("title", "title_text", "release_group", "source_tracker")),
+        "glued": F.replace(norm(_joined("release_group", "source_tracker")), F.lit(" "), F.lit("")), "name": norm(effective_title(F.col("title"), F.col("title_text"))),
+    }
+    of = settled(releases.select(F.col(id_col).alias("id"), F.explode(F.array(*(F.struct(F.lit(p).alias("place"), x.alias("text")) for p, x in made.items()))).alias("p")).select("id", "p.*"))
+    # equal texts are searched once, and the first token of each counts
+    texts = settled(of.select("place", "text").distinct())
+    found = _phrases(texts, lexicon).select(F.lit("every").alias("place"), "text", "ord", "how", "kind", "token").unionByName(_substrings(texts, lexicon))
+    told = _few(settled(found.groupBy("place", "text").agg(F.min(F.struct("ord", "how", "kind", "token")).alias("f"))))
+    hits = of.join(told, ["place", "text"]).groupBy("id").agg(F.min(F.when(F.col("place") != "name", F.col("f"))).alias("f"), F.bool_or(F.col("place") == "name").alias("allowed"))
+    first = hits.where("not allowed")
     how = F.when(F.col("f.how") == RAW, "raw").when(F.col("f.how") == PHRASE, "phrase").otherwise("glued")
     return first.select(F.col("id").alias(id_col), "f.kind", "f.token", how.alias("how"))
