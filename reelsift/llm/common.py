@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,8 +69,23 @@ def resident(key, build, group=None):
 
 
 def forget() -> None:
-    """Frees what :func:`resident` keeps; for stages that need memory and no model."""
-    _residents.clear()
+    """Frees what :func:`resident` keeps, and gives its memory back to the system; for stages that need memory and no model."""
+    if _residents:
+        _residents.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+
+#: Texts that are turned into Python's strings at a time.
+TEXTS = 500
+
+
+def texts_of(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch's column, few of them at a time as Python's strings."""
+    for at in range(0, len(column), TEXTS):
+        yield from column.slice(at, TEXTS).to_pylist()
 
 
 def crc32_of(column) -> F.Column:

@@ -142,6 +142,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int) -> DataFrame:
     reach = -(-max_bits // 2)
 
     def replicate(batches):
+        forget()
         golay = Golay()
         for batch in batches:
             x = batch.column(0).to_numpy().view(np.uint64)
@@ -150,6 +151,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(anchors.astype(np.int64)), pa.array(x[at : at + 2048][who].view(np.int64))], names=["anchor", "print"])
 
     def compare(batches):
+        forget()
         for batch in batches:
             a, b = [], []
             for members in batch.column(0).to_pylist():
@@ -304,6 +306,7 @@ def _meetings(similarity: float):
             yield pa.RecordBatch.from_arrays([*p.columns, *none], names=["a", "b", "token", "n", "pos"])
 
     def meet(batches):
+        forget()
         held, crowd = None, None
         for batch in batches:
             now = [c.to_numpy() for c in batch.columns]
@@ -332,6 +335,7 @@ def _star_meetings(similarity: float):
     """Of (token, part, id, n, print, root) sorted by token and part: rows outside the part's largest root, or all of them, with the most typical one among them."""
 
     def meet(batches):
+        forget()
         for token, part, ids, n, prints, root in _whole_groups(batches, 2):
             starts = _starts([token, part]).tolist()
             for low, high in zip(starts, [*starts[1:], len(token)], strict=True):
@@ -351,6 +355,7 @@ def _block_meetings(similarity: float, nearest: int | None):
     with the NEAREST ones by SimHash, after ``nearest`` times as many, unless that is None."""
 
     def meet(batches):
+        forget()
         for token, part, piece, outside, ids, n, pos, prints, root in _whole_groups(batches, 3):
             starts = _starts([token, part, piece]).tolist()
             prints = prints.view(np.uint64)
@@ -436,6 +441,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     at_anchors = met_prints.join(heads.select(F.col("print").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("print").alias("b"), F.col("head").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
     def prune(batches):
+        forget()
         for batch in batches:
             x, y, n, m = (batch.column(i) for i in (2, 3, 4, 5))
             keep = pa.array(may_reach(x.to_pylist(), y.to_pylist(), n.to_numpy(), m.to_numpy(), similarity))
@@ -452,6 +458,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     texts = written(given.join(few(seen), "id", "left_semi"), "candidates")
 
     def verify(batches):
+        forget()
         known, held = {}, 0
 
         def shingles(t):

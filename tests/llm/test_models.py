@@ -467,3 +467,10 @@ def test_bands_are_numpys_quartiles(spark):
                 want[lang, size, m] = mid - wide(low), mid + wide(high)
     assert got.keys() == want.keys() and len(want) == 3 * 12
     assert all(np.allclose(got[k], want[k], atol=1e-9) for k in want)
+
+
+def test_near_dedup_steps_forget_models():
+    steps = [simhash._meetings(0.8), simhash._star_meetings(0.8), simhash._block_meetings(0.8, None)]
+    for step in steps:
+        common.resident("a model", lambda: object())
+        assert list(step(iter(()))) == [] and not common._residents
