@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, texts_of, written
 from .pieces import encoder
 
 #: Rests that are partitioned together; bounds a task's memory and time.
@@ -110,7 +110,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
         enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: dict[str, list] = {x: [] for x in ("row", "start", "length", "crc", "total", "ids")}
-            for i, ids in enumerate(enc.encode(batch.column(1).to_pylist())):
+            for i, ids in enumerate(enc.encode(texts_of(batch.column(1)))):
                 ids += end
                 for at in range(0, len(ids), 4 * capacity):
                     piece = ids[at : at + 4 * capacity]
@@ -135,6 +135,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int =
     groups = max(1, round(rests.count() / GROUP_PIECES))
 
     def assign(pdf):
+        forget()
         pdf = pdf.sort_values("row", kind="stable")
         window = partition(pdf["length"].to_numpy(dtype=np.int64), capacity)
         pdf["sequence_id"] = (pdf["g"].iloc[0] * GROUP_WINDOWS + window) * 2 + 1

@@ -6,6 +6,9 @@ never match across such a place and look only forward, so encoding the pieces on
 by one gives the ids of the whole text.  Pieces repeat, so most of a text is looked up
 rather than encoded; what isn't known yet is encoded in batches by the tokenizers library.
 
+Most pieces that aren't known are words of letters, which pre-tokenizers leave whole: the model of the
+library gets them without normalizer and pre-tokenizer.
+
 The cache has at most ``CACHE_ENTRIES`` pieces and pieces above ``CACHED_CHARS`` characters never
 enter it, so its memory is bounded.
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +31,27 @@ CACHED_CHARS = 48
 #: Characters of a text that are handled at a time; longer texts are cut at safe places.
 STRETCH = 1 << 18
 #: Words that are encoded as one text.
-JOINED = 64
+JOINED = 32
 #: UTF-8 bytes of texts that are encoded together.
-BATCH = 1 << 20
+BATCH = 1 << 22
 
 _UNUSUAL = re.compile(r"[^\S \n]")
 _UNSAFE = re.compile(r"[^\S \t\n\r\f\v]")
 _EXACT = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 _CUT = re.compile(r"\S(?=[ \n])")
-_WORD = re.compile(r" ?\S+")
-_MARKS = ".,!?;:"
+_MARKS = ".,!?;:#*$%&"
 _RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
+def _byte_letters() -> str:
+    """The letter that a byte-level vocabulary writes for each byte: itself if it can be seen, else one from U+0100 on."""
+    hidden = [i for i in range(256) if not (0x21 <= i <= 0x7E or 0xA1 <= i <= 0xAC or i >= 0xAE)]
+    return "".join(chr(0x100 + hidden.index(i)) if i in hidden else chr(i) for i in range(256))
+
+
+_BYTES = _byte_letters()
+
+
 def plain(text: str) -> bool:
     """Whether single spaces and line feeds are the only white space."""
     if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text:
@@ -60,7 +71,7 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
@@ -75,38 +86,49 @@ class PieceEncoder:
             self.kind = "whole"
         self.n_ids = self.tokenizer.get_vocab_size()
         # added tokens are found before letters are lower-cased
-        self.added = re.compile("|".join(re.escape(x["content"]) for x in spec.get("added_tokens", [])) or r"[^\s\S]", re.IGNORECASE)
-        # what stands between words that are encoded together: a line feed keeps to itself before a space and a word, an added token anywhere
-        first = next((x["content"] for x in spec.get("added_tokens", [])), None)
-        self.mark = "\n" if self.kind == "byte" else f" {first} " if self.kind == "drop" and first else None
-        if self.mark is not None:
-            between = [self._encode([x])[0] for x in (self.mark, "a", " a", f"a{self.mark}a", f" a{self.mark} a")]
-            one, bare, spaced = between[:3]
-            self.mark_id = int.from_bytes(one, "little")
-            if len(one) != 4 or between[3:] != [bare + one + bare, spaced + one + spaced]:
-                self.mark = None
+        added = [x["content"] for x in spec.get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"[^\s\S]", re.IGNORECASE)
+        # words of letters, which no rule cuts, go to the model alone, many with a mark between each two
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        mark = self.bare.encode("!", add_special_tokens=False).ids
+        self.mark_id = mark[0] if self.kind != "whole" and len(mark) == 1 and not any(x.isalpha() for x in added) else None
         self.known: dict[str, bytes] = {}
         self.misses = 0
-        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
+        # by runs of at most four marks
+        self.marks: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, text: str) -> str | None:
+        """A word of letters (after a space, or a line feed that keeps to itself) as the model takes it, None for any other text.
+
+        Letters below U+0250 are in normal form, and all but U+0130 have one lower case that every version of Unicode knows."""
+        before = text[:1] if self.kind == "byte" and text[:1] in (" ", "\n") else ""
+        word = text[len(before) :]
+        if self.mark_id is None or not word.isalpha() or len(word) > CACHED_CHARS:
+            return None
+        if not word.isascii():
+            if max(word) >= "\u0250" or "\u0130" in word:
+                return None
+            word = (word.lower() if self.kind == "drop" else word).encode().decode("latin-1").translate(_BYTES)
+        elif self.kind == "drop":
+            return word.lower()
+        return word if not before else _BYTES[32] + word if before == " " else f"{_BYTES[10]} {word}"
+
     def _encode_words(self, texts: list[str]) -> list[bytes]:
-        """Like :meth:`_encode`, but words are encoded JOINED at a time, with a mark of one id between each two that no token reaches across; what isn't a plain word is encoded alone."""
-        if self.mark is None:
-            return self._encode(texts)
+        """Like :meth:`_encode`, but words of letters are given to the model itself, JOINED at a time, with a mark between each two that isn't a letter."""
+        words = list(map(self._letters, texts))
         found: list = [None] * len(texts)
-        fit = [i for i, t in enumerate(texts) if len(t) <= CACHED_CHARS and _WORD.fullmatch(t) and not self.added.search(t)]
+        fit = [i for i, w in enumerate(words) if w is not None]
         groups = [fit[at : at + JOINED] for at in range(0, len(fit), JOINED)]
-        joined = self.tokenizer.encode_batch_fast([self.mark.join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
+        joined = self.bare.encode_batch_fast([" ! ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
         for group, one in zip(groups, joined, strict=True):
             ids = np.array(one.ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.mark_id)
-            if len(cuts) != len(group) - 1:
-                continue
+            cuts = 4 * np.flatnonzero(ids == self.mark_id)
             raw, start = ids.tobytes(), 0
-            for i, end in zip(group, [*(4 * cuts).tolist(), len(raw)], strict=True):
+            for i, end in zip(group, [*cuts.tolist(), len(raw)], strict=True):
                 found[i] = raw[start:end]
                 start = end + 4
         alone = [i for i, x in enumerate(found) if x is None]
@@ -143,43 +165,47 @@ class PieceEncoder:
         return [x[1:] if x[:1] == "\0" else x if x[:1].isspace() else " " + x for x in keys]
 
     def _root(self, key: str) -> tuple[str, str]:
-        """A key without its closing mark, and the mark: a letter and a mark never share a token, so most keys need no encoding of their own.
+        """A key without its closing marks, and those: a letter and a mark never share a token, so most keys need no encoding of their own.
 
         A letter whose lower case ends in a combining mark (U+0130) is none here: that one and the mark do share a token."""
         mark = ""
-        if self.kind != "whole" and len(key) > 1 and key[-1] in _MARKS and key[-2] < "\u0250" and key[-2].isalpha() and key[-2] != "\u0130" and key[0] != "\0":
-            key, mark = key[:-1], key[-1]
+        if self.kind != "whole" and key[-1:] in _MARKS and key[:1] != "\0":
+            bare = key.rstrip(_MARKS)
+            if bare and len(key) - len(bare) <= 4 and bare[-1] < "\u0250" and bare[-1].isalpha() and bare[-1] != "\u0130":
+                key, mark = bare, key[len(bare) :]
+                if mark not in self.marks:
+                    self.marks[mark] = self._encode([mark])[0]
         if self.kind == "drop" and key.isascii() and (key.islower() or not self.added.search(key)):
             key = key.lower()
         return key, mark
 
-    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+    def _learn(self, keys: list[str]) -> list[bytes]:
         """Ids of keys that aren't in the cache; fills it while it has room, and empties it where it no longer fits what comes."""
-        roots = {k: self._root(k) for k in keys}
-        get = self.known.get
-        ids = {r: get(r) for r, _ in roots.values()}
+        roots, marks = zip(*map(self._root, keys), strict=True)
+        ids = {r: self.known.get(r) for r in roots}
         fresh = [r for r, v in ids.items() if v is None]
-        ids |= zip(fresh, self._encode_words(self._texts(fresh)), strict=True)
-        found = {k: ids[r] + self.marks[m] if m else ids[r] for k, (r, m) in roots.items()}
+        new = dict(zip(fresh, self._encode_words(self._texts(fresh)), strict=True))
+        ids |= new
+        found = [ids[r] + self.marks[m] if m else ids[r] for r, m in zip(roots, marks, strict=True)]
         self.misses += len(fresh)
         if self.misses > 8 * CACHE_ENTRIES:
             self.known.clear()
             self.misses = 0
-        for more in (found, {r: ids[r] for r in fresh}):
-            if len(self.known) + len(more) <= CACHE_ENTRIES:
-                self.known.update((k, v) for k, v in more.items() if len(k) <= CACHED_CHARS)
+        for names, values in ((keys, found), (new, new.values())):
+            if len(self.known) + len(names) <= CACHE_ENTRIES:
+                self.known.update((k, v) for k, v in zip(names, values, strict=True) if len(k) <= CACHED_CHARS)
         return found
 
     def _look_up(self, keys: list[str]) -> list[bytes]:
         found = list(map(self.known.get, keys))
         if None in found:
-            gaps = [i for i, v in enumerate(found) if v is None]
-            fresh = self._learn(list({keys[i] for i in gaps}))
-            for i in gaps:
-                found[i] = fresh[keys[i]]
+            # each different key once
+            gaps = {k: None for k, v in zip(keys, found, strict=True) if v is None}
+            gaps = dict(zip(gaps, self._learn(list(gaps)), strict=True))
+            found = [gaps[k] if v is None else v for k, v in zip(keys, found, strict=True)]
         return found
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text (null: none), encoded in batches balanced by size."""
         batch: list[str] = []
         size = 0

@@ -33,6 +33,27 @@ def test_pieces_give_the_librarys_ids(name):
     assert list(enc.encode(texts)) == want
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_letters_skip_the_rules(name):
+    letters = "".join(c for c in map(chr, range(0x41, 0x250)) if c.isalpha() and c != "\u0130")
+    rng = random.Random(1)
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) + rng.choice(["", "", ".", "!!", ",%%%", "$$$", ".?!;"]) for _ in range(3000)]
+    texts = [" ".join(words), "\n".join(words), *words[:50]]
+    enc = PieceEncoder(P.path(name))
+    library, seen = enc.tokenizer, []
+    want = [np.array(x.ids, dtype="<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
+
+    class Spy:
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    enc.tokenizer = Spy()
+    assert list(enc.encode(texts)) == want
+    # runs of marks, and words that begin a text with them; the words have some 20,000 letters
+    assert sum(map(len, seen)) < 3000
+
+
 def test_token_counts(spark):
     enc = PieceEncoder(P.path("byte_bpe_50k.json"))
     got = {r["doc_id"]: r for r in token_counts(rows(spark, ODD, extra=True), P.path("byte_bpe_50k.json")).collect()}
