@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, few, forget, scan_bytes, shared_dir, written
+from .common import checkpoint, few, forget, scan_bytes, shared_dir, texts_of, written
 from .pieces import encoder
 
 #: Payload bytes of a shard; a shard ends with the document that reaches them.
@@ -125,7 +125,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, *, end_id: int
         enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         width = 2 if max(enc.n_ids, end_id + 1) <= 1 << 16 else 4
         for batch in batches:
-            ids = [np.frombuffer(x + end, dtype="<u4").astype(f"<u{width}").tobytes() for x in enc.encode(batch.column(2).to_pylist())]
+            ids = [np.frombuffer(x + end, dtype="<u4").astype(f"<u{width}").tobytes() for x in enc.encode(texts_of(batch.column(2)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["key", "h", "width", "ids"])
 
     # encoded where texts are read, and written: what is dealt by ranges (sampled, then shuffled and sorted) are short ids, not texts
