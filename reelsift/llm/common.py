@@ -38,6 +38,18 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if are_few(df) else df
 
 
+#: Rows of a few numbers that a task takes: fewer of them aren't dealt to as many tasks as large tables are.
+TASK_ROWS = 1 << 16
+
+
+def gathered(df: DataFrame, at_most: int | None = None) -> DataFrame:
+    """``df``, a checkpointed table of small rows, in no more partitions than they need; ``at_most``: a bound on its rows, which are counted without one.
+
+    What one task can hold is then joined and grouped without a shuffle, so steps that have little left to do leave hardly any shuffle files, checkpoint files and tasks."""
+    n = df.count() if at_most is None else at_most
+    return df.coalesce(max(1, -(-n // TASK_ROWS)))
+
+
 #: Keys with more rows than the greater of this and a 100,000th of all rows are joined by broadcast: there are at most 100,000 of them.
 HOT_ROWS = 1000
 

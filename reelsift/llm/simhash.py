@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import are_few, checkpoint, few, forget, joined_by, written
+from .common import are_few, checkpoint, few, forget, gathered, joined_by, written
 from .components import components
 
 #: Different fingerprints that are compared with each other at an anchor.
@@ -219,8 +219,17 @@ def sketch(shingles: np.ndarray) -> bytes:
 
 def may_reach(x: list[bytes], y: list[bytes], n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
     """Whether sets of ``n`` and ``m`` shingles with sketches ``x`` and ``y`` can reach the similarity; True for all that do."""
-    one, two = (np.frombuffer(b"".join(z), dtype=np.uint64).reshape(-1, SKETCH // 64) for z in (x, y))
-    return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64) <= (n.astype(np.int64) + m) * (1 - similarity) / (1 + similarity) + 1e-6
+    return _near_enough(_words(x), _words(y), n, m, similarity)
+
+
+def _words(sketches) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(sketches), dtype=np.uint64).reshape(-1, SKETCH // 64)
+
+
+def _near_enough(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """:func:`may_reach` of sketches as :func:`_words` gives them."""
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= (n.astype(np.int64) + m) * (1 - similarity) / (1 + similarity) + 1e-6
 
 
 def prefix(shingles: np.ndarray, common: np.ndarray, weight: np.ndarray, similarity: float) -> np.ndarray:
@@ -249,7 +258,7 @@ def _whole_groups(batches, keys: int = 1):
     """Columns of sorted batches as arrays, cut only between different values of the first ``keys`` ones."""
     held = []
     for batch in batches:
-        columns = [c.to_numpy() for c in batch.columns]
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if not len(columns[0]):
             continue
         new = _starts(columns[:keys])
@@ -332,11 +341,11 @@ def _meetings(similarity: float):
 
 
 def _star_meetings(similarity: float):
-    """Of (token, part, id, n, print, root) sorted by token and part: rows outside the part's largest root, or all of them, with the most typical one among them."""
+    """Of (token, part, id, n, print, root, sketch) sorted by token and part: rows outside the part's largest root, or all of them, with the most typical one among them, where sketches may be alike."""
 
     def meet(batches):
         forget()
-        for token, part, ids, n, prints, root in _whole_groups(batches, 2):
+        for token, part, ids, n, prints, root, sketches in _whole_groups(batches, 2):
             starts = _starts([token, part]).tolist()
             for low, high in zip(starts, [*starts[1:], len(token)], strict=True):
                 _, which, counts = np.unique(root[low:high], return_inverse=True, return_counts=True)
@@ -344,21 +353,22 @@ def _star_meetings(similarity: float):
                     continue
                 among = low + np.flatnonzero(which != counts.argmax()) if counts.max() > 1 else np.arange(low, high)
                 r = among[medoid(prints[among].view(np.uint64))]
-                ok = (root[low:high] != root[r]) & _may_be_alike(n[low:high], 0, n[r], 0, similarity)
-                yield _pairs(ids[low:high][ok], np.full(int(ok.sum()), ids[r]))
+                ok = low + np.flatnonzero((root[low:high] != root[r]) & _may_be_alike(n[low:high], 0, n[r], 0, similarity))
+                ok = ok[_near_enough(_words(sketches[ok]), _words(sketches[r : r + 1]), n[ok], n[r], similarity)]
+                yield _pairs(ids[ok], np.full(len(ok), ids[r]))
 
     return meet
 
 
 def _block_meetings(similarity: float, nearest: int | None):
-    """Of (token, part, slice, outside, id, n, pos, print, root) sorted by the first four: each row outside the token's largest root with each other one that may be alike, of different roots;
-    with the NEAREST ones by SimHash, after ``nearest`` times as many, unless that is None."""
+    """Of (token, part, slice, outside, id, n, pos, print, root, sketch) sorted by the first four: each row outside the token's largest root with each other one that may be alike, of different roots;
+    with the NEAREST ones by SimHash, after ``nearest`` times as many, unless that is None.  A pair of nulls tells that some row had more of them.  Without the column of sketches none is left out by them."""
 
     def meet(batches):
         forget()
-        for token, part, piece, outside, ids, n, pos, prints, root in _whole_groups(batches, 3):
+        for token, part, piece, outside, ids, n, pos, prints, root, *sketches in _whole_groups(batches, 3):
             starts = _starts([token, part, piece]).tolist()
-            prints = prints.view(np.uint64)
+            prints, words, more = prints.view(np.uint64), _words(sketches[0]) if sketches else None, False
             for low, high in zip(starts, [*starts[1:], len(token)], strict=True):
                 middle = low + int(np.searchsorted(outside[low:high], 1))
                 # by size: the sizes that can be alike are one stretch, often an empty one
@@ -370,9 +380,14 @@ def _block_meetings(similarity: float, nearest: int | None):
                 for u in (middle + np.flatnonzero(begin < end)).tolist():
                     b, e = begin[u - middle], end[u - middle]
                     ok = own[b:e][(most[b:e] >= n[u]) & (root[own[b:e]] != root[u])]
+                    ok = ok if words is None else ok[_near_enough(words[ok], words[u], n[ok], n[u], similarity)]
                     if nearest is not None:
+                        more = more or len(ok) > (nearest + 1) * NEAREST
                         ok = ok[np.argsort(np.bitwise_count(prints[ok] ^ prints[u]), kind="stable")[nearest * NEAREST : (nearest + 1) * NEAREST]]
-                    yield _pairs(ids[ok], np.full(len(ok), ids[u]))
+                    if len(ok):
+                        yield _pairs(ids[ok], np.full(len(ok), ids[u]))
+            if more:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 2, names=["a", "b"])
 
     return meet
 
@@ -384,7 +399,7 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     texts with the same words are always linked.  Candidates are texts whose SimHash fingerprints meet at an anchor within ``max_bits``
     bits and, since alike texts may differ in more bits than any covering can afford, all that share one of their first shingles in a common order:
     sets alike enough do, so no link is lost.  Each candidate is verified on the whole texts.  A shingle that over CROWD rows share is
-    resolved by steps, in blocks of some BLOCK_ROWS: its rows are compared with the one whose SimHash is nearest to the majority of theirs (first for each
+    resolved by steps, as many as it takes, in blocks of some BLOCK_ROWS: its rows are compared with the one whose SimHash is nearest to the majority of theirs (first for each
     row's first crowded shingle, then for all), then each row that isn't linked to the shingle's largest group with the nearest ones of other groups, in rounds, and at last with every row of them.
     ``id_col`` holds different bigints without nulls.  Null, empty and wordless texts are alike.  Other columns are ignored.  An empty table gives an empty one.
     """
@@ -453,8 +468,10 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
         both = links.join(end("a", "x", "n"), "a").join(end("b", "y", "m"), "b")
         return checkpoint(both.select("a", "b", "x", "y", "n", "m").mapInArrow(prune, "a long, b long"))
 
-    pairs = pruned(met.where("b is not null").select("a", "b").unionByName(same_print).unionByName(at_anchors).distinct())
-    seen = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowds.select("id")).distinct())
+    pairs = gathered(pruned(met.where("b is not null").select("a", "b").unionByName(same_print).unionByName(at_anchors).distinct()))
+    crowds = gathered(crowds)
+    met_crowds = gathered(checkpoint(crowds.select("id").distinct()))
+    seen = gathered(checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(met_crowds).distinct()))
     texts = written(given.join(few(seen), "id", "left_semi"), "candidates")
 
     def verify(batches):
@@ -478,33 +495,44 @@ def near_copies(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
 
     def verified(links):
         # where they are many, the joins below leave out the others
-        needed = checkpoint(links.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        needed = gathered(checkpoint(links.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
         own = texts.join(F.broadcast(needed), "id", "left_semi") if are_few(needed) else texts
-        both = links.join(own.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
-        return checkpoint(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
+        both = few(links).join(own.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
+        return gathered(checkpoint(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")), links.count())
 
     roots_ = components(verified(pairs))
     steps = ("first", "all", *range(NEAREST_ROUNDS), "blocks") if not crowds.isEmpty() else ()
+    # of crowds' rows alone, so that steps read no others
+    marks = gathered(checkpoint(firsts.join(few(met_crowds), "id", "left_semi").select("id", "print", "sketch"))) if steps else None
     for step in steps:
         mine = crowds if step != "first" else crowds.groupBy("id").agg(F.min_by(F.struct("token", "n", "pos"), F.struct("pos", "token")).alias("x")).select("id", "x.*")
-        placed = checkpoint(mine.join(roots_.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", F.coalesce("root", "id").alias("root")))
+        placed = gathered(checkpoint(mine.join(roots_.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", F.coalesce("root", "id").alias("root"))))
         # of shingles whose rows aren't all linked: the largest root, all rows, and those outside it
         counted = placed.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("big"), F.sum("c").alias("rows"), (F.sum("c") - F.max("c")).alias("others")).where("others > 0")
         parts = lambda x: F.ceil(F.col(x) / BLOCK_ROWS).cast("long")
         part = lambda x: F.pmod(F.xxhash64("id"), F.col(x))
-        left = placed.join(few(checkpoint(counted.select("token", "big", parts("rows").alias("parts"), parts("others").alias("slices")))), "token").join(firsts.select("id", "print"), "id")
+        unsettled = gathered(checkpoint(counted.select("token", "big", parts("rows").alias("parts"), parts("others").alias("slices"))))
+        if unsettled.isEmpty():
+            if step == "first":
+                continue
+            break
+        left = placed.join(few(unsettled), "token").join(marks, "id")
         if step not in ("first", "all"):
-            own = left.select("token", part("parts").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("outside"), "id", "n", "pos", "print", "root")
-            others = left.where("root <> big").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), part("slices").alias("slice"), F.lit(1).alias("outside"), "id", "n", "pos", "print", "root")
+            own = left.select("token", part("parts").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("outside"), "id", "n", "pos", "print", "root", "sketch")
+            others = left.where("root <> big").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), part("slices").alias("slice"), F.lit(1).alias("outside"), "id", "n", "pos", "print", "root", "sketch")
             key = ["token", "part", "slice"]
             links = own.unionByName(others).repartition(*key).sortWithinPartitions(*key, "outside").mapInArrow(_block_meetings(similarity, None if step == "blocks" else step), "a long, b long")
         else:
             key = ["token", "part"]
-            stars = left.select("token", part("parts").alias("part"), "id", "n", "print", "root")
+            stars = left.select("token", part("parts").alias("part"), "id", "n", "print", "root", "sketch")
             links = stars.repartition(*key).sortWithinPartitions(*key).mapInArrow(_star_meetings(similarity), "a long, b long")
-        links = pruned(links.distinct())
+        met_here = gathered(checkpoint(links))
+        links = gathered(checkpoint(met_here.where("a is not null").distinct()))
         if not links.isEmpty():
             # what is linked already stands in its stars
-            roots_ = components(verified(links).unionByName(roots_.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+            roots_ = components(gathered(verified(links).unionByName(roots_.select(F.col("root").alias("a"), F.col("node").alias("b")))))
+        if step == 0 and met_here.where("a is null").isEmpty():
+            # every row outside a largest group has met all that may be alike
+            break
     classes = checkpoint(reps.select("same", F.col("id").alias("node"), "n_rows").join(roots_, "node", "left").select("same", F.coalesce("root", "node").alias("first_id"), "n_rows"))
     return joined_by(rows.select("id", "same"), classes, "same").where("id <> first_id").select(F.col("id").alias(id_col), "first_id")

@@ -188,6 +188,44 @@ def test_blocks_meet_all_that_may_be_alike():
     assert got == want and len(want) > 300
 
 
+def test_blocks_tell_whether_rows_had_more_than_the_nearest():
+    import pyarrow as pa
+
+    def met(rows):
+        zero, ids = np.zeros(rows, dtype=np.int64), np.arange(rows)
+        columns = [zero, zero, zero, (ids == rows - 1).astype(np.int32), ids, zero + 9, zero, zero, ids]
+        sketches = pa.array([simhash.sketch(np.arange(9 if i % 2 else 100, 109 if i % 2 else 200, dtype=np.uint64)) for i in range(rows)])
+        batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), sketches], names=list("abcdefghij"))
+        return [x for p in simhash._block_meetings(0.8, 0)([batch]) for x in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)]
+
+    assert met(64) == [(i, 63) for i in range(1, 63, 2)]
+    most = 2 * simhash.NEAREST + 4
+    assert (None, None) in (found := met(most)) and len(found) == simhash.NEAREST + 1
+
+
+def test_steps_of_few_crowded_rows_take_few_tasks(spark):
+    """However many partitions shuffles have: those of tables that one task can hold aren't made."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    form = [word() for _ in range(30)]
+    rows = [(i, " ".join(form + [word() for _ in range(12 if i % 4 else 3)])) for i in range(300)]
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("20", "false"), strict=True):
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("few tasks", "near copies")
+        got = simhash.near_copies(make(spark, rows), id_col="doc_id").collect()
+        told = spark.sparkContext.statusTracker()
+        stages = {s for j in told.getJobIdsForGroup("few tasks") for s in told.getJobInfo(j).stageIds}
+        tasks = sum(x.numCompletedTasks for s in stages if (x := told.getStageInfo(s)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert {(r["doc_id"], r["first_id"]) for r in got} == {(i, 0) for i in range(4, 300, 4)}
+    assert tasks < 1200, tasks
+
+
 @pytest.mark.parametrize("crowd, block", [(64, 4096), (4, 3)])
 def test_near_copies_of_odd_rows(spark, monkeypatch, crowd, block):
     """Null, empty, wordless, repeated and very long texts, other columns, and crowds and blocks of a few rows."""
