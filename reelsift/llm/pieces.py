@@ -28,12 +28,14 @@ from .common import resident
 
 CACHE_ENTRIES = 600_000
 CACHED_CHARS = 48
+#: Keys that are kept in columns, some 25 bytes each: a batch's words meet them without becoming Python's strings.
+COLUMN_ENTRIES = 500_000
 #: Characters of a text that are handled at a time; longer texts are cut at safe places.
 STRETCH = 1 << 18
 #: Words that are encoded as one text.
 JOINED = 32
 #: UTF-8 bytes of texts that are encoded together.
-BATCH = 1 << 22
+BATCH = 1 << 23
 
 _UNUSUAL = re.compile(r"[^\S \n]")
 _UNSAFE = re.compile(r"[^\S \t\n\r\f\v]")
@@ -95,9 +97,14 @@ class PieceEncoder:
         self.mark_id = mark[0] if self.kind != "whole" and len(mark) == 1 and not any(x.isalpha() for x in added) else None
         self.known: dict[str, bytes] = {}
         self.misses = 0
+        self._empty_columns()
         # by runs of at most four marks
         self.marks: dict[str, bytes] = {}
 
+    def _empty_columns(self) -> None:
+        self.column, self.sizes, self.ids = pa.array([], pa.large_string()), np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4")
+        self.unkept = 0
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -179,8 +186,8 @@ class PieceEncoder:
             key = key.lower()
         return key, mark
 
-    def _learn(self, keys: list[str]) -> list[bytes]:
-        """Ids of keys that aren't in the cache; fills it while it has room, and empties it where it no longer fits what comes."""
+    def _learn(self, keys: list[str], roots_only: bool = False) -> list[bytes]:
+        """Ids of keys that aren't in the cache; fills it (with their roots alone, where columns keep the keys) while it has room, and empties it where it no longer fits what comes."""
         roots, marks = zip(*map(self._root, keys), strict=True)
         ids = {r: self.known.get(r) for r in roots}
         fresh = [r for r, v in ids.items() if v is None]
@@ -191,7 +198,7 @@ class PieceEncoder:
         if self.misses > 8 * CACHE_ENTRIES:
             self.known.clear()
             self.misses = 0
-        for names, values in ((keys, found), (new, new.values())):
+        for names, values in ((new, new.values()),) if roots_only else ((keys, found), (new, new.values())):
             if len(self.known) + len(names) <= CACHE_ENTRIES:
                 self.known.update((k, v) for k, v in zip(names, values, strict=True) if len(k) <= CACHED_CHARS)
         return found
@@ -226,13 +233,31 @@ class PieceEncoder:
             return text[1:].replace("\n", " \n") if text[0] == " " else ("\0" + text if text[0] != "\n" else text).replace("\n", " \n").removeprefix(" ")
         return None
 
+    def _keep(self, fresh: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Adds keys to the columns while they have room, and empties those where they no longer fit what comes."""
+        short = pc.less_equal(pc.utf8_length(fresh), CACHED_CHARS)
+        keep = short.to_numpy(zero_copy_only=False)
+        if len(self.column) + int(keep.sum()) <= COLUMN_ENTRIES:
+            self.column = pa.concat_arrays([self.column, fresh.filter(short)])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes[keep]]), np.concatenate([self.ids, ids[np.repeat(keep, sizes)]])
+            return
+        self.unkept += len(fresh)
+        if self.unkept > 8 * COLUMN_ENTRIES:
+            self._empty_columns()
+
     def _together(self, bodies: list[str]) -> list[bytes]:
         """Ids of texts given as keys with single spaces between them: each different key of all of them is looked up once."""
-        keys = pc.split_pattern(pa.array([" ".join(bodies)], pa.large_string()), " ").values.dictionary_encode()
-        found = self._look_up(keys.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        ids, starts = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(sizes) - sizes
-        which = keys.indices.to_numpy()
+        words = pc.split_pattern(pa.array([" ".join(bodies)], pa.large_string()), " ").values
+        # kept keys come first, so a word's number is its place among them, or beyond them
+        keys = pa.chunked_array([self.column, words]).dictionary_encode().chunks[-1]
+        sizes, ids = self.sizes, self.ids
+        if len(fresh := keys.dictionary[len(self.column) :]):
+            found = self._learn(fresh.to_numpy(zero_copy_only=False).tolist(), roots_only=True)
+            new_sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+            new_ids = np.frombuffer(b"".join(found), dtype="<u4")
+            sizes, ids = np.concatenate([sizes, new_sizes]), np.concatenate([ids, new_ids])
+            self._keep(fresh, new_sizes, new_ids)
+        starts, which = np.cumsum(sizes) - sizes, keys.indices.to_numpy()
         each = sizes[which]
         upto = np.cumsum(each)
         whole = ids[np.repeat(starts[which] - (upto - each), each) + np.arange(upto[-1])].tobytes()

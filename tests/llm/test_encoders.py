@@ -8,7 +8,7 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
-from reelsift.llm import packing, sentence_pieces, token_files  # noqa: E402
+from reelsift.llm import packing, pieces, sentence_pieces, token_files  # noqa: E402
 from reelsift.llm.pieces import PieceEncoder  # noqa: E402
 from reelsift.llm.token_counts import token_counts  # noqa: E402
 
@@ -218,3 +218,23 @@ def test_sentence_pieces_round_trip(spark, monkeypatch):
     assert sorted((str(r["doc_id"]), r["text"]) for r in sentence_pieces.decode(encoded, path).collect()) == [("7", "x"), ("7", "x"), ("8", ""), ("None", "a b")]
     assert sentence_pieces.decode(encoded.limit(0), path).count() == 0
     assert sentence_pieces.decode(encoded.selectExpr("doc_id", "cast(null as binary) as ids"), path).where("text is null").count() == 4
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_met_before_stay_in_columns(name, monkeypatch):
+    path = str(P.path(name))
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdeéG") for _ in range(rng.randrange(1, 9))) + rng.choice(["", "", ".", "!?", "\n"]) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(40)).replace("\n ", "\n") for _ in range(200)] + ["", "x" * 100, "x " + "y" * 100]
+    enc = PieceEncoder(path)
+    want = [np.array(x.ids, dtype="<u4").tobytes() for x in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert list(enc.encode(texts)) == want
+    asked, learn = [], enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda keys, **more: (asked.extend(keys), learn(keys, **more))[1])
+    monkeypatch.setattr(enc, "_look_up", lambda keys: pytest.fail(f"looked up again: {keys[:3]}") if keys else [])
+    assert list(enc.encode(texts)) == want and all(len(x) > 99 for x in asked)
+    # columns without room, and emptied again and again
+    monkeypatch.setattr(pieces, "COLUMN_ENTRIES", 20)
+    enc._empty_columns()
+    for at in range(0, len(texts), 7):
+        assert list(enc.encode(texts[at : at + 7])) == want[at : at + 7]
