@@ -26,16 +26,16 @@ import pyarrow.compute as pc
 
 from .common import resident
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 CACHED_CHARS = 48
 #: Keys that are kept in columns, some 25 bytes each: a batch's words meet them without becoming Python's strings.
-COLUMN_ENTRIES = 500_000
+COLUMN_ENTRIES = 400_000
 #: Characters of a text that are handled at a time; longer texts are cut at safe places.
 STRETCH = 1 << 18
 #: Words that are encoded as one text.
 JOINED = 32
 #: UTF-8 bytes of texts that are encoded together.
-BATCH = 1 << 23
+BATCH = 6 << 20
 
 _UNUSUAL = re.compile(r"[^\S \n]")
 _UNSAFE = re.compile(r"[^\S \t\n\r\f\v]")
