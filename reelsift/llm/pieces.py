@@ -9,8 +9,8 @@ rather than encoded; what isn't known yet is encoded in batches by the tokenizer
 Most pieces that aren't known are words of letters, which pre-tokenizers leave whole: the model of the
 library gets them without normalizer and pre-tokenizer.
 
-The cache has at most ``CACHE_ENTRIES`` pieces and pieces above ``CACHED_CHARS`` characters never
-enter it, so its memory is bounded.
+The caches have at most ``CACHE_ENTRIES`` and ``COLUMN_ENTRIES`` pieces and pieces above ``CACHED_CHARS`` characters
+never enter them, so their memory is bounded.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from .common import resident
 
 CACHE_ENTRIES = 400_000
 CACHED_CHARS = 48
-#: Keys that are kept in columns, some 25 bytes each: a batch's words meet them without becoming Python's strings.
+#: Keys whose ids are kept in columns, some 150 bytes each with their names: a batch's different words are looked up there, each once.
 COLUMN_ENTRIES = 400_000
 #: Characters of a text that are handled at a time; longer texts are cut at safe places.
 STRETCH = 1 << 18
@@ -37,12 +38,18 @@ JOINED = 32
 #: UTF-8 bytes of texts that are encoded together.
 BATCH = 6 << 20
 
-_UNUSUAL = re.compile(r"[^\S \n]")
 _UNSAFE = re.compile(r"[^\S \t\n\r\f\v]")
 _EXACT = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 _CUT = re.compile(r"\S(?=[ \n])")
 _MARKS = ".,!?;:#*$%&"
-_RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+#: Letters below U+0250: all are in normal form, and all but U+0130, left out, have one lower case that every version of Unicode knows.
+_LETTER = "[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
+_LETTERS = re.compile(_LETTER + "+")
+#: At most four marks that end a word: a letter and a mark never share a token.
+_CLOSING = f"({_LETTER})([{_MARKS}]{{1,4}})( |$)"
+#: White space that isn't a single space or line feed (there is none beyond U+3000), or U+0000.
+_ODD = "[\0" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n") + "]|[ \n][ \n]"
+_ODD_TEXT = re.compile(_ODD)
 
 
 def _byte_letters() -> str:
@@ -54,13 +61,22 @@ def _byte_letters() -> str:
 _BYTES = _byte_letters()
 
 
+def _runs(sizes: np.ndarray, ids: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` with numbers ``which``: their sizes, and they themselves one after the other."""
+    each = sizes[which]
+    ends = np.cumsum(each)
+    return each, ids[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - each), each) + np.arange(each.sum())]
+
+
+def _cut_up(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The bytes of ids up to each end."""
+    raw = ids.tobytes()
+    return [raw[a:b] for a, b in pairwise([0, *(4 * ends).tolist()])]
+
+
 def plain(text: str) -> bool:
     """Whether single spaces and line feeds are the only white space."""
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text:
-        return False
-    if text.isascii():
-        return not any(c in text for c in _RARE)
-    return _UNUSUAL.search(text) is None
+    return _ODD_TEXT.search(text) is None
 
 
 class PieceEncoder:
@@ -93,6 +109,9 @@ class PieceEncoder:
         # words of letters, which no rule cuts, go to the model alone, many with a mark between each two
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        # words to encode differ, so the model's own cache would only be searched in vain
+        if self.kind != "whole" and hasattr(self.bare.model, "_resize_cache"):
+            self.bare.model._resize_cache(0)
         mark = self.bare.encode("!", add_special_tokens=False).ids
         self.mark_id = mark[0] if self.kind != "whole" and len(mark) == 1 and not any(x.isalpha() for x in added) else None
         self.known: dict[str, bytes] = {}
@@ -102,46 +121,34 @@ class PieceEncoder:
         self.marks: dict[str, bytes] = {}
 
     def _empty_columns(self) -> None:
-        self.column, self.sizes, self.ids = pa.array([], pa.large_string()), np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4")
+        self.numbers: dict[str, int] = {}
+        self.sizes, self.ids = np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4")
         self.unkept = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, text: str) -> str | None:
-        """A word of letters (after a space, or a line feed that keeps to itself) as the model takes it, None for any other text.
-
-        Letters below U+0250 are in normal form, and all but U+0130 have one lower case that every version of Unicode knows."""
-        before = text[:1] if self.kind == "byte" and text[:1] in (" ", "\n") else ""
-        word = text[len(before) :]
-        if self.mark_id is None or not word.isalpha() or len(word) > CACHED_CHARS:
-            return None
-        if not word.isascii():
-            if max(word) >= "\u0250" or "\u0130" in word:
-                return None
-            word = (word.lower() if self.kind == "drop" else word).encode().decode("latin-1").translate(_BYTES)
-        elif self.kind == "drop":
-            return word.lower()
-        return word if not before else _BYTES[32] + word if before == " " else f"{_BYTES[10]} {word}"
-
-    def _encode_words(self, texts: list[str]) -> list[bytes]:
-        """Like :meth:`_encode`, but words of letters are given to the model itself, JOINED at a time, with a mark between each two that isn't a letter."""
-        words = list(map(self._letters, texts))
-        found: list = [None] * len(texts)
-        fit = [i for i, w in enumerate(words) if w is not None]
-        groups = [fit[at : at + JOINED] for at in range(0, len(fit), JOINED)]
-        joined = self.bare.encode_batch_fast([" ! ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
-        for group, one in zip(groups, joined, strict=True):
-            ids = np.array(one.ids, dtype="<u4")
-            cuts = 4 * np.flatnonzero(ids == self.mark_id)
-            raw, start = ids.tobytes(), 0
-            for i, end in zip(group, [*cuts.tolist(), len(raw)], strict=True):
-                found[i] = raw[start:end]
-                start = end + 4
-        alone = [i for i, x in enumerate(found) if x is None]
-        for i, x in zip(alone, self._encode([texts[i] for i in alone]), strict=True):
-            found[i] = x
-        return found
+    def _as_letters(self, words: list[str]) -> str:
+        """Words of letters (some after a space) as the model takes them, all of them ASCII or none, each with a mark after it that isn't a letter."""
+        text = "\n!\n".join([*words, ""])
+        text = text.lower() if self.kind == "drop" else text
+        text = text.replace(" ", _BYTES[32]).replace("\n", _BYTES[10]) if text.isascii() else text.encode().decode("latin-1").translate(_BYTES)
+        return text.replace(_BYTES[10], " ")
+
+    def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids, and ids, of the texts; words of letters are given to the model itself, JOINED at a time."""
+        known = [] if self.mark_id is None else [(i, w) for i, w in enumerate(x.removeprefix(" ") for x in texts) if w.isalpha() and len(w) <= CACHED_CHARS]
+        fit = [[i for i, w in known if w.isascii()], [i for i, w in known if not w.isascii() and _LETTERS.fullmatch(w)]]
+        groups = [x[at : at + JOINED] for x in fit for at in range(0, len(x), JOINED)]
+        joined = self.bare.encode_batch_fast([self._as_letters([texts[i] for i in g]) for g in groups], add_special_tokens=False)
+        flat = np.concatenate([np.zeros(0, dtype="<u4"), *(np.array(x.ids, dtype="<u4") for x in joined)])
+        marks = flat == (self.mark_id if joined else 0)
+        order = np.array(fit[0] + fit[1], dtype=np.int64)
+        alone = np.setdiff1d(np.arange(len(texts)), order)
+        others = self._encode([texts[i] for i in alone.tolist()])
+        sizes = np.concatenate([np.diff(np.flatnonzero(marks), prepend=-1) - 1, np.fromiter(map(len, others), dtype=np.int64, count=len(others)) // 4])
+        ids = np.concatenate([flat[~marks], np.frombuffer(b"".join(others), dtype="<u4")])
+        return _runs(sizes, ids, np.argsort(np.concatenate([order, alone])))
 
     def _stretches(self, text: str) -> Iterator[str]:
         """A text in parts of about STRETCH characters, each but the first beginning with white space that follows another character."""
@@ -186,19 +193,20 @@ class PieceEncoder:
             key = key.lower()
         return key, mark
 
-    def _learn(self, keys: list[str], roots_only: bool = False) -> list[bytes]:
-        """Ids of keys that aren't in the cache; fills it (with their roots alone, where columns keep the keys) while it has room, and empties it where it no longer fits what comes."""
+    def _recall(self, keys: list[str]) -> list[bytes]:
+        """Ids of keys that aren't in the cache; fills it while it has room, and empties it where it no longer fits what comes."""
         roots, marks = zip(*map(self._root, keys), strict=True)
         ids = {r: self.known.get(r) for r in roots}
         fresh = [r for r, v in ids.items() if v is None]
-        new = dict(zip(fresh, self._encode_words(self._texts(fresh)), strict=True))
+        sizes, joined = self._encode_words(self._texts(fresh))
+        new = dict(zip(fresh, _cut_up(joined, np.cumsum(sizes)), strict=True))
         ids |= new
         found = [ids[r] + self.marks[m] if m else ids[r] for r, m in zip(roots, marks, strict=True)]
         self.misses += len(fresh)
         if self.misses > 8 * CACHE_ENTRIES:
             self.known.clear()
             self.misses = 0
-        for names, values in ((new, new.values()),) if roots_only else ((keys, found), (new, new.values())):
+        for names, values in ((keys, found), (new, new.values())):
             if len(self.known) + len(names) <= CACHE_ENTRIES:
                 self.known.update((k, v) for k, v in zip(names, values, strict=True) if len(k) <= CACHED_CHARS)
         return found
@@ -208,7 +216,7 @@ class PieceEncoder:
         if None in found:
             # each different key once
             gaps = {k: None for k, v in zip(keys, found, strict=True) if v is None}
-            gaps = dict(zip(gaps, self._learn(list(gaps)), strict=True))
+            gaps = dict(zip(gaps, self._recall(list(gaps)), strict=True))
             found = [gaps[k] if v is None else v for k, v in zip(keys, found, strict=True)]
         return found
 
@@ -225,44 +233,42 @@ class PieceEncoder:
         if batch:
             yield from self._batch(batch)
 
-    def _body(self, text: str) -> str | None:
-        """The cache keys of a text with single spaces between them; None for one that needs :meth:`_pieces`, or has no key."""
+    def _bodies(self, texts: list[str]) -> list[str | None]:
+        """The cache keys of each text with single spaces between them; None for one that needs :meth:`_pieces`, or has no key."""
         if self.kind == "drop":
-            return text.replace("\n", " ")
-        if self.kind == "byte" and text and plain(text):
-            return text[1:].replace("\n", " \n") if text[0] == " " else ("\0" + text if text[0] != "\n" else text).replace("\n", " \n").removeprefix(" ")
-        return None
-
-    def _keep(self, fresh: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
-        """Adds keys to the columns while they have room, and empties those where they no longer fit what comes."""
-        short = pc.less_equal(pc.utf8_length(fresh), CACHED_CHARS)
-        keep = short.to_numpy(zero_copy_only=False)
-        if len(self.column) + int(keep.sum()) <= COLUMN_ENTRIES:
-            self.column = pa.concat_arrays([self.column, fresh.filter(short)])
-            self.sizes, self.ids = np.concatenate([self.sizes, sizes[keep]]), np.concatenate([self.ids, ids[np.repeat(keep, sizes)]])
-            return
-        self.unkept += len(fresh)
+            return [x.replace("\n", " ") for x in texts]
+        if self.kind == "whole":
+            return [None] * len(texts)
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD).to_pylist()
+        # a line feed is a key of its own
+        return [None if o or not x else (x[1:] if x[0] == " " else x if x[0] == "\n" else "\0" + x).replace("\n", " \n \0").removeprefix(" " if x[0] == "\n" else "") for x, o in zip(texts, odd, strict=True)]
+
+    def _learn(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids, and ids, of keys that no column holds; adds those to the columns while they have room, and empties them where they no longer fit what comes."""
+        sizes, ids = self._encode_words(self._texts(keys))
+        keep = np.fromiter(map(len, keys), dtype=np.int64, count=len(keys)) <= CACHED_CHARS
+        keep &= np.cumsum(keep) <= COLUMN_ENTRIES - len(self.numbers)
+        self.numbers.update(zip([keys[i] for i in np.flatnonzero(keep).tolist()], range(len(self.sizes), COLUMN_ENTRIES), strict=False))
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes[keep]]), np.concatenate([self.ids, ids[np.repeat(keep, sizes)]])
+        self.unkept += len(keys) - int(keep.sum())
         if self.unkept > 8 * COLUMN_ENTRIES:
             self._empty_columns()
+        return sizes, ids
 
     def _together(self, bodies: list[str]) -> list[bytes]:
-        """Ids of texts given as keys with single spaces between them: each different key of all of them is looked up once."""
-        words = pc.split_pattern(pa.array([" ".join(bodies)], pa.large_string()), " ").values
-        # kept keys come first, so a word's number is its place among them, or beyond them
-        keys = pa.chunked_array([self.column, words]).dictionary_encode().chunks[-1]
+        """Ids of texts given as keys with single spaces between them: each different key of all of them is looked up once, closing marks apart from their words."""
+        apart = pc.replace_substring_regex(pa.array(bodies, pa.large_string()), _CLOSING, "\\1 \0\\2\\3" if self.kind == "byte" else "\\1 \\2\\3")
+        texts = pc.split_pattern(apart, " ")
+        words = texts.values.dictionary_encode()
+        keys = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.numbers.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
         sizes, ids = self.sizes, self.ids
-        if len(fresh := keys.dictionary[len(self.column) :]):
-            found = self._learn(fresh.to_numpy(zero_copy_only=False).tolist(), roots_only=True)
-            new_sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-            new_ids = np.frombuffer(b"".join(found), dtype="<u4")
+        if len(gaps := np.flatnonzero(number < 0)):
+            number[gaps] = len(sizes) + np.arange(len(gaps))
+            new_sizes, new_ids = self._learn([keys[i] for i in gaps.tolist()])
             sizes, ids = np.concatenate([sizes, new_sizes]), np.concatenate([ids, new_ids])
-            self._keep(fresh, new_sizes, new_ids)
-        starts, which = np.cumsum(sizes) - sizes, keys.indices.to_numpy()
-        each = sizes[which]
-        upto = np.cumsum(each)
-        whole = ids[np.repeat(starts[which] - (upto - each), each) + np.arange(upto[-1])].tobytes()
-        ends = (4 * upto[np.cumsum([x.count(" ") + 1 for x in bodies]) - 1]).tolist()
-        return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        each, whole = _runs(sizes, ids, number[words.indices.to_numpy()])
+        return _cut_up(whole, np.concatenate([[0], np.cumsum(each)])[texts.offsets.to_numpy()[1:]])
 
     def _batch(self, texts: list[str]) -> Iterator[bytes]:
         if any(len(t) > STRETCH for t in texts):
@@ -272,7 +278,7 @@ class PieceEncoder:
                     continue
                 yield b"".join(x for part in self._stretches(text) for x in self._look_up(self._pieces(part)))
             return
-        bodies = list(map(self._body, texts))
+        bodies = self._bodies(texts)
         done = iter(self._together([x for x in bodies if x is not None])) if any(x is not None for x in bodies) else iter(())
         for text, body in zip(texts, bodies, strict=True):
             yield next(done) if body is not None else b"".join(self._look_up(self._pieces(text)))

@@ -238,3 +238,23 @@ def test_words_met_before_stay_in_columns(name, monkeypatch):
     enc._empty_columns()
     for at in range(0, len(texts), 7):
         assert list(enc.encode(texts[at : at + 7])) == want[at : at + 7]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_closing_marks_and_line_feeds_are_keys_of_their_own(name):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéÿıG") for _ in range(rng.randrange(1, 7))) for _ in range(300)]
+    ends = ["", ".", ",", "!?", "...", "%%%%", "%%%%%", ".x", "1.", ")."]
+    texts = ["".join(rng.choice(words) + rng.choice(ends) + rng.choice("   \n") for _ in range(rng.randrange(80))) for _ in range(300)]
+    enc = PieceEncoder(P.path(name))
+    want = [np.array(x.ids, dtype="<u4").tobytes() for x in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    asked, learn = [], enc._learn
+    enc._learn = lambda keys, **more: (asked.extend(keys), learn(keys, **more))[1]
+    assert list(enc.encode(texts)) == want
+    # a word before a mark, or after a line feed, is no key apart from the word
+    assert len(asked) == len(set(asked)) and not any(x[-1:] in ".,!?" and x[:-1].isalpha() for x in asked) and not any("\n" in x and x != "\n" for x in asked)
+    # what the columns keep fills them to the last place
+    small = PieceEncoder(P.path(name))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pieces, "COLUMN_ENTRIES", 400)
+        assert list(small.encode(texts)) == want and len(small.numbers) == len(small.sizes) == 400
