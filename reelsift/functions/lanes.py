@@ -124,8 +124,8 @@ def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
-def similarities(a: list[str], b: list[str], least: float = 0.0) -> np.ndarray:
-    """0 to 1 for each pair of normalized names; 0 where the words alone put it below ``least``."""
+def similarities(a: list[str], b: list[str], least: float | np.ndarray = 0.0, windows: float | np.ndarray = 1.0) -> np.ndarray:
+    """0 to 1 for each pair of normalized names; 0 where the words, and a bound of the windows' ratio, put it below ``least``."""
     out = np.zeros(len(a))
     open_ = []
     for k, (x, y) in enumerate(zip(a, b, strict=True)):
@@ -151,7 +151,8 @@ def similarities(a: list[str], b: list[str], least: float = 0.0) -> np.ndarray:
     if ask:
         which, one, two = zip(*ask, strict=True)
         np.maximum.at(sets, np.array(which), ratios(list(one), list(two)))
-    may = np.flatnonzero((sets + 100.0) / 200.0 >= least)
+    least, windows = (np.broadcast_to(x, len(a))[open_] for x in (least, windows))
+    may = np.flatnonzero((sets / 100.0 + windows) / 2 >= least - 1e-9)
     if len(may):
         left = [open_[i] for i in may]
         out[left] = (sets[may] + partial_ratios([a[k] for k in left], [b[k] for k in left])) / 200.0

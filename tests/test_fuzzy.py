@@ -97,3 +97,33 @@ def test_best_names_against_brute_force(spark, monkeypatch, slack):
             assert all((x, y) in got for y, v in mine.items() if v >= max(mine.values()) - slack)
     # a family of alike names doesn't come back whole
     assert len(found) < pairs / (8 if slack < 0.1 else 1)
+
+
+@pytest.mark.parametrize("paths", [1 << 18, 60])
+def test_trees_find_what_brute_force_finds(monkeypatch, paths):
+    """A large family of alike names is searched by trees alone, with nothing lost; other searches meet the names block by block."""
+    family = [f"nombre interno {k * 37 % 2000}" for k in range(700)]
+    odd = ["nombre interno", "interno", "aa aa aa bb", "interno 345 nombre", "x" * 69 + "y", "x" * 70]
+    held = {x: 1 + i % 3 for i, x in enumerate(dict.fromkeys(family + names(9, 150) + odd))}
+    asked = {x: 1 + i % 3 for i, x in enumerate(dict.fromkeys([f"nombre interno {k}" for k in range(100, 2000, 31)] + names(9, 150)[::9] + names(10, 20) + odd + ["nombre 77 interno", "x" * 64, "x" * 66, "aa bb aa"]))}
+    monkeypatch.setattr(fuzzy, "TREES", 1)
+    monkeypatch.setattr(fuzzy, "PATHS", paths)
+
+    def best(asked, held, slack):
+        groups = fuzzy.grouped([("\n".join(held), np.array(list(held.values()), dtype=np.int32).tobytes())])
+        known = np.array([held.get(x, 0) for x in asked])
+        found = list(fuzzy.best_of(list(asked), np.array(list(asked.values())), known, np.full(len(asked), 0.8), np.full(len(asked), slack), groups))
+        got = {(x, y): s for some in found for x, y, s in zip(*some, strict=True)}
+        assert len(got) == sum(len(x) for x, _, _ in found)
+        for x, k in asked.items():
+            s = dict(zip(held, lanes.similarities([x] * len(held), list(held)).tolist(), strict=True))
+            assert all(s[y] == v for (q, y), v in got.items() if q == x)
+            for bit in (1, 2):
+                mine = {y: v for y, v in s.items() if v >= 0.8 and k & held[y] & bit}
+                assert all((x, y) in got for y, v in mine.items() if v >= max(mine.values()) - slack)
+
+    for slack in (0.0003, 0.03):
+        best(asked, held, slack)
+    # no search of the family is left to the product
+    monkeypatch.setattr(fuzzy, "best_in", None)
+    best({x: 1 for x in asked if x.startswith("nombre interno ")}, dict.fromkeys(family, 1), 0.0003)
