@@ -272,10 +272,10 @@ register_raw(
 
 def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lexicon that grows with the documents: beginnings of their texts of one to three words, raw pieces of them, and allowed beginnings."""
-    w = F.split(text.norm(F.col("text")), " ")
-    k = F.col("doc_id")
-    token = F.when(k % 4 < 3, F.array_join(F.slice(w, F.lit(1), (k % 4 + 1).cast("int")), " ")).otherwise(F.substring("text", 2, 6))
-    docs = read("documents")(spark, sf_dir)
+    k, w = F.col("doc_id"), F.col("w")
+    # texts are normalized once
+    docs = settled(read("documents")(spark, sf_dir).select("doc_id", F.slice(F.split(text.norm(F.col("text")), " "), 1, 3).alias("w"), F.substring("text", 2, 6).alias("piece")))
+    token = F.when(k % 4 < 3, F.array_join(F.slice(w, F.lit(1), (k % 4 + 1).cast("int")), " ")).otherwise(F.col("piece"))
     allow = docs.where(k % 9 == 0).select(k.alias("ord"), F.lit("allow").alias("kind"), F.array_join(F.slice(w, 1, 2), " ").alias("token"))
     return lexicon_join.lexicon_of(docs.select(k.alias("ord"), F.lit("blocked").alias("kind"), token.alias("token")).unionByName(allow))
 

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,3 +61,32 @@ def test_empty_lexicon_and_table(spark):
     assert lexicon_join.blocked_by(rows.limit(0), table(spark, ("sex", "18+"), (), ("x",))).count() == 0
     odd = spark.createDataFrame([(1, "blocked", None), (2, "blocked", "  "), (3, "allow", "!!"), (4, "blocked", "sex"), (2, "blocked", "sex")], "ord long, kind string, token string")
     assert [(r["ord"], r["n"]) for r in lexicon_join.lexicon_of(odd).collect()] == [(2, "sex")]
+
+
+@pytest.mark.parametrize("base", [int(lexicon_join.BASE), 1])
+def test_first_pieces_against_brute_force(monkeypatch, base):
+    """Hashes that are equal by chance (base 1: all texts of the same characters) don't change what is found."""
+    monkeypatch.setattr(lexicon_join, "BASE", np.uint64(base))
+    rng = random.Random(3)
+    finds = list(dict.fromkeys("".join(rng.choices("ab é𝄞", k=rng.randint(1, 5))) for _ in range(200)))[:90]
+    rows = [(0, x, rng.choice([None, 1, 2, 3, 50, 60]), rng.choice(["soft", "blocked"]), f"t{i}") for i, x in enumerate(finds)]
+    entries = pa.table(dict(zip(("how", "find", "ord", "kind", "token"), map(list, zip(*rows, strict=True)), strict=True)))
+    tokens = lexicon_join.Tokens(entries)
+    texts = ["".join(rng.choices("abcé𝄞 ", k=rng.randint(0, 12))) for _ in range(500)] + ["", " ", "zzz"]
+    order = sorted(rows, key=lambda r: (-1 if r[2] is None else r[2], r[3], r[4]))
+    for words in (False, True):
+        got = [tokens.entries["token"][e].as_py() if e >= 0 else None for e in tokens.first(texts, words).tolist()]
+        want = [next((r[4] for r in order if r[1] in x and (not words or r[1][0] == " ")), None) for x in texts]
+        assert got == want and len(set(got)) > 5
+
+
+def test_many_tokens_are_met_in_one_pass(spark):
+    """Releases are read once for megabytes of tokens."""
+    rows = releases(spark, 50, seed=2)
+    many = spark.range(60_000).selectExpr("id as ord", "'blocked' as kind", "concat('zq~', md5(cast(id as string))) as token")
+    few = spark.createDataFrame([(100_000, "blocked", "milf")], "ord long, kind string, token string")
+    got = lexicon_join.blocked_by(rows, lexicon_join.lexicon_of(few.unionByName(many)))
+    want = lexicon_join.blocked_by(rows, lexicon_join.lexicon_of(few))
+    assert sorted(got.collect()) == sorted(want.collect()) != []
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
