@@ -186,12 +186,19 @@ def _resolve(named: DataFrame, candidates: DataFrame, fill_all: bool, aggressive
     candidates = settled(candidates)
     known = identity.closure(identity.edges_of(candidates)) if known is None else known
     offers = _offers(candidates)
-    early = settled(_search(_questions(named), offers, variant_weight))
-    done = _merge(early).join(named.select("id", "type"), "id").where(complete(F.col("type"), fill_all)).select("id")
-    open_ = named.join(done, "id", "left_anti")
-    merged = _merge(early.unionByName(_search(_later_questions(open_, aggressive, variant_weight), offers, variant_weight)))
+    # rows of one name and type are told as one until they differ by their other names
+    first = named.groupBy(F.col("n.main").alias("_main"), F.col("type").alias("_type")).agg(F.min("id").alias("first"))
+    named = settled(named.join(first, F.col("n.main").eqNullSafe(F.col("_main")) & F.col("type").eqNullSafe(F.col("_type"))).select("id", "type", "n", "p", "cache_key", "first"))
+    firsts = named.where("id = first")
+    early = settled(_search(_questions(firsts), offers, variant_weight))
+    done = settled(_merge(early).join(firsts.select("id", "type"), "id").where(complete(F.col("type"), fill_all)).select("id"))
+    open_ = named.join(done.withColumnRenamed("id", "first"), "first", "left_anti")
+    found = early.join(done, "id", "left_semi").unionByName(early.withColumnRenamed("id", "first").join(open_.select("id", "first"), "first").drop("first"))
+    merged = _merge(found.unionByName(_search(_later_questions(open_, aggressive, variant_weight), offers, variant_weight)))
+    told = named.join(done.select(F.col("id").alias("first"), F.lit(True).alias("done")), "first", "left").select("id", F.when(F.col("done"), F.col("first")).otherwise(F.col("id")).alias("as"))
+    rows = firsts.join(done, "id", "left_semi").select("id", "type", "cache_key").unionByName(open_.select("id", "type", "cache_key"))
     before = F.struct(*ID_FIELDS, complete(F.col("type"), fill_all).alias("done"))
-    every = identity.fill(named.select("id", "type", "cache_key").join(merged, "id", "left").withColumn("before", before), known)
+    every = identity.fill(rows.join(merged, "id", "left").withColumn("before", before), known)
     # what a complete row lacks stays open; so does a tmdb identifier where no further search is wanted
     kept = {f: F.when(F.col("before.done"), F.col(f"before.{f}")).otherwise(F.col(f)) for f in ID_FIELDS}
     met = F.lit(aggressive) & F.col("before.tmdb_id").isNull() & F.col("tmdb_id").isNotNull() & ~F.col("before.done")
@@ -200,7 +207,8 @@ def _resolve(named: DataFrame, candidates: DataFrame, fill_all: bool, aggressive
     # all read the row as it was before
     every = every.withColumns(kept | {"sources": F.when(met, F.array_append("sources", F.lit(BRIDGE))).otherwise(F.col("sources")), "confidence": F.when(met, F.least("confidence", F.lit(BRIDGE_CONFIDENCE))).otherwise(F.col("confidence"))})
     outcome = F.when(any_id() & complete(F.col("type"), fill_all), "resolved").when(any_id(), "partial").otherwise("no match")
-    return every.select("id", "cache_key", *ID_FIELDS, F.coalesce(F.array_join("sources", "+"), F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
+    every = every.select(F.col("id").alias("as"), "cache_key", *ID_FIELDS, F.coalesce(F.array_join("sources", "+"), F.lit("none")).alias("source"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), outcome.alias("outcome"))
+    return told.join(every, "as").drop("as")
 
 
 def parse_mappings(rows: DataFrame, column: str = "payload") -> DataFrame:

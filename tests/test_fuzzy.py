@@ -77,6 +77,19 @@ def test_a_common_name_is_answered_once(spark, monkeypatch):
     assert len(got) == 300 and {r["tmdb_id"] for r in got} == {1}
 
 
+def test_rows_of_one_name_differ_by_their_other_names(spark, monkeypatch):
+    """Rows of one name and type are asked for as one, and on their own only where that leaves them open."""
+    others = [None, "Great Quest", "Great Quest", "Nothing alike"]
+    rows = [(i, "Zork", None, o, "movie") for i, o in enumerate(others)] + [(9, "Full House", None, o, "movie") for o in others[:1]] + [(10 + i, "Full House", None, f"Other {i}", "movie") for i in range(5)]
+    queue = spark.createDataFrame(rows, "id long, title string, title_text string, title_alt string, type string")
+    offered = spark.createDataFrame([("tmdb", "Zork", None, 5, None, None, None, None), ("imdb", "Great Quest", None, None, "tt7", None, None, None), ("tmdb", "Full House", None, 6, None, None, None, None), ("imdb", "Full House", None, None, "tt8", None, None, None)], "provider string, title string, year int, tmdb_id int, imdb_id string, anilist_id int, kitsu_id int, mal_id int")
+    asked = []
+    monkeypatch.setattr(resolve, "_questions", lambda named, plain=resolve._questions: asked.append(named.count()) or plain(named))
+    got = {r["id"]: (r["tmdb_id"], r["imdb_id"], r["outcome"]) for r in resolve.resolve(queue, offered).collect()}
+    assert got == {0: (5, None, "partial"), 1: (5, "tt7", "resolved"), 2: (5, "tt7", "resolved"), 3: (5, None, "partial")} | dict.fromkeys([9, *range(10, 15)], (6, "tt8", "resolved"))
+    assert asked == [2]
+
+
 @pytest.mark.parametrize("slack", [0.0003, 0.1403])
 def test_best_names_against_brute_force(spark, monkeypatch, slack):
     for name, value in (("SHIPPED", 3000), ("PACKED", 1000), ("SEARCHES", 64), ("NAMES", 50), ("ROUNDS", ((0, 1), (1, 3), (3, 1 << 62)))):
